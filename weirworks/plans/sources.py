@@ -12,13 +12,14 @@ from weirworks.sources import readers, writers
 from weirworks.streaming.runner import run_to_changes, run_to_files
 from weirworks.tables import SCHEMAS, events, load, stream_events
 
+MICROS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 EVENT_JSON = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def event_texts(spark, sf_dir):
     """The event table as JSON texts, as a topic would hold them."""
     df = load(spark, sf_dir, "events")
-    return df.select("event_id", F.to_json(F.struct(*df.columns)).alias("value"))
+    return df.select("event_id", F.to_json(F.struct(*df.columns), {"timestampNTZFormat": MICROS_TEXT}).alias("value"))
 
 
 @query("src_json_stream", """
@@ -118,13 +119,13 @@ def proj_nested_json(spark, sf_dir):
 def src_csv(spark, sf_dir):
     path = scratch_dir(spark, "csv")
     df = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    dialect = {"sep": "#", "lineSep": "$", "quote": "`", "header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    dialect = {"sep": "#", "lineSep": "$", "quote": "`", "header": "true", "timestampNTZFormat": MICROS_TEXT}
     df.write.options(**dialect).csv(path)
     schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
     return (
         spark.read.schema(schema)
         .options(**readers.csv_reader_options(sep="#", line_sep="$", quote="`", comment="%"))
-        .option("timestampNTZFormat", dialect["timestampNTZFormat"]).csv(path)
+        .option("timestampNTZFormat", MICROS_TEXT).csv(path)
     )
 
 
@@ -228,7 +229,7 @@ select event_id, ts, user_id, strftime(ts, '%Y-%m-%d-%H') as bucket from events
 """)
 def snk_rolling_files(spark, sf_dir):
     path = scratch_dir(spark, "rolling")
-    writers.write_time_buckets(load(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "ts", path, "json")
+    writers.write_time_buckets(load(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "ts", path, "json", timestampNTZFormat=MICROS_TEXT)
     return spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, bucket STRING").json(path)
 
 

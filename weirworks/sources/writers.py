@@ -11,7 +11,7 @@ HOUR_BUCKET = "yyyy-MM-dd-HH"
 
 
 def write_time_buckets(df: DataFrame, ts: str, path: str, fmt: str = "parquet", pattern: str = HOUR_BUCKET,
-                       records_per_file: int = 1_000_000, bucket: str = "bucket") -> None:
+                       records_per_file: int = 1_000_000, bucket: str = "bucket", **options: str) -> None:
     """Files in one folder per event-time bucket.
 
     The rebalance hint gives each bucket few files, and lets adaptive execution
@@ -20,7 +20,7 @@ def write_time_buckets(df: DataFrame, ts: str, path: str, fmt: str = "parquet",
     out = df.withColumn(bucket, F.date_format(F.col(ts), pattern))
     if not df.isStreaming:
         out = out.hint("rebalance", F.col(bucket))
-    out.write.partitionBy(bucket).option("maxRecordsPerFile", records_per_file).format(fmt).save(path)
+    out.write.partitionBy(bucket).options(maxRecordsPerFile=records_per_file, **options).format(fmt).save(path)
 
 
 def stream_time_buckets(df: DataFrame, ts: str, path: str, checkpoint: str, pattern: str = HOUR_BUCKET, fmt: str = "parquet"):
