@@ -1 +1,70 @@
+"""Queries of top-N and sorting."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from weirworks.operators import ranking, windows
+from weirworks.plans.registry import query
+from weirworks.tables import events, load
+
+
+@query("topn_sliding_hot_items", """
+with v as (select (props::json->>'k')::int as item_id, ts from events where event_type = 'view'),
+w as (select item_id, time_bucket(interval 5 minutes, ts) - to_minutes(5 * unnest(generate_series(0, 11))::int) + interval 60 minutes as window_end from v),
+c as (select window_end, item_id, count(*) as view_count from w group by 1, 2)
+select window_end, item_id, view_count, (row_number() over (partition by window_end order by view_count desc, item_id))::int as rank
+from c qualify rank <= 3
+""")
+def topn_sliding_hot_items(spark, sf_dir):
+    return ranking.hot_items(events(spark, sf_dir, "view"), "ts", "item_id", "60 minutes", "5 minutes", 3)
+
+
+@query("topn_window_by_area", """
+with t as (select l_suppkey % 10 as area, l_partkey, time_bucket(interval 1 day, l_shipdate) as window_start, sum(l_quantity) as amount from lineitem group by 1, 2, 3)
+select area, l_partkey, window_start, amount, (row_number() over (partition by window_start, area order by amount desc, l_partkey))::int as rank from t qualify rank <= 3
+""")
+def topn_window_by_area(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem").withColumn("area", F.col("l_suppkey") % 10)
+    sums = windows.windowed(li, "l_shipdate", "1 day", keys=["area", "l_partkey"], amount=F.sum("l_quantity")).drop("window_end")
+    return ranking.top_n(sums, ["window_start", "area"], [F.col("amount").desc(), F.col("l_partkey")], 3)
+
+
+@query("topn_running", """
+with t as (select l_suppkey % 10 as area, l_partkey, sum(l_quantity) as total from lineitem group by 1, 2)
+select area, l_partkey, total, (row_number() over (partition by area order by total desc, l_partkey))::int as rank from t qualify rank <= 3
+""")
+def topn_running(spark, sf_dir):
+    li = load(spark, sf_dir, "lineitem").withColumn("area", F.col("l_suppkey") % 10)
+    return ranking.running_top_n(li, "area", "l_partkey", ["l_shipdate"], "l_quantity", 3)
+
+
+@query("topn_daily_rank", """
+with s as (select date_trunc('second', l_shipdate) as sec, l_partkey, sum(l_quantity) as q from lineitem group by 1, 2),
+d as (select date_trunc('day', sec) as day, l_partkey, sum(q) as quantity from s group by 1, 2)
+select day, l_partkey, quantity, (row_number() over (partition by day order by quantity desc, l_partkey))::int as rank from d qualify rank <= 10
+""")
+def topn_daily_rank(spark, sf_dir):
+    seconds = windows.windowed(load(spark, sf_dir, "lineitem"), "l_shipdate", "1 second", keys=["l_partkey"], q=F.sum("l_quantity"))
+    days = windows.windowed(seconds, "window_start", "1 day", keys=["l_partkey"], quantity=F.sum("q"))
+    ranked = ranking.top_n(days, ["window_start"], [F.col("quantity").desc(), F.col("l_partkey")], 10)
+    return ranked.select(F.col("window_start").alias("day"), "l_partkey", "quantity", "rank")
+
+
+@query("sort_order_by", """
+select o_orderstatus, o_orderpriority, o_custkey, o_orderkey from orders order by 1, 2, 3, 4
+""")
+def sort_order_by(spark, sf_dir):
+    columns = ["o_orderstatus", "o_orderpriority", "o_custkey", "o_orderkey"]
+    return load(spark, sf_dir, "orders").select(*columns).orderBy(*columns)
+
+
+@query("sort_within_group", """
+with d as (select user_id, ts, event_id, event_type, (row_number() over (partition by user_id order by ts, event_id) - 1) // 1000 as chunk_no from events)
+select user_id, chunk_no::bigint as chunk_no, string_agg(event_id::varchar || ':' || event_type, ' ' order by ts, event_id) as path from d group by 1, 2
+""")
+def sort_within_group(spark, sf_dir):
+    e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    step = F.concat_ws(":", F.col("event_id").cast("string"), "event_type")
+    lists = ranking.sorted_groups(e, ["user_id"], ["ts", "event_id"], step, "steps")
+    return lists.select("user_id", "chunk_no", F.concat_ws(" ", "steps").alias("path"))
