@@ -30,7 +30,7 @@ def decaying_count(df: DataFrame, keys: Sequence[str], ts: str, lead_s: int, spa
     )
     expanded = df.withColumn("__m", F.explode(marks)).withColumn("at_us", F.col("__m.us")).withColumn("flag", F.col("__m.flag")).drop("__m", ts)
     summed = trailing_sum(expanded, keys, "at_us", F.col("flag"), width, out, hot_rows)
-    return summed.withColumn("at", from_micros("at_us")).drop("at_us")
+    return summed.withColumn("at_ts", from_micros("at_us")).drop("at_us")
 
 
 def live_count_changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -45,7 +45,7 @@ def live_count_changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, tt
     )
     marks = df.select(*keys, tie, F.explode(changes).alias("__m")).select(*keys, tie, "__m.us", "__m.step", "__m.kind")
     live = Ordered(marks, keys, ["us", "step", tie], hot_rows).scan(live=total(F.col("step").cast("bigint"))).result()
-    return live.select(*keys, tie, from_micros("us").alias("at"), "kind", "live")
+    return live.select(*keys, tie, from_micros("us").alias("at_ts"), "kind", "live")
 
 
 def jump_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, threshold: float, forget: str, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from weirworks.operators.aggs import group_lists, running_totals
+from weirworks.operators.aggs import group_lists
 
 
 def top_n(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
@@ -31,17 +31,12 @@ def hot_items(df: DataFrame, ts: str, item: str, size: str, slide: str, n: int)
     return top_n(counts, ["window_end"], [F.col("view_count").desc(), F.col(item)], n)
 
 
-def running_top_n(df: DataFrame, area: str, item: str, order: Sequence[str], value: str, n: int) -> DataFrame:
-    """The current top ``n`` items of each area by total, after all rows."""
+def total_top_n(df: DataFrame, area: str, item: str, value: str, n: int) -> DataFrame:
+    """The top ``n`` items of each area by total: what a running top-N shows after all rows."""
     totals = df.groupBy(area, item).agg(F.sum(value).alias("total"))
     return top_n(totals, [area], [F.col("total").desc(), F.col(item)], n)
 
 
-def running_item_totals(df: DataFrame, area: str, item: str, order: Sequence[str], value: str) -> DataFrame:
-    """Total of the row's (area, item) after each row: the input of a running top-N."""
-    return running_totals(df, [area, item], order, total=value)
-
-
 def sorted_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str) -> DataFrame:
     """Each group's values in order, in chunks (see ``group_lists``)."""
     return group_lists(df, keys, order, value, out)

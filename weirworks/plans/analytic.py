@@ -24,9 +24,9 @@ def win_range_count(spark, sf_dir):
 
 
 @query("win_flag_expand_sum", """
-with m as (select user_id, event_id, ts - interval 1 second as at, 0 as flag from events
+with m as (select user_id, event_id, ts - interval 1 second as at_ts, 0 as flag from events
   union all select user_id, event_id, ts + interval 1 second, 1 from events union all select user_id, event_id, ts + interval 7201 seconds, 0 from events)
-select user_id, event_id, flag::bigint as flag, at, (sum(flag) over (partition by user_id order by at range between interval 2 hours preceding and current row))::bigint as n from m
+select user_id, event_id, flag::bigint as flag, at_ts, (sum(flag) over (partition by user_id order by at_ts range between interval 2 hours preceding and current row))::bigint as n from m
 """)
 def win_flag_expand_sum(spark, sf_dir):
     e = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")
@@ -34,9 +34,9 @@ def win_flag_expand_sum(spark, sf_dir):
 
 
 @query("win_trailing_count_expiry", """
-with m as (select user_id, event_id, ts as at, 1 as step, 'arrive' as kind from events
+with m as (select user_id, event_id, ts as at_ts, 1 as step, 'arrive' as kind from events
   union all select user_id, event_id, ts + interval 12 hours, -1, 'expire' from events)
-select user_id, event_id, at, kind, (sum(step) over (partition by user_id order by at, step, event_id))::bigint as live from m
+select user_id, event_id, at_ts, kind, (sum(step) over (partition by user_id order by at_ts, step, event_id))::bigint as live from m
 """)
 def win_trailing_count_expiry(spark, sf_dir):
     e = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")

@@ -36,7 +36,7 @@ select area, l_partkey, total, (row_number() over (partition by area order by to
 """)
 def topn_running(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem").withColumn("area", F.col("l_suppkey") % 10)
-    return ranking.running_top_n(li, "area", "l_partkey", ["l_shipdate"], "l_quantity", 3)
+    return ranking.total_top_n(li, "area", "l_partkey", "l_quantity", 3)
 
 
 @query("topn_daily_rank", """
