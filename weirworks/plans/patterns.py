@@ -1 +1,95 @@
+"""Queries of event patterns and rules."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from weirworks.operators import patterns
+from weirworks.operators.joins import in_force
+from weirworks.operators.ordered import Ordered, previous
+from weirworks.operators.patterns import Rule
+from weirworks.plans.registry import query
+from weirworks.tables import events, load
+
+
+@query("cep_single", """
+select event_id, event_type, value from events where event_type = 'error' and (props::json->>'k')::double > 15
+""")
+def cep_single(spark, sf_dir):
+    condition = patterns.holds("event_type = 'error' and item_id > 15")
+    return events(spark, sf_dir).filter(condition).select("event_id", "event_type", "value")
+
+
+@query("cep_followed_by", """
+select user_id, event_id as view_id, p.id as purchase_id, p.v as amount from (
+  select *, (select arg_min({'id': b.event_id, 'v': b.value}, b.ts) from events b where b.user_id = a.user_id and b.event_type = 'purchase' and b.ts > a.ts) as p
+  from events a where event_type = 'view') where p is not null
+""")
+def cep_followed_by(spark, sf_dir):
+    e = events(spark, sf_dir, "view", "purchase").select("user_id", "event_id", "ts", "event_type", "value")
+    purchase = F.struct(F.col("event_id").alias("id"), F.col("value").alias("v"))
+    pairs = patterns.followed_by(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "view", F.col("event_type") == "purchase", purchase, "p")
+    return pairs.select("user_id", F.col("event_id").alias("view_id"), F.col("p.id").alias("purchase_id"), F.col("p.v").alias("amount"))
+
+
+@query("cep_dynamic_pattern", """
+with l as (select *, lag(event_type) over w as p1, lag(event_type, 2) over w as p2, lag(value) over w as v1 from events window w as (partition by user_id order by ts, event_id))
+select user_id, event_id, 'browse_buy' as pattern from l where p2 = 'view' and p1 = 'click' and event_type = 'purchase'
+union all select user_id, event_id, 'double_error' from l where p1 = 'error' and event_type = 'error'
+union all select user_id, event_id, 'rising' from l where v1 > 50 and value > 100
+""")
+def cep_dynamic_pattern(spark, sf_dir):
+    table = spark.sql("""select * from values
+        ('browse_buy', 1, "event_type = 'view'"), ('browse_buy', 2, "event_type = 'click'"), ('browse_buy', 3, "event_type = 'purchase'"),
+        ('double_error', 1, "event_type = 'error'"), ('double_error', 2, "event_type = 'error'"),
+        ('rising', 1, 'value > 50'), ('rising', 2, 'value > 100') as p(name, step, predicate)""")
+    e = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return patterns.match_patterns(e, ["user_id"], ["ts", "event_id"], patterns.read_patterns(table)).select("user_id", "event_id", "pattern")
+
+
+# patterns announced over time: previous action, current action
+PAIRS = [("2024-01-01 00:00:00", "view,purchase"), ("2024-01-15 00:00:00", "click,error")]
+
+
+@query("broadcast_pattern_pair", """
+select user_id, event_id, p as first_action, event_type as second_action from (
+  select *, lag(event_type) over (partition by user_id order by ts, event_id) as p from events)
+where (ts < timestamp '2024-01-15' and p = 'view' and event_type = 'purchase') or (ts >= timestamp '2024-01-15' and p = 'click' and event_type = 'error')
+""")
+def broadcast_pattern_pair(spark, sf_dir):
+    e = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
+    scanned = Ordered(e, ["user_id"], ["ts", "event_id"]).scan(first_action=previous("event_type")).result()
+    pair = F.concat_ws(",", F.coalesce("first_action", F.lit("")), "event_type")
+    return scanned.filter(pair == in_force("ts", PAIRS)).select("user_id", "event_id", "first_action", F.col("event_type").alias("second_action"))
+
+
+RULE_ROWS = """select * from values
+    ('low', 'c_acctbal < 2000', "concat(c_custkey, ' is under 2000')"),
+    ('high', 'c_acctbal >= 2000', "concat(c_custkey, ' is above 2000')"),
+    ('building', "c_mktsegment = 'BUILDING'", "upper(c_name)") as r(rule_id, predicate, result)"""
+
+
+@query("rules_apply", """
+select c_custkey, 'low' as rule_id, c_custkey || ' is under 2000' as result from customer where c_acctbal < 2000
+union all select c_custkey, 'high', c_custkey || ' is above 2000' from customer where c_acctbal >= 2000
+union all select c_custkey, 'building', upper(c_name) from customer where c_mktsegment = 'BUILDING'
+""")
+def rules_apply(spark, sf_dir):
+    rules = patterns.read_rules(spark.sql(RULE_ROWS))
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return patterns.apply_rules(customers, rules).select("c_custkey", "rule_id", "result")
+
+
+RULE_VERSIONS = [
+    ("1970-01-01 00:00:00", [Rule("above", "item_id >= 18", "concat(item_id, ' is above 18')"), Rule("under", "item_id < 18", "concat(item_id, ' is under 18')")]),
+    ("2024-01-10 00:00:00", [Rule("above", "item_id >= 13", "concat(item_id, ' is above 13')"), Rule("under", "item_id < 13", "concat(item_id, ' is under 13')")]),
+]
+
+
+@query("rules_broadcast_swap", """
+with e as (select event_id, (props::json->>'k')::int as k, case when ts >= timestamp '2024-01-10' then 13 else 18 end as lim from events)
+select event_id, case when k >= lim then 'above' else 'under' end as rule_id, k || ' is ' || case when k >= lim then 'above ' else 'under ' end || lim as result from e
+""")
+def rules_broadcast_swap(spark, sf_dir):
+    e = events(spark, sf_dir).select("event_id", "ts", "item_id")
+    return patterns.apply_rule_versions(e, "ts", RULE_VERSIONS).select("event_id", "rule_id", "result")

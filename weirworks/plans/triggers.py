@@ -1 +1,91 @@
+"""Queries of early, repeated and late results."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from weirworks.operators import triggers, windows
+from weirworks.plans.registry import query
+from weirworks.plans.sources import event_folder
+from weirworks.streaming.runner import run_to_changes
+from weirworks.tables import events, load, stream_events
+
+N = F.count(F.lit(1))
+
+
+@query("trig_continuous_event", """
+with t as (select event_type, date_trunc('hour', ts) as tick, count(*) as n, sum((props::json->>'k')::int) as total from events group by 1, 2)
+select event_type, date_trunc('day', tick) as window_start, tick + interval 1 hour as fired_at,
+       (sum(n) over w)::bigint as n, (sum(total) over w)::bigint as total
+from t window w as (partition by event_type, date_trunc('day', tick) order by tick rows unbounded preceding)
+""")
+def trig_continuous_event(spark, sf_dir):
+    return triggers.continuous_results(events(spark, sf_dir), ["event_type"], "ts", "1 day", "1 hour", n=N, total=F.sum("item_id"))
+
+
+@query("trig_continuous_proc", """
+select user_id, date_trunc('day', ts - interval 16 hours) + interval 16 hours as window_start, count(*) as n, max(value) as top from events group by 1, 2
+""")
+def trig_continuous_proc(spark, sf_dir):
+    daily = windows.windowed(stream_events(spark, event_folder(sf_dir)), "ts", "1 day", offset="16 hours", keys=["user_id"], n=N, top=F.max("value"))
+    table = run_to_changes(daily.drop("window_end"), ["user_id", "window_start"], "continuous")
+    return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+DISORDERED = "select event_id, user_id, ts as arrived, ts - to_minutes(10 * (event_id % 7)::int) as at_ts from events"
+
+
+def disordered(spark, sf_dir):
+    """Events that arrive up to an hour after they happened."""
+    e = load(spark, sf_dir, "events")
+    delay = F.make_dt_interval(mins=(F.col("event_id") % 7 * 10).cast("int"))
+    return e.select("event_id", "user_id", F.col("ts").alias("arrived"), (F.col("ts") - delay).alias("at_ts"))
+
+
+WATERMARKED = f"""
+with d as ({DISORDERED}),
+m as (select *, max(at_ts) over (order by arrived, event_id rows between unbounded preceding and 1 preceding) as high,
+      date_trunc('hour', at_ts) as ws, date_trunc('hour', at_ts) + interval 1 hour as we from d)
+"""
+
+
+@query("trig_early_late", WATERMARKED + """
+, w as (select *, coalesce(high - interval 15 minutes, timestamp '1970-01-01') as wm from m)
+select event_id, user_id, arrived, at_ts, we as window_end,
+       case when time_bucket(interval 10 minutes, wm) + interval 10 minutes < we then 'early' when wm < we then 'on_time'
+            when wm < we + interval 20 minutes then 'late' else 'dropped' end as label
+from w
+""")
+def trig_early_late(spark, sf_dir):
+    return triggers.label_firings(disordered(spark, sf_dir), ["arrived", "event_id"], "at_ts", "1 hour", "15 minutes", "10 minutes", "20 minutes")
+
+
+@query("trig_per_element", WATERMARKED + """
+, a as (select * from m where high is null or we - interval 1 millisecond + interval 5 minutes > high - interval 15 minutes)
+select event_id, user_id, ws as window_start, count(*) over (partition by user_id, ws order by arrived, event_id) as n from a
+""")
+def trig_per_element(spark, sf_dir):
+    accepted = triggers.accepted_rows(disordered(spark, sf_dir), ["arrived", "event_id"], "at_ts", "1 hour", "15 minutes", "5 minutes")
+    return triggers.per_element_counts(accepted, ["user_id"], ["arrived", "event_id"]).select("event_id", "user_id", "window_start", "n")
+
+
+@query("trig_every_n_or_end", """
+with r as (select time_bucket(interval 6 hours, ts) as window_start, row_number() over w as seen, (sum((props::json->>'k')::int) over w)::bigint as total
+  from events window w as (partition by time_bucket(interval 6 hours, ts) order by ts, event_id rows unbounded preceding))
+select window_start, 'count' as fired_by, seen, total from r where seen % 11 = 0
+union all
+select time_bucket(interval 6 hours, ts), 'end', count(*), sum((props::json->>'k')::int)::bigint from events group by 1
+""")
+def trig_every_n_or_end(spark, sf_dir):
+    e = events(spark, sf_dir).select(F.window("ts", "6 hours").start.alias("window_start"), "ts", "event_id", "item_id")
+    return triggers.every_n_and_end(e, ["window_start"], ["ts", "event_id"], 11, "item_id")
+
+
+@query("trig_session_first", """
+select event_id, user_id, ts from (
+  select *, lag(ts) over (partition by user_id order by ts, event_id) as before from events)
+where before is null or ts - before > interval 2 hours
+""")
+def trig_session_first(spark, sf_dir):
+    e = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return triggers.session_firsts(e, ["user_id"], "ts", "event_id", "2 hours")
