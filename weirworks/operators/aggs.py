@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirworks.functions.expr import col
-from weirworks.operators.ordered import HOT_ROWS, Ordered, running_count, total
+from weirworks.operators.ordered import Ordered, running_count, total
 
 LIST_CHUNK = 1000
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS, count: str | None = None, **sums: Column | str) -> DataFrame:
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None, count: str | None = None, **sums: Column | str) -> DataFrame:
     """The new totals of a key after each of its rows."""
     scans = {name: total(value) for name, value in sums.items()}
     if count:
@@ -53,7 +53,7 @@ def bitmap_distinct(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count("__bits")).cast("bigint").alias(out))
 
 
-def running_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, hot_rows: int | None = None) -> DataFrame:
     """Number of distinct values so far, after each row of a key."""
     first_seen = df.groupBy(*keys, value).agg(F.min(F.struct(*order)).alias("__first"))
     flagged = df.join(first_seen, [*keys, value])
@@ -78,7 +78,7 @@ def weighted_average(value: Column | str, weight: Column | str) -> Column:
     return ((total_ - F.try_mod(total_, weights)) / weights).cast("bigint")
 
 
-def group_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, chunk: int = LIST_CHUNK, hot_rows: int = HOT_ROWS) -> DataFrame:
+def group_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, chunk: int = LIST_CHUNK, hot_rows: int | None = None) -> DataFrame:
     """Ordered value lists of whole groups, at most ``chunk`` values per row.
 
     A group longer than that takes several rows, numbered by ``chunk_no``; together

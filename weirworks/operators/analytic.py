@@ -7,19 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirworks.functions.expr import from_micros, interval_us, micros
-from weirworks.operators.ordered import HOT_ROWS, Ordered, previous, running_count, total, trailing_sum
+from weirworks.operators.ordered import Ordered, previous, running_count, total, trailing_sum
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn", hot_rows: int = HOT_ROWS) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn", hot_rows: int | None = None) -> DataFrame:
     return Ordered(df, keys, order, hot_rows).scan(**{out: running_count()}).result()
 
 
-def range_count(df: DataFrame, keys: Sequence[str], ts: str, span: str, out: str = "n", hot_rows: int = HOT_ROWS) -> DataFrame:
+def range_count(df: DataFrame, keys: Sequence[str], ts: str, span: str, out: str = "n", hot_rows: int | None = None) -> DataFrame:
     """Rows of the key in the trailing time span, current row and its ties included."""
     return trailing_sum(df, keys, ts, F.lit(1), interval_us(span), out, hot_rows)
 
 
-def decaying_count(df: DataFrame, keys: Sequence[str], ts: str, lead_s: int, span: str, out: str = "n", hot_rows: int = HOT_ROWS) -> DataFrame:
+def decaying_count(df: DataFrame, keys: Sequence[str], ts: str, lead_s: int, span: str, out: str = "n", hot_rows: int | None = None) -> DataFrame:
     """Each event becomes (t-lead, 0), (t+lead, 1), (t+lead+span, 0); the trailing sum of the flags also
     reports the fall to zero when no new event comes."""
     us, lead, width = micros(ts), lead_s * 10**6, interval_us(span)
@@ -33,7 +33,7 @@ def decaying_count(df: DataFrame, keys: Sequence[str], ts: str, lead_s: int, spa
     return summed.withColumn("at_ts", from_micros("at_us")).drop("at_us")
 
 
-def live_count_changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def live_count_changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int | None = None) -> DataFrame:
     """Count of a key's rows of the last ``ttl``, emitted at each arrival and at each expiry.
 
     At equal times expiries come before arrivals.
@@ -48,7 +48,7 @@ def live_count_changes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, tt
     return live.select(*keys, tie, from_micros("us").alias("at_ts"), "kind", "live")
 
 
-def jump_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, threshold: float, forget: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def jump_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, threshold: float, forget: str, hot_rows: int | None = None) -> DataFrame:
     """Rows that differ from the row before by more than ``threshold``; the row before is forgotten after ``forget``."""
     fresh = micros(ts) - micros(F.col("__prev.t")) <= interval_us(forget)
     scanned = Ordered(df, keys, [ts, tie], hot_rows).scan(__prev=previous(F.struct(F.col(ts).alias("t"), F.col(value).alias("v")))).result()
@@ -58,7 +58,7 @@ def jump_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: st
     )
 
 
-def changed_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+def changed_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, hot_rows: int | None = None) -> DataFrame:
     """Rows whose value differs from the key's row before (the first row counts as a change)."""
     tracked = value if isinstance(value, Column) else F.col(value)
     scanned = Ordered(df, keys, order, hot_rows).scan(__prev=previous(tracked)).result()

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from weirworks.operators.greedy import first_per_ttl
-from weirworks.operators.ordered import HOT_ROWS
 
 
-def drop_repeats(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def drop_repeats(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int | None = None) -> DataFrame:
     """Drops repeats of a key within ``ttl`` after the last row that was kept. On streams the watermark form is used."""
     if df.isStreaming:
         return df.withWatermark(ts, ttl).dropDuplicatesWithinWatermark(list(keys))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from weirworks.functions.expr import from_micros, interval_us, micros
-from weirworks.operators.ordered import HOT_ROWS, Ordered, hot_key_slices, latest, next_known, previous, running_count
+from weirworks.operators.ordered import Ordered, hot_key_slices, latest, next_known, previous, running_count
 from weirworks.session import stored
 
 US, ANCHOR_US, ANCHOR_ID = "__us", "__anchor_us", "anchor_id"
@@ -131,7 +131,7 @@ def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: i
 
 
 def chain(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_span_us: int, max_count: int | None = None,
-          gap_us: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+          gap_us: int | None = None, hot_rows: int | None = None) -> DataFrame:
     """Adds ``anchor_ts`` and ``anchor_id`` (the tie-break value of the anchor row, a bigint)."""
     keys = list(keys)
     timed = df.withColumn(US, micros(ts)).withColumn(tie, F.col(tie).cast("bigint"))
@@ -151,19 +151,19 @@ def chain(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_span_us: in
     )
 
 
-def bounded_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, bound: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def bounded_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, bound: str, hot_rows: int | None = None) -> DataFrame:
     """Gap sessions whose span (gap included) stays strictly below ``bound``; the session starts at ``anchor_ts``."""
     gap_us = interval_us(gap)
     return chain(df, keys, ts, tie, interval_us(bound) - gap_us, gap_us=gap_us, hot_rows=hot_rows)
 
 
-def first_per_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def first_per_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int | None = None) -> DataFrame:
     """Rows kept when repeats of a key within ``ttl`` of the last kept row are dropped."""
     chained = chain(df, keys, ts, tie, interval_us(ttl), hot_rows=hot_rows)
     kept = (F.col(ts) == F.col("anchor_ts")) & (F.col(tie) == F.col(ANCHOR_ID))
     return chained.filter(kept).drop("anchor_ts", ANCHOR_ID)
 
 
-def count_or_delay(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_count: int, delay: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def count_or_delay(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_count: int, delay: str, hot_rows: int | None = None) -> DataFrame:
     """Batches closed at ``max_count`` rows or ``delay`` after their first row."""
     return chain(df, keys, ts, tie, interval_us(delay), max_count=max_count, hot_rows=hot_rows)

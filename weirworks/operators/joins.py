@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weirworks.functions.expr import interval_us, micros
 from weirworks.operators.aggs import group_lists
-from weirworks.operators.ordered import HOT_ROWS, Ordered, latest, next_known, total
+from weirworks.operators.ordered import Ordered, latest, next_known, total
 
 
 def with_window(df: DataFrame, ts: str, size: str, offset: str = "0 seconds", out: str = "w") -> DataFrame:
@@ -78,7 +78,7 @@ ASOF_ORDER = ["__at", "__kind", "__tie"]  # versions sort before rows of the sam
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, left_tie: str, right_ts: str, right_tie: str,
-              values: Sequence[str], how: str = "inner", hot_rows: int = HOT_ROWS) -> DataFrame:
+              values: Sequence[str], how: str = "inner", hot_rows: int | None = None) -> DataFrame:
     """Each left row with the right row of its key in force at its time (the latest not after it)."""
     both = _versions_union(left, right, keys, left_ts, left_tie, right_ts, right_tie, values)
     scanned = Ordered(both, keys, ASOF_ORDER, hot_rows).scan(__r=latest("__right")).result().filter(F.col("__kind") == 1)
@@ -88,7 +88,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
 
 
 def buffered_asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, left_tie: str, right_ts: str, right_tie: str,
-                       values: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+                       values: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """As ``asof_join``; a row with no version yet waits for the key's first one. ``emitted_at`` is when it is complete."""
     both = _versions_union(left, right, keys, left_ts, left_tie, right_ts, right_tie, values)
     scanned = (
@@ -133,7 +133,7 @@ def in_force(ts: Column | str, versions: Sequence[tuple[str, object]], default:
     return chosen
 
 
-def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, end_kind: str, kinds: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, end_kind: str, kinds: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """One row per closed path: the events since the previous ``end_kind`` event up to and including the next one,
     with the path's length and the number of events of each kind."""
     ends = F.when(F.col(kind) == end_kind, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
@@ -147,13 +147,22 @@ def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kin
     )
 
 
-def match_or_timeout(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str, wait_days: Column) -> DataFrame:
-    """Each left row with its first right row within its own waiting time: ``on_time`` at that time, else ``timeout`` at the deadline."""
+def match_or_timeout(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str, wait_days: Column,
+                     hot_rows: int | None = None) -> DataFrame:
+    """Each left row with the first right row of its key at or after its time: ``on_time`` then, if that is within the
+    row's own waiting time, else ``timeout`` at the deadline.
+
+    An ordered scan over both sides finds the first right row without pairing a left row with all right rows of its key.
+    """
     waiting = left.withColumn("deadline", F.col(left_ts) + F.make_dt_interval(days=wait_days.cast("int")))
-    inside = (F.col(left_key) == F.col(right_key)) & (F.col(right_ts) >= F.col(left_ts)) & (F.col(right_ts) <= F.col("deadline"))
+    rights = right.select(*keys, F.col(right_ts).alias("__at"), F.lit(1).alias("__kind"))
+    lefts = waiting.select(*keys, F.col(left_ts).alias("__at"), F.lit(0).alias("__kind"), F.struct(*waiting.columns).alias("__left"))
+    both = lefts.unionByName(rights, allowMissingColumns=True)
+    arrived = F.when(F.col("__kind") == 1, F.col("__at"))
+    in_time = F.coalesce(F.col("__first") <= F.col("deadline"), F.lit(False))
     return (
-        waiting.join(right.select(right_key, right_ts), inside, "left")
-        .groupBy(left_key, left_ts, "deadline").agg(F.min(right_ts).alias("__first"))
-        .withColumn("status", F.when(F.col("__first").isNull(), "timeout").otherwise("on_time"))
-        .withColumn("event_at", F.coalesce("__first", "deadline")).drop("__first")
+        Ordered(both, keys, ["__at", "__kind"], hot_rows).scan(__first=next_known(arrived)).result()
+        .filter(F.col("__kind") == 0).select("__left.*", "__first")
+        .withColumn("status", F.when(in_time, "on_time").otherwise("timeout"))
+        .withColumn("event_at", F.when(in_time, F.col("__first")).otherwise(F.col("deadline"))).drop("__first")
     )

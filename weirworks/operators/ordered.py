@@ -37,8 +37,14 @@ def order_us(df: DataFrame, name: str) -> Column:
     return micros(name) if isinstance(kind, (TimestampType, TimestampNTZType)) else F.col(name).cast("bigint")
 
 
-def hot_key_slices(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int) -> DataFrame:
+def hot_row_limit(df: DataFrame, hot_rows: int | None = None) -> int:
+    """Rows of a key that one task may hold: the argument, else the session's ``weirworks.hotRows``, else the default."""
+    return hot_rows or int(df.sparkSession.conf.get("weirworks.hotRows", str(HOT_ROWS)))
+
+
+def hot_key_slices(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = None) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, with the origin and width of their slices."""
+    hot_rows = hot_row_limit(df, hot_rows)
     us = order_us(df, order)
     span = F.col("__last") - F.col(ORIGIN) + 1
     width = F.ceil(span * F.lit(hot_rows) / (F.col("__n") * F.lit(OVERSPLIT))).cast("bigint")
@@ -101,7 +107,7 @@ def next_known(value: Column | str) -> Scan:
 class Ordered:
     """A table prepared for ordered scans per key. ``keys`` may be empty (one global order)."""
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None):
         self.order = list(order)
         if not keys:
             df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
@@ -190,7 +196,7 @@ class Ordered:
 
 
 def trailing_sum(
-    df: DataFrame, keys: Sequence[str], order: str, value: Column, range_us: int, out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: str, value: Column, range_us: int, out: str, hot_rows: int | None = None
 ) -> DataFrame:
     """``sum(value) over (partition by keys order by time range between R preceding and current row)``.
 

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirworks.functions.expr import floor_to, from_micros, interval_us, micros
-from weirworks.operators.ordered import HOT_ROWS, Ordered, following, running_count
-from weirworks.operators.windows import assign_sessions
+from weirworks.operators.ordered import Ordered, following, latest, previous, running_count
 
 
-def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offline: Column, period: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offline: Column, period: str, hot_rows: int | None = None) -> DataFrame:
     """Alerts each ``period`` after an offline message until the key's next message, which re-arms or stops them.
 
     A key without a next message is watched up to the last time in the table.
@@ -28,7 +27,7 @@ def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offli
     )
 
 
-def counts_after_silence(df: DataFrame, keys: Sequence[str], ts: str, tie: str, silence: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def counts_after_silence(df: DataFrame, keys: Sequence[str], ts: str, tie: str, silence: str, hot_rows: int | None = None) -> DataFrame:
     """The key's count so far, emitted ``silence`` after a row that no other row of the key followed by then."""
     quiet = micros("__next") - micros(ts) > interval_us(silence)
     scanned = Ordered(df, keys, [ts, tie], hot_rows).scan(n=running_count(), __next=following(ts)).result()
@@ -48,10 +47,17 @@ def daily_average_ticks(df: DataFrame, keys: Sequence[str], ts: str, value: str,
         (F.sum("__s").over(sofar) / F.sum("__n").over(sofar)).alias("mean"))
 
 
-def counts_with_idle_reset(df: DataFrame, keys: Sequence[str], ts: str, tie: str, idle: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def counts_with_idle_reset(df: DataFrame, keys: Sequence[str], ts: str, tie: str, idle: str, hot_rows: int | None = None) -> DataFrame:
     """Running count whose state is dropped when the key is idle for longer than ``idle``."""
-    sessions = assign_sessions(df, keys, ts, tie, idle, hot_rows)
-    return Ordered(sessions, [*keys, "session_start"], [ts, tie], hot_rows).scan(n=running_count()).result()
+    revived = F.coalesce(micros(ts) - micros("__prev") > interval_us(idle), F.lit(True))
+    return (
+        Ordered(df, keys, [ts, tie], hot_rows)
+        .scan(__prev=previous(ts), __n=running_count())
+        .with_column("__reset", F.when(revived, F.col("__n") - 1))
+        .scan(__base=latest("__reset"))
+        .with_column("n", F.col("__n") - F.col("__base"))
+        .result().drop("__prev", "__n", "__reset", "__base")
+    )
 
 
 def latest_view(df: DataFrame, ts: str, size: str, pivot_on: str, values: Sequence[str], agg: Column) -> DataFrame:

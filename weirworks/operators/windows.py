@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirworks.functions.expr import floor_to, from_micros, interval_us, micros
-from weirworks.operators.ordered import HOT_ROWS, Ordered, latest, previous, running_count, total
+from weirworks.operators.ordered import Ordered, latest, previous, running_count, total
 
 
 def windowed(df: DataFrame, ts: str, size: str, slide: str | None = None, offset: str | None = None, keys: Sequence[str] = (), **aggs: Column) -> DataFrame:
@@ -33,7 +33,7 @@ def session_windows(df: DataFrame, ts: str, gap: str | Column, keys: Sequence[st
     )
 
 
-def assign_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def assign_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, hot_rows: int | None = None) -> DataFrame:
     """Adds ``session_start``: a row joins the running session if it comes at most ``gap`` after the row before.
 
     Batch form without a per-key task: the session of a hot key may span many slices.
@@ -112,7 +112,7 @@ def concurrent_window_sums(df: DataFrame, ts: str, value: str, keys: Sequence[st
     return rolled.unionByName(sessions)
 
 
-def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, hot_rows: int = HOT_ROWS, **aggs: Column) -> DataFrame:
+def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, hot_rows: int | None = None, **aggs: Column) -> DataFrame:
     """Every ``size``-th element of a key emits its group and clears it; an incomplete last group emits nothing."""
     numbered = Ordered(df, keys, order, hot_rows).scan(__n=running_count()).result()
     return (
@@ -122,7 +122,7 @@ def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], size
     )
 
 
-def count_accumulate(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, value: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def count_accumulate(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, value: str, out: str, hot_rows: int | None = None) -> DataFrame:
     """Running total emitted at every ``size``-th element of a key, never cleared."""
     return (
         Ordered(df, keys, order, hot_rows).scan(seen=running_count(), **{out: total(value)}).result()

@@ -250,4 +250,5 @@ select o_orderkey, o_orderdate, deadline, case when s is null then 'timeout' els
 """)
 def match_or_timeout(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return joins.match_or_timeout(o, load(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey", "o_orderdate", "l_shipdate", 1 + F.col("o_orderkey") % 90)
+    li = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+    return joins.match_or_timeout(o, li, ["o_orderkey"], "o_orderdate", "l_shipdate", 1 + F.col("o_orderkey") % 90)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from weirworks.operators.ordered import HOT_ROWS, Ordered, running_count
+from weirworks.operators.ordered import Ordered, running_count
 
 HOUR_BUCKET = "yyyy-MM-dd-HH"
 
@@ -74,7 +74,7 @@ def write_targets(*targets):
     return write
 
 
-def flush_chunks(df: DataFrame, order: list[str], size: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def flush_chunks(df: DataFrame, order: list[str], size: int, hot_rows: int | None = None) -> DataFrame:
     """Chunk number of every row when a sink flushes each ``size`` rows in arrival order."""
     numbered = Ordered(df, [], order, hot_rows).scan(__n=running_count()).result()
     return numbered.withColumn("chunk_id", F.floor((F.col("__n") - 1) / F.lit(size)).cast("bigint")).drop("__n")
