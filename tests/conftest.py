@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Window, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -32,15 +35,9 @@ def event_files(spark, tmp_path_factory):
     from weirworks.tables import load
 
     folder = tmp_path_factory.mktemp("stream") / "events"
-    e = load(spark, SF, "events").orderBy("ts", "event_id").toPandas()
-    step = -(-len(e) // 5)
-    import os
-    import time
-
-    schema = load(spark, SF, "events").schema
-    for i in range(5):
-        part = spark.createDataFrame(e.iloc[i * step:(i + 1) * step].values.tolist(), schema)
-        part.coalesce(1).write.mode("append").parquet(str(folder))
+    parted = load(spark, SF, "events").withColumn("part", F.ntile(5).over(Window.orderBy("ts", "event_id"))).cache()
+    for i in range(1, 6):
+        parted.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(str(folder))
         time.sleep(0.05)
     names = sorted(folder.glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
     for i, p in enumerate(names):  # the file source takes files by modification time

@@ -11,6 +11,10 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def micros(ts: Column | str) -> Column:
     """Microseconds since the epoch of a TIMESTAMP or TIMESTAMP_NTZ column (UTC session)."""
     return F.unix_micros(col(ts).cast("timestamp"))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weirworks.functions.expr import n_rows
 from weirworks.operators import aggs, rows, windows
 from weirworks.plans.registry import query
 from weirworks.tables import events, load
 
-N = F.count(F.lit(1))
-
 
 @query("agg_running_sum", """
 select event_id, event_type, (sum((props::json->>'k')::int) over (partition by event_type order by ts, event_id))::bigint as total from events
@@ -46,7 +45,7 @@ def agg_fold_map_total(spark, sf_dir):
 select substring(c_name, 1, 1) as initial, c_mktsegment, count(*) as n from customer group by 1, 2
 """)
 def agg_group_count(spark, sf_dir):
-    return load(spark, sf_dir, "customer").groupBy(F.substring("c_name", 1, 1).alias("initial"), "c_mktsegment").agg(N.alias("n"))
+    return load(spark, sf_dir, "customer").groupBy(F.substring("c_name", 1, 1).alias("initial"), "c_mktsegment").agg(n_rows().alias("n"))
 
 
 @query("agg_cube_grouping", """
@@ -56,7 +55,7 @@ from orders group by cube(o_orderstatus, o_orderpriority) order by 1, 2
 """)
 def agg_cube_grouping(spark, sf_dir):
     dims = ["o_orderstatus", "o_orderpriority"]
-    return aggs.cube_with_flags(load(spark, sf_dir, "orders"), dims, n=N, price=F.round(F.sum("o_totalprice"), 2)).orderBy(*dims)
+    return aggs.cube_with_flags(load(spark, sf_dir, "orders"), dims, n=n_rows(), price=F.round(F.sum("o_totalprice"), 2)).orderBy(*dims)
 
 
 @query("agg_rollup_grouping", """
@@ -64,7 +63,7 @@ select o_orderstatus, o_orderpriority, grouping(o_orderstatus)::int as g_o_order
 from orders group by rollup(o_orderstatus, o_orderpriority)
 """)
 def agg_rollup_grouping(spark, sf_dir):
-    return aggs.rollup_with_flags(load(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"], n=N)
+    return aggs.rollup_with_flags(load(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"], n=n_rows())
 
 
 @query("agg_grouping_sets", """
@@ -73,7 +72,7 @@ from orders group by grouping sets ((o_orderstatus), (o_orderpriority), ())
 """)
 def agg_grouping_sets(spark, sf_dir):
     dims = ["o_orderstatus", "o_orderpriority"]
-    return aggs.grouping_sets(load(spark, sf_dir, "orders"), [[dims[0]], [dims[1]], []], dims, n=N)
+    return aggs.grouping_sets(load(spark, sf_dir, "orders"), [[dims[0]], [dims[1]], []], dims, n=n_rows())
 
 
 @query("agg_global", """
@@ -81,7 +80,7 @@ select count(*) as n, round(sum(l_quantity), 2) as quantity, round(sum(l_extende
 """)
 def agg_global(spark, sf_dir):
     return load(spark, sf_dir, "lineitem").agg(
-        N.alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
+        n_rows().alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
 
 
 @query("agg_count_distinct", """
@@ -136,9 +135,9 @@ def agg_site_metrics(spark, sf_dir):
     # one row per (site, day, order) first, so the distinct count is a plain count that combines map-side
     per_order = windows.windowed(
         load(spark, sf_dir, "lineitem"), "l_shipdate", "1 day", offset="-8 hours", keys=["l_suppkey", "l_orderkey"],
-        sub_orders=N, quantity=F.sum("l_quantity"), gmv=F.sum("l_extendedprice"))
+        sub_orders=n_rows(), quantity=F.sum("l_quantity"), gmv=F.sum("l_extendedprice"))
     return per_order.groupBy(F.col("l_suppkey").alias("site_id"), "window_start").agg(
-        N.alias("orders"), F.sum("sub_orders").alias("sub_orders"), F.round(F.sum("quantity"), 2).alias("quantity"), F.round(F.sum("gmv"), 2).alias("gmv"))
+        n_rows().alias("orders"), F.sum("sub_orders").alias("sub_orders"), F.round(F.sum("quantity"), 2).alias("quantity"), F.round(F.sum("gmv"), 2).alias("gmv"))
 
 
 @query("agg_item_sales", """
@@ -171,7 +170,7 @@ select user_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as start_t
 from events group by user_id, date_trunc('hour', ts)
 """)
 def agg_window_count_sum(spark, sf_dir):
-    hourly = windows.windowed(events(spark, sf_dir), "ts", "1 hour", keys=["user_id"], n=N, total=F.sum("item_id"))
+    hourly = windows.windowed(events(spark, sf_dir), "ts", "1 hour", keys=["user_id"], n=n_rows(), total=F.sum("item_id"))
     fmt = "yyyy-MM-dd HH:mm:ss"
     return hourly.select("user_id", F.date_format("window_start", fmt).alias("start_text"), F.date_format("window_end", fmt).alias("end_text"), "n", "total")
 
@@ -238,8 +237,8 @@ union all select 'word_length', len, count(*) from l group by len
 """)
 def agg_job_metrics(spark, sf_dir):
     lines = load(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.trim("line") != "")
-    sentences = lines.agg(N.alias("n")).select(F.lit("sentences").alias("metric"), F.lit(-1).cast("bigint").alias("bucket"), "n")
-    lengths = rows.tokens(lines, "line").groupBy(F.length("word").cast("bigint").alias("bucket")).agg(N.alias("n"))
+    sentences = lines.agg(n_rows().alias("n")).select(F.lit("sentences").alias("metric"), F.lit(-1).cast("bigint").alias("bucket"), "n")
+    lengths = rows.tokens(lines, "line").groupBy(F.length("word").cast("bigint").alias("bucket")).agg(n_rows().alias("n"))
     histogram = lengths.select(F.lit("word_length").alias("metric"), "bucket", "n")
     words = lengths.agg(F.sum("n").alias("n")).select(F.lit("words").alias("metric"), F.lit(-1).cast("bigint").alias("bucket"), "n")
     return sentences.union(words).union(histogram)

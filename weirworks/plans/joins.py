@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirworks.functions.expr import micros
+from weirworks.functions.expr import micros, n_rows
 from weirworks.operators import joins
 from weirworks.plans.registry import query
 from weirworks.tables import events, load
 
-N = F.count(F.lit(1))
-
 
 def clicks(spark, sf_dir):
     return events(spark, sf_dir, "click").select("user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
@@ -60,8 +58,8 @@ select c.user_id, c.w, count(*) as pairs, round(sum(amount), 4) as amount from c
 """)
 def join_window_cogroup_inner(spark, sf_dir):
     # only totals over the pairs are wanted, so each side is aggregated first and no pairs are made
-    a = joins.with_window(clicks(spark, sf_dir), "click_ts", "1 day", "30 seconds").groupBy("user_id", "w").agg(N.alias("n"))
-    b = joins.with_window(purchases(spark, sf_dir), "purchase_ts", "1 day", "30 seconds").groupBy("user_id", "w").agg(N.alias("m"), F.sum("amount").alias("s"))
+    a = joins.with_window(clicks(spark, sf_dir), "click_ts", "1 day", "30 seconds").groupBy("user_id", "w").agg(n_rows().alias("n"))
+    b = joins.with_window(purchases(spark, sf_dir), "purchase_ts", "1 day", "30 seconds").groupBy("user_id", "w").agg(n_rows().alias("m"), F.sum("amount").alias("s"))
     return a.join(b, ["user_id", "w"]).select(
         "user_id", F.col("w.start").alias("w"), (F.col("n") * F.col("m")).alias("pairs"), F.round(F.col("s") * F.col("n"), 4).alias("amount"))
 
@@ -172,7 +170,7 @@ select event_type, count(*) as users from events join m using (user_id, ts) grou
 def join_max_per_group(spark, sf_dir):
     e = load(spark, sf_dir, "events")
     newest = e.groupBy("user_id").agg(F.max("ts").alias("ts"))
-    return e.join(newest, ["user_id", "ts"]).groupBy("event_type").agg(N.alias("users"))
+    return e.join(newest, ["user_id", "ts"]).groupBy("event_type").agg(n_rows().alias("users"))
 
 
 @query("lookup_full_refresh", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weirworks.functions.expr import n_rows
 from weirworks.operators import analytic, dedup, timers
 from weirworks.plans.registry import query
 from weirworks.plans.sources import event_folder
@@ -12,8 +13,6 @@ from weirworks.streaming import stateful
 from weirworks.streaming.runner import run_to_changes
 from weirworks.tables import events, load, stream_events
 
-N = F.count(F.lit(1))
-
 
 @query("dedup_ttl", """
 with recursive r as (select *, row_number() over (partition by user_id order by ts, event_id) as rn from events),
@@ -97,7 +96,7 @@ def state_latest_view(spark, sf_dir):
 @query("state_read", "select user_id, count(*) as n, max(value) as top from events group by 1")
 def state_read(spark, sf_dir):
     checkpoint = scratch_dir(spark, "checkpoint")
-    per_user = stream_events(spark, event_folder(sf_dir)).groupBy("user_id").agg(N.alias("n"), F.max("value").alias("top"))
+    per_user = stream_events(spark, event_folder(sf_dir)).groupBy("user_id").agg(n_rows().alias("n"), F.max("value").alias("top"))
     run_to_changes(per_user, ["user_id"], "state-read", checkpoint)
     state = stateful.read_state(spark, checkpoint)
     return state.select("key.user_id", F.col("value.count").alias("n"), F.col("value.max").alias("top"))

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weirworks.functions.expr import n_rows
 from weirworks.operators import triggers, windows
 from weirworks.plans.registry import query
 from weirworks.plans.sources import event_folder
 from weirworks.streaming.runner import run_to_changes
 from weirworks.tables import events, load, stream_events
 
-N = F.count(F.lit(1))
-
 
 @query("trig_continuous_event", """
 with t as (select event_type, date_trunc('hour', ts) as tick, count(*) as n, sum((props::json->>'k')::int) as total from events group by 1, 2)
@@ -20,14 +19,14 @@ select event_type, date_trunc('day', tick) as window_start, tick + interval 1 ho
 from t window w as (partition by event_type, date_trunc('day', tick) order by tick rows unbounded preceding)
 """)
 def trig_continuous_event(spark, sf_dir):
-    return triggers.continuous_results(events(spark, sf_dir), ["event_type"], "ts", "1 day", "1 hour", n=N, total=F.sum("item_id"))
+    return triggers.continuous_results(events(spark, sf_dir), ["event_type"], "ts", "1 day", "1 hour", n=n_rows(), total=F.sum("item_id"))
 
 
 @query("trig_continuous_proc", """
 select user_id, date_trunc('day', ts - interval 16 hours) + interval 16 hours as window_start, count(*) as n, max(value) as top from events group by 1, 2
 """)
 def trig_continuous_proc(spark, sf_dir):
-    daily = windows.windowed(stream_events(spark, event_folder(sf_dir)), "ts", "1 day", offset="16 hours", keys=["user_id"], n=N, top=F.max("value"))
+    daily = windows.windowed(stream_events(spark, event_folder(sf_dir)), "ts", "1 day", offset="16 hours", keys=["user_id"], n=n_rows(), top=F.max("value"))
     table = run_to_changes(daily.drop("window_end"), ["user_id", "window_start"], "continuous")
     return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirworks.functions.expr import from_micros, interval_us, micros
+from weirworks.functions.expr import from_micros, interval_us, micros, n_rows
 from weirworks.operators import greedy, windows
 from weirworks.plans.registry import query
 from weirworks.sources.readers import declare_table
 from weirworks.tables import events, load
 
-N = F.count(F.lit(1))
-
 
 @query("win_tumbling", """
 select time_bucket(interval 10 minutes, ts) as window_start, time_bucket(interval 10 minutes, ts) + interval 10 minutes as window_end,
@@ -19,7 +17,7 @@ select time_bucket(interval 10 minutes, ts) as window_start, time_bucket(interva
 from events group by 1, 2, 3
 """)
 def win_tumbling(spark, sf_dir):
-    return windows.windowed(load(spark, sf_dir, "events"), "ts", "10 minutes", keys=["event_type"], n=N, total=F.round(F.sum("value"), 4))
+    return windows.windowed(load(spark, sf_dir, "events"), "ts", "10 minutes", keys=["event_type"], n=n_rows(), total=F.round(F.sum("value"), 4))
 
 
 @query("win_tumbling_sql", """
@@ -39,7 +37,7 @@ select time_bucket(interval 1 day, ts, timestamp '2023-12-31 16:00:00') as windo
 from events group by 1, 2, 3
 """)
 def win_tumbling_offset(spark, sf_dir):
-    return windows.windowed(load(spark, sf_dir, "events"), "ts", "1 day", offset="-8 hours", keys=["user_id"], n=N)
+    return windows.windowed(load(spark, sf_dir, "events"), "ts", "1 day", offset="-8 hours", keys=["user_id"], n=n_rows())
 
 
 @query("win_sliding", """
@@ -48,7 +46,7 @@ from (select event_type, value, time_bucket(interval 5 minutes, ts) - to_minutes
 group by 1, 2, 3
 """)
 def win_sliding(spark, sf_dir):
-    return windows.windowed(load(spark, sf_dir, "events"), "ts", "60 minutes", "5 minutes", keys=["event_type"], n=N, total=F.round(F.sum("value"), 4))
+    return windows.windowed(load(spark, sf_dir, "events"), "ts", "60 minutes", "5 minutes", keys=["event_type"], n=n_rows(), total=F.round(F.sum("value"), 4))
 
 
 @query("win_session", """
@@ -61,7 +59,7 @@ def win_session(spark, sf_dir):
     e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     return (
         windows.assign_sessions(e, ["user_id"], "ts", "event_id", "12 hours")
-        .groupBy("user_id", "session_start").agg(F.max("ts").alias("last"), N.alias("n"), F.round(F.sum("value"), 4).alias("total"))
+        .groupBy("user_id", "session_start").agg(F.max("ts").alias("last"), n_rows().alias("n"), F.round(F.sum("value"), 4).alias("total"))
         .select("user_id", F.col("session_start").alias("window_start"),
                 (F.col("last") + F.expr("interval 12 hours")).alias("window_end"), "n", "total")
     )
@@ -83,7 +81,7 @@ def win_session_bounded(spark, sf_dir):
     chained = greedy.bounded_sessions(e, ["user_id"], "ts", "event_id", gap="12 hours", bound="36 hours")
     return (
         chained.groupBy("user_id", F.col("anchor_ts").alias("window_start"))
-        .agg(F.max("ts").alias("last"), N.alias("n"), F.round(F.max((F.col("value") - 32) * 5.0 / 9.0), 4).alias("max_c"))
+        .agg(F.max("ts").alias("last"), n_rows().alias("n"), F.round(F.max((F.col("value") - 32) * 5.0 / 9.0), 4).alias("max_c"))
         .withColumn("window_end", F.col("last") + F.expr("interval 12 hours")).drop("last")
     )
 
@@ -96,7 +94,7 @@ select user_id, make_timestamp(s) as window_start, make_timestamp(s + 3600000000
 def win_unaligned(spark, sf_dir):
     phase = (F.col("user_id") * 7919 % 3600) * 1_000_000
     placed = windows.unaligned_windows(load(spark, sf_dir, "events"), "ts", interval_us("1 hour"), phase)
-    return placed.groupBy("user_id", "window_start", "window_end").agg(N.alias("n"))
+    return placed.groupBy("user_id", "window_start", "window_end").agg(n_rows().alias("n"))
 
 
 @query("win_per_element", """
@@ -106,7 +104,7 @@ select user_id, make_timestamp(s) as window_start, make_timestamp(s + size) as w
 def win_per_element(spark, sf_dir):
     size = (F.lit(5000) + F.col("user_id")) * 1000
     placed = windows.per_record_windows(load(spark, sf_dir, "events"), "ts", size)
-    return placed.groupBy("user_id", "window_start", "window_end").agg(N.alias("n"), F.max("value").alias("top"))
+    return placed.groupBy("user_id", "window_start", "window_end").agg(n_rows().alias("n"), F.max("value").alias("top"))
 
 
 @query("win_multi_assign", """
@@ -116,7 +114,7 @@ select user_id, s as window_start, s + to_minutes(len) as window_end, count(*) a
 """)
 def win_multi_assign(spark, sf_dir):
     placed = windows.shifted_windows(load(spark, sf_dir, "events").select("user_id", "ts"), "ts", "5 minutes", "1 minute")
-    return placed.groupBy("user_id", "window_start", "window_end").agg(N.alias("n"))
+    return placed.groupBy("user_id", "window_start", "window_end").agg(n_rows().alias("n"))
 
 
 @query("win_multi_concurrent", """
@@ -143,7 +141,7 @@ select user_id, batch::bigint as batch, count(*) as n, sum((props::json->>'k')::
 """)
 def win_count_purge(spark, sf_dir):
     e = events(spark, sf_dir).select("user_id", "ts", "event_id", "item_id")
-    return windows.count_windows(e, ["user_id"], ["ts", "event_id"], 2, n=N, total=F.sum("item_id"))
+    return windows.count_windows(e, ["user_id"], ["ts", "event_id"], 2, n=n_rows(), total=F.sum("item_id"))
 
 
 @query("win_count_accumulate", """
@@ -170,7 +168,7 @@ def win_count_or_delay(spark, sf_dir):
     e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     chained = greedy.count_or_delay(e, ["user_id"], "ts", "event_id", max_count=5, delay="1 day")
     return chained.groupBy("user_id", F.col("anchor_ts").alias("chunk_start")).agg(
-        N.alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+        n_rows().alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
 
 @query("win_all", """
@@ -178,4 +176,4 @@ select time_bucket(interval 20 seconds, ts) as window_start, time_bucket(interva
        count(*) as n, round(sum(value), 4) as total from events group by 1, 2
 """)
 def win_all(spark, sf_dir):
-    return windows.windowed(load(spark, sf_dir, "events"), "ts", "20 seconds", n=N, total=F.round(F.sum("value"), 4))
+    return windows.windowed(load(spark, sf_dir, "events"), "ts", "20 seconds", n=n_rows(), total=F.round(F.sum("value"), 4))
