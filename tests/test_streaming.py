@@ -33,7 +33,8 @@ def check_append(stream, full, closed=None, minimum=1):
     assert sum(got.values()) >= minimum
     assert not got - want
     if closed is not None:
-        assert not Counter(rows(closed.select(*stream.columns))) - got
+        missing = Counter(rows(closed.select(*stream.columns))) - got
+        assert not missing, missing
 
 
 def test_windows(spark, event_files, batch, end_us):
@@ -52,9 +53,12 @@ def test_window_all_and_sql(spark, event_files, batch, end_us):
     check_append(run_append(live), full, full.filter(micros("window_end") <= end_us - 3 * 10**6))
 
 
-def test_sessions(spark, event_files, batch, end_us):
+@pytest.mark.parametrize("per_type", [False, True])
+def test_sessions(spark, event_files, batch, end_us, per_type):
+    gap = F.when(F.col("event_type") == "view", "2 hours").otherwise("12 hours") if per_type else "12 hours"
+
     def op(df):
-        return windows.session_windows(df, "ts", "12 hours", ["user_id"], n=n_rows())
+        return windows.session_windows(df, "ts", gap, ["user_id"], n=n_rows())
     full = op(batch)
     check_append(run_append(op(stream_events(spark, event_files, "1 minute"))), full, full.filter(micros("window_end") <= end_us - 61 * 10**6))
 

@@ -25,11 +25,16 @@ def windowed(df: DataFrame, ts: str, size: str, slide: str | None = None, offset
 
 
 def session_windows(df: DataFrame, ts: str, gap: str | Column, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """Built-in gap sessions; the form that also runs on streams."""
-    w = F.session_window(F.col(ts), gap)
+    """Built-in gap sessions; the form that also runs on streams. ``gap`` may be a string column.
+
+    The bounds are aggregates, not the grouping key: a later filter on the key is
+    pushed below the merging of sessions by the optimizer and would cut sessions apart.
+    """
+    pause = F.expr(f"INTERVAL '{gap}'") if isinstance(gap, str) else gap.cast("interval")
     return (
-        df.groupBy(w.alias("__w"), *keys).agg(*[a.alias(n) for n, a in aggs.items()])
-        .select(F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"), *keys, *aggs)
+        df.groupBy(F.session_window(F.col(ts), gap).alias("__w"), *keys)
+        .agg(F.min(ts).alias("window_start"), F.max(F.col(ts) + pause).alias("window_end"), *[a.alias(n) for n, a in aggs.items()])
+        .select("window_start", "window_end", *keys, *aggs)
     )
 
 
