@@ -69,9 +69,10 @@ def greedy_loop(data, span, max_count=None, gap=None):
     return sorted(out.items())
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 100])
+@pytest.mark.parametrize("limit,block", [(1_000_000, 1 << 16), (100, 1 << 16), (100, 16)])
 @pytest.mark.parametrize("span,max_count,gap", [(60, None, None), (4000, None, 40), (300, 3, None), (50000, 7, 100)])
-def test_greedy_chain(skewed, limit, span, max_count, gap):
+def test_greedy_chain(skewed, monkeypatch, limit, block, span, max_count, gap):
+    monkeypatch.setattr(greedy, "BLOCK", block)
     s = 10**6
     got = greedy.chain(skewed, ["k"], "ts", "id", span * s, max_count, None if gap is None else gap * s, limit)
     want = greedy_loop([tuple(r) for r in skewed.collect()], span * s, max_count, None if gap is None else gap * s)

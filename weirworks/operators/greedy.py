@@ -9,10 +9,14 @@ anchor is the first later row that
 * comes more than ``gap`` after the row just before it.
 
 Keys of ordinary size are labelled by one pass over sorted partitions. A key with
-more than ``hot_rows`` rows never enters one task: the next-anchor pointer of each
-of its rows is computed with ordered scans, and the rows reached from the key's
-first row are found by pointer doubling, ``log2(chain length)`` joins on
-(key, row number), which spread evenly.
+more than ``hot_rows`` rows never enters one task:
+
+1. ordered scans number its rows and give each row the number of the next anchor;
+2. blocks of 65,536 rows are contracted: for each row the first row of its chain
+   beyond the block, stored as runs, of which chains that meet leave only a few;
+3. the entry rows reached from the key's first row are found by pointer doubling,
+   ``log2(number of blocks)`` joins of this small table;
+4. each block is followed from its entry row, and an ordered scan spreads the anchors.
 """
 
 from __future__ import annotations
@@ -20,9 +24,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from weirworks.functions.expr import from_micros, interval_us, micros
@@ -30,6 +35,9 @@ from weirworks.operators.ordered import Ordered, hot_key_slices, latest, next_kn
 from weirworks.session import stored
 
 US, ANCHOR_US, ANCHOR_ID = "__us", "__anchor_us", "anchor_id"
+BLOCK = 1 << 16  # rows per block of a hot key
+NO_ROW = 1 << 62
+MAX_ROUNDS = 62  # doubling passes any 64-bit row number
 
 
 def _label_sorted(keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None):
@@ -85,46 +93,114 @@ def _chain_ordinary(df: DataFrame, keys: list[str], tie: str, span: int, max_cou
     )
 
 
-def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, hot_rows: int) -> DataFrame:
+def _contract(keys: list[str]):
+    """Per block of consecutive rows: for every row the first row of its chain beyond the block, as runs of equal exits."""
+
+    def contract(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__rn")
+        rn, out = pdf["__rn"].to_numpy(), pdf["__to"].to_numpy().copy()
+        inside = out <= rn[-1]
+        while inside.any():
+            out[inside] = out[out[inside] - rn[0]]
+            inside = out <= rn[-1]
+        first = np.flatnonzero(np.concatenate([[True], out[1:] != out[:-1]]))
+        runs = pdf[keys].iloc[: len(first)].copy()  # the keys are the same in the whole block
+        runs["__rn"], runs["__exit"] = rn[first], out[first]
+        return runs
+
+    return contract
+
+
+def _anchors_from_entry(keys: list[str]):
+    """Per block: the rows of the chain from the block's entry row on."""
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__rn")
+        rn, to = pdf["__rn"].to_numpy(), pdf["__to"].to_numpy()
+        at, found = int(pdf["__entry"].iloc[0]), []
+        while at <= rn[-1]:
+            found.append(at)
+            at = int(to[at - rn[0]])
+        anchors = pdf[keys].iloc[: len(found)].copy()
+        anchors["__rn"] = found
+        return anchors
+
+    return follow
+
+
+def _next_anchors(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, hot_rows: int | None) -> DataFrame:
+    """Rows with their number in the key (``__rn``), the number of the next anchor if they are one (``__to``) and their block."""
     numbered = Ordered(df, keys, [US, tie], hot_rows).scan(__rn=running_count(), __prev=previous(US))
     if gap is not None:
         numbered = numbered.with_column("__break", F.when(F.col(US) - F.col("__prev") > gap, F.col("__rn"))).scan(
             __next_break=next_known("__break")
         )
-    rows = stored(numbered.result().drop("__prev", "__break"), "chain-rows")
+    rows = stored(numbered.result(), "chain-rows")
 
-    # first row at or after anchor time + span: probes sort before rows of the same time
+    # first row at or after the row's time + span: probes sort before rows of the same time
     marks = rows.select(*keys, US, F.lit(1).alias("__kind"), "__rn").unionByName(
-        rows.select(*keys, (F.col(US) + F.lit(span)).alias(US), F.lit(0).alias("__kind"), "__rn")
+        rows.select(*keys, (F.col(US) + F.lit(span)).alias(US), F.lit(0).alias("__kind"), "__rn", F.struct(*rows.columns).alias("__row")),
+        allowMissingColumns=True,
     )
     is_row = F.col("__kind") == 1
-    pointers = (
+    probed = (
         Ordered(marks, keys, [US, "__kind", "__rn"], hot_rows)
-        .scan(__next=next_known(F.when(is_row, F.col("__rn")))).result().filter(~is_row).select(*keys, "__rn", "__next")
+        .scan(__next=next_known(F.when(is_row, F.col("__rn")))).result().filter(~is_row).select("__row.*", "__next")
     )
-    candidates = [F.col("__next")]
+    candidates = [F.col("__next"), F.lit(NO_ROW)]
     if max_count is not None:
-        candidates.append(F.col("__rn") + F.lit(max_count))
+        last = rows.groupBy(*keys).agg(F.max("__rn").alias("__last"))  # one row per hot key
+        probed = probed.join(F.broadcast(last), keys)
+        full = F.col("__rn") + F.lit(max_count)
+        candidates.append(F.when(full <= F.col("__last"), full))
     if gap is not None:
-        pointers = pointers.join(rows.select(*keys, "__rn", "__next_break"), [*keys, "__rn"])
         candidates.append(F.col("__next_break"))
-    target = F.least(*candidates) if len(candidates) > 1 else candidates[0]
-    jump = stored(pointers.select(*keys, "__rn", target.alias("__to")).filter(F.col("__to").isNotNull()), "chain-jump")
+    pointed = probed.select(*df.columns, "__rn", F.least(*candidates).alias("__to"), _block("__rn").alias("__block"))
+    return stored(pointed, "chain-pointers")
+
 
-    reached = stored(rows.filter(F.col("__rn") == 1).select(*keys, "__rn"), "chain-reached")
-    while True:
-        found = stored(reached.join(jump, [*keys, "__rn"]).select(*keys, F.col("__to").alias("__rn")), "chain-found")
+def _block(rn: str) -> Column:
+    return F.floor((F.col(rn) - 1) / F.lit(BLOCK)).cast("bigint")
+
+
+def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, hot_rows: int | None) -> DataFrame:
+    rows = _next_anchors(df, keys, tie, span, max_count, gap, hot_rows)
+    key_fields = [df.schema[k] for k in keys]
+    number = StructField("__rn", LongType())
+
+    # chains shortened to one step per block; only rows where a chain may enter a block stay
+    blocks = rows.select(*keys, "__block", "__rn", "__to").groupBy(*keys, "__block")
+    runs = stored(blocks.applyInPandas(_contract(keys), StructType([*key_fields, number, StructField("__exit", LongType())])), "chain-runs")
+    entries = (
+        runs.filter(F.col("__exit") < NO_ROW).select(*keys, F.col("__exit").alias("__rn"))
+        .unionByName(rows.filter(F.col("__rn") == 1).select(*keys, "__rn")).distinct()
+    )
+    both = runs.withColumn("__kind", F.lit(0)).unionByName(entries.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
+    steps = (
+        Ordered(both, keys, ["__rn", "__kind"], hot_rows).scan(__to=latest("__exit")).result()
+        .filter(F.col("__kind") == 1).select(*keys, "__rn", "__to")
+    )
+    jump = stored(steps, "chain-jump")
+
+    reached = stored(jump.filter(F.col("__rn") == 1).select(*keys, "__rn"), "chain-reached")
+    for _ in range(MAX_ROUNDS):
+        found = stored(reached.join(jump.filter(F.col("__to") < NO_ROW), [*keys, "__rn"]).select(*keys, F.col("__to").alias("__rn")), "chain-found")
         if found.isEmpty():
             break
         reached = reached.unionByName(found)
         onward = jump.select(*keys, F.col("__rn").alias("__to"), F.col("__to").alias("__beyond"))
         jump = stored(jump.join(onward, [*keys, "__to"]).select(*keys, "__rn", F.col("__beyond").alias("__to")), "chain-jump")
+    else:
+        raise RuntimeError("next-anchor pointers do not move forward")
 
-    anchors = reached.withColumn("__is_anchor", F.lit(True))
-    marked = rows.join(anchors, [*keys, "__rn"], "left")
+    entry = reached.select(*keys, _block("__rn").alias("__block"), F.col("__rn").alias("__entry"))
+    anchors = (
+        rows.select(*keys, "__block", "__rn", "__to").join(entry, [*keys, "__block"]).groupBy(*keys, "__block")
+        .applyInPandas(_anchors_from_entry(keys), StructType([*key_fields, number])).withColumn("__is_anchor", F.lit(True))
+    )
     anchor = F.when(F.col("__is_anchor"), F.struct(F.col(US).alias("us"), F.col(tie).alias("id")))
     return (
-        Ordered(marked, keys, [US, tie], hot_rows).scan(__anchor=latest(anchor)).result()
+        Ordered(rows.join(anchors, [*keys, "__rn"], "left"), keys, [US, tie], hot_rows).scan(__anchor=latest(anchor)).result()
         .withColumn(ANCHOR_US, F.col("__anchor.us")).withColumn(ANCHOR_ID, F.col("__anchor.id"))
         .select(*df.columns, ANCHOR_US, ANCHOR_ID)
     )
