@@ -162,3 +162,14 @@ def test_group_lists_are_cut_but_whole(skewed):
     for r in sorted(out, key=lambda r: (r.k, r.chunk_no)):
         got.setdefault(r.k, []).extend(r.ids)
     assert got == want
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_keys_beyond_the_hot_list_are_scanned_whole(skewed, monkeypatch, most):
+    from weirworks.operators import ordered
+
+    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", most)
+    w = W.partitionBy("k").orderBy("ts", "id")
+    want = skewed.select("id", F.sum("v").over(w).alias("t"), F.lag("v").over(w).alias("p"))
+    got = Ordered(skewed, ["k"], ["ts", "id"], 3).scan(t=total("v"), p=previous("v")).result().select("id", "t", "p")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -4,8 +4,9 @@ A window function over ``PARTITION BY key ORDER BY time`` sorts every row of a
 key in a single task. Here a key with more than ``hot_rows`` rows is cut into
 time slices, sized so that one slice holds a fraction of ``hot_rows``:
 
-1. a map-side combined count finds the hot keys; there are at most
-   ``total rows / hot_rows`` of them, so the list is broadcast;
+1. a map-side combined count finds the hot keys. The list is broadcast: it holds
+   at most ``MAX_HOT_KEYS`` entries, the largest keys first, so a key left out of
+   a full list has less than 1/100,000 of all rows and is scanned in one slice;
 2. the window function runs per (key, slice), one shuffle of the data;
 3. the slices of hot keys are summarised (one small row each), the summaries are
    scanned in slice order, and the value carried into each slice is joined back
@@ -26,6 +27,7 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from weirworks.functions.expr import col, micros
 
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 OVERSPLIT = 16  # slices per hot_rows rows, room for uneven arrival
 
 SLICE, WIDTH, ORIGIN, ALL = "__slice", "__width", "__origin", "__all"
@@ -52,6 +54,7 @@ def hot_key_slices(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias(ORIGIN), F.max(us).alias("__last"))
         .filter(F.col("__n") > hot_rows)
+        .orderBy(F.col("__n").desc(), *keys).limit(MAX_HOT_KEYS)  # a total order: every use sees the same list
         .select(*keys, ORIGIN, F.greatest(width, F.lit(1)).alias(WIDTH))
     )
 
