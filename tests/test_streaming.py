@@ -117,10 +117,12 @@ def test_dedup_within_watermark(spark, event_files, batch):
     assert got.select("user_id", "event_type").distinct().count() == batch.select("user_id", "event_type").distinct().count()
 
 
-def test_distinct_per_hour(spark, event_files, batch):
-    once = stream_events(spark, event_files, "10 minutes").withColumn("hour", F.date_trunc("hour", "ts")).dropDuplicatesWithinWatermark(["hour", "user_id"])
-    got = run_append(once.select("hour", "user_id", "ts"))
-    assert got.select("hour", "user_id").distinct().count() == batch.select(F.date_trunc("hour", "ts"), "user_id").distinct().count()
+def test_distinct_per_hour(spark, event_files, batch, end_us):
+    def op(df):
+        return dedup.distinct_per_window(df, ["event_type"], "user_id", "ts", "1 hour", "devices")
+    full = op(batch)
+    got = run_append(op(stream_events(spark, event_files, "10 minutes")))
+    check_append(got, full, full.filter(micros("window_end") <= end_us - interval_us("10 minutes") - 10**6))
 
 
 def test_union(spark, event_files, batch):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -101,7 +103,7 @@ def jdbc_batch_writer(url: str, table: str, properties: dict[str, str], rows_per
         )
         if not done.isEmpty():
             return
-        attempt = spark.sql("select uuid() as a").first()["a"]
+        attempt = uuid.uuid4().hex
         marked = batch.withColumn("batch_id", F.lit(batch_id)).withColumn("attempt", F.lit(attempt))
         write_jdbc(marked, url, table, properties, rows_per_statement)
         marker = spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.lit(attempt).alias("attempt"))
