@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from weirworks.functions.expr import from_micros, interval_us, micros
-from weirworks.operators.ordered import Ordered, hot_key_slices, latest, next_known, previous, running_count
+from weirworks.operators.ordered import Ordered, hot_groups, latest, next_known, previous, running_count
 from weirworks.session import stored
 
 US, ANCHOR_US, ANCHOR_ID = "__us", "__anchor_us", "anchor_id"
@@ -213,10 +213,11 @@ def chain(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_span_us: in
     timed = df.withColumn(US, micros(ts)).withColumn(tie, F.col(tie).cast("bigint"))
     kind = df.schema[ts].dataType
     timed = timed.drop(ts)
-    hot = hot_key_slices(timed, keys, US, hot_rows).select(*keys)
-    if hot.isEmpty():  # a grouped count; decides whether the joins for hot keys are planned at all
+    hot = hot_groups(timed, keys, US, hot_rows)
+    if hot is None:
         labelled = _chain_ordinary(timed, keys, tie, max_span_us, max_count, gap_us)
     else:
+        hot = hot.select(*keys)
         rest = timed.join(F.broadcast(hot), keys, "left_anti")
         labelled = _chain_ordinary(rest, keys, tie, max_span_us, max_count, gap_us).unionByName(
             _chain_hot(timed.join(F.broadcast(hot), keys), keys, tie, max_span_us, max_count, gap_us, hot_rows)

@@ -2,17 +2,21 @@
 
 A window function over ``PARTITION BY key ORDER BY time`` sorts every row of a
 key in a single task. Here a key with more than ``hot_rows`` rows is cut into
-time slices, sized so that one slice holds a fraction of ``hot_rows``:
-
-1. a map-side combined count finds the hot keys. The list is broadcast: it holds
-   at most ``MAX_HOT_KEYS`` entries, the largest keys first, so a key left out of
-   a full list has less than 1/100,000 of all rows and is scanned in one slice;
-2. the window function runs per (key, slice), one shuffle of the data;
-3. the slices of hot keys are summarised (one small row each), the summaries are
+slices of its order:
+
+1. a map-side combined count finds the hot keys when the scan is set up. Where
+   there are none, the plain window function is used;
+2. a hot key is cut into equal time slices, 16 per ``hot_rows`` rows. A slice that
+   is still too large (a burst) is cut again by its own time span, and one whose
+   rows share a time by the next order column;
+3. the window function runs per (key, slice), one shuffle of the data;
+4. the slices of hot keys are summarised (one small row each), the summaries are
    scanned in slice order, and the value carried into each slice is joined back
    on (key, slice), the partitioning the data already has.
 
-Keys that are not hot form a single slice, and steps 2-3 run on hot rows only.
+The slice list is stored, so that every use sees the same one, and broadcast: it
+holds at most ``MAX_HOT_KEYS`` entries, the largest first, and an entry left out
+of a full list has less than 1/100,000 of all rows and is scanned in one piece.
 Key columns must not be NULL; rows with equal order columns need a tie-break.
 """
 
@@ -22,9 +26,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import IntegralType, TimestampNTZType, TimestampType
 
 from weirworks.functions.expr import col, micros
+from weirworks.session import stored
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
@@ -44,26 +49,62 @@ def hot_row_limit(df: DataFrame, hot_rows: int | None = None) -> int:
     return hot_rows or int(df.sparkSession.conf.get("weirworks.hotRows", str(HOT_ROWS)))
 
 
-def hot_key_slices(df: DataFrame, keys: Sequence[str], order: str, hot_rows: int | None = None) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, with the origin and width of their slices."""
+def hot_groups(df: DataFrame, keys: Sequence[str], column: str, hot_rows: int | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, with origin and width of slices of ``column``; None where there are none."""
     hot_rows = hot_row_limit(df, hot_rows)
-    us = order_us(df, order)
+    at = order_us(df, column)
     span = F.col("__last") - F.col(ORIGIN) + 1
     width = F.ceil(span * F.lit(hot_rows) / (F.col("__n") * F.lit(OVERSPLIT))).cast("bigint")
-    return (
+    counted = (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias(ORIGIN), F.max(us).alias("__last"))
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(at).alias(ORIGIN), F.max(at).alias("__last"))
         .filter(F.col("__n") > hot_rows)
-        .orderBy(F.col("__n").desc(), *keys).limit(MAX_HOT_KEYS)  # a total order: every use sees the same list
+        .orderBy(F.col("__n").desc(), *keys).limit(MAX_HOT_KEYS)
         .select(*keys, ORIGIN, F.greatest(width, F.lit(1)).alias(WIDTH))
     )
+    found = stored(counted, "hot-keys")
+    return None if found.isEmpty() else found
 
 
-def slice_of(us: Column) -> Column:
-    """Slice number of a time for a row joined with its hot-key entry; -1 where the key is not hot."""
-    return F.when(F.col(WIDTH).isNull(), F.lit(-1).cast("bigint")).otherwise(
-        F.floor((us - F.col(ORIGIN)) / F.col(WIDTH)).cast("bigint")
-    )
+class Slices:
+    """Slices of the hot keys of a table; false where no key is hot."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None):
+        if df.isStreaming:
+            raise ValueError("ordered scans run on stored tables; streams use the processors in weirworks.streaming")
+        self.keys, self.tables = list(keys), []
+        self.columns = [order[0], order[0]]
+        if len(order) > 1 and isinstance(df.schema[order[1]].dataType, IntegralType):
+            self.columns.append(order[1])
+        rest = df.select(*self.keys, *dict.fromkeys(self.columns))
+        for level, column in enumerate(self.columns):
+            found = hot_groups(rest, self._groups(level), column, hot_rows)
+            if found is None:
+                break
+            self.tables.append(found)
+            rest = self._place(rest, level, "inner")
+
+    def __bool__(self) -> bool:
+        return bool(self.tables)
+
+    def _groups(self, level: int) -> list[str]:
+        return [*self.keys, *[f"__s{i}" for i in range(level)]]
+
+    def _place(self, df: DataFrame, level: int, how: str) -> DataFrame:
+        at = order_us(df, self.columns[level])
+        number = F.floor((at - F.col(ORIGIN)) / F.col(WIDTH)).cast("bigint")
+        joined = df.join(F.broadcast(self.tables[level]), self._groups(level), how)
+        return joined.withColumn(f"__s{level}", F.coalesce(number, F.lit(-1))).drop(ORIGIN, WIDTH)
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Adds the slice; its first number is -1 for rows of keys that are not hot."""
+        levels = range(len(self.tables))
+        for level in levels:
+            df = self._place(df, level, "left")
+        return df.withColumn(SLICE, F.struct(*[f"__s{i}" for i in levels])).drop(*[f"__s{i}" for i in levels])
+
+
+IS_HOT = f"{SLICE}.__s0 >= 0"
 
 
 @dataclass(frozen=True)
@@ -115,12 +156,8 @@ class Ordered:
         if not keys:
             df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
         self.keys = list(keys)
-        hot = hot_key_slices(df, self.keys, self.order[0], hot_rows)
-        self.df = (
-            df.join(F.broadcast(hot), self.keys, "left")
-            .withColumn(SLICE, slice_of(order_us(df, self.order[0])))
-            .drop(WIDTH, ORIGIN)
-        )
+        self.sliced = Slices(df, self.keys, self.order, hot_rows)
+        self.df = self.sliced.assign(df) if self.sliced else df
 
     def with_column(self, name: str, value: Column) -> "Ordered":
         self.df = self.df.withColumn(name, value)
@@ -134,7 +171,7 @@ class Ordered:
         return self.df.drop(SLICE, ALL)
 
     def scan(self, **scans: Scan) -> "Ordered":
-        part = [*self.keys, SLICE]
+        part = [*self.keys, SLICE] if self.sliced else self.keys
         base = Window.partitionBy(*part)
         forward = base.orderBy(*self.order)
         backward = base.orderBy(*[F.col(c).desc() for c in self.order])
@@ -183,13 +220,17 @@ class Ordered:
             else:
                 raise ValueError(s.kind)
 
+        kept = [c for c in self.df.columns if c not in scans]
+        if not self.sliced:  # one piece per key: nothing is carried
+            done = {n: F.col(f"__l_{n}")["v"] if s.kind in ("previous", "following") else F.col(f"__l_{n}") for n, s in scans.items()}
+            self.df = self.df.select("*", *[c.alias(n) for n, c in local.items()]).select(*kept, *[c.alias(n) for n, c in done.items()])
+            return self
         carried = (
-            self.df.filter(F.col(SLICE) >= 0)
+            self.df.filter(IS_HOT)
             .groupBy(*part)
             .agg(*[c.alias(n) for n, c in summary.items()])
             .select(*part, *[c.alias(n) for n, c in carry.items()])
         )
-        kept = [c for c in self.df.columns if c not in scans]
         self.df = (
             self.df.select("*", *[c.alias(n) for n, c in local.items()])
             .join(carried, part, "left")
@@ -201,20 +242,17 @@ class Ordered:
 def trailing_sum(
     df: DataFrame, keys: Sequence[str], order: str, value: Column, range_us: int, out: str, hot_rows: int | None = None
 ) -> DataFrame:
-    """``sum(value) over (partition by keys order by time range between R preceding and current row)``.
+    """``sum(value) over (partition by keys order by time range between R preceding and current row)`` for integers.
 
-    Each row of a hot key is also sent to the later slices that its range reaches
-    (a halo), so every slice is summed on its own and halo rows are dropped after.
+    With hot keys: the values are added up per (key, time), each sum enters a running
+    total at its time and leaves it just after the range, and the total is joined back.
     """
-    hot = hot_key_slices(df, keys, order, hot_rows)
-    reach = slice_of(F.col("__us") + F.lit(range_us))
-    trailing = Window.partitionBy(*keys, SLICE).orderBy("__us").rangeBetween(-range_us, 0)
-    return (
-        df.withColumn("__us", order_us(df, order))
-        .join(F.broadcast(hot), list(keys), "left")
-        .withColumn("__home", slice_of(F.col("__us")))
-        .withColumn(SLICE, F.explode(F.sequence(F.col("__home"), reach)))
-        .withColumn(out, F.sum(value).over(trailing))
-        .filter(F.col(SLICE) == F.col("__home"))
-        .drop("__us", "__home", SLICE, WIDTH, ORIGIN)
-    )
+    timed = df.withColumn("__us", order_us(df, order))
+    if not Slices(timed, keys, ["__us"], hot_rows):
+        trailing = Window.partitionBy(*keys).orderBy("__us").rangeBetween(-range_us, 0)
+        return timed.withColumn(out, F.sum(value).over(trailing)).drop("__us")
+    sums = timed.groupBy(*keys, "__us").agg(F.sum(value).cast("bigint").alias("__v"))
+    leaving = sums.select(*keys, (F.col("__us") + F.lit(range_us + 1)).alias("__us"), F.lit(0).alias("__kind"), (-F.col("__v")).alias("__v"))
+    marks = sums.select(*keys, "__us", F.lit(1).alias("__kind"), "__v").unionByName(leaving)
+    totals = Ordered(marks, keys, ["__us", "__kind"], hot_rows).scan(**{out: total("__v")}).result().filter(F.col("__kind") == 1)
+    return timed.join(totals.select(*keys, "__us", out), [*keys, "__us"]).drop("__us")
