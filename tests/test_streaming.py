@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from weirworks.functions.expr import interval_us, micros, n_rows
-from weirworks.operators import aggs, analytic, dedup, greedy, joins, patterns, ranking, rows as R, timers, windows
+from weirworks.operators import analytic, dedup, greedy, joins, ranking, rows as R, timers, windows
 from weirworks.operators.ordered import Ordered, previous
 from weirworks.sources import readers, writers
 from weirworks.streaming import stateful
 from weirworks.streaming.runner import run_append, run_to_changes, run_to_files
-from weirworks.tables import events, load, stream_events
+from weirworks.tables import events, stream_events
 
 
 @pytest.fixture(scope="module")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -91,8 +92,6 @@ def concurrent_window_sums(df: DataFrame, ts: str, value: str, keys: Sequence[st
     """
     tumbling_us = interval_us(tumbling)
     size_us, slide_us = (interval_us(x) for x in sampled)
-    import math
-
     grain = math.gcd(tumbling_us, size_us, slide_us)
     grains = df.groupBy(*keys, floor_to(micros(ts), grain).alias("__g")).agg(F.sum(value).alias("__v"))
     fixed = [

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirworks.functions.expr import item_at, json_int
+from weirworks.functions.expr import item_at
 from weirworks.operators import rows
 from weirworks.plans.registry import query
 from weirworks.session import scratch_dir
 from weirworks.sources import readers, writers
 from weirworks.streaming.runner import run_to_changes, run_to_files
-from weirworks.tables import SCHEMAS, events, load, stream_events
+from weirworks.tables import events, load, stream_events
 
 MICROS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 EVENT_JSON = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weirworks.functions.expr import from_micros, interval_us, micros, n_rows
+from weirworks.functions.expr import interval_us, n_rows
 from weirworks.operators import greedy, windows
 from weirworks.plans.registry import query
 from weirworks.sources.readers import declare_table
