@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirworks.llm import line_frequency as lf
+from weirworks.llm import line_frequency as lf, minhash
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lf.line_frequency(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
+
+
+@query("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
