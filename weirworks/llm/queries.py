@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirworks.llm import line_frequency as lf, minhash
+from weirworks.llm import line_frequency as lf, minhash, pieces, secret_scan, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,18 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minhash_near_dedup")
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_pieces.token_counts(table(spark, sf_dir, "documents"))
