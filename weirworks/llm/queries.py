@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirworks.llm import line_frequency as lf, minhash, pieces, secret_scan, word_pieces
+from weirworks.llm import line_frequency as lf, minhash, pieces, secret_scan, templates, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_pieces.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op2_template_decontamination")
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("doc_print").distinct()
