@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirworks.llm import line_frequency as lf, minhash, pieces, secret_scan, templates, word_pieces
+from weirworks.llm import hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, templates, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("doc_print").distinct()
+
+
+@query("op6_hidden_markov_scores")
+def op6_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.language_model_scores(table(spark, sf_dir, "documents"))
