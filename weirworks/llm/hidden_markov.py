@@ -31,7 +31,7 @@ from weirworks.llm.common import lower_words, map_rows, pieces, utf8
 from weirworks.llm.pieces import Shared
 from weirworks.session import stored
 
-HEAD_WORDS, OWN, CLASSES, STATES, ROUNDS, STRETCH = 200_000, 8_192, 1_024, 6, 3, 512
+HEAD_WORDS, OWN, CLASSES, STATES, ROUNDS, STRETCH, STAY = 200_000, 8_192, 1_024, 6, 4, 512, 0.95
 END = b""  # the end token; no word is empty
 FLUSH = 400_000  # distinct words that a partition holds before it passes its counts on
 BATCH_TOKENS = 400_000
@@ -151,10 +151,10 @@ class Model:
 
     @staticmethod
     def start(shares: np.ndarray) -> "Model":
-        """Class shares, each state's disturbed by a fixed seed, so that states can grow apart."""
+        """Class shares, each state's disturbed by a fixed seed, and states that tend to stay: so that they grow apart."""
         rng = np.random.default_rng(11)
-        emit = shares * rng.uniform(0.5, 1.5, (STATES, len(shares)))
-        move = rng.uniform(0.5, 1.5, (STATES, STATES)) + np.eye(STATES)
+        emit = shares * rng.exponential(1, (STATES, len(shares)))
+        move = np.full((STATES, STATES), (1 - STAY) / STATES) + STAY * np.eye(STATES)
         return Model(np.full(STATES, 1 / STATES), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
     def log10(self, batch: Batch) -> np.ndarray:
