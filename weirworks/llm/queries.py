@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirworks.llm import chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, templates, word_pieces
+from weirworks.llm import chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, templates, warc, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", chat.EXTRA), (-7, 1, "assistant", chat.EXTRA)], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.summaries(chat.format_conversations(rows))
+
+
+@query("op7_warc_capture_index")
+def op7_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("url")
