@@ -9,7 +9,9 @@
    then the full sets: 100 * intersection >= 80 * union.
 5. Components by alternating large-star and small-star. Buckets that still hold several components are finished
    exactly: members outside the bucket's largest component against the bucket's other components, filtered inside
-   the join by 256 bits of the signatures (a pair at 0.8 fails with probability < 1e-6), confirmed as in 4. A last run of the stars gives the components.
+   the join by 256 bits of the signatures (a pair at 0.8 fails with probability < 1e-6) and by an exact bound: the sets
+   are folded to 4096 parity bits each, which differ in no more bits than the sets in elements. So copies of one text that
+   were edited apart don't become pairs. What is left is confirmed as in 4. A last run of the stars gives the components.
 
 Defined results: a text without words has an empty set and is linked with nothing; rows with a NULL id are
 linked with nothing and kept; rows that repeat an id are one document. Shingles are compared by 64-bit hashes.
@@ -30,11 +32,12 @@ from weirworks.session import stored
 SHINGLE, PERMUTATIONS, ROWS = 5, 128, 4
 BANDS = PERMUTATIONS // ROWS
 SURE = 80  # of 128 equal minima: five standard deviations below the mean at 0.8
+FOLD = 4096
 BITS_APART = 58  # of 256 sketch bits: 5.5 standard deviations above the mean at 0.8
 PERCENT = 80
 MAX_CACHED = 20_000_000  # shingles of centres kept by a worker
 
-SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature binary, bits array<bigint>"
+SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature binary, bits array<bigint>, fold array<bigint>"
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -68,12 +71,18 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def parity_fold(shingles: np.ndarray) -> np.ndarray:
+    """FOLD bits: whether an odd number of shingles falls on each. The folds of two sets differ in at most as many bits as the sets in elements."""
+    odd = np.bincount((shingles & np.uint64(FOLD - 1)).astype(np.int64), minlength=FOLD) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, set size, digest of the set and signature of every row."""
     a, b = multipliers()
 
     def make(batch: pa.RecordBatch) -> dict[str, object]:
-        made: dict[str, object] = {"doc_id": batch.column("doc_id"), "n_shingles": [], "digest": [], "signature": [], "bits": []}
+        made: dict[str, object] = {"doc_id": batch.column("doc_id"), "n_shingles": [], "digest": [], "signature": [], "bits": [], "fold": []}
         for text in utf8(batch.column("text")):
             s = shingle_hashes(text, size)
             made["n_shingles"].append(len(s))
@@ -81,6 +90,7 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             m = minima(s, a, b)
             made["signature"].append(m.tobytes())
             made["bits"].append(np.packbits([m & 1, m >> 1 & 1]).view(np.int64))
+            made["fold"].append(parity_fold(s))
         return made
 
     return map_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), make, SKETCH)
@@ -98,6 +108,12 @@ def far_apart() -> Column:
     return sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(4)), F.lit(0))
 
 
+def may_pass(percent: int) -> Column:
+    """A bound that no passing pair breaks: the sets differ in (100 - percent) / (100 + percent) of their summed sizes at most."""
+    apart = sum((F.bit_count(F.col("fold_a")[i].bitwiseXOR(F.col("fold_b")[i])) for i in range(FOLD // 64)), F.lit(0))
+    return apart * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent)
+
+
 def sure_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs (doc, other) with signatures ``sa``, ``sb`` of which at least SURE minima are equal."""
 
@@ -183,7 +199,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         raise ValueError("bands and signatures are set for a similarity of at least 80 percent")
     sketch = stored(sketches(docs, size), "sketches")
     linked = sketch.filter("n_shingles > 0 and doc_id is not null")
-    classes = stored(linked.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bits").alias("bits")), "classes")
+    classes = stored(linked.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bits").alias("bits"), F.first("fold").alias("fold"), F.first("n_shingles").alias("size")), "classes")
     keys = band_keys(classes)
     shared = keys.groupBy("key").agg(F.count("doc").alias("n")).filter("n > 1")
     members = stored(keys.join(shared, "key"), "members")
@@ -199,12 +215,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     known = rooted(members.select("key", "doc"), roots)
     per_root = known.groupBy("key", "root").agg(F.count("doc").alias("n"))
     main = per_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count("root").alias("roots")).filter("roots > 1").select("key", F.col("m.root").alias("main"))
-    mixed = stored(known.join(main, "key").join(classes.select("doc", "bits"), "doc"), "mixed")
-    outside = mixed.filter("root <> main").select("key", "doc", "root", *[F.col("bits")[i].alias(f"a{i}") for i in range(4)])
-    others = mixed.select("key", F.col("doc").alias("other"), F.col("root").alias("other_root"), "main", *[F.col("bits")[i].alias(f"b{i}") for i in range(4)])
+    mixed = stored(known.join(main, "key").join(classes.select("doc", "bits", "fold", "size"), "doc"), "mixed")
+    outside = mixed.filter("root <> main").select("key", "doc", "root", *[F.col("bits")[i].alias(f"a{i}") for i in range(4)], F.col("fold").alias("fold_a"), F.col("size").alias("size_a"))
+    others = mixed.select("key", F.col("doc").alias("other"), F.col("root").alias("other_root"), "main", *[F.col("bits")[i].alias(f"b{i}") for i in range(4)], F.col("fold").alias("fold_b"), F.col("size").alias("size_b"))
     rest = (
         outside.join(others, (outside["key"] == others["key"]) & (F.col("root") != F.col("other_root"))
-                     & ((F.col("other_root") == F.col("main")) | (F.col("doc") < F.col("other"))) & (far_apart() <= BITS_APART))
+                     & ((F.col("other_root") == F.col("main")) | (F.col("doc") < F.col("other"))) & (far_apart() <= BITS_APART) & may_pass(percent))
         .select(F.greatest("doc", "other").alias("doc"), F.least("doc", "other").alias("other")).distinct()
         .join(tried.select(F.greatest("doc", "other").alias("doc"), F.least("doc", "other").alias("other")), ["doc", "other"], "left_anti")
     )
