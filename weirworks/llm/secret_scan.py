@@ -12,7 +12,6 @@ has no spans; repeated rows and NULL ids are scanned like any other row.
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -112,7 +111,8 @@ def digests(scanned: DataFrame) -> DataFrame:
     """Counts per kind, the digest of the base spans and the text of all spans."""
     shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("found", lambda s: s["kind"] != "token")
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
+    of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint")
+    counts = [of(k).alias(f"n_{k}") for k in KINDS]
     return scanned.select("doc_id", *counts, F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"), shown(F.col("found")).alias("spans"))
 
 
