@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirworks.llm import chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, templates, warc, word_pieces
+from weirworks.llm import chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, severity, templates, warc, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,9 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_warc_capture_index")
 def op7_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query("op3_ordinal_severity")
+def op3_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return severity.severities(docs, severity.train(docs, table(spark, sf_dir, "labels")))
