@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from weirworks.llm import chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, severity, templates, warc, word_pieces
 from weirworks.llm.common import table
 
@@ -77,3 +79,8 @@ def op7_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return severity.severities(docs, severity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
