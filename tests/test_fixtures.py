@@ -72,7 +72,7 @@ def test_asof(spark):
     orders = spark.createDataFrame([(2, "Euro", ms(2), 1), (1, "US Dollar", ms(3), 2), (50, "Yen", ms(4), 3), (3, "Euro", ms(5), 4)], "amount BIGINT, currency STRING, ots TIMESTAMP_NTZ, oid BIGINT")
     history = spark.createDataFrame([("US Dollar", 102, ms(1), 1), ("Euro", 114, ms(1), 2), ("Yen", 1, ms(1), 3), ("Euro", 116, ms(5), 4), ("Euro", 119, ms(7), 5)], "currency STRING, rate BIGINT, rts TIMESTAMP_NTZ, rid BIGINT")
     for limit in (None, 1):
-        out = joins.asof_join(orders, history, ["currency"], "ots", "oid", "rts", "rid", ["rate"], hot_rows=limit)
+        out = joins.asof_join(orders, history, ["currency"], "ots", "oid", "rts", "rid", ["rate"], slices=limit)
         assert rows(out, "currency", "amount", "rate") == [("Euro", 2, 114), ("Euro", 3, 116), ("US Dollar", 1, 102), ("Yen", 50, 1)]
 
 
@@ -156,7 +156,7 @@ def test_per_element_with_lateness(spark, limit):
     t = [("aa", 80), ("aa", 85), ("bb", 90), ("bb", 89), ("aa", 96), ("bb", 97), ("aa", 80), ("bb", 80), ("bb", 98), ("aa", 80)]
     df = spark.createDataFrame([(i, w, ms(1562419000000 + s * 1000)) for i, (w, s) in enumerate(t)], "id BIGINT, word STRING, ts TIMESTAMP_NTZ")
     ok = triggers.accepted_rows(df, ["id"], "ts", "10 seconds", "6 seconds", "2 seconds", limit)
-    out = triggers.per_element_counts(ok, ["word"], ["id"], hot_rows=limit)
+    out = triggers.per_element_counts(ok, ["word"], ["id"], slices=limit)
     base = 1562419000
     final = out.groupBy("word", (X.micros("window_start") / 10**6 - base).cast("int").alias("s")).agg(F.max("n").alias("n"))
     assert out.count() == 9

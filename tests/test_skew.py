@@ -28,7 +28,7 @@ def skewed(spark):
     return spark.createDataFrame(data, "id BIGINT, k BIGINT, ts TIMESTAMP_NTZ, v BIGINT, kind STRING").cache()
 
 
-LIMITS = [1_000_000, 50, 5]
+LIMITS = [1, 7, 200]  # numbers of slices
 
 
 @pytest.mark.parametrize("limit", LIMITS)
@@ -69,7 +69,7 @@ def greedy_loop(data, span, max_count=None, gap=None):
     return sorted(out.items())
 
 
-@pytest.mark.parametrize("limit,block", [(1_000_000, 1 << 16), (100, 1 << 16), (100, 16)])
+@pytest.mark.parametrize("limit,block", [(1, 1 << 16), (20, 1 << 16), (20, 16)])
 @pytest.mark.parametrize("span,max_count,gap", [(60, None, None), (4000, None, 40), (300, 3, None), (50000, 7, 100)])
 def test_greedy_chain(skewed, monkeypatch, limit, block, span, max_count, gap):
     monkeypatch.setattr(greedy, "BLOCK", block)
@@ -115,11 +115,11 @@ def test_asof_and_buffered(skewed, limit):
         chosen = back[-1] if back else (vs[0] if vs else None)
         if chosen:
             want_wait.append((r.id, chosen[2], max(r.ts, chosen[0])))
-    got = joins.asof_join(left, right, ["k"], "ts", "id", "rts", "rid", ["rate"], hot_rows=limit)
+    got = joins.asof_join(left, right, ["k"], "ts", "id", "rts", "rid", ["rate"], slices=limit)
     assert rows(got, "id", "rate") == sorted(want)
-    got = joins.buffered_asof_join(left, right, ["k"], "ts", "id", "rts", "rid", ["rate"], hot_rows=limit)
+    got = joins.buffered_asof_join(left, right, ["k"], "ts", "id", "rts", "rid", ["rate"], slices=limit)
     assert rows(got, "id", "rate", "emitted_at") == sorted(want_wait)
-    outer = joins.asof_join(left, right, ["k"], "ts", "id", "rts", "rid", ["rate"], how="left", hot_rows=limit)
+    outer = joins.asof_join(left, right, ["k"], "ts", "id", "rts", "rid", ["rate"], how="left", slices=limit)
     assert outer.count() == left.count()
 
 
@@ -153,7 +153,7 @@ def test_live_counts(skewed):
 def test_group_lists_are_cut_but_whole(skewed):
     from weirworks.operators.aggs import group_lists
 
-    out = group_lists(skewed, ["k"], ["ts", "id"], F.col("id"), "ids", chunk=7, hot_rows=20).collect()
+    out = group_lists(skewed, ["k"], ["ts", "id"], F.col("id"), "ids", chunk=7, slices=20).collect()
     assert max(len(r.ids) for r in out) == 7
     want = {}
     for i, k, ts, *_ in sorted([tuple(r) for r in skewed.collect()], key=lambda r: (r[2], r[0])):
@@ -164,12 +164,80 @@ def test_group_lists_are_cut_but_whole(skewed):
     assert got == want
 
 
-@pytest.mark.parametrize("most", [1, 3])
-def test_keys_beyond_the_hot_list_are_scanned_whole(skewed, monkeypatch, most):
-    from weirworks.operators import ordered
+def test_layout_bounds_bursts_and_string_ties(spark):
+    """2,000 rows of one key at one time: no slice holds many of them, whatever the tie-break's type."""
+    rows_ = [(None if i % 2 else 1, BASE, f"t{i:05d}", float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows_, "k BIGINT, ts TIMESTAMP_NTZ, tie STRING, v DOUBLE")
+    laid = Ordered(df, ["k"], ["ts", "tie"], 40)
+    sizes = [r["count"] for r in laid.df.groupBy("__slice").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 400
+    got = laid.scan(n=running_count(), p=previous("v"), t=total("v")).result()
+    w = W.partitionBy("k").orderBy("ts", "tie")
+    want = df.select("tie", F.row_number().over(w).cast("bigint").alias("n"), F.lag("v").over(w).alias("p"), F.sum("v").over(w).alias("t"))
+    assert rows(got, *want.columns) == rows(want)
+
+
+@pytest.mark.parametrize("slices", [2, 200])
+def test_null_keys_and_string_ties_in_chains(spark, slices):
+    data = [(i, None if i % 3 else i % 2, BASE + dt.timedelta(seconds=i * 7 % 400), f"{i:03d}") for i in range(300)]
+    df = spark.createDataFrame(data, "id BIGINT, k BIGINT, ts TIMESTAMP_NTZ, tie STRING")
+    got = {r.id: r.anchor_id for r in greedy.chain(df, ["k"], "ts", "tie", 30 * 10**6, 4, slices=slices).collect()}
+    want, state = {}, {}
+    for i, k, ts, tie in sorted(data, key=lambda r: (r[2], r[3])):
+        a = state.get(k)
+        if a is None or ts - a[0] >= dt.timedelta(seconds=30) or a[2] >= 4:
+            a = state[k] = [ts, tie, 0]
+        a[2] += 1
+        want[i] = a[1]
+    assert got == want
+
+
+def test_trailing_sum_keeps_null_keys_and_refuses_doubles(spark):
+    df = spark.createDataFrame([(None, BASE, 1), (None, BASE, 2), (1, BASE, 5), (1, BASE + dt.timedelta(seconds=9), 7)], "k BIGINT, ts TIMESTAMP_NTZ, v BIGINT")
+    assert sorted(r.s for r in trailing_sum(df, ["k"], "ts", F.col("v"), 5 * 10**6, "s").collect()) == [3, 3, 5, 7]
+    with pytest.raises(TypeError):
+        trailing_sum(df, ["k"], "ts", F.col("v") * 0.5, 1, "s")
+
+
+def test_running_distinct_keeps_null_rows(spark):
+    from weirworks.operators.aggs import running_distinct
+
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", None), (3, None, "x"), (4, "a", "x"), (5, "a", "y"), (6, None, "x")], "id BIGINT, k STRING, v STRING")
+    assert rows(running_distinct(df, ["k"], ["id"], "v", "n"), "id", "n") == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 1)]
+
+
+def test_one_first_row_per_session(spark):
+    from weirworks.operators.triggers import session_firsts
+
+    df = spark.createDataFrame([(i, 1, BASE) for i in range(10)] + [(10, 1, BASE + dt.timedelta(hours=2)), (11, None, BASE)], "id BIGINT, k BIGINT, ts TIMESTAMP_NTZ")
+    assert rows(session_firsts(df, ["k"], "ts", "id", "1 hour"), "id") == [(0,), (10,), (11,)]
+
+
+def test_full_batches_at_one_time_stay_apart(spark):
+    df = spark.createDataFrame([(i, 1, BASE) for i in range(10)], "id BIGINT, k BIGINT, ts TIMESTAMP_NTZ")
+    out = greedy.count_or_delay(df, ["k"], "ts", "id", 5, "1 day")
+    assert rows(out.groupBy("anchor_ts", "anchor_id").count(), "anchor_id", "count") == [(0, 5), (5, 5)]
+
+
+def test_defaults_only_where_nothing_matched(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k BIGINT")
+    right = spark.createDataFrame([(1, None)], "k BIGINT, v BIGINT")
+    assert sorted(joins.lookup(left, right, ["k"], "left", {"v": 0}).collect()) == [(1, None), (2, 0)]
+
+
+def test_weighted_average_of_large_values(spark):
+    from weirworks.operators.aggs import weighted_average
+
+    df = spark.createDataFrame([(2**60 + 1, 1), (-7, 0)], "v BIGINT, w BIGINT")
+    assert df.agg(weighted_average("v", "w")).first()[0] == 2**60 + 1
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from weirworks.session import scratch_dir
 
-    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", most)
-    w = W.partitionBy("k").orderBy("ts", "id")
-    want = skewed.select("id", F.sum("v").over(w).alias("t"), F.lag("v").over(w).alias("p"))
-    got = Ordered(skewed, ["k"], ["ts", "id"], 3).scan(t=total("v"), p=previous("v")).result().select("id", "t", "p")
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            scratch_dir(Fake(conf=Fake(get=lambda *_: None), sparkContext=Fake(master=master)), "x")
+    assert scratch_dir(Fake(conf=Fake(get=lambda *_: "s3://b/c/"), sparkContext=Fake(master="yarn")), "x").startswith("s3://b/c/weirworks/x-")

@@ -12,12 +12,12 @@ from weirworks.operators.ordered import Ordered, running_count, total
 LIST_CHUNK = 1000
 
 
-def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None, count: str | None = None, **sums: Column | str) -> DataFrame:
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None, count: str | None = None, **sums: Column | str) -> DataFrame:
     """The new totals of a key after each of its rows."""
     scans = {name: total(value) for name, value in sums.items()}
     if count:
         scans[count] = running_count()
-    return Ordered(df, keys, order, hot_rows).scan(**scans).result()
+    return Ordered(df, keys, order, slices).scan(**scans).result()
 
 
 def cube_with_flags(df: DataFrame, dims: Sequence[str], **aggs: Column) -> DataFrame:
@@ -53,12 +53,11 @@ def bitmap_distinct(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count("__bits")).cast("bigint").alias(out))
 
 
-def running_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, hot_rows: int | None = None) -> DataFrame:
-    """Number of distinct values so far, after each row of a key."""
-    first_seen = df.groupBy(*keys, value).agg(F.min(F.struct(*order)).alias("__first"))
-    flagged = df.join(first_seen, [*keys, value])
-    is_new = (F.struct(*order) == F.col("__first")).cast("bigint")
-    return Ordered(flagged.withColumn("__new", is_new).drop("__first"), keys, order, hot_rows).scan(**{out: total("__new")}).result().drop("__new")
+def running_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str, slices: int | None = None) -> DataFrame:
+    """Number of distinct known values so far, after each row of a key. NULL keys are a key; NULL values don't count, their rows stay."""
+    seen = Ordered(df, [*keys, value], order, slices).scan(__seen=running_count()).result()
+    is_new = ((F.col("__seen") == 1) & F.col(value).isNotNull()).cast("bigint")
+    return Ordered(seen.withColumn("__new", is_new).drop("__seen"), keys, order, slices).scan(**{out: total("__new")}).result().drop("__new")
 
 
 def sketch_distinct(df: DataFrame, keys: Sequence[str], part: Sequence[str], value: str, out: str, log_size: int = 20) -> DataFrame:
@@ -73,18 +72,16 @@ def sketch_distinct(df: DataFrame, keys: Sequence[str], part: Sequence[str], val
 def weighted_average(value: Column | str, weight: Column | str) -> Column:
     """Integer weighted mean truncated toward zero; NULL where the weights sum to zero."""
     v, w = col(value).cast("bigint"), col(weight).cast("bigint")
-    weights = F.nullif(F.sum(w), F.lit(0))
-    total_ = F.sum(v * w)
-    return ((total_ - F.try_mod(total_, weights)) / weights).cast("bigint")
+    return F.call_function("div", F.sum(v * w), F.nullif(F.sum(w), F.lit(0)))
 
 
-def group_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, chunk: int = LIST_CHUNK, hot_rows: int | None = None) -> DataFrame:
+def group_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, chunk: int = LIST_CHUNK, slices: int | None = None) -> DataFrame:
     """Ordered value lists of whole groups, at most ``chunk`` values per row.
 
     A group longer than that takes several rows, numbered by ``chunk_no``; together
     they hold every value, and no single row or task holds an unbounded group.
     """
-    numbered = Ordered(df, keys, order, hot_rows).scan(__n=running_count()).result()
+    numbered = Ordered(df, keys, order, slices).scan(__n=running_count()).result()
     entry = F.struct(F.col("__n").alias("n"), value.alias("v"))
     return (
         numbered.withColumn("chunk_no", F.floor((F.col("__n") - 1) / F.lit(chunk)).cast("bigint"))

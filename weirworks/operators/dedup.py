@@ -10,11 +10,11 @@ from weirworks.operators.greedy import first_per_ttl
 
 
 
-def drop_repeats(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int | None = None) -> DataFrame:
+def drop_repeats(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, slices: int | None = None) -> DataFrame:
     """Drops repeats of a key within ``ttl`` after the last row that was kept. On streams the watermark form is used."""
     if df.isStreaming:
         return df.withWatermark(ts, ttl).dropDuplicatesWithinWatermark(list(keys))
-    return first_per_ttl(df, keys, ts, tie, ttl, hot_rows)
+    return first_per_ttl(df, keys, ts, tie, ttl, slices)
 
 
 def distinct_per_window(df: DataFrame, keys: Sequence[str], member: str, ts: str, size: str, out: str) -> DataFrame:

@@ -8,8 +8,8 @@ anchor is the first later row that
 * is ``max_count`` rows after the anchor, or
 * comes more than ``gap`` after the row just before it.
 
-Keys of ordinary size are labelled by one pass over sorted partitions. A key with
-more than ``hot_rows`` rows never enters one task:
+Keys that lie in one slice of the range layout (``operators/ordered.py``) are labelled by one pass over sorted partitions.
+The keys that a range bound cuts, fewer than there are slices, may be of any size and never enter one task:
 
 1. ordered scans number its rows and give each row the number of the next anchor;
 2. blocks of 65,536 rows are contracted: for each row the first row of its chain
@@ -31,37 +31,46 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from weirworks.functions.expr import from_micros, interval_us, micros
-from weirworks.operators.ordered import Ordered, hot_groups, latest, next_known, previous, running_count
+from weirworks.operators.ordered import KEY, Ordered, key_struct, latest, next_known, previous, running_count
 from weirworks.session import stored
 
 US, ANCHOR_US, ANCHOR_ID = "__us", "__anchor_us", "anchor_id"
+_ONE, _REST = "__one", "__rest"  # all keys, all other columns
 BLOCK = 1 << 16  # rows per block of a hot key
 NO_ROW = 1 << 62
 MAX_ROUNDS = 62  # doubling passes any 64-bit row number
 
 
+def _differs(c: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before; NULL equals NULL."""
+    if pa.types.is_struct(c.type):
+        return np.logical_or.reduce([_differs(field) for field in c.flatten()])
+    mine, before = c.slice(1), c.slice(0, len(c) - 1)
+    apart = pc.fill_null(pc.not_equal(mine, before), False)
+    return pc.or_(apart, pc.xor(pc.is_null(mine), pc.is_null(before))).to_numpy(zero_copy_only=False)
+
+
 def _label_sorted(keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None):
-    """Batch function over partitions sorted by (keys, time, tie): adds the anchor of every row."""
+    """Batch function over partitions sorted by (keys, time, tie): the anchor of every row. The tie keeps its type."""
     limit = max_count or 2**62
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_us, anchor_us, anchor_id, taken = None, 0, 0, 0, 0
+        last_key, last_us, anchor_us, anchor_id, taken = None, 0, 0, None, 0
         for batch in batches:
             n = batch.num_rows
             if n == 0:
                 continue
             us = batch.column(US).to_numpy(zero_copy_only=False)
-            ids = batch.column(tie).to_numpy(zero_copy_only=False)
             breaks = np.zeros(n, dtype=bool)
             for k in keys:
-                c = batch.column(k)
-                breaks[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-            first_key = tuple(batch.column(k)[0].as_py() for k in keys)
+                breaks[1:] |= _differs(batch.column(k))
+            first_key = [batch.column(k)[0].as_py() for k in keys]
             breaks[0] = first_key != last_key
             if gap is not None:
                 breaks[1:] |= (us[1:] - us[:-1]) > gap
                 breaks[0] |= us[0] - last_us > gap
-            out_us, out_id = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+            out_us, at_row = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)  # row 0: the anchor of an earlier batch
+            anchor_row = 0
             starts = np.flatnonzero(breaks)
             edges = np.unique(np.concatenate([[0], starts, [n]]))
             for lo, hi in zip(edges[:-1], edges[1:]):
@@ -70,23 +79,25 @@ def _label_sorted(keys: list[str], tie: str, span: int, max_count: int | None, g
                     taken = limit  # forces a new anchor
                 while i < hi:
                     if taken >= limit or us[i] - anchor_us >= span:
-                        anchor_us, anchor_id, taken = int(us[i]), int(ids[i]), 0
+                        anchor_us, anchor_row, taken = int(us[i]), i + 1, 0
                     end = lo + int(np.searchsorted(us[lo:hi], anchor_us + span, side="left"))
                     end = max(min(hi, end, i + limit - taken), i + 1)
-                    out_us[i:end], out_id[i:end] = anchor_us, anchor_id
+                    out_us[i:end], at_row[i:end] = anchor_us, anchor_row
                     taken += end - i
                     i = end
-            last_key = tuple(batch.column(k)[n - 1].as_py() for k in keys)
-            last_us = int(us[n - 1])
+            ties = batch.column(tie)
+            known = pa.concat_arrays([pa.array([anchor_id], ties.type), ties])
+            anchor_id = known[anchor_row].as_py()
+            last_key, last_us = [batch.column(k)[n - 1].as_py() for k in keys], int(us[n - 1])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out_us), pa.array(out_id)], names=[*batch.schema.names, ANCHOR_US, ANCHOR_ID]
+                [*batch.columns, pa.array(out_us), known.take(pa.array(at_row))], names=[*batch.schema.names, ANCHOR_US, ANCHOR_ID]
             )
 
     return label
 
 
 def _chain_ordinary(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None) -> DataFrame:
-    schema = StructType([*df.schema.fields, StructField(ANCHOR_US, LongType()), StructField(ANCHOR_ID, LongType())])
+    schema = StructType([*df.schema.fields, StructField(ANCHOR_US, LongType()), StructField(ANCHOR_ID, df.schema[tie].dataType)])
     return (
         df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, US, tie)
         .mapInArrow(_label_sorted(keys, tie, span, max_count, gap), schema)
@@ -128,9 +139,9 @@ def _anchors_from_entry(keys: list[str]):
     return follow
 
 
-def _next_anchors(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, hot_rows: int | None) -> DataFrame:
+def _next_anchors(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, slices: int | None) -> DataFrame:
     """Rows with their number in the key (``__rn``), the number of the next anchor if they are one (``__to``) and their block."""
-    numbered = Ordered(df, keys, [US, tie], hot_rows).scan(__rn=running_count(), __prev=previous(US))
+    numbered = Ordered(df, keys, [US, tie], slices).scan(__rn=running_count(), __prev=previous(US))
     if gap is not None:
         numbered = numbered.with_column("__break", F.when(F.col(US) - F.col("__prev") > gap, F.col("__rn"))).scan(
             __next_break=next_known("__break")
@@ -144,7 +155,7 @@ def _next_anchors(df: DataFrame, keys: list[str], tie: str, span: int, max_count
     )
     is_row = F.col("__kind") == 1
     probed = (
-        Ordered(marks, keys, [US, "__kind", "__rn"], hot_rows)
+        Ordered(marks, keys, [US, "__kind", "__rn"], slices)
         .scan(__next=next_known(F.when(is_row, F.col("__rn")))).result().filter(~is_row).select("__row.*", "__next")
     )
     candidates = [F.col("__next"), F.lit(NO_ROW)]
@@ -163,8 +174,8 @@ def _block(rn: str) -> Column:
     return F.floor((F.col(rn) - 1) / F.lit(BLOCK)).cast("bigint")
 
 
-def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, hot_rows: int | None) -> DataFrame:
-    rows = _next_anchors(df, keys, tie, span, max_count, gap, hot_rows)
+def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: int | None, gap: int | None, slices: int | None) -> DataFrame:
+    rows = _next_anchors(df, keys, tie, span, max_count, gap, slices)
     key_fields = [df.schema[k] for k in keys]
     number = StructField("__rn", LongType())
 
@@ -177,7 +188,7 @@ def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: i
     )
     both = runs.withColumn("__kind", F.lit(0)).unionByName(entries.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
     steps = (
-        Ordered(both, keys, ["__rn", "__kind"], hot_rows).scan(__to=latest("__exit")).result()
+        Ordered(both, keys, ["__rn", "__kind"], slices).scan(__to=latest("__exit")).result()
         .filter(F.col("__kind") == 1).select(*keys, "__rn", "__to")
     )
     jump = stored(steps, "chain-jump")
@@ -200,47 +211,44 @@ def _chain_hot(df: DataFrame, keys: list[str], tie: str, span: int, max_count: i
     )
     anchor = F.when(F.col("__is_anchor"), F.struct(F.col(US).alias("us"), F.col(tie).alias("id")))
     return (
-        Ordered(rows.join(anchors, [*keys, "__rn"], "left"), keys, [US, tie], hot_rows).scan(__anchor=latest(anchor)).result()
+        Ordered(rows.join(anchors, [*keys, "__rn"], "left"), keys, [US, tie], slices).scan(__anchor=latest(anchor)).result()
         .withColumn(ANCHOR_US, F.col("__anchor.us")).withColumn(ANCHOR_ID, F.col("__anchor.id"))
         .select(*df.columns, ANCHOR_US, ANCHOR_ID)
     )
 
 
 def chain(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_span_us: int, max_count: int | None = None,
-          gap_us: int | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Adds ``anchor_ts`` and ``anchor_id`` (the tie-break value of the anchor row, a bigint)."""
-    keys = list(keys)
-    timed = df.withColumn(US, micros(ts)).withColumn(tie, F.col(tie).cast("bigint"))
+          gap_us: int | None = None, slices: int | None = None) -> DataFrame:
+    """Adds ``anchor_ts`` and ``anchor_id`` (the tie-break value of the anchor row, of its own type). NULL keys are keys like any other."""
     kind = df.schema[ts].dataType
-    timed = timed.drop(ts)
-    hot = hot_groups(timed, keys, US, hot_rows)
-    if hot is None:
-        labelled = _chain_ordinary(timed, keys, tie, max_span_us, max_count, gap_us)
-    else:
-        hot = hot.select(*keys)
-        rest = timed.join(F.broadcast(hot), keys, "left_anti")
-        labelled = _chain_ordinary(rest, keys, tie, max_span_us, max_count, gap_us).unionByName(
-            _chain_hot(timed.join(F.broadcast(hot), keys), keys, tie, max_span_us, max_count, gap_us, hot_rows)
-        )
+    rest = [c for c in df.columns if c not in (ts, tie)]
+    timed = df.select(key_struct(keys).alias(_ONE), micros(ts).alias(US), tie, F.struct(*rest).alias(_REST))
+    laid = Ordered(timed, [_ONE], [US, tie], slices)
+    cut = laid.keys_in_several_slices().select(F.col(f"{KEY}.{_ONE}").alias(_ONE))  # fewer than slices
+    rows = laid.result()
+    whole, parted = rows.join(F.broadcast(cut), _ONE, "left_anti"), rows.join(F.broadcast(cut), _ONE, "left_semi")
+    labelled = _chain_ordinary(whole, [_ONE], tie, max_span_us, max_count, gap_us)
+    if not cut.isEmpty():
+        labelled = labelled.unionByName(_chain_hot(parted, [_ONE], tie, max_span_us, max_count, gap_us, slices))
     return (
-        labelled.withColumn(ts, from_micros(US).cast(kind)).withColumn("anchor_ts", from_micros(ANCHOR_US).cast(kind))
+        labelled.select(f"{_REST}.*", tie, from_micros(US).cast(kind).alias(ts), from_micros(ANCHOR_US).cast(kind).alias("anchor_ts"), ANCHOR_ID)
         .select(*df.columns, "anchor_ts", ANCHOR_ID)
     )
 
 
-def bounded_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, bound: str, hot_rows: int | None = None) -> DataFrame:
+def bounded_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, bound: str, slices: int | None = None) -> DataFrame:
     """Gap sessions whose span (gap included) stays strictly below ``bound``; the session starts at ``anchor_ts``."""
     gap_us = interval_us(gap)
-    return chain(df, keys, ts, tie, interval_us(bound) - gap_us, gap_us=gap_us, hot_rows=hot_rows)
+    return chain(df, keys, ts, tie, interval_us(bound) - gap_us, gap_us=gap_us, slices=slices)
 
 
-def first_per_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, hot_rows: int | None = None) -> DataFrame:
+def first_per_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str, slices: int | None = None) -> DataFrame:
     """Rows kept when repeats of a key within ``ttl`` of the last kept row are dropped."""
-    chained = chain(df, keys, ts, tie, interval_us(ttl), hot_rows=hot_rows)
+    chained = chain(df, keys, ts, tie, interval_us(ttl), slices=slices)
     kept = (F.col(ts) == F.col("anchor_ts")) & (F.col(tie) == F.col(ANCHOR_ID))
     return chained.filter(kept).drop("anchor_ts", ANCHOR_ID)
 
 
-def count_or_delay(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_count: int, delay: str, hot_rows: int | None = None) -> DataFrame:
+def count_or_delay(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_count: int, delay: str, slices: int | None = None) -> DataFrame:
     """Batches closed at ``max_count`` rows or ``delay`` after their first row."""
-    return chain(df, keys, ts, tie, interval_us(delay), max_count=max_count, hot_rows=hot_rows)
+    return chain(df, keys, ts, tie, interval_us(delay), max_count=max_count, slices=slices)

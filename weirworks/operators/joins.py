@@ -25,8 +25,17 @@ def with_window(df: DataFrame, ts: str, size: str, offset: str = "0 seconds", ou
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str, size: str,
                 offset: str = "0 seconds", how: str = "inner", defaults: dict | None = None) -> DataFrame:
     """Equi-join of rows that fall in the same tumbling window. Other columns of the sides must not share names."""
-    joined = with_window(left, left_ts, size, offset).join(with_window(right, right_ts, size, offset), [*keys, "w"], how)
-    return joined.fillna(defaults) if defaults else joined
+    a, b = with_window(left, left_ts, size, offset), with_window(right, right_ts, size, offset)
+    if not defaults:
+        return a.join(b, [*keys, "w"], how)
+    joined = a.withColumn("__in_left", F.lit(True)).join(b.withColumn("__in_right", F.lit(True)), [*keys, "w"], how)
+    missing = {c: "__in_left" if c in left.columns else "__in_right" for c in defaults}
+    return _default_where_missing(joined, defaults, missing).drop("__in_left", "__in_right")
+
+
+def _default_where_missing(df: DataFrame, defaults: dict, flags: dict[str, str]) -> DataFrame:
+    """Defaults for columns of rows without a match (``flags`` names the hit flag); a stored NULL of a match stays NULL."""
+    return df.withColumns({c: F.when(F.col(flags[c]).isNull(), F.lit(v).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c, v in defaults.items()})
 
 
 def cogroup_lists(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str], right_order: Sequence[str],
@@ -78,21 +87,21 @@ ASOF_ORDER = ["__at", "__kind", "__tie"]  # versions sort before rows of the sam
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, left_tie: str, right_ts: str, right_tie: str,
-              values: Sequence[str], how: str = "inner", hot_rows: int | None = None) -> DataFrame:
+              values: Sequence[str], how: str = "inner", slices: int | None = None) -> DataFrame:
     """Each left row with the right row of its key in force at its time (the latest not after it)."""
     both = _versions_union(left, right, keys, left_ts, left_tie, right_ts, right_tie, values)
-    scanned = Ordered(both, keys, ASOF_ORDER, hot_rows).scan(__r=latest("__right")).result().filter(F.col("__kind") == 1)
+    scanned = Ordered(both, keys, ASOF_ORDER, slices).scan(__r=latest("__right")).result().filter(F.col("__kind") == 1)
     if how == "inner":
         scanned = scanned.filter(F.col("__r").isNotNull())
     return scanned.select("__left.*", *[F.col(f"__r.{v}").alias(v) for v in values])
 
 
 def buffered_asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, left_tie: str, right_ts: str, right_tie: str,
-                       values: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+                       values: Sequence[str], slices: int | None = None) -> DataFrame:
     """As ``asof_join``; a row with no version yet waits for the key's first one. ``emitted_at`` is when it is complete."""
     both = _versions_union(left, right, keys, left_ts, left_tie, right_ts, right_tie, values)
     scanned = (
-        Ordered(both, keys, ASOF_ORDER, hot_rows).scan(__back=latest("__right"), __ahead=next_known("__right")).result()
+        Ordered(both, keys, ASOF_ORDER, slices).scan(__back=latest("__right"), __ahead=next_known("__right")).result()
         .filter(F.col("__kind") == 1).withColumn("__r", F.coalesce("__back", "__ahead")).filter(F.col("__r").isNotNull())
     )
     return scanned.select(
@@ -111,8 +120,8 @@ def lookup(df: DataFrame, dimension: DataFrame, on: Sequence[str], mode: str = "
         found = dimension.withColumn("__hit", F.lit(True))
         return df.join(found, list(on), "left").withColumn("lookup_failed", F.col("__hit").isNull()).drop("__hit")
     if mode == "left":
-        out = df.join(dimension, list(on), "left")
-        return out.fillna(defaults) if defaults else out
+        out = df.join(dimension.withColumn("__hit", F.lit(True)), list(on), "left")
+        return _default_where_missing(out, defaults or {}, dict.fromkeys(defaults or {}, "__hit")).drop("__hit")
     raise ValueError(mode)
 
 
@@ -133,11 +142,11 @@ def in_force(ts: Column | str, versions: Sequence[tuple[str, object]], default:
     return chosen
 
 
-def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, end_kind: str, kinds: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kind: str, end_kind: str, kinds: Sequence[str], slices: int | None = None) -> DataFrame:
     """One row per closed path: the events since the previous ``end_kind`` event up to and including the next one,
     with the path's length and the number of events of each kind."""
     ends = F.when(F.col(kind) == end_kind, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    numbered = Ordered(df, keys, order, hot_rows).with_column("__end", ends).scan(__ends=total("__end")).result()
+    numbered = Ordered(df, keys, order, slices).with_column("__end", ends).scan(__ends=total("__end")).result()
     counts = [F.count_if(F.col(kind) == k).alias(f"n_{k}") for k in kinds]
     return (
         numbered.withColumn("path_no", F.col("__ends") - F.col("__end"))
@@ -148,7 +157,7 @@ def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kin
 
 
 def match_or_timeout(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str, wait_days: Column,
-                     hot_rows: int | None = None) -> DataFrame:
+                     slices: int | None = None) -> DataFrame:
     """Each left row with the first right row of its key at or after its time: ``on_time`` then, if that is within the
     row's own waiting time, else ``timeout`` at the deadline.
 
@@ -157,11 +166,11 @@ def match_or_timeout(left: DataFrame, right: DataFrame, keys: Sequence[str], lef
     waiting = left.withColumn("deadline", F.col(left_ts) + F.make_dt_interval(days=wait_days.cast("int")))
     rights = right.select(*keys, F.col(right_ts).alias("__at"), F.lit(1).alias("__kind"))
     lefts = waiting.select(*keys, F.col(left_ts).alias("__at"), F.lit(0).alias("__kind"), F.struct(*waiting.columns).alias("__left"))
-    both = lefts.unionByName(rights, allowMissingColumns=True)
+    both = lefts.unionByName(rights, allowMissingColumns=True).withColumn("__tie", F.monotonically_increasing_id())  # cuts bursts
     arrived = F.when(F.col("__kind") == 1, F.col("__at"))
     in_time = F.coalesce(F.col("__first") <= F.col("deadline"), F.lit(False))
     return (
-        Ordered(both, keys, ["__at", "__kind"], hot_rows).scan(__first=next_known(arrived)).result()
+        Ordered(both, keys, ["__at", "__kind", "__tie"], slices).scan(__first=next_known(arrived)).result()
         .filter(F.col("__kind") == 0).select("__left.*", "__first")
         .withColumn("status", F.when(in_time, "on_time").otherwise("timeout"))
         .withColumn("event_at", F.when(in_time, F.col("__first")).otherwise(F.col("deadline"))).drop("__first")

@@ -1,23 +1,16 @@
-"""Ordered per-key scans that do not put a hot key into one task.
-
-A window function over ``PARTITION BY key ORDER BY time`` sorts every row of a
-key in a single task. Here a key with more than ``hot_rows`` rows is cut into
-slices of its order:
-
-1. a map-side combined count finds the hot keys when the scan is set up. Where
-   there are none, the plain window function is used;
-2. a hot key is cut into equal time slices, 16 per ``hot_rows`` rows. A slice that
-   is still too large (a burst) is cut again by its own time span, and one whose
-   rows share a time by the next order column;
-3. the window function runs per (key, slice), one shuffle of the data;
-4. the slices of hot keys are summarised (one small row each), the summaries are
-   scanned in slice order, and the value carried into each slice is joined back
-   on (key, slice), the partitioning the data already has.
-
-The slice list is stored, so that every use sees the same one, and broadcast: it
-holds at most ``MAX_HOT_KEYS`` entries, the largest first, and an entry left out
-of a full list has less than 1/100,000 of all rows and is scanned in one piece.
-Key columns must not be NULL; rows with equal order columns need a tie-break.
+"""Ordered per-key scans over a range layout: no key, burst or tie group is too large for a task.
+
+``PARTITION BY key ORDER BY time`` puts a key's rows into one task. Here
+
+1. the rows are range-partitioned by (keys, all order columns), which cuts a frequent key, a burst at one time and a run of
+   one tie-break alike, and written once with the partition's number as the slice. NULL keys are keys like any other;
+2. the window functions run per (key, slice): one shuffle, groups of one slice at most;
+3. a range holds whole keys except at its ends, so only the first and the last key of a slice can go on in another one. The
+   slices of these keys are summarised (two rows per slice at most, whatever the data), the summaries are scanned in slice
+   order and the value carried into each slice is joined back. Two rows per partition is also the bound of that broadcast.
+
+Every scan of an ``Ordered`` uses the same stored layout, so what comes before it runs once, plus the sampling of range bounds.
+The order columns together should tell rows of a key apart: rows that agree in all of them stay in one slice.
 """
 
 from __future__ import annotations
@@ -31,80 +24,18 @@ from pyspark.sql.types import IntegralType, TimestampNTZType, TimestampType
 from weirworks.functions.expr import col, micros
 from weirworks.session import stored
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
-OVERSPLIT = 16  # slices per hot_rows rows, room for uneven arrival
-
-SLICE, WIDTH, ORIGIN, ALL = "__slice", "__width", "__origin", "__all"
+SLICE, KEY = "__slice", "__key"
 
 
 def order_us(df: DataFrame, name: str) -> Column:
-    """The leading order column as an integer (microseconds for times)."""
+    """An order column as an integer (microseconds for times)."""
     kind = df.schema[name].dataType
     return micros(name) if isinstance(kind, (TimestampType, TimestampNTZType)) else F.col(name).cast("bigint")
 
 
-def hot_row_limit(df: DataFrame, hot_rows: int | None = None) -> int:
-    """Rows of a key that one task may hold: the argument, else the session's ``weirworks.hotRows``, else the default."""
-    return hot_rows or int(df.sparkSession.conf.get("weirworks.hotRows", str(HOT_ROWS)))
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], column: str, hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, with origin and width of slices of ``column``; None where there are none."""
-    hot_rows = hot_row_limit(df, hot_rows)
-    at = order_us(df, column)
-    span = F.col("__last") - F.col(ORIGIN) + 1
-    width = F.ceil(span * F.lit(hot_rows) / (F.col("__n") * F.lit(OVERSPLIT))).cast("bigint")
-    counted = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(at).alias(ORIGIN), F.max(at).alias("__last"))
-        .filter(F.col("__n") > hot_rows)
-        .orderBy(F.col("__n").desc(), *keys).limit(MAX_HOT_KEYS)
-        .select(*keys, ORIGIN, F.greatest(width, F.lit(1)).alias(WIDTH))
-    )
-    found = stored(counted, "hot-keys")
-    return None if found.isEmpty() else found
-
-
-class Slices:
-    """Slices of the hot keys of a table; false where no key is hot."""
-
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None):
-        if df.isStreaming:
-            raise ValueError("ordered scans run on stored tables; streams use the processors in weirworks.streaming")
-        self.keys, self.tables = list(keys), []
-        self.columns = [order[0], order[0]]
-        if len(order) > 1 and isinstance(df.schema[order[1]].dataType, IntegralType):
-            self.columns.append(order[1])
-        rest = df.select(*self.keys, *dict.fromkeys(self.columns))
-        for level, column in enumerate(self.columns):
-            found = hot_groups(rest, self._groups(level), column, hot_rows)
-            if found is None:
-                break
-            self.tables.append(found)
-            rest = self._place(rest, level, "inner")
-
-    def __bool__(self) -> bool:
-        return bool(self.tables)
-
-    def _groups(self, level: int) -> list[str]:
-        return [*self.keys, *[f"__s{i}" for i in range(level)]]
-
-    def _place(self, df: DataFrame, level: int, how: str) -> DataFrame:
-        at = order_us(df, self.columns[level])
-        number = F.floor((at - F.col(ORIGIN)) / F.col(WIDTH)).cast("bigint")
-        joined = df.join(F.broadcast(self.tables[level]), self._groups(level), how)
-        return joined.withColumn(f"__s{level}", F.coalesce(number, F.lit(-1))).drop(ORIGIN, WIDTH)
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Adds the slice; its first number is -1 for rows of keys that are not hot."""
-        levels = range(len(self.tables))
-        for level in levels:
-            df = self._place(df, level, "left")
-        return df.withColumn(SLICE, F.struct(*[f"__s{i}" for i in levels])).drop(*[f"__s{i}" for i in levels])
-
-
-IS_HOT = f"{SLICE}.__s0 >= 0"
+def key_struct(keys: Sequence[str]) -> Column:
+    """All keys as one value that is never NULL and equal where the keys are, NULLs included."""
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
 
 
 @dataclass(frozen=True)
@@ -148,16 +79,27 @@ def next_known(value: Column | str) -> Scan:
     return Scan("next_known", col(value))
 
 
+def slice_ends(laid_out: DataFrame) -> DataFrame:
+    """(key, slice) for the first and the last key of every slice: at most two rows per slice."""
+    ends = laid_out.groupBy(SLICE).agg(F.min(KEY).alias("lo"), F.max(KEY).alias("hi"))
+    return ends.select(SLICE, F.explode(F.array_distinct(F.array("lo", "hi"))).alias(KEY))
+
+
 class Ordered:
-    """A table prepared for ordered scans per key. ``keys`` may be empty (one global order)."""
+    """A table laid out for ordered scans per key. ``keys`` may be empty (one global order).
+
+    ``slices`` is the number of ranges; by default Spark's number of shuffle partitions, merged where they are small.
+    """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None):
-        self.order = list(order)
-        if not keys:
-            df, keys = df.withColumn(ALL, F.lit(0)), [ALL]
-        self.keys = list(keys)
-        self.sliced = Slices(df, self.keys, self.order, hot_rows)
-        self.df = self.sliced.assign(df) if self.sliced else df
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None):
+        if df.isStreaming:
+            raise ValueError("ordered scans run on stored tables; streams use the processors in weirworks.streaming")
+        self.order, self.keys = list(order), list(keys)
+        keyed = df.withColumn(KEY, key_struct(self.keys))
+        by = [F.col(c) for c in (KEY, *self.order)]
+        ranged = keyed.repartitionByRange(slices, *by) if slices else keyed.repartitionByRange(*by)
+        self.df = stored(ranged.withColumn(SLICE, F.spark_partition_id()), "ordered")
+        self.ends = slice_ends(self.df)
 
     def with_column(self, name: str, value: Column) -> "Ordered":
         self.df = self.df.withColumn(name, value)
@@ -168,10 +110,14 @@ class Ordered:
         return self
 
     def result(self) -> DataFrame:
-        return self.df.drop(SLICE, ALL)
+        return self.df.drop(SLICE, KEY)
+
+    def keys_in_several_slices(self) -> DataFrame:
+        """Keys that a range bound cuts: fewer than slices."""
+        return self.ends.groupBy(KEY).agg(F.count(SLICE).alias("n")).filter("n > 1").select(KEY)
 
     def scan(self, **scans: Scan) -> "Ordered":
-        part = [*self.keys, SLICE] if self.sliced else self.keys
+        part = [KEY, SLICE]
         base = Window.partitionBy(*part)
         forward = base.orderBy(*self.order)
         backward = base.orderBy(*[F.col(c).desc() for c in self.order])
@@ -179,8 +125,8 @@ class Ordered:
         sofar = (Window.unboundedPreceding, Window.currentRow)
         before = (Window.unboundedPreceding, -1)
 
-        by_slice = Window.partitionBy(*self.keys).orderBy(SLICE)
-        by_slice_back = Window.partitionBy(*self.keys).orderBy(F.col(SLICE).desc())
+        by_slice = Window.partitionBy(KEY).orderBy(SLICE)
+        by_slice_back = Window.partitionBy(KEY).orderBy(F.col(SLICE).desc())
 
         local, summary, carry, combined = {}, {}, {}, {}
         for name, s in scans.items():
@@ -221,38 +167,29 @@ class Ordered:
                 raise ValueError(s.kind)
 
         kept = [c for c in self.df.columns if c not in scans]
-        if not self.sliced:  # one piece per key: nothing is carried
-            done = {n: F.col(f"__l_{n}")["v"] if s.kind in ("previous", "following") else F.col(f"__l_{n}") for n, s in scans.items()}
-            self.df = self.df.select("*", *[c.alias(n) for n, c in local.items()]).select(*kept, *[c.alias(n) for n, c in done.items()])
-            return self
+        cut = self.keys_in_several_slices()
         carried = (
-            self.df.filter(IS_HOT)
-            .groupBy(*part)
-            .agg(*[c.alias(n) for n, c in summary.items()])
+            self.df.join(F.broadcast(cut), KEY, "left_semi").groupBy(*part).agg(*[c.alias(n) for n, c in summary.items()])
             .select(*part, *[c.alias(n) for n, c in carry.items()])
         )
         self.df = (
-            self.df.select("*", *[c.alias(n) for n, c in local.items()])
-            .join(carried, part, "left")
+            self.df.select("*", *[c.alias(n) for n, c in local.items()]).join(F.broadcast(carried), part, "left")
             .select(*kept, *[c.alias(n) for n, c in combined.items()])
         )
         return self
 
 
-def trailing_sum(
-    df: DataFrame, keys: Sequence[str], order: str, value: Column, range_us: int, out: str, hot_rows: int | None = None
-) -> DataFrame:
+def trailing_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, range_us: int, out: str, slices: int | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by time range between R preceding and current row)`` for integers.
 
-    With hot keys: the values are added up per (key, time), each sum enters a running
-    total at its time and leaves it just after the range, and the total is joined back.
+    The values are added up per (key, time), each sum enters a running total at its time and leaves it just after the
+    range, and the total is joined back. Taking values out again is exact for integers only: other types are refused.
     """
-    timed = df.withColumn("__us", order_us(df, order))
-    if not Slices(timed, keys, ["__us"], hot_rows):
-        trailing = Window.partitionBy(*keys).orderBy("__us").rangeBetween(-range_us, 0)
-        return timed.withColumn(out, F.sum(value).over(trailing)).drop("__us")
-    sums = timed.groupBy(*keys, "__us").agg(F.sum(value).cast("bigint").alias("__v"))
-    leaving = sums.select(*keys, (F.col("__us") + F.lit(range_us + 1)).alias("__us"), F.lit(0).alias("__kind"), (-F.col("__v")).alias("__v"))
-    marks = sums.select(*keys, "__us", F.lit(1).alias("__kind"), "__v").unionByName(leaving)
-    totals = Ordered(marks, keys, ["__us", "__kind"], hot_rows).scan(**{out: total("__v")}).result().filter(F.col("__kind") == 1)
-    return timed.join(totals.select(*keys, "__us", out), [*keys, "__us"]).drop("__us")
+    timed = df.withColumn("__us", order_us(df, order)).withColumn("__v", value).withColumn(KEY, key_struct(keys))
+    if not isinstance(timed.schema["__v"].dataType, IntegralType):
+        raise TypeError("trailing sums are exact for integers only")
+    sums = timed.groupBy(KEY, "__us").agg(F.sum("__v").alias("__v"))
+    leaving = sums.select(KEY, (F.col("__us") + F.lit(range_us + 1)).alias("__us"), F.lit(0).alias("__kind"), (-F.col("__v")).alias("__v"))
+    marks = sums.select(KEY, "__us", F.lit(1).alias("__kind"), "__v").unionByName(leaving).withColumnRenamed(KEY, "__of")
+    totals = Ordered(marks, ["__of"], ["__us", "__kind"], slices).scan(**{out: total("__v")}).result().filter(F.col("__kind") == 1)
+    return timed.drop("__v").join(totals.select(F.col("__of").alias(KEY), "__us", out), [KEY, "__us"]).drop("__us", KEY)

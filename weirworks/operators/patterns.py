@@ -79,17 +79,17 @@ def apply_rule_versions(df: DataFrame, ts: str, versions: Sequence[tuple[str, Se
     return df.withColumn("__f", F.explode(F.concat(*parts))).select(*df.columns, "__f.rule_id", "__f.result")
 
 
-def followed_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, then: Column, then_value: Column, out: str, hot_rows: int | None = None) -> DataFrame:
+def followed_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, then: Column, then_value: Column, out: str, slices: int | None = None) -> DataFrame:
     """Every row meeting ``first`` with the value of the next later row meeting ``then``; unmatched rows drop."""
-    scanned = Ordered(df, keys, order, hot_rows).scan(**{out: next_known(F.when(then, then_value))}).result()
+    scanned = Ordered(df, keys, order, slices).scan(**{out: next_known(F.when(then, then_value))}).result()
     return scanned.filter(first & F.col(out).isNotNull())
 
 
-def match_patterns(df: DataFrame, keys: Sequence[str], order: Sequence[str], patterns: Sequence[Pattern], hot_rows: int | None = None) -> DataFrame:
+def match_patterns(df: DataFrame, keys: Sequence[str], order: Sequence[str], patterns: Sequence[Pattern], slices: int | None = None) -> DataFrame:
     """Rows that complete a pattern on consecutive rows of their key, with ``pattern``; all patterns in one pass per step."""
     depth = max(len(p.steps) for p in patterns)
     columns = list(df.columns)
-    seq = Ordered(df, keys, order, hot_rows)
+    seq = Ordered(df, keys, order, slices)
 
     def matched(step: int, before: Column | None) -> Column:
         flags = []

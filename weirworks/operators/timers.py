@@ -10,7 +10,7 @@ from weirworks.functions.expr import floor_to, from_micros, interval_us, micros
 from weirworks.operators.ordered import Ordered, following, latest, previous, running_count
 
 
-def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offline: Column, period: str, hot_rows: int | None = None) -> DataFrame:
+def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offline: Column, period: str, slices: int | None = None) -> DataFrame:
     """Alerts each ``period`` after an offline message until the key's next message, which re-arms or stops them.
 
     A key without a next message is watched up to the last time in the table.
@@ -20,17 +20,17 @@ def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offli
     until = F.coalesce(micros("__next"), horizon)
     first = micros(ts) + F.lit(step)
     times = F.sequence(first, until - F.lit(1), F.lit(step))
-    watched = Ordered(df, keys, [ts, tie], hot_rows).scan(__next=following(ts)).result()
+    watched = Ordered(df, keys, [ts, tie], slices).scan(__next=following(ts)).result()
     return (
         watched.filter(offline).withColumn("__until", until).filter(first < F.col("__until"))
         .select(*keys, tie, F.explode(times).alias("__us")).select(*keys, tie, from_micros("__us").alias("alert_at"))
     )
 
 
-def counts_after_silence(df: DataFrame, keys: Sequence[str], ts: str, tie: str, silence: str, hot_rows: int | None = None) -> DataFrame:
+def counts_after_silence(df: DataFrame, keys: Sequence[str], ts: str, tie: str, silence: str, slices: int | None = None) -> DataFrame:
     """The key's count so far, emitted ``silence`` after a row that no other row of the key followed by then."""
     quiet = micros("__next") - micros(ts) > interval_us(silence)
-    scanned = Ordered(df, keys, [ts, tie], hot_rows).scan(n=running_count(), __next=following(ts)).result()
+    scanned = Ordered(df, keys, [ts, tie], slices).scan(n=running_count(), __next=following(ts)).result()
     return (
         scanned.filter(F.coalesce(quiet, F.lit(True)))
         .withColumn("emitted_at", from_micros(micros(ts) + F.lit(interval_us(silence)))).drop("__next")
@@ -47,11 +47,11 @@ def daily_average_ticks(df: DataFrame, keys: Sequence[str], ts: str, value: str,
         (F.sum("__s").over(sofar) / F.sum("__n").over(sofar)).alias("mean"))
 
 
-def counts_with_idle_reset(df: DataFrame, keys: Sequence[str], ts: str, tie: str, idle: str, hot_rows: int | None = None) -> DataFrame:
+def counts_with_idle_reset(df: DataFrame, keys: Sequence[str], ts: str, tie: str, idle: str, slices: int | None = None) -> DataFrame:
     """Running count whose state is dropped when the key is idle for longer than ``idle``."""
     revived = F.coalesce(micros(ts) - micros("__prev") > interval_us(idle), F.lit(True))
     return (
-        Ordered(df, keys, [ts, tie], hot_rows)
+        Ordered(df, keys, [ts, tie], slices)
         .scan(__prev=previous(ts), __n=running_count())
         .with_column("__reset", F.when(revived, F.col("__n") - 1))
         .scan(__base=latest("__reset"))

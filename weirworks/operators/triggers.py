@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirworks.functions.expr import floor_to, from_micros, interval_us, micros
 from weirworks.operators.ordered import Ordered, previous, running_count, running_max, total
-from weirworks.operators.windows import assign_sessions
 
 
 def continuous_results(df: DataFrame, keys: Sequence[str], ts: str, size: str, every: str, **sums: Column) -> DataFrame:
@@ -28,19 +27,19 @@ def continuous_results(df: DataFrame, keys: Sequence[str], ts: str, size: str, e
         *[F.sum(f"__{n}").over(sofar).alias(n) for n in sums])
 
 
-def with_watermark_before(df: DataFrame, arrival: Sequence[str], event_ts: str, delay: str, hot_rows: int | None = None) -> DataFrame:
+def with_watermark_before(df: DataFrame, arrival: Sequence[str], event_ts: str, delay: str, slices: int | None = None) -> DataFrame:
     """Adds ``watermark_us``: highest event time among rows that arrived earlier, minus ``delay``."""
     return (
-        Ordered(df, [], arrival, hot_rows).scan(__high=running_max(micros(event_ts))).scan(__before=previous("__high")).result()
+        Ordered(df, [], arrival, slices).scan(__high=running_max(micros(event_ts))).scan(__before=previous("__high")).result()
         .withColumn("watermark_us", F.col("__before") - F.lit(interval_us(delay))).drop("__high", "__before")
     )
 
 
-def label_firings(df: DataFrame, arrival: Sequence[str], event_ts: str, size: str, delay: str, early: str, lateness: str, hot_rows: int | None = None) -> DataFrame:
+def label_firings(df: DataFrame, arrival: Sequence[str], event_ts: str, size: str, delay: str, early: str, lateness: str, slices: int | None = None) -> DataFrame:
     """Which firing of its window first shows a row: an ``early`` one (every ``early`` of watermark), the ``on_time``
     one at the window's end, a ``late`` one of its own, or none (``dropped``)."""
     size_us, early_us, late_us = (interval_us(x) for x in (size, early, lateness))
-    marked = with_watermark_before(df, arrival, event_ts, delay, hot_rows)
+    marked = with_watermark_before(df, arrival, event_ts, delay, slices)
     end = floor_to(micros(event_ts), size_us) + F.lit(size_us)
     mark = F.coalesce(F.col("watermark_us"), F.lit(0))
     next_tick = floor_to(mark, early_us) + F.lit(early_us)
@@ -50,29 +49,29 @@ def label_firings(df: DataFrame, arrival: Sequence[str], event_ts: str, size: st
     return marked.withColumn("window_end", from_micros(end)).withColumn("label", label).drop("watermark_us")
 
 
-def accepted_rows(df: DataFrame, arrival: Sequence[str], event_ts: str, size: str, delay: str, lateness: str, hot_rows: int | None = None) -> DataFrame:
+def accepted_rows(df: DataFrame, arrival: Sequence[str], event_ts: str, size: str, delay: str, lateness: str, slices: int | None = None) -> DataFrame:
     """Rows whose window, ``lateness`` included, has not been passed by the watermark (the window's last millisecond counts)."""
     size_us = interval_us(size)
-    marked = with_watermark_before(df, arrival, event_ts, delay, hot_rows)
+    marked = with_watermark_before(df, arrival, event_ts, delay, slices)
     start = floor_to(micros(event_ts), size_us)
     passed = start + F.lit(size_us - 1000 + interval_us(lateness)) <= F.col("watermark_us")
     return marked.withColumn("window_start", from_micros(start)).filter(~F.coalesce(passed, F.lit(False))).drop("watermark_us")
 
 
-def per_element_counts(df: DataFrame, keys: Sequence[str], arrival: Sequence[str], out: str = "n", hot_rows: int | None = None) -> DataFrame:
+def per_element_counts(df: DataFrame, keys: Sequence[str], arrival: Sequence[str], out: str = "n", slices: int | None = None) -> DataFrame:
     """The window's count after each of its rows (rows carry ``window_start``)."""
-    return Ordered(df, [*keys, "window_start"], arrival, hot_rows).scan(**{out: running_count()}).result()
+    return Ordered(df, [*keys, "window_start"], arrival, slices).scan(**{out: running_count()}).result()
 
 
-def every_n_and_end(df: DataFrame, window: Sequence[str], order: Sequence[str], n: int, value: str, hot_rows: int | None = None) -> DataFrame:
+def every_n_and_end(df: DataFrame, window: Sequence[str], order: Sequence[str], n: int, value: str, slices: int | None = None) -> DataFrame:
     """Window total after every ``n``-th element and once more at the window's end."""
-    counted = Ordered(df, window, order, hot_rows).scan(seen=running_count(), total=total(value)).result()
+    counted = Ordered(df, window, order, slices).scan(seen=running_count(), total=total(value)).result()
     at_n = counted.filter(F.col("seen") % n == 0).select(*window, F.lit("count").alias("fired_by"), "seen", "total")
     at_end = df.groupBy(*window).agg(F.count(F.lit(1)).alias("seen"), F.sum(value).alias("total")).select(*window, F.lit("end").alias("fired_by"), "seen", "total")
     return at_n.unionByName(at_end)
 
 
-def session_firsts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, hot_rows: int | None = None) -> DataFrame:
-    """Only the first row of each gap session."""
-    sessions = assign_sessions(df, keys, ts, tie, gap, hot_rows)
-    return sessions.filter(F.col("session_start") == F.col(ts)).drop("session_start")
+def session_firsts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, slices: int | None = None) -> DataFrame:
+    """Only the first row of each gap session: one row, also where several share its time."""
+    opens = F.coalesce(micros(ts) - micros("__prev") > interval_us(gap), F.lit(True))
+    return Ordered(df, keys, [ts, tie], slices).scan(__prev=previous(ts)).result().filter(opens).drop("__prev")

@@ -39,14 +39,14 @@ def session_windows(df: DataFrame, ts: str, gap: str | Column, keys: Sequence[st
     )
 
 
-def assign_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, hot_rows: int | None = None) -> DataFrame:
+def assign_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap: str, slices: int | None = None) -> DataFrame:
     """Adds ``session_start``: a row joins the running session if it comes at most ``gap`` after the row before.
 
     Batch form without a per-key task: the session of a hot key may span many slices.
     """
     opens = F.coalesce(micros(ts) - micros("__prev") > interval_us(gap), F.lit(True))
     return (
-        Ordered(df, keys, [ts, tie], hot_rows)
+        Ordered(df, keys, [ts, tie], slices)
         .scan(__prev=previous(ts))
         .with_column("__open", F.when(opens, F.col(ts)))
         .scan(session_start=latest("__open"))
@@ -116,9 +116,9 @@ def concurrent_window_sums(df: DataFrame, ts: str, value: str, keys: Sequence[st
     return rolled.unionByName(sessions)
 
 
-def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, hot_rows: int | None = None, **aggs: Column) -> DataFrame:
+def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, slices: int | None = None, **aggs: Column) -> DataFrame:
     """Every ``size``-th element of a key emits its group and clears it; an incomplete last group emits nothing."""
-    numbered = Ordered(df, keys, order, hot_rows).scan(__n=running_count()).result()
+    numbered = Ordered(df, keys, order, slices).scan(__n=running_count()).result()
     return (
         numbered.withColumn("batch", F.floor((F.col("__n") - 1) / F.lit(size)).cast("bigint"))
         .groupBy(*keys, "batch").agg(F.count(F.lit(1)).alias("__c"), *[a.alias(n) for n, a in aggs.items()])
@@ -126,9 +126,9 @@ def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], size
     )
 
 
-def count_accumulate(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, value: str, out: str, hot_rows: int | None = None) -> DataFrame:
+def count_accumulate(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, value: str, out: str, slices: int | None = None) -> DataFrame:
     """Running total emitted at every ``size``-th element of a key, never cleared."""
     return (
-        Ordered(df, keys, order, hot_rows).scan(seen=running_count(), **{out: total(value)}).result()
+        Ordered(df, keys, order, slices).scan(seen=running_count(), **{out: total(value)}).result()
         .filter(F.col("seen") % size == 0)
     )

@@ -125,7 +125,7 @@ def state_bootstrap(spark, sf_dir):
 @query("state_evolve", """
 with o as (select user_id, sum((props::json->>'k')::int) as old from events where ts < timestamp '2024-01-16 00:00:00' group by 1),
 f as (select user_id, count(*) as m, sum((props::json->>'k')::int) as new from events where ts >= timestamp '2024-01-16 00:00:00' group by 1)
-select o.user_id as account, coalesce(m, 0)::bigint as n, (old * 12 // 10 + coalesce(new, 0))::bigint as total from o left join f using (user_id)
+select user_id as account, coalesce(m, 0)::bigint as n, (coalesce(old * 12 // 10, 0) + coalesce(new, 0))::bigint as total from o full join f using (user_id)
 """)
 def state_evolve(spark, sf_dir):
     checkpoint = scratch_dir(spark, "checkpoint")

@@ -80,9 +80,9 @@ def win_session_bounded(spark, sf_dir):
     e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     chained = greedy.bounded_sessions(e, ["user_id"], "ts", "event_id", gap="12 hours", bound="36 hours")
     return (
-        chained.groupBy("user_id", F.col("anchor_ts").alias("window_start"))
+        chained.groupBy("user_id", F.col("anchor_ts").alias("window_start"), "anchor_id")
         .agg(F.max("ts").alias("last"), n_rows().alias("n"), F.round(F.max((F.col("value") - 32) * 5.0 / 9.0), 4).alias("max_c"))
-        .withColumn("window_end", F.col("last") + F.expr("interval 12 hours")).drop("last")
+        .withColumn("window_end", F.col("last") + F.expr("interval 12 hours")).drop("last", "anchor_id")
     )
 
 
@@ -157,18 +157,19 @@ def win_count_accumulate(spark, sf_dir):
 @query("win_count_or_delay", """
 with recursive r as (select *, row_number() over (partition by user_id order by ts, event_id) as rn from events),
 w as (
-  select user_id, rn, event_id, ts, ts as a, 1 as c from r where rn = 1
+  select user_id, rn, event_id, ts, ts as a, event_id as aid, 1 as c from r where rn = 1
   union all
   select r.user_id, r.rn, r.event_id, r.ts, case when w.c >= 5 or r.ts - w.a >= interval 1 day then r.ts else w.a end,
+         case when w.c >= 5 or r.ts - w.a >= interval 1 day then r.event_id else w.aid end,
          case when w.c >= 5 or r.ts - w.a >= interval 1 day then 1 else w.c + 1 end
   from w join r on r.user_id = w.user_id and r.rn = w.rn + 1)
-select user_id, a as chunk_start, count(*) as n, min(event_id) as first_id, max(event_id) as last_id from w group by 1, 2
+select user_id, a as chunk_start, count(*) as n, min(event_id) as first_id, max(event_id) as last_id from w group by user_id, a, aid
 """)
 def win_count_or_delay(spark, sf_dir):
     e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     chained = greedy.count_or_delay(e, ["user_id"], "ts", "event_id", max_count=5, delay="1 day")
-    return chained.groupBy("user_id", F.col("anchor_ts").alias("chunk_start")).agg(
-        n_rows().alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    return chained.groupBy("user_id", F.col("anchor_ts").alias("chunk_start"), "anchor_id").agg(
+        n_rows().alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")).drop("anchor_id")
 
 
 @query("win_all", """

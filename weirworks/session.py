@@ -38,10 +38,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
     Executors on other machines must see it, so a machine-local folder is used
-    only where the setting is absent (local tests).
+    only with a local master (tests); on a cluster a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="weirworks-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/weirworks/{label}-{uuid.uuid4().hex}"

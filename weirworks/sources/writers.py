@@ -76,9 +76,9 @@ def write_targets(*targets):
     return write
 
 
-def flush_chunks(df: DataFrame, order: list[str], size: int, hot_rows: int | None = None) -> DataFrame:
+def flush_chunks(df: DataFrame, order: list[str], size: int, slices: int | None = None) -> DataFrame:
     """Chunk number of every row when a sink flushes each ``size`` rows in arrival order."""
-    numbered = Ordered(df, [], order, hot_rows).scan(__n=running_count()).result()
+    numbered = Ordered(df, [], order, slices).scan(__n=running_count()).result()
     return numbered.withColumn("chunk_id", F.floor((F.col("__n") - 1) / F.lit(size)).cast("bigint")).drop("__n")
 
 
