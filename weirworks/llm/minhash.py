@@ -10,7 +10,7 @@
 5. Components by alternating large-star and small-star. Buckets that still hold several components are finished
    exactly: members outside the bucket's largest component against the bucket's other components, filtered inside
    the join by 256 bits of the signatures (a pair at 0.8 fails with probability < 1e-6) and by an exact bound: the sets
-   are folded to 4096 parity bits each, which differ in no more bits than the sets in elements. So copies of one text that
+   are folded to 2048 parity bits each, which differ in no more bits than the sets in elements. So copies of one text that
    were edited apart don't become pairs. What is left is confirmed as in 4. A last run of the stars gives the components.
 
 Defined results: a text without words has an empty set and is linked with nothing; rows with a NULL id are
@@ -32,10 +32,10 @@ from weirworks.session import stored
 SHINGLE, PERMUTATIONS, ROWS = 5, 128, 4
 BANDS = PERMUTATIONS // ROWS
 SURE = 80  # of 128 equal minima: five standard deviations below the mean at 0.8
-FOLD = 4096
+FOLD = 2048
 BITS_APART = 58  # of 256 sketch bits: 5.5 standard deviations above the mean at 0.8
 PERCENT = 80
-MAX_CACHED = 20_000_000  # shingles of centres kept by a worker
+MAX_CACHED = 2_000_000  # shingles of centres kept by a worker
 
 SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature binary, bits array<bigint>, fold array<bigint>"
 
@@ -103,6 +103,11 @@ def band_keys(classes: DataFrame) -> DataFrame:
     return classes.select("doc", F.explode(F.array(*parts)).alias("key"))
 
 
+def numbers(column: str, name: str, n: int) -> list[Column]:
+    """Elements of an array as plain columns: a join condition over these stays in small compiled code."""
+    return [F.coalesce(F.col(column)[i], F.lit(0)).alias(f"{name}{i}") for i in range(n)]
+
+
 def far_apart() -> Column:
     """Differing bits of the two short sketches: 2 bits of each minimum."""
     return sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(4)), F.lit(0))
@@ -110,7 +115,7 @@ def far_apart() -> Column:
 
 def may_pass(percent: int) -> Column:
     """A bound that no passing pair breaks: the sets differ in (100 - percent) / (100 + percent) of their summed sizes at most."""
-    apart = sum((F.bit_count(F.col("fold_a")[i].bitwiseXOR(F.col("fold_b")[i])) for i in range(FOLD // 64)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"fa{i}").bitwiseXOR(F.col(f"fb{i}"))) for i in range(FOLD // 64)), F.lit(0))
     return apart * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent)
 
 
@@ -216,8 +221,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     per_root = known.groupBy("key", "root").agg(F.count("doc").alias("n"))
     main = per_root.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count("root").alias("roots")).filter("roots > 1").select("key", F.col("m.root").alias("main"))
     mixed = stored(known.join(main, "key").join(classes.select("doc", "bits", "fold", "size"), "doc"), "mixed")
-    outside = mixed.filter("root <> main").select("key", "doc", "root", *[F.col("bits")[i].alias(f"a{i}") for i in range(4)], F.col("fold").alias("fold_a"), F.col("size").alias("size_a"))
-    others = mixed.select("key", F.col("doc").alias("other"), F.col("root").alias("other_root"), "main", *[F.col("bits")[i].alias(f"b{i}") for i in range(4)], F.col("fold").alias("fold_b"), F.col("size").alias("size_b"))
+    outside = mixed.filter("root <> main").select("key", "doc", "root", *numbers("bits", "a", 4), *numbers("fold", "fa", FOLD // 64), F.col("size").alias("size_a"))
+    others = mixed.select("key", F.col("doc").alias("other"), F.col("root").alias("other_root"), "main", *numbers("bits", "b", 4), *numbers("fold", "fb", FOLD // 64), F.col("size").alias("size_b"))
     rest = (
         outside.join(others, (outside["key"] == others["key"]) & (F.col("root") != F.col("other_root"))
                      & ((F.col("other_root") == F.col("main")) | (F.col("doc") < F.col("other"))) & (far_apart() <= BITS_APART) & may_pass(percent))
