@@ -113,8 +113,8 @@ select event_type, count(distinct props::json->>'k' || '/' || user_id) as exact,
 def agg_approx_distinct(spark, sf_dir):
     e = events(spark, sf_dir).withColumn("pair", F.concat_ws("/", F.col("item_id").cast("string"), F.col("user_id").cast("string")))
     exact = aggs.exact_distinct(e, ["event_type"], "pair", "exact")
-    estimate = aggs.sketch_distinct(e.withColumn("day", F.to_date("ts")), ["event_type"], ["day"], "pair", "estimate", log_size=16)
-    close = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * 0.05
+    estimate = aggs.sketch_distinct(e.withColumn("day", F.to_date("ts")), ["event_type"], ["day"], "pair", "estimate", log_size=20)
+    close = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * 0.005
     return exact.join(estimate, "event_type").select("event_type", "exact", close.alias("close"))
 
 
@@ -197,18 +197,18 @@ def agg_account_summary(spark, sf_dir):
 
 @query("agg_window_collect", """
 with d as (select user_id, date_trunc('day', ts) as day, ts, event_id, event_type,
-                  (row_number() over (partition by user_id, date_trunc('day', ts) order by ts, event_id) - 1) // 1000 as chunk_no from events)
-select user_id, day, chunk_no::bigint as chunk_no, count(*) as n, min(ts) as first_ts, max(ts) as last_ts,
+                  (row_number() over (partition by user_id, date_trunc('day', ts) order by ts, event_id) - 1) // 1000 as chunk_no from events),
+w as (select user_id, day, count(*) as n, min(ts) as first_ts, max(ts) as last_ts from d group by 1, 2)
+select user_id, day, chunk_no::bigint as chunk_no, any_value(n) as n, any_value(first_ts) as first_ts, any_value(last_ts) as last_ts,
        string_agg(event_type, ',' order by ts, event_id) as joined
-from d group by 1, 2, 3
+from d join w using (user_id, day) group by 1, 2, 3
 """)
 def agg_window_collect(spark, sf_dir):
+    """Count, first and last of each window, next to its list; a very long list takes several rows, each with the window's figures."""
     e = load(spark, sf_dir, "events").select("user_id", F.window("ts", "1 day").start.alias("day"), "ts", "event_id", "event_type")
-    lists = aggs.group_lists(e, ["user_id", "day"], ["ts", "event_id"], F.struct("ts", "event_type"), "entries")
-    return lists.select(
-        "user_id", "day", "chunk_no", F.size("entries").cast("bigint").alias("n"),
-        F.array_min("entries.ts").alias("first_ts"), F.array_max("entries.ts").alias("last_ts"),
-        F.concat_ws(",", "entries.event_type").alias("joined"))
+    figures = e.groupBy("user_id", "day").agg(n_rows().alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    lists = aggs.group_lists(e, ["user_id", "day"], ["ts", "event_id"], F.col("event_type"), "entries")
+    return lists.join(figures, ["user_id", "day"]).select("user_id", "day", "chunk_no", "n", "first_ts", "last_ts", F.concat_ws(",", "entries").alias("joined"))
 
 
 @query("agg_latest_then_count", """

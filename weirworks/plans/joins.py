@@ -74,10 +74,10 @@ def join_window_three_way(spark, sf_dir):
 
 
 @query("cogroup_lists", """
-with c as (select user_id, date_trunc('day', ts) as w, string_agg(event_id::varchar, ',' order by ts, event_id) as clicks from events where event_type = 'click' group by 1, 2),
-p as (select user_id, date_trunc('day', ts) as w, string_agg(event_id::varchar, ',' order by ts, event_id) as purchases from events where event_type = 'purchase' group by 1, 2)
-select coalesce(c.user_id, p.user_id) as user_id, coalesce(c.w, p.w) as w, 0::bigint as chunk_no, clicks, purchases
-from c full join p on c.user_id = p.user_id and c.w = p.w
+with e as (select *, date_trunc('day', ts) as w, ((row_number() over (partition by user_id, event_type, date_trunc('day', ts) order by ts, event_id) - 1) // 1000)::bigint as chunk_no from events),
+c as (select user_id, w, chunk_no, string_agg(event_id::varchar, ',' order by ts, event_id) as clicks from e where event_type = 'click' group by all),
+p as (select user_id, w, chunk_no, string_agg(event_id::varchar, ',' order by ts, event_id) as purchases from e where event_type = 'purchase' group by all)
+select user_id, w, chunk_no, clicks, purchases from c full join p using (user_id, w, chunk_no)
 """)
 def cogroup_lists(spark, sf_dir):
     lists = joins.cogroup_lists(
@@ -174,31 +174,30 @@ def join_max_per_group(spark, sf_dir):
 
 
 @query("lookup_full_refresh", """
-select c_custkey, c_nationkey, n_name, n_name is null as lookup_failed from customer left join (select * from nation where n_regionkey < 3) n on c_nationkey = n_nationkey
+select c_custkey, c_nationkey, suppliers, suppliers is null as lookup_failed
+from customer left join (select s_nationkey, count(*) as suppliers from supplier group by 1) s on c_nationkey = s_nationkey
 """)
 def lookup_full_refresh(spark, sf_dir):
-    nations = load(spark, sf_dir, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    nations = load(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(n_rows().alias("suppliers"))
     return joins.lookup(load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), nations, ["c_nationkey"], "flag")
 
 
-def third_of_customers(spark, sf_dir):
-    return load(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_acctbal")
-
-
 @query("lookup_inner", """
-select o_orderkey, o_custkey, c_name from orders join customer on o_custkey = c_custkey where c_custkey % 3 = 0
+select o_orderkey, o_custkey, c_name from orders join customer on o_custkey = c_custkey
 """)
 def lookup_inner(spark, sf_dir):
-    found = joins.lookup(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), third_of_customers(spark, sf_dir), ["o_custkey"])
-    return found.drop("c_acctbal")
+    names = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return joins.lookup(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), names, ["o_custkey"])
 
 
 @query("lookup_left_default", """
-select o_orderkey, o_custkey, coalesce(c_acctbal, 0) as c_acctbal from orders left join (select * from customer where c_custkey % 3 = 0) c on o_custkey = c_custkey
+select c_custkey, c_name, coalesce(urgent, 0)::bigint as urgent
+from customer left join (select o_custkey, count(*) as urgent from orders where o_orderpriority = '1-URGENT' group by 1) o on o_custkey = c_custkey
 """)
 def lookup_left_default(spark, sf_dir):
-    found = joins.lookup(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), third_of_customers(spark, sf_dir), ["o_custkey"], "left", {"c_acctbal": 0.0})
-    return found.drop("c_name")
+    urgent = load(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    known = urgent.groupBy(F.col("o_custkey").alias("c_custkey")).agg(n_rows().alias("urgent"))
+    return joins.lookup(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), known, ["c_custkey"], "left", {"urgent": 0})
 
 
 @query("broadcast_rule_semi", """
@@ -211,22 +210,22 @@ def broadcast_rule_semi(spark, sf_dir):
     return joins.rule_semi_join(e.select("event_id", "event_type", "ts"), rules, "event_type", "ts", "rule_ts")
 
 
-# settings announced over time: longest path length that is still normal; 1 before the first announcement
-PATH_LIMITS = [("2024-01-05 00:00:00", 3), ("2024-01-12 00:00:00", 5), ("2024-01-20 00:00:00", 2)]
-
-
 @query("broadcast_config_path", """
 with s as (select *, sum(case when event_type = 'purchase' then 1 else 0 end) over (partition by user_id order by ts, event_id) - (event_type = 'purchase')::int as path_no from events),
 p as (select user_id, path_no::bigint as path_no, count(*) as path_length, count(*) filter (event_type = 'click') as n_click, count(*) filter (event_type = 'view') as n_view,
       count(*) filter (event_type = 'signup') as n_signup, count(*) filter (event_type = 'error') as n_error, count(*) filter (event_type = 'purchase') as n_purchase,
-      max(ts) filter (event_type = 'purchase') as end_ts from s group by 1, 2)
-select *, (case when end_ts >= timestamp '2024-01-20' then 2 when end_ts >= timestamp '2024-01-12' then 5 when end_ts >= timestamp '2024-01-05' then 3 else 1 end)::int as max_length
-from p where n_purchase > 0 and path_length > max_length
+      max(ts) filter (event_type = 'purchase') as end_ts from s group by 1, 2),
+c as (select ts, arg_max(floor(value / 50)::int + 1, event_id) as announced from events where event_type = 'signup' group by 1),
+f as (select p.*, coalesce(c.announced, 1)::int as max_length from (select * from p where n_purchase > 0) p asof left join c on p.end_ts >= c.ts)
+select * from f where path_length > max_length and path_no < 10
 """)
 def broadcast_config_path(spark, sf_dir):
-    e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    """Paths longer than the limit in force at their end, for users with fewer than ten purchases before; signups announce the limits."""
+    e = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
     paths = joins.paths_to_event(e, ["user_id"], ["ts", "event_id"], "event_type", "purchase", ["click", "view", "signup", "error", "purchase"])
-    return paths.withColumn("max_length", joins.in_force("end_ts", PATH_LIMITS, 1)).filter("path_length > max_length")
+    limits = e.filter("event_type = 'signup'").select(F.col("ts").alias("since"), F.col("event_id").alias("config_id"), (F.floor(F.col("value") / 50).cast("int") + 1).alias("max_length"))
+    limited = joins.asof_join(paths, limits, [], "end_ts", "user_id", "since", "config_id", ["max_length"], how="left")
+    return limited.withColumn("max_length", F.coalesce("max_length", F.lit(1))).filter("path_length > max_length and path_no < 10")
 
 
 @query("convert_with_buffer", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weirworks.operators import patterns
-from weirworks.operators.joins import in_force
+from weirworks.operators.joins import asof_join
 from weirworks.operators.ordered import Ordered, previous
 from weirworks.operators.patterns import Rule
 from weirworks.plans.registry import query
@@ -47,20 +47,20 @@ def cep_dynamic_pattern(spark, sf_dir):
     return patterns.match_patterns(e, ["user_id"], ["ts", "event_id"], patterns.read_patterns(table)).select("user_id", "event_id", "pattern")
 
 
-# patterns announced over time: previous action, current action
-PAIRS = [("2024-01-01 00:00:00", "view,purchase"), ("2024-01-15 00:00:00", "click,error")]
-
-
 @query("broadcast_pattern_pair", """
-select user_id, event_id, p as first_action, event_type as second_action from (
-  select *, lag(event_type) over (partition by user_id order by ts, event_id) as p from events)
-where (ts < timestamp '2024-01-15' and p = 'view' and event_type = 'purchase') or (ts >= timestamp '2024-01-15' and p = 'click' and event_type = 'error')
+with l as (select *, lag(event_type) over (partition by user_id order by ts, event_id) as p from events),
+a as (select ts, arg_max(case when value < 60 then 'view,purchase' else 'click,error' end, event_id) as pair from events where event_type = 'signup' group by 1)
+select user_id, event_id, p as first_action, event_type as second_action from l asof join a on l.ts >= a.ts where p || ',' || event_type = pair
 """)
 def broadcast_pattern_pair(spark, sf_dir):
-    e = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
+    """Pairs of actions that match the pattern in force; signups announce the patterns."""
+    e = load(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    pair = F.when(F.col("value") < 60, "view,purchase").otherwise("click,error")
+    announced = e.filter("event_type = 'signup'").select(F.col("ts").alias("since"), F.col("event_id").alias("pattern_id"), pair.alias("pair"))
     scanned = Ordered(e, ["user_id"], ["ts", "event_id"]).scan(first_action=previous("event_type")).result()
-    pair = F.concat_ws(",", F.coalesce("first_action", F.lit("")), "event_type")
-    return scanned.filter(pair == in_force("ts", PAIRS)).select("user_id", "event_id", "first_action", F.col("event_type").alias("second_action"))
+    known = asof_join(scanned, announced, [], "ts", "event_id", "since", "pattern_id", ["pair"])
+    found = known.filter(F.concat(F.col("first_action"), F.lit(","), F.col("event_type")) == F.col("pair"))
+    return found.select("user_id", "event_id", "first_action", F.col("event_type").alias("second_action"))
 
 
 RULE_ROWS = """select * from values
@@ -80,16 +80,16 @@ def rules_apply(spark, sf_dir):
     return patterns.apply_rules(customers, rules).select("c_custkey", "rule_id", "result")
 
 
-RULE_VERSIONS = [
-    ("1970-01-01 00:00:00", [Rule("above", "item_id >= 18", "concat(item_id, ' is above 18')"), Rule("under", "item_id < 18", "concat(item_id, ' is under 18')")]),
-    ("2024-01-10 00:00:00", [Rule("above", "item_id >= 13", "concat(item_id, ' is above 13')"), Rule("under", "item_id < 13", "concat(item_id, ' is under 13')")]),
-]
-
-
 @query("rules_broadcast_swap", """
-with e as (select event_id, (props::json->>'k')::int as k, case when ts >= timestamp '2024-01-10' then 13 else 18 end as lim from events)
-select event_id, case when k >= lim then 'above' else 'under' end as rule_id, k || ' is ' || case when k >= lim then 'above ' else 'under ' end || lim as result from e
+with e as (select event_id, ts, (props::json->>'k')::int as k from events),
+a as (select ts, arg_max(floor(value)::bigint, event_id) as lim from events where event_type = 'signup' group by 1),
+f as (select e.*, coalesce(a.lim, 18) as lim from e asof left join a on e.ts >= a.ts)
+select event_id, case when k >= lim then 'above' else 'under' end as rule_id, k || ' is ' || case when k >= lim then 'above ' else 'under ' end || lim as result from f
 """)
 def rules_broadcast_swap(spark, sf_dir):
-    e = events(spark, sf_dir).select("event_id", "ts", "item_id")
-    return patterns.apply_rule_versions(e, "ts", RULE_VERSIONS).select("event_id", "rule_id", "result")
+    """Two rules whose limit is the one in force at the row's time; signups announce new limits, 18 holds before the first."""
+    e = events(spark, sf_dir).select("event_id", "ts", "item_id", "event_type", "value")
+    announced = e.filter("event_type = 'signup'").select(F.col("ts").alias("since"), F.col("event_id").alias("rule_set"), F.floor("value").alias("lim"))
+    known = asof_join(e, announced, [], "ts", "event_id", "since", "rule_set", ["lim"], how="left").withColumn("lim", F.coalesce("lim", F.lit(18)))
+    rules = [Rule("above", "item_id >= lim", "concat(item_id, ' is above ', lim)"), Rule("under", "item_id < lim", "concat(item_id, ' is under ', lim)")]
+    return patterns.apply_rules(known, rules).select("event_id", "rule_id", "result")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weirworks.operators import ranking, windows
+from weirworks.operators.ordered import Ordered, running_count
 from weirworks.plans.registry import query
 from weirworks.tables import events, load
 
@@ -42,12 +43,12 @@ def topn_running(spark, sf_dir):
 @query("topn_daily_rank", """
 with s as (select date_trunc('second', l_shipdate) as sec, l_partkey, sum(l_quantity) as q from lineitem group by 1, 2),
 d as (select date_trunc('day', sec) as day, l_partkey, sum(q) as quantity from s group by 1, 2)
-select day, l_partkey, quantity, (row_number() over (partition by day order by quantity desc, l_partkey))::int as rank from d qualify rank <= 10
+select day, l_partkey, quantity, row_number() over (partition by day order by quantity desc, l_partkey) as rank from d
 """)
 def topn_daily_rank(spark, sf_dir):
     seconds = windows.windowed(load(spark, sf_dir, "lineitem"), "l_shipdate", "1 second", keys=["l_partkey"], q=F.sum("l_quantity"))
     days = windows.windowed(seconds, "window_start", "1 day", keys=["l_partkey"], quantity=F.sum("q"))
-    ranked = ranking.top_n(days, ["window_start"], [F.col("quantity").desc(), F.col("l_partkey")], 10)
+    ranked = Ordered(days.withColumn("less", -F.col("quantity")), ["window_start"], ["less", "l_partkey"]).scan(rank=running_count()).result()
     return ranked.select(F.col("window_start").alias("day"), "l_partkey", "quantity", "rank")
 
 

@@ -36,16 +36,11 @@ union all select 'committed', count(*) from events where event_id > 500
 union all select 'latest', 0
 """)
 def src_start_position(spark, sf_dir):
+    """Rows that each start position still gives, in one scan; ``latest`` gives none of the stored ones."""
     df = load(spark, sf_dir, "events")
-    starts = {"earliest": None, "timestamp": "2024-01-10 00:00:00", "committed": 500, "latest": None}
-    counts = [
-        readers.from_position(df, p, "ts", "event_id", s).agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("position"), "n")
-        for p, s in starts.items()
-    ]
-    out = counts[0]
-    for part in counts[1:]:
-        out = out.union(part)
-    return out
+    starts = {"earliest": F.lit(True), "timestamp": F.col("ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"), "committed": F.col("event_id") > 500, "latest": F.lit(False)}
+    counted = df.agg(*[F.count_if(c).alias(p) for p, c in starts.items()])
+    return counted.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, starts)), F.array(*starts))).alias("position", "n"))
 
 
 @query("src_declared_table", """
@@ -115,15 +110,14 @@ def proj_nested_json(spark, sf_dir):
     )
 
 
-@query("src_csv", "select event_id, ts, user_id, event_type, value from events")
+@query("src_csv", "select event_id, ts, user_id, event_type, value, props from events")
 def src_csv(spark, sf_dir):
     path = scratch_dir(spark, "csv")
-    df = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    df = load(spark, sf_dir, "events")
     dialect = {"sep": "#", "lineSep": "$", "quote": "`", "header": "true", "timestampNTZFormat": MICROS_TEXT}
     df.write.options(**dialect).csv(path)
-    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
     return (
-        spark.read.schema(schema)
+        spark.read.schema(df.schema)
         .options(**readers.csv_reader_options(sep="#", line_sep="$", quote="`", comment="%"))
         .option("timestampNTZFormat", MICROS_TEXT).csv(path)
     )
@@ -151,12 +145,12 @@ def src_values(spark, sf_dir):
 
 @query("src_text_lines", r"""
 select length(line) as line_chars, count(*) as n
-from (select unnest(string_split(text, chr(10))) as line from documents) where line <> '' group by 1
+from (select unnest(string_split(text, chr(10))) as line from documents) group by 1
 """)
 def src_text_lines(spark, sf_dir):
     path = scratch_dir(spark, "lines")
     load(spark, sf_dir, "documents").select("text").write.option("lineSep", "\n").text(path)
-    lines = spark.read.option("lineSep", "\n").text(path).filter(F.col("value") != "")
+    lines = spark.read.option("lineSep", "\n").text(path)
     return lines.groupBy(F.length("value").cast("bigint").alias("line_chars")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -209,8 +203,8 @@ def event_folder(sf_dir: str) -> str:
 
 
 @query("snk_multi", """
-select 'by_user' as target, user_id::varchar as k, count(*) as n from events where event_type = 'purchase' group by 2
-union all select 'by_item', props::json->>'k', count(*) from events where event_type = 'purchase' group by 2
+select 'by_user' as target, user_id::varchar as k, count(*) as n from events group by 2
+union all select 'by_item', props::json->>'k', count(*) from events group by 2
 """)
 def snk_multi(spark, sf_dir):
     path = scratch_dir(spark, "multi")
@@ -219,8 +213,7 @@ def snk_multi(spark, sf_dir):
             out = batch.groupBy(F.col(key).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
             out.withColumn("target", F.lit(name)).write.mode("overwrite").parquet(f"{path}/{name}")
         return write
-    source = events(spark, sf_dir, "purchase")
-    writers.write_targets(target("by_user", "user_id"), target("by_item", "item_id"))(source, 0)
+    writers.write_targets(target("by_user", "user_id"), target("by_item", "item_id"))(events(spark, sf_dir), 0)
     return spark.read.schema("k STRING, n BIGINT, target STRING").parquet(f"{path}/by_user", f"{path}/by_item")
 
 
@@ -244,14 +237,12 @@ def snk_parquet_bucketed(spark, sf_dir):
     return back.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query("snk_csv", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders")
+@query("snk_csv", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders")
 def snk_csv(spark, sf_dir):
     path = scratch_dir(spark, "csv-out")
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    load(spark, sf_dir, "orders").select(*columns).write.csv(path)
-    return spark.read.schema(
-        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING"
-    ).csv(path)
+    orders = load(spark, sf_dir, "orders")
+    orders.write.option("timestampNTZFormat", MICROS_TEXT).csv(path)
+    return spark.read.schema(orders.schema).option("timestampNTZFormat", MICROS_TEXT).csv(path)
 
 
 @query("snk_batch_or_interval", """

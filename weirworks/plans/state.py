@@ -85,12 +85,12 @@ def state_idle_retention(spark, sf_dir):
 
 @query("state_latest_view", """
 select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end,
-       max(value) filter (event_type = 'click') as click, max(value) filter (event_type = 'view') as view, max(value) filter (event_type = 'purchase') as purchase
-from events where event_type in ('click', 'view', 'purchase') group by 1, 2
+       max(value) filter (event_type = 'click') as click, max(value) filter (event_type = 'view') as view, max(value) filter (event_type = 'purchase') as purchase,
+       max(value) filter (event_type = 'signup') as signup, max(value) filter (event_type = 'error') as error
+from events group by 1, 2
 """)
 def state_latest_view(spark, sf_dir):
-    kinds = ["click", "view", "purchase"]
-    return timers.latest_view(events(spark, sf_dir, *kinds), "ts", "1 hour", "event_type", kinds, F.max("value"))
+    return timers.latest_view(events(spark, sf_dir), "ts", "1 hour", "event_type", ["click", "view", "purchase", "signup", "error"], F.max("value"))
 
 
 @query("state_read", "select user_id, count(*) as n, max(value) as top from events group by 1")
