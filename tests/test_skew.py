@@ -241,3 +241,16 @@ def test_scratch_folder_must_be_shared_on_a_cluster():
         with pytest.raises(ValueError):
             scratch_dir(Fake(conf=Fake(get=lambda *_: None), sparkContext=Fake(master=master)), "x")
     assert scratch_dir(Fake(conf=Fake(get=lambda *_: "s3://b/c/"), sparkContext=Fake(master="yarn")), "x").startswith("s3://b/c/weirworks/x-")
+
+
+@pytest.mark.parametrize("slices", [1, 40])
+def test_running_top_after_each_row(skewed, slices):
+    from weirworks.operators.ranking import running_top_n
+
+    got = {r.id: [(e.item, e.total) for e in r.top] for r in running_top_n(skewed, ["kind"], ["ts", "id"], "k", "v", 3, slices=slices).collect()}
+    sums, want = {}, {}
+    for i, k, ts, v, kind in sorted([tuple(r) for r in skewed.collect()], key=lambda r: (r[2], r[0])):
+        mine = sums.setdefault(kind, {})
+        mine[k] = mine.get(k, 0) + v
+        want[i] = [(a, float(b)) for a, b in sorted(mine.items(), key=lambda x: (-x[1], x[0]))[:3]]
+    assert got == want

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from weirworks.operators.aggs import group_lists
+from weirworks.operators.ordered import KEY, SLICE, Ordered, total
 
 
 def top_n(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
@@ -40,3 +44,57 @@ def total_top_n(df: DataFrame, area: str, item: str, value: str, n: int) -> Data
 def sorted_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str) -> DataFrame:
     """Each group's values in order, in chunks (see ``group_lists``)."""
     return group_lists(df, keys, order, value, out)
+
+
+Top = list[tuple[float, object]]  # (total, item), best first
+
+
+def _with(top: Top, item, amount: float, n: int) -> Top:
+    """The best ``n`` after an item's total rose to ``amount``; equal totals go by item."""
+    if len(top) == n and amount < top[-1][0] and all(i != item for _, i in top):
+        return top
+    return sorted([(t, i) for t, i in top if i != item] + [(amount, item)], key=lambda x: (-x[0], x[1]))[:n]
+
+
+def running_top_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: str, value: str, n: int, out: str = "top", slices: int | None = None) -> DataFrame:
+    """The key's ``n`` best items by total so far, after each row (``out``: array of item and total). Values are not negative.
+
+    Totals only rise, so the best of a prefix are among the best of its parts: each slice of the layout is folded with ``n``
+    items in hand, from the merged bests of the slices before it (``n`` items per slice of a cut key, two keys per slice at most).
+    """
+    summed = Ordered(df, [*keys, item], order, slices).scan(__total=total(value)).result()
+    laid = Ordered(summed, keys, order, slices)
+    entry = f"array<struct<item: {df.schema[item].dataType.simpleString()}, total: double>>"
+    ids = laid.keys_in_several_slices().withColumn("__id", F.monotonically_increasing_id())
+    best = laid.df.join(F.broadcast(ids), KEY).groupBy("__id", SLICE, item).agg(F.max("__total").cast("double").alias("__total"))
+    best = top_n(best, ["__id", SLICE], [F.col("__total").desc(), F.col(item)], n).select("__id", SLICE, F.col(item).alias("item"), "__total")
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        top: Top = []
+        made = []
+        for number, rows in part.sort_values(SLICE).groupby(SLICE):
+            made.append((part["__id"].iloc[0], number, [{"item": i, "total": t} for t, i in top]))
+            for i, t in zip(rows["item"].tolist(), rows["__total"].tolist()):
+                top = _with(top, i, t, n)
+        return pd.DataFrame(made, columns=["__id", SLICE, "__start"])
+
+    starts = best.groupBy("__id").applyInPandas(merged, f"__id bigint, {SLICE} int, __start {entry}")
+    starts = starts.join(ids, "__id").select(KEY, SLICE, "__start")
+    rows = laid.df.join(F.broadcast(starts), [KEY, SLICE], "left")
+    schema = rows.drop(KEY, "__start", "__total", SLICE).withColumn(out, F.array().cast(entry)).schema
+    arrow = to_arrow_schema(schema)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, top = None, []
+        for batch in batches:
+            made = []
+            columns = (batch.column(c).to_pylist() for c in (KEY, SLICE, "__start", item, "__total"))
+            for key, number, start, what, amount in zip(*columns):
+                if group != (key, number):
+                    group, top = (key, number), [(e["total"], e["item"]) for e in start or ()]
+                top = _with(top, what, float(amount), n)
+                made.append([{"item": i, "total": t} for t, i in top])
+            named = {c: batch.column(c) for c in batch.schema.names} | {out: pa.array(made, arrow.field(out).type)}
+            yield pa.RecordBatch.from_arrays([named[f.name] for f in arrow], schema=arrow)
+
+    return rows.repartition(KEY, SLICE).sortWithinPartitions(KEY, SLICE, *order).mapInArrow(fold, schema)

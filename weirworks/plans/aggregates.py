@@ -234,6 +234,7 @@ l as (select length(word) as len from w where length(word) > 0)
 select 'sentences' as metric, -1::bigint as bucket, count(*)::bigint as n from s where trim(line) <> ''
 union all select 'words', -1, count(*) from l
 union all select 'word_length', len, count(*) from l group by len
+union all select 'sentence_words', k, count(*) from (select len(list_filter(regexp_split_to_array(line, '\s+'), lambda x: length(x) > 0)) as k from s where trim(line) <> '') group by k
 """)
 def agg_job_metrics(spark, sf_dir):
     lines = load(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n", -1)).alias("line")).filter(F.trim("line") != "")
@@ -241,4 +242,6 @@ def agg_job_metrics(spark, sf_dir):
     lengths = rows.tokens(lines, "line").groupBy(F.length("word").cast("bigint").alias("bucket")).agg(n_rows().alias("n"))
     histogram = lengths.select(F.lit("word_length").alias("metric"), "bucket", "n")
     words = lengths.agg(F.sum("n").alias("n")).select(F.lit("words").alias("metric"), F.lit(-1).cast("bigint").alias("bucket"), "n")
-    return sentences.union(words).union(histogram)
+    per_line = F.size(F.filter(F.split("line", r"\s+"), lambda x: F.length(x) > 0)).cast("bigint")
+    gauge = lines.groupBy(per_line.alias("bucket")).agg(n_rows().alias("n")).select(F.lit("sentence_words").alias("metric"), "bucket", "n")
+    return sentences.union(words).union(histogram).union(gauge)

@@ -32,12 +32,23 @@ def topn_window_by_area(spark, sf_dir):
 
 
 @query("topn_running", """
-with t as (select l_suppkey % 10 as area, l_partkey, sum(l_quantity) as total from lineitem group by 1, 2)
-select area, l_partkey, total, (row_number() over (partition by area order by total desc, l_partkey))::int as rank from t qualify rank <= 3
+with recursive r as (
+  select l_suppkey as area, l_partkey as item, l_orderkey, l_linenumber,
+         sum(l_quantity) over (partition by l_suppkey, l_partkey order by l_shipdate, l_orderkey, l_linenumber rows unbounded preceding) as t,
+         row_number() over (partition by l_suppkey order by l_shipdate, l_orderkey, l_linenumber) as pos from lineitem),
+w as (
+  select area, pos, l_orderkey, l_linenumber, [{'n': -t, 'item': item}] as top from r where pos = 1
+  union all
+  select r.area, r.pos, r.l_orderkey, r.l_linenumber, list_sort(list_append(list_filter(w.top, lambda x: x.item <> r.item), {'n': -r.t, 'item': r.item}))[1:3]
+  from w join r on r.area = w.area and r.pos = w.pos + 1)
+select area, l_orderkey, l_linenumber, array_to_string(list_transform(top, lambda x: x.item || ':' || (-x.n)::bigint), ',') as top from w
 """)
 def topn_running(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem").withColumn("area", F.col("l_suppkey") % 10)
-    return ranking.total_top_n(li, "area", "l_partkey", "l_quantity", 3)
+    """The three best-selling parts of a supplier after each order line."""
+    li = load(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("area"), "l_partkey", "l_quantity", "l_shipdate", "l_orderkey", "l_linenumber")
+    after = ranking.running_top_n(li, ["area"], ["l_shipdate", "l_orderkey", "l_linenumber"], "l_partkey", "l_quantity", 3)
+    shown = F.transform("top", lambda e: F.concat_ws(":", e["item"].cast("string"), e["total"].cast("bigint").cast("string")))
+    return after.select("area", "l_orderkey", "l_linenumber", F.array_join(shown, ",").alias("top"))
 
 
 @query("topn_daily_rank", """

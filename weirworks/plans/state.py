@@ -29,10 +29,13 @@ def dedup_ttl(spark, sf_dir):
 
 
 @query("dedup_distinct_per_hour", """
-select event_type, date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end, count(distinct user_id) as devices from events group by 1, 2, 3
+with a as (select *, max(ts) over (order by event_id rows between unbounded preceding and 1 preceding) - interval 10 day as mark, date_trunc('hour', ts) as w from events)
+select event_type, w as window_start, w + interval 1 hour as window_end, count(distinct user_id) as devices
+from a where mark is null or w + interval 1 hour - interval 1 millisecond > mark group by 1, 2, 3
 """)
 def dedup_distinct_per_hour(spark, sf_dir):
-    return dedup.distinct_per_window(load(spark, sf_dir, "events"), ["event_type"], "user_id", "ts", "1 hour", "devices")
+    e = load(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts")
+    return dedup.distinct_per_window(e, ["event_type"], "user_id", "ts", "1 hour", "devices", arrival=["event_id"], delay="10 days")
 
 
 @query("state_offline_alert", """

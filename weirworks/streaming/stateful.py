@@ -184,28 +184,49 @@ def offline_alerts(df: DataFrame, ts: str, tie: str, offline, period: str) -> Da
 
 
 class MatchOrTimeout(KeyedProcessor):
-    """Left rows (``kind`` 0, with ``wait_us``) wait for the first right row (``kind`` 1) until their deadline."""
+    """Left rows (``kind`` 0, with ``wait_us``) wait for the first right row (``kind`` 1) until their deadline.
 
-    STATE = "start_us BIGINT, deadline_us BIGINT"
+    Several left rows of a key may wait at once; each has its own deadline.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "start_us BIGINT, deadline_us BIGINT")
 
     def order(self, row):
         return row.us, row.kind
 
+    def _waiting(self) -> list[tuple[int, int]]:
+        return [(w[0], w[1]) for w in self.waiting.get()] if self.waiting.exists() else []
+
+    def _keep(self, left: list[tuple[int, int]]) -> None:
+        if left:
+            self.waiting.put(left)
+        else:
+            self.waiting.clear()
+
     def on_row(self, key, row) -> Iterator[Row]:
-        waiting = self.current()
         if row.kind == 0:
-            self.state.update((row.us, row.us + row.wait_us))
+            self.waiting.appendValue((row.us, row.us + row.wait_us))
             self.arm(None, row.us + row.wait_us)
-        elif waiting and waiting[0] <= row.us <= waiting[1]:
-            self.arm(waiting[1], None)
-            self.state.clear()
+            return
+        waiting = self._waiting()
+        left = [w for w in waiting if not w[0] <= row.us <= w[1]]
+        if len(left) < len(waiting):
+            self._keep(left)
+            pending = {ceil_ms(d) for _, d in left}
+            for due in {d for _, d in waiting if ceil_ms(d) not in pending}:
+                self.arm(due, None)
+        for _ in range(len(waiting) - len(left)):
             yield Row(order_key=key[0], status="on_time", event_us=row.us)
 
     def on_timer(self, key, at_ms: int) -> Iterator[Row]:
-        waiting = self.current()
-        if waiting and ceil_ms(waiting[1]) == at_ms:
-            self.state.clear()
-            yield Row(order_key=key[0], status="timeout", event_us=waiting[1])
+        waiting = self._waiting()
+        over = [d for _, d in waiting if ceil_ms(d) == at_ms]
+        if over:
+            self._keep([w for w in waiting if ceil_ms(w[1]) != at_ms])
+        for due in over:
+            yield Row(order_key=key[0], status="timeout", event_us=due)
 
 
 def match_or_timeout(df: DataFrame) -> DataFrame:
@@ -444,15 +465,15 @@ class KeepFirst(KeyedProcessor):
 
     STATE = "kept_us BIGINT"
 
-    def __init__(self, ttl_us: int):
-        self.ttl_us = ttl_us
+    def __init__(self, ttl_us: int, columns: list[str]):
+        self.ttl_us, self.columns = ttl_us, columns
 
     def on_row(self, key, row) -> Iterator[Row]:
         kept = self.current()
         if kept is None or row.us - kept[0] >= self.ttl_us:
             self.arm(kept[0] + self.ttl_us if kept else None, row.us + self.ttl_us)
             self.state.update((row.us,))
-            yield Row(user_id=key[0], event_id=row.tie, us=row.us)
+            yield Row(**{c: row[c] for c in self.columns})
 
     def on_timer(self, key, at_ms: int) -> Iterator[Row]:
         kept = self.current()
@@ -461,9 +482,11 @@ class KeepFirst(KeyedProcessor):
         return iter(())
 
 
-def first_per_ttl(df: DataFrame, ts: str, tie: str, ttl: str) -> DataFrame:
-    rows = with_order(df, ts, tie).select("user_id", ts, "us", "tie")
-    return run_keyed(rows, ["user_id"], KeepFirst(interval_us(ttl)), "event_id BIGINT, us BIGINT", timers=True)
+def first_per_ttl(df: DataFrame, keys: Sequence[str], ts: str, tie: str, ttl: str) -> DataFrame:
+    """Whole rows, as the batch form keeps them; ``ts`` has a watermark."""
+    rows = df.withColumn("us", micros(ts)).withColumn("tie", F.col(tie))
+    return rows.groupBy(*keys).transformWithState(
+        statefulProcessor=KeepFirst(interval_us(ttl), df.columns), outputStructType=df.schema, outputMode="Append", timeMode="EventTime")
 
 
 class Changes(KeyedProcessor):
