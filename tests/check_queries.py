@@ -79,13 +79,8 @@ def main(argv: list[str]) -> int:
     sf = "sf0.01"
     if argv[:1] == ["-s"]:
         sf, argv = argv[1], argv[2:]
-    hot = None
-    if argv[:1] == ["-h"]:  # treat keys above this many rows as hot
-        hot, argv = argv[1], argv[2:]
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    if hot:
-        spark.conf.set("weirworks.hotRows", hot)
     import __spark_entry__ as entry
 
     con = duck(f"{DATA}/{sf}")
