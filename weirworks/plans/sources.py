@@ -10,7 +10,7 @@ from weirworks.plans.registry import query
 from weirworks.session import scratch_dir
 from weirworks.sources import readers, writers
 from weirworks.streaming.runner import run_to_changes, run_to_files
-from weirworks.tables import events, load, stream_events
+from weirworks.tables import events, load, stream_batches
 
 MICROS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 EVENT_JSON = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -190,9 +190,9 @@ def snk_delimited_encode(spark, sf_dir):
 select strftime(ts, '%Y-%m-%d') as day_text, event_type, count(*) as pv from events group by 1, 2
 """)
 def snk_upsert_changes(spark, sf_dir):
-    counted = (
-        stream_events(spark, event_folder(sf_dir))
-        .groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day_text"), "event_type").agg(F.count(F.lit(1)).alias("pv"))
+    counted = (  # refreshed by each micro-batch; days that the watermark has passed leave the state
+        stream_batches(spark, sf_dir, "1 day").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("pv"))
+        .select(F.date_format("w.start", "yyyy-MM-dd").alias("day_text"), "event_type", "pv")
     )
     return run_to_changes(counted, ["day_text", "event_type"], "upsert")
 
@@ -231,8 +231,9 @@ select event_id, ts, event_type, value, strftime(ts, '%Y-%m-%d') as bucket from
 """)
 def snk_parquet_bucketed(spark, sf_dir):
     path = scratch_dir(spark, "buckets")
-    source = stream_events(spark, event_folder(sf_dir)).select("event_id", "ts", "event_type", "value")
-    run_to_files(source.withColumn("bucket", F.date_format("ts", "yyyy-MM-dd")), path, partition="bucket")
+    source = stream_batches(spark, sf_dir).select("event_id", "ts", "event_type", "value").withColumn("bucket", F.date_format("ts", "yyyy-MM-dd"))
+    parts = F.pmod(F.xxhash64("event_id"), F.lit(4))  # at most four files per bucket and micro-batch, no bucket in one task
+    run_to_files(source.repartition("bucket", parts), path, partition="bucket")
     back = spark.read.schema("event_id BIGINT, ts TIMESTAMP, event_type STRING, value DOUBLE, bucket STRING").parquet(path)
     return back.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

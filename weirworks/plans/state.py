@@ -11,7 +11,7 @@ from weirworks.plans.sources import event_folder
 from weirworks.session import scratch_dir
 from weirworks.streaming import stateful
 from weirworks.streaming.runner import run_to_changes
-from weirworks.tables import events, load, stream_events
+from weirworks.tables import events, load, stream_batches, stream_events
 
 
 @query("dedup_ttl", """
@@ -99,7 +99,7 @@ def state_latest_view(spark, sf_dir):
 @query("state_read", "select user_id, count(*) as n, max(value) as top from events group by 1")
 def state_read(spark, sf_dir):
     checkpoint = scratch_dir(spark, "checkpoint")
-    per_user = stream_events(spark, event_folder(sf_dir)).groupBy("user_id").agg(n_rows().alias("n"), F.max("value").alias("top"))
+    per_user = stream_batches(spark, sf_dir).groupBy("user_id").agg(n_rows().alias("n"), F.max("value").alias("top"))
     run_to_changes(per_user, ["user_id"], "state-read", checkpoint)
     state = stateful.read_state(spark, checkpoint)
     return state.select("key.user_id", F.col("value.count").alias("n"), F.col("value.max").alias("top"))

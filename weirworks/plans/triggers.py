@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from weirworks.functions.expr import n_rows
 from weirworks.operators import triggers, windows
 from weirworks.plans.registry import query
-from weirworks.plans.sources import event_folder
 from weirworks.streaming.runner import run_to_changes
-from weirworks.tables import events, load, stream_events
+from weirworks.tables import events, load, stream_batches
 
 
 @query("trig_continuous_event", """
@@ -26,7 +25,7 @@ def trig_continuous_event(spark, sf_dir):
 select user_id, date_trunc('day', ts - interval 16 hours) + interval 16 hours as window_start, count(*) as n, max(value) as top from events group by 1, 2
 """)
 def trig_continuous_proc(spark, sf_dir):
-    daily = windows.windowed(stream_events(spark, event_folder(sf_dir)), "ts", "1 day", offset="16 hours", keys=["user_id"], n=n_rows(), top=F.max("value"))
+    daily = windows.windowed(stream_batches(spark, sf_dir, "1 day"), "ts", "1 day", offset="16 hours", keys=["user_id"], n=n_rows(), top=F.max("value"))
     table = run_to_changes(daily.drop("window_end"), ["user_id", "window_start"], "continuous")
     return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

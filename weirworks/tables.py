@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirworks.functions.expr import json_int
-from weirworks.session import pin_utc
+from weirworks.session import pin_utc, scratch_dir
 
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -36,6 +36,25 @@ def events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     return df.withColumn("item_id", json_int("props", "$.k"))
 
 
+BATCHES, FILES = 4, 4
+
+
+def event_batches(spark: SparkSession, sf_dir: str) -> str:
+    """The event table as a folder that a stream reads in several micro-batches, in time order: equal time spans written one after the other."""
+    e, path = load(spark, sf_dir, "events"), scratch_dir(spark, "event-batches")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = e.agg(F.min(us), F.max(us)).first()
+    width = max(1, ((hi or 0) - (lo or 0)) // BATCHES + 1)
+    for i in range(BATCHES):
+        start = (lo or 0) + i * width
+        e.filter((us >= start) & (us < start + width)).repartition(FILES).write.mode("append").parquet(path)
+    return path
+
+
+def stream_batches(spark: SparkSession, sf_dir: str, delay: str | None = None) -> DataFrame:
+    return stream_events(spark, event_batches(spark, sf_dir), delay, FILES)
+
+
 def stream_events(spark: SparkSession, folder: str, delay: str | None = None, files_per_batch: int = 1) -> DataFrame:
     """The event table as a stream: a folder of parquet files, ``ts`` cast to TIMESTAMP for watermarks."""
     pin_utc(spark)
