@@ -171,10 +171,13 @@ def test_lateral(spark):
 
 
 def test_nested_json(spark):
-    from weirworks.plans.sources import NESTED_DDL
+    layout = (
+        "search_time BIGINT, code INT, results STRUCT<id: STRING, items: ARRAY<STRUCT<id: STRING, name: STRING, title: STRING,"
+        " url: STRING, publish_time: BIGINT, score: FLOAT>>, metas: ARRAY<STRUCT<id: STRING, name: STRING>>>, requests STRUCT<id: STRING>"
+    )
 
     text = '{"search_time":1,"code":200,"results":{"id":"r","items":[{"id":"i1","name":"n1"}],"metas":[{"id":"m1","name":"a"},{"id":"m2","name":"b"}]},"requests":{"id":"q"}}'
-    t = R.json_records(spark.createDataFrame([(text,)], "value STRING"), "value", NESTED_DDL)
+    t = R.json_records(spark.createDataFrame([(text,)], "value STRING"), "value", layout)
     out = t.select("search_time", "code", "requests.id", "results.id", X.item_at("results.items", 1)["name"], X.item_at("results.items", 2)["id"], X.item_at("results.metas", 2)["id"])
     assert rows(out) == [(1, 200, "q", "r", "n1", None, "m2")]
 

@@ -157,10 +157,9 @@ select user_id, ts, value from events r where event_type = 'signup'
 and ts = (select max(ts) from events x where x.event_type = 'signup' and x.user_id = r.user_id and x.ts <= timestamp '2024-01-15 10:58:00')
 """)
 def join_asof_subquery(spark, sf_dir):
-    events(spark, sf_dir, "signup").createOrReplaceTempView("rate_history")
     return spark.sql("""
-        select user_id, ts, value from rate_history r
-        where ts = (select max(ts) from rate_history x where x.user_id = r.user_id and x.ts <= timestamp_ntz '2024-01-15 10:58:00')""")
+        select user_id, ts, value from {rates} r
+        where ts = (select max(ts) from {rates} x where x.user_id = r.user_id and x.ts <= timestamp_ntz '2024-01-15 10:58:00')""", rates=events(spark, sf_dir, "signup"))
 
 
 @query("join_max_per_group", """

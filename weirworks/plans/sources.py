@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weirworks.functions.expr import item_at
@@ -49,64 +51,55 @@ from events group by 1, 2
 """)
 def src_declared_table(spark, sf_dir):
     typed = rows.json_records(event_texts(spark, sf_dir).select("value"), "value", EVENT_JSON + ", not_there STRING")
-    readers.declare_table(typed, "declared_events", "ts", "2 seconds")
-    return spark.sql("""
+    name = f"declared_events_{uuid.uuid4().hex}"  # concurrent queries don't share it
+    readers.declare_table(typed, name, "ts", "2 seconds")
+    return spark.sql(f"""
         select date_format(ts, 'yyyyMMddHH') as hour_text, event_type, count(*) as n, min(value) as low
-        from declared_events where not_there is null group by 1, 2""")
+        from {name} where not_there is null group by 1, 2""")
 
 
-NESTED_DDL = (
-    "search_time BIGINT, code INT, results STRUCT<id: STRING, items: ARRAY<STRUCT<id: STRING, name: STRING, title: STRING,"
-    " url: STRING, publish_time: BIGINT, score: FLOAT>>, metas: ARRAY<STRUCT<id: STRING, name: STRING>>>,"
-    " requests STRUCT<id: STRING>"
+ORDER_DDL = (
+    "order_key BIGINT, priority_chars INT, customer STRUCT<key: STRING>,"
+    " body STRUCT<key: STRING, notes: ARRAY<STRUCT<key: STRING, text: STRING>>, tags: ARRAY<STRUCT<key: STRING, label: STRING>>>"
 )
 
 
-def nested_texts(spark, sf_dir):
-    """Orders as nested JSON texts: one or two items per order, two metas."""
+def order_texts(spark, sf_dir):
+    """Orders as nested JSON texts: one or two notes per order, two tags."""
     o = load(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
-    item = F.struct(key.alias("id"), F.col("o_orderpriority").alias("name"))
-    second = F.struct(cust.alias("id"), F.col("o_orderstatus").alias("name"))
-    items = F.when(F.col("o_orderkey") % 2 == 0, F.array(item, second)).otherwise(F.array(item))
-    metas = F.array(
-        F.struct(cust.alias("id"), F.concat(F.lit("m"), cust).alias("name")),
-        F.struct(key.alias("id"), F.concat(F.lit("m"), key).alias("name")),
-    )
-    record = F.struct(
-        F.col("o_orderkey").alias("search_time"), F.length("o_orderpriority").alias("code"),
-        F.struct(key.alias("id"), items.alias("items"), metas.alias("metas")).alias("results"),
-        F.struct(cust.alias("id")).alias("requests"),
-    )
+    note = F.struct(key.alias("key"), F.col("o_orderpriority").alias("text"))
+    second = F.struct(cust.alias("key"), F.col("o_orderstatus").alias("text"))
+    notes = F.when(F.col("o_orderkey") % 2 == 0, F.array(note, second)).otherwise(F.array(note))
+    tag = lambda k: F.struct(k.alias("key"), F.concat(F.lit("m"), k).alias("label"))
+    body = F.struct(key.alias("key"), notes.alias("notes"), F.array(tag(cust), tag(key)).alias("tags"))
+    record = F.struct(F.col("o_orderkey").alias("order_key"), F.length("o_orderpriority").alias("priority_chars"), F.struct(cust.alias("key")).alias("customer"), body.alias("body"))
     return o.select(F.to_json(record).alias("value"))
 
 
 @query("src_ddl_nested", """
-select o_orderkey as search_time, length(o_orderpriority)::int as code, o_orderkey::varchar as result_id,
-       o_custkey::varchar as request_id, case when o_orderkey % 2 = 0 then 2 else 1 end as items
+select o_orderkey as order_key, length(o_orderpriority)::int as priority_chars, o_orderkey::varchar as body_key,
+       o_custkey::varchar as customer_key, case when o_orderkey % 2 = 0 then 2 else 1 end as notes
 from orders
 """)
 def src_ddl_nested(spark, sf_dir):
-    typed = rows.json_records(nested_texts(spark, sf_dir), "value", NESTED_DDL)
-    return typed.select(
-        "search_time", "code", F.col("results.id").alias("result_id"), F.col("requests.id").alias("request_id"),
-        F.size("results.items").alias("items"),
-    )
+    typed = rows.json_records(order_texts(spark, sf_dir), "value", ORDER_DDL)
+    return typed.select("order_key", "priority_chars", F.col("body.key").alias("body_key"), F.col("customer.key").alias("customer_key"), F.size("body.notes").alias("notes"))
 
 
 @query("proj_nested_json", """
-select o_orderkey as search_time, length(o_orderpriority)::int as code, o_custkey::varchar as request_id,
-       o_orderkey::varchar as result_id, o_orderpriority as item_1_name,
-       case when o_orderkey % 2 = 0 then o_custkey::varchar end as item_2_id,
-       'm' || o_custkey::varchar as meta_1_name, o_orderkey::varchar as meta_2_id
+select o_orderkey as order_key, length(o_orderpriority)::int as priority_chars, o_custkey::varchar as customer_key,
+       o_orderkey::varchar as body_key, o_orderpriority as note_1_text,
+       case when o_orderkey % 2 = 0 then o_custkey::varchar end as note_2_key,
+       'm' || o_custkey::varchar as tag_1_label, o_orderkey::varchar as tag_2_key
 from orders
 """)
 def proj_nested_json(spark, sf_dir):
-    typed = rows.json_records(nested_texts(spark, sf_dir), "value", NESTED_DDL)
+    typed = rows.json_records(order_texts(spark, sf_dir), "value", ORDER_DDL)
     return typed.select(
-        "search_time", "code", F.col("requests.id").alias("request_id"), F.col("results.id").alias("result_id"),
-        item_at("results.items", 1)["name"].alias("item_1_name"), item_at("results.items", 2)["id"].alias("item_2_id"),
-        item_at("results.metas", 1)["name"].alias("meta_1_name"), item_at("results.metas", 2)["id"].alias("meta_2_id"),
+        "order_key", "priority_chars", F.col("customer.key").alias("customer_key"), F.col("body.key").alias("body_key"),
+        item_at("body.notes", 1)["text"].alias("note_1_text"), item_at("body.notes", 2)["key"].alias("note_2_key"),
+        item_at("body.tags", 1)["label"].alias("tag_1_label"), item_at("body.tags", 2)["key"].alias("tag_2_key"),
     )
 
 

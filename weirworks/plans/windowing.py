@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weirworks.functions.expr import interval_us, n_rows
@@ -25,10 +27,11 @@ select event_type, sum((props::json->>'k')::int)::bigint as number, time_bucket(
 from events group by event_type, time_bucket(interval 5 seconds, ts)
 """)
 def win_tumbling_sql(spark, sf_dir):
-    declare_table(events(spark, sf_dir), "tumbling_input", "ts")
-    return spark.sql("""
+    name = f"tumbling_input_{uuid.uuid4().hex}"  # concurrent queries don't share it
+    declare_table(events(spark, sf_dir), name, "ts")
+    return spark.sql(f"""
         select event_type, sum(item_id) as number, window(ts, '5 seconds').end as window_end
-        from tumbling_input group by event_type, window(ts, '5 seconds')""")
+        from {name} group by event_type, window(ts, '5 seconds')""")
 
 
 @query("win_tumbling_offset", """
