@@ -33,8 +33,8 @@ from weirworks.session import stored
 
 HEAD_WORDS, OWN, CLASSES, STATES, ROUNDS, STRETCH, STAY = 200_000, 8_192, 1_024, 6, 4, 512, 0.95
 END = b""  # the end token; no word is empty
-FLUSH = 400_000  # distinct words that a partition holds before it passes its counts on
-BATCH_TOKENS = 400_000
+FLUSH = 250_000  # distinct words that a partition holds before it passes its counts on
+BATCH_TOKENS = 200_000
 SMOOTH = 0.1
 N_CLASSES = OWN + CLASSES
 
@@ -78,11 +78,12 @@ def class_column(word: str = "word"):
 class Head:
     """Numbers of the frequent words, and by number: class and count. Number HEAD + k stands for a rarer word of class OWN + k."""
 
-    def __init__(self, words: list[tuple[str, int]], totals: np.ndarray):
+    def __init__(self, joined: bytes, counts: np.ndarray, totals: np.ndarray):
+        words = joined.split(b"\n") if len(counts) else []
         self.size = len(words)
-        self.numbers = {w.encode(): i for i, (w, _) in enumerate(words)}
-        self.classes = np.array([i if i < OWN else shared_class(w.encode()) for i, (w, _) in enumerate(words)] + list(range(OWN, N_CLASSES)), np.int32)
-        self.counts = np.array([c for _, c in words] + [0] * CLASSES, np.float64)
+        self.numbers = {w: i for i, w in enumerate(words)}
+        self.classes = np.array([i if i < OWN else shared_class(w) for i, w in enumerate(words)] + list(range(OWN, N_CLASSES)), np.int32)
+        self.counts = np.concatenate([counts.astype(np.float64), np.zeros(CLASSES)])
         self.totals = totals  # words of each class: sum of (count + 1), and 1
 
 
@@ -276,7 +277,7 @@ def language_model_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         mass[shared_class(w.encode())] -= c + 1
         mass[i] = c + 1
     # An own class emits nothing but its word, a shared one keeps a unit for unseen words.
-    known = Shared(docs, (head, mass))
+    known = Shared(docs, (b"\n".join(w.encode() for w, _ in head), np.array([c for _, c in head], np.int64), mass))
     coded = stored(code(docs, known).withColumn("row", F.monotonically_increasing_id()), "coded")
     model = train(coded, known, mass / mass.sum(), rounds)
     scored = forward_scores(coded, known, model)
