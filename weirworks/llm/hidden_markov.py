@@ -1,7 +1,7 @@
 """Hidden Markov language model over words: distributed Baum-Welch, exact scoring by the scaled forward recursion.
 
 1. Word counts of all training texts, combined per partition before the shuffle.
-2. The HEAD_WORDS most frequent words (a fixed bound) get numbers and go to every worker with their counts. Texts are
+2. The most frequent words, HEAD_WORDS at most, get numbers and go to every worker with their counts. Texts are
    stored as numbers; a rarer word is stored as its class, and by name and frequency for an exact join with the counts.
 3. Words are emitted through classes: the OWN most frequent words are classes of their own, the others share CLASSES
    classes by a hash. A latent state emits a class, the class emits the word by its share (count + 1; one unit per
@@ -66,6 +66,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, limit: int = HEAD_WORDS) -> list[tuple[str, int]]:
+    """At most ``limit`` words, the most frequent first: those above a count that a histogram of about 1,000 buckets gives.
+
+    Only these words reach the driver; a sorted limit would send it as many from every task.
+    """
+    sizes = counts.groupBy("bucket").agg(F.count("word").alias("words")).collect()
+    taken, least = 0, None
+    for r in sorted(sizes, key=lambda r: -r["bucket"]):
+        taken += r["words"]
+        if taken > limit:
+            break
+        least = r["bucket"]
+    if least is None:
+        return []
+    return sorted(((r["word"], r["c"]) for r in counts.filter(F.col("bucket") >= least).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
+
+
 def shared_class(word: bytes) -> int:
     return OWN + crc32(word) % CLASSES
 
@@ -265,10 +282,11 @@ def train(coded: DataFrame, head: Shared, shares: np.ndarray, rounds: int = ROUN
 
 def language_model_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    counts = stored(word_counts(docs.filter(~held_out())), "word-counts")
+    bucket = F.floor(F.log2("c") * 16).cast("int")
+    counts = stored(word_counts(docs.filter(~held_out())).withColumn("bucket", bucket), "word-counts")
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("word").alias("v")).first()
     n, v = size["n"], size["v"]
-    head = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()]  # bounded
+    head = frequent_words(counts)
     mass = np.ones(N_CLASSES)
     shared_mass = counts.groupBy(class_column().alias("k")).agg(F.sum(F.col("c") + 1).alias("m")).collect()  # CLASSES rows
     for r in shared_mass:
@@ -283,7 +301,7 @@ def language_model_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     scored = forward_scores(coded, known, model)
     rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     tail = (
-        rare.join(counts, "word", "left")
+        rare.join(counts.select("word", "c"), "word", "left")
         .groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
                             F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("logs"))
     )
