@@ -175,6 +175,35 @@ def test_passages_are_found(spark, sf):
     assert want and want <= got
 
 
+ITEM = "when the old baker Mary sells 1200 loaves of bread to the market she keeps 80 loaves for Mary and her own family"
+
+
+def test_templates_over_several_diagonals(spark):
+    """Slot values with another number of words, and words put in between."""
+    texts = {
+        1: ITEM.replace("Mary", "Anna Lee").replace("1200", "1 200"),
+        2: ITEM.replace("market she", "market today she"),
+        3: ITEM.replace("Mary", "Boris").replace("bread to", "fresh bread to").replace("80", "95") + " and so on",
+        4: ITEM.replace("baker Mary", "baker Boris").replace("for Mary", "for Anna Lee").replace("market she", "market today she"),  # slots don't agree
+        5: ITEM.replace("Mary", "Boris").replace("market she", "market today she") + " " + ITEM.replace("Mary", "Clara Lee").replace("market she", "market today she"),
+    }
+    got = {r.doc_id: r for r in templates.contaminated(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"),
+                                                       spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")).collect()}
+    assert set(got) == {1, 2, 3, 5}
+    assert got[1].coverage == got[2].coverage == 1 and got[2].verbatim and not got[1].verbatim
+
+
+def test_longest_chain_against_all_chains():
+    rng = random.Random(7)
+    for _ in range(200):
+        hits = [{"pos": p, "item_pos": q} for p, q in {(rng.randrange(9), rng.randrange(9)) for _ in range(rng.randint(1, 9))}]
+        hits.sort(key=lambda h: (h["pos"], -h["item_pos"]))
+        after = lambda a, b: a["pos"] < b["pos"] and a["item_pos"] < b["item_pos"]
+        best = lambda i: 1 + max((best(j) for j in range(i) if after(hits[j], hits[i])), default=0)
+        chain = templates.longest_chain(hits)[::-1]
+        assert len(chain) == max(map(best, range(len(hits)))) and all(map(after, chain, chain[1:]))
+
+
 # --- severity
 
 

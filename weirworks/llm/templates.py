@@ -1,11 +1,16 @@
 """Benchmark decontamination by template canonicalisation.
 
 Each word becomes a template token: numbers ``<NUM>``, capitalised words ``<NAME>``, a unit of measure after a number
-``<UNIT>``, other words their lower-case letters. Windows of eight tokens with at least four literal ones are hashed and
-joined with the windows of the benchmark items. Windows of a document and an item on one diagonal (the document's
-position less the item's) belong together; the values of their slots give a mapping from the item's values to the
-document's, and a slot is consistent where its item value maps to one value throughout. A re-parameterised question
-keeps the template and maps its slots consistently; different questions of one form don't.
+``<UNIT>``, other words their lower-case letters. Adjacent names or numbers are one token, so a name may have any number of
+words. Windows of eight tokens with at least four literal ones are hashed and joined with the windows of the benchmark items.
+Windows that keep the item's order in the document belong together, on whatever diagonals (the document's position less
+the item's) they lie; the values of their slots give a mapping from the item's values to the document's, and a slot is
+consistent where its item value maps to one value throughout. A re-parameterised question keeps the template and maps
+its slots consistently; different questions of one form don't.
+
+A window of the item is covered if all its words lie in windows that are met: words put between two met parts don't
+uncover the windows across them. Tested are each diagonal alone, the longest ordered chain of each neighbourhood (cut where
+the document has no window for as many words as the item has) and of the whole document.
 
 Documents are filtered before the join by a Bloom filter of the benchmark's windows: its size is a parameter (2^23 bits),
 whatever the size of the benchmark; a larger benchmark only lets more windows through to the join, which is exact.
@@ -17,6 +22,9 @@ length (with at least half of it literal); pairs of repeated rows are returned o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +53,9 @@ EDGE = ".,;:!?()[]{}\"'`«»“”‘’…"
 LITERAL, NAME, NUM, UNIT = 0, 1, 2, 3
 SLOT_HASH = np.array([0, *(xxh64_intdigest(x) for x in (b"<NAME>", b"<NUM>", b"<UNIT>"))], np.uint64)
 
-HITS = "id bigint, print bigint, window bigint, pos int, slots array<struct<at: int, kind: int, value: string>>"
+HITS = "id bigint, print bigint, window bigint, pos int, stop int, size int, slots array<struct<at: int, kind: int, value: string>>"
+PAIRS = ("doc_id bigint, item_id bigint, doc_print bigint, n_windows bigint, n_consistent bigint, verbatim boolean,"
+         " n_item_windows bigint, coverage double, n_slots bigint")
 
 
 def classify(word: bytes) -> tuple[int, int]:
@@ -70,27 +80,39 @@ class Words(dict):
         return found
 
 
-def canonical(found: list[bytes], known: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Template hashes and slot kinds (LITERAL where it is none) of a list of words."""
-    pairs = [known[w] for w in found]
-    kinds = np.array([k for k, _ in pairs], np.int8)
-    hashes = np.array([h for _, h in pairs], np.uint64)
-    after_number = np.concatenate([[False], kinds[:-1] == NUM]) if len(kinds) else np.zeros(0, bool)
+class Reading:
+    """The words of a batch of texts as template tokens: hash, kind and first word of each, and its text's number."""
+
+    def __init__(self, hashes: np.ndarray, kinds: np.ndarray, texts: np.ndarray):
+        same = np.concatenate([[False], (kinds[1:] == kinds[:-1]) & (texts[1:] == texts[:-1])]) if len(kinds) else np.zeros(0, bool)
+        self.at = np.flatnonzero(~(same & ((kinds == NAME) | (kinds == NUM))))
+        self.kinds, self.texts = kinds[self.at], texts[self.at]
+        self.hashes = np.where(self.kinds == LITERAL, hashes[self.at], SLOT_HASH[self.kinds])
+        self.stops = np.append(self.at[1:], len(kinds))
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the windows of ``size`` tokens and which of them lie in one text and have enough literal tokens."""
+        n = len(self.hashes) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        mixed = np.full(n, size, np.uint64)
+        for i in range(size):
+            mixed = (mixed ^ self.hashes[i:n + i]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        literal = np.concatenate([[0], np.cumsum(self.kinds == LITERAL)])
+        enough = literal[size:] - literal[:-size] >= (LITERALS if size == WINDOW else (size + 1) // 2)
+        return mixed, enough & (self.texts[:n] == self.texts[size - 1:])
+
+
+def canonical(found: list[list[bytes]], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Literal hashes and kinds (LITERAL where it is no slot) of all words of the texts, and their text's number."""
+    pairs = [known[w] for text in found for w in text]
+    texts = np.repeat(np.arange(len(found)), [len(text) for text in found])
+    kinds = np.array([p[0] for p in pairs], np.int8)
+    hashes = np.array([p[1] for p in pairs], np.uint64)
+    after_number = np.concatenate([[False], (kinds[:-1] == NUM) & (texts[:-1] == texts[1:])]) if len(kinds) else np.zeros(0, bool)
     kinds[(kinds == UNIT) & ~after_number] = LITERAL
-    return np.where(kinds == LITERAL, hashes, SLOT_HASH[kinds]), kinds
-
-
-def windows(hashes: np.ndarray, kinds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of ``size`` tokens and which of them have enough literal tokens."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    mixed = np.full(n, size, np.uint64)
-    for i in range(size):
-        mixed = (mixed ^ hashes[i:n + i]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-    return mixed, literal[size:] - literal[:-size] >= (LITERALS if size == WINDOW else (size + 1) // 2)
+    return hashes, kinds, texts
 
 
 def bloom_places(window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +122,8 @@ def bloom_places(window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def window_rows(rows: DataFrame, sizes: list[int] | None = None, bloom: Shared | None = None) -> DataFrame:
     """One row per window of every text of ``rows`` (id, print, text) with its slots; only windows in ``bloom`` where it is given.
 
-    Without ``sizes`` a text has windows of WINDOW tokens, or one of its own length if it is shorter.
+    Without ``sizes`` a text has windows of WINDOW tokens, or one of its own length if it is shorter. ``pos`` and ``stop``
+    are words of the text, ``size`` is in tokens.
     """
 
     schema = to_arrow_schema(StructType.fromDDL(HITS))
@@ -112,21 +135,32 @@ def window_rows(rows: DataFrame, sizes: list[int] | None = None, bloom: Shared |
             for start in range(0, whole.num_rows, 200):
                 batch = whole.slice(start, 200)
                 out: dict[str, list] = {f.name: [] for f in schema}
-                for key, mark, text in zip(batch.column("id").to_pylist(), batch.column("print").to_pylist(), utf8(batch.column("text"))):
-                    found = words(text)
-                    hashes, kinds = canonical(found, known)
-                    for size in sizes or [min(WINDOW, len(found))]:
-                        got, good = windows(hashes, kinds, size)
-                        if bits is not None and len(got):
-                            a, b = bloom_places(got)
-                            good = good & bits[a] & bits[b]
-                        for pos in np.flatnonzero(good).tolist():
-                            inside = np.flatnonzero(kinds[pos:pos + size]).tolist()
-                            out["id"].append(key)
-                            out["print"].append(mark)
-                            out["window"].append(int(got[pos].view(np.int64)))
-                            out["pos"].append(pos)
-                            out["slots"].append([{"at": i, "kind": int(kinds[pos + i]), "value": found[pos + i].decode(errors="replace").strip(EDGE)} for i in inside])
+                ids, prints = batch.column("id").to_pylist(), batch.column("print").to_pylist()
+                found = [words(text) for text in utf8(batch.column("text"))]
+                first = np.cumsum([0, *map(len, found)])
+                hashes, kinds, texts = canonical(found, known)
+                reading = Reading(hashes, kinds, texts)
+                tokens = np.bincount(reading.texts, minlength=len(found))
+                for size in sizes or range(1, WINDOW + 1):
+                    got, good = reading.windows(size)
+                    if not sizes and len(got):
+                        good &= np.minimum(tokens, WINDOW)[reading.texts[:len(got)]] == size
+                    if bits is not None and len(got):
+                        a, b = bloom_places(got)
+                        good &= bits[a] & bits[b]
+                    for i in np.flatnonzero(good).tolist():
+                        k = int(reading.texts[i])
+                        base, text = int(first[k]), found[k]
+                        pos = int(reading.at[i]) - base
+                        slots = []
+                        for j in range(i, i + size):
+                            if kind := int(reading.kinds[j]):
+                                a, b = int(reading.at[j]) - base, min(int(reading.stops[j]) - base, len(text))
+                                value = " ".join(w.decode(errors="replace").strip(EDGE) for w in text[a:b])
+                                slots.append({"at": a - pos, "kind": kind, "value": value})
+                        row = (ids[k], prints[k], int(got[i].view(np.int64)), pos, min(int(reading.stops[i + size - 1]) - base, len(text)), size, slots)
+                        for name, value in zip(out, row):
+                            out[name].append(value)
                 if out["id"]:
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
@@ -149,47 +183,112 @@ def keyed(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(F.col(key).cast("bigint").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"), "text")
 
 
+def longest_chain(hits: list[dict]) -> list[dict]:
+    """The most hits in the order of both texts, with the fewest changes of the diagonal. ``hits`` is in the order of (pos, -item_pos)."""
+    places = sorted({h["item_pos"] for h in hits})
+    tree: list[tuple[int, int, int, int]] = [(0, 0, -1, -1)] * (len(places) + 1)  # hits, -changes, pos, index: the best below a place
+    on_diagonal: dict[int, int] = {}
+    length, changes, before = [0] * len(hits), [0] * len(hits), [-1] * len(hits)
+    for i, h in enumerate(hits):
+        rank = bisect_left(places, h["item_pos"])
+        best, k = tree[0], rank
+        while k:
+            best, k = max(best, tree[k]), k & (k - 1)
+        options = [(best[0], best[1] - (best[3] >= 0), best[2], best[3])]
+        if (last := on_diagonal.get(diagonal := h["pos"] - h["item_pos"])) is not None and hits[last]["pos"] < h["pos"]:
+            options.append((length[last], changes[last], hits[last]["pos"], last))
+        top = max(options)
+        length[i], changes[i], before[i] = top[0] + 1, top[1], top[3]
+        on_diagonal[diagonal] = i
+        entry, k = (length[i], changes[i], h["pos"], i), rank + 1
+        while k < len(tree):
+            tree[k], k = max(tree[k], entry), k + (k & -k)
+    at = max(range(len(hits)), key=lambda i: (length[i], changes[i]))
+    chain = []
+    while at >= 0:
+        chain.append(hits[at])
+        at = before[at]
+    return chain
+
+
+def candidates(hits: list[dict], item_words: int) -> Iterable[list[dict]]:
+    """Sets of hits that may be one passage: every diagonal, the longest chain of each neighbourhood and of all."""
+    diagonals = defaultdict(list)
+    for h in hits:
+        diagonals[h["pos"] - h["item_pos"]].append(h)
+    yield from diagonals.values()
+    if len(diagonals) == 1:
+        return
+    hits = sorted(hits, key=lambda h: (h["pos"], -h["item_pos"]))
+    near, reach = [], 0
+    neighbourhoods = [near]
+    for h in hits:
+        if near and h["pos"] > reach + item_words:
+            near = []
+            neighbourhoods.append(near)
+        near.append(h)
+        reach = h["pos"]
+    for part in neighbourhoods if len(neighbourhoods) > 1 else []:
+        yield longest_chain(part)
+    yield longest_chain(hits)
+
+
+def judged(hits: list[dict], item: list[dict]) -> dict[str, object]:
+    """Covered windows of the item and consistent slots of hits that belong together."""
+    end = max(w["stop"] for w in item)
+    words_met = np.zeros(end + 1, np.int64)
+    for h in hits:
+        words_met[h["item_pos"] + 1:h["item_stop"] + 1] = 1
+    met = np.cumsum(words_met)
+    covered = {w["pos"] for w in item if met[w["stop"]] - met[w["pos"]] == w["stop"] - w["pos"]}
+    n, total = len(covered), len({w["pos"] for w in item})
+    slots = {(h["item_pos"] + s["at"], s["kind"], s["theirs"], s["mine"]) for h in hits for s in h["slots"]}
+    values, times = defaultdict(set), defaultdict(int)
+    for _, kind, theirs, mine in slots:
+        values[kind, theirs].add(mine)
+        times[kind, theirs] += 1
+    consistent = sum(t for k, t in times.items() if len(values[k]) == 1)
+    return {"n_windows": n, "n_consistent": consistent, "verbatim": all(a == b for _, _, a, b in slots), "n_item_windows": total, "coverage": n / total, "n_slots": len(slots)}
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, min_consistent: float = MIN_CONSISTENT) -> DataFrame:
     """Pairs of a document and a benchmark item whose template it holds with consistent slots.
 
-    Columns: doc_id, item_id, doc_print, n_windows and n_item_windows (distinct), coverage, n_slots, n_consistent, verbatim.
+    Columns: doc_id, item_id, doc_print, n_windows and n_item_windows (distinct places in the item), coverage, n_slots, n_consistent, verbatim.
     """
     spread = benchmark.repartition("item_id")  # the table may be one small file
-    own = stored(window_rows(keyed(spread, "item_id")), "item-windows").select(
-        F.col("id").alias("item_id"), F.col("print").alias("item_print"), "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    sizes = [WINDOW, *[r["n"] for r in _short_sizes(benchmark).collect()]]
+    items = stored(window_rows(keyed(spread, "item_id")), "item-windows")
+    own = items.select(F.col("id").alias("item_id"), F.col("print").alias("item_print"), "window", F.col("pos").alias("item_pos"), F.col("stop").alias("item_stop"), F.col("slots").alias("item_slots"))
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]  # at most WINDOW numbers
     shared = Shared(docs, bloom_filter(own))
     hits = stored(window_rows(keyed(docs, "doc_id"), sizes, shared), "document-windows")
-    met = (
-        hits.join(own, "window")
-        .select(F.col("id").alias("doc_id"), F.col("print").alias("doc_print"), "item_id", "item_print", "window", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos", "slots", "item_slots")
-        .distinct()
-    )
-    met = stored(met, "met-windows")
-    group = ["doc_id", "doc_print", "item_id", "item_print", "diagonal"]
-    covered = met.groupBy(*group).agg(F.count_distinct("window").alias("n_windows"))
-    totals = own.groupBy("item_id", "item_print").agg(F.count_distinct("window").alias("n_item_windows"))
-    slot = met.select(*group, "item_pos", F.explode(F.arrays_zip(F.col("slots").alias("mine"), F.col("item_slots").alias("theirs"))).alias("s"))
-    slot = slot.select(*group, (F.col("item_pos") + F.col("s.theirs.at")).alias("place"), F.col("s.theirs.kind").alias("kind"),
-                       F.col("s.theirs.value").alias("theirs"), F.col("s.mine.value").alias("mine")).distinct()
-    mapped = slot.groupBy(*group, "kind", "theirs").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("mine").alias("values"), F.min((F.col("mine") == F.col("theirs")).cast("int")).alias("equal"))
-    checked = mapped.groupBy(*group).agg(F.sum("n").alias("n_slots"), F.sum(F.when(F.col("values") == 1, F.col("n")).otherwise(0)).alias("n_consistent"), F.min("equal").alias("equal"))
-    joined = _null_safe(covered, checked, group, "left")
-    joined = _null_safe(joined, totals, ["item_id", "item_print"], "inner")
-    slots, consistent = (F.coalesce(c, F.lit(0)) for c in ("n_slots", "n_consistent"))
-    scored = joined.select(
-        *group[:4], "n_windows", "n_item_windows", (F.col("n_windows") / F.col("n_item_windows")).alias("coverage"),
-        slots.cast("bigint").alias("n_slots"), consistent.cast("bigint").alias("n_consistent"), (F.coalesce("equal", F.lit(1)) == 1).alias("verbatim"))
-    good = scored.filter((F.col("coverage") >= min_coverage) & (F.col("n_consistent") >= F.lit(min_consistent) * F.col("n_slots")))
-    measures = ["n_windows", "n_consistent", "verbatim", "n_item_windows", "coverage", "n_slots"]
-    best = good.groupBy("doc_id", "item_id", "doc_print").agg(F.max(F.struct(*measures)).alias("b"))
-    return best.select("doc_id", "item_id", "doc_print", *[F.col(f"b.{m}").alias(m) for m in measures])
-
-
-def _short_sizes(benchmark: DataFrame) -> DataFrame:
-    """Lengths below WINDOW that occur among the items: at most WINDOW - 1 numbers."""
-    found = F.size(F.expr(r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0)"))
-    return benchmark.select(found.alias("n")).filter((F.col("n") > 0) & (F.col("n") < WINDOW)).distinct()
+    slots = F.transform(F.arrays_zip(F.col("slots").alias("m"), F.col("item_slots").alias("t")), lambda s: F.struct(
+        s["t"]["at"].alias("at"), s["t"]["kind"].alias("kind"), s["t"]["value"].alias("theirs"), s["m"]["value"].alias("mine")))
+    group = ["doc_id", "doc_print", "item_id", "item_print"]
+    met = hits.join(own, "window").select(
+        F.col("id").alias("doc_id"), F.col("print").alias("doc_print"), "item_id", "item_print", F.struct("pos", "item_pos", "item_stop", slots.alias("slots")).alias("hit"))
+    pairs = met.groupBy(*group).agg(F.collect_set("hit").alias("hits"))  # at most the windows of one text with one item
+    windows_of = items.groupBy(F.col("id").alias("item_id"), F.col("print").alias("item_print")).agg(F.collect_set(F.struct("pos", "stop")).alias("item"))
+    joined = _null_safe(pairs, windows_of, ["item_id", "item_print"], "inner")
+    names = [f.split()[0] for f in PAIRS.split(", ")]
+    schema = to_arrow_schema(StructType.fromDDL(PAIRS))
+
+    def judge(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 100):
+                out = []
+                for r in whole.slice(start, 100).to_pylist():
+                    tried = [judged(c, r["item"]) for c in candidates(r["hits"], max(w["stop"] for w in r["item"]))]
+                    good = [t for t in tried if t["coverage"] >= min_coverage and t["n_consistent"] >= min_consistent * t["n_slots"]]
+                    if good:
+                        out.append(max(good, key=lambda t: [t[m] for m in names[3:]]) | {k: r[k] for k in names[:3]})
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    found = joined.select(*group, "hits", "item").mapInArrow(judge, PAIRS)
+    # the same item id may stand with several texts
+    best = found.groupBy("doc_id", "item_id", "doc_print").agg(F.max(F.struct(*names[3:])).alias("b"))
+    return best.select("doc_id", "item_id", "doc_print", *[F.col(f"b.{m}").alias(m) for m in names[3:]])
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
