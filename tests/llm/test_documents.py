@@ -193,6 +193,16 @@ def test_templates_over_several_diagonals(spark):
     assert got[1].coverage == got[2].coverage == 1 and got[2].verbatim and not got[1].verbatim
 
 
+def test_passages_in_other_case(spark):
+    slots = "Anna Berta 12 km Carl 7 Dora Emil 19 Frida 4 Gustav Hans 3 Ida"
+    texts = {1: ITEM.upper(), 2: ITEM.lower(), 3: ITEM.capitalize(), 4: "So. " + ITEM.title() + " Indeed.", 5: "see " + slots + " there", 6: slots.upper(),
+             7: slots.replace("12", "13").replace("Carl", "Karl").replace("19", "20").replace("Ida", "Ina"), 8: ITEM.upper().replace("1200", "1300")}
+    items = [(1, ITEM), (2, slots)]
+    got = {(r.doc_id, r.item_id) for r in templates.contaminated(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"),
+                                                                 spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2), (8, 1)}
+
+
 def test_longest_chain_against_all_chains():
     rng = random.Random(7)
     for _ in range(200):

@@ -1,22 +1,28 @@
 """Benchmark decontamination by template canonicalisation.
 
 Each word becomes a template token: numbers ``<NUM>``, capitalised words ``<NAME>``, a unit of measure after a number
-``<UNIT>``, other words their lower-case letters. Adjacent names or numbers are one token, so a name may have any number of
+``<UNIT>``, other words their case-folded letters. Adjacent names or numbers are one token, so a name may have any number of
 words. Windows of eight tokens with at least four literal ones are hashed and joined with the windows of the benchmark items.
 Windows that keep the item's order in the document belong together, on whatever diagonals (the document's position less
 the item's) they lie; the values of their slots give a mapping from the item's values to the document's, and a slot is
 consistent where its item value maps to one value throughout. A re-parameterised question keeps the template and maps
 its slots consistently; different questions of one form don't.
 
+Case is no safe sign of a name, so a text is read in four ways, and any reading of a document meets any of an item: capitals
+are names; they are, but not at a sentence start or in a run of words in capitals; none is a name; no word is a slot at
+all. Windows of the last reading are compared letter by letter (case folded) and need no literal tokens, so passages in other
+case and items of names and numbers are found as well.
+
 A window of the item is covered if all its words lie in windows that are met: words put between two met parts don't
-uncover the windows across them. Tested are each diagonal alone, the longest ordered chain of each neighbourhood (cut where
+uncover the windows across them. Coverage is that of all places where a window starts, or that of the places with a window
+of the first reading alone, whichever is greater. Tested are each diagonal alone, the longest ordered chain of each neighbourhood (cut where
 the document has no window for as many words as the item has) and of the whole document.
 
 Documents are filtered before the join by a Bloom filter of the benchmark's windows: its size is a parameter (2^23 bits),
 whatever the size of the benchmark; a larger benchmark only lets more windows through to the join, which is exact.
 
 Defined results: NULL or empty texts and items have no windows; items shorter than a window are one window of their own
-length (with at least half of it literal); pairs of repeated rows are returned once; a NULL id is kept as NULL.
+length (with at least half of it literal, except in the last reading); pairs of repeated rows are returned once; a NULL id is kept as NULL.
 """
 
 from __future__ import annotations
@@ -49,31 +55,34 @@ UNITS = set(
     " $ usd eur euro euros dollar dollars cent cents percent % degree degrees kb mb gb tb hz khz mhz ghz v volt volts w watt watts j joule joules n newton newtons"
     " pa mol".split())
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
+CLOSING = ")]}\"'`»”’"
 EDGE = ".,;:!?()[]{}\"'`«»“”‘’…"
 LITERAL, NAME, NUM, UNIT = 0, 1, 2, 3
 SLOT_HASH = np.array([0, *(xxh64_intdigest(x) for x in (b"<NAME>", b"<NUM>", b"<UNIT>"))], np.uint64)
 
-HITS = "id bigint, print bigint, window bigint, pos int, stop int, size int, slots array<struct<at: int, kind: int, value: string>>"
+HITS = "id bigint, print bigint, window bigint, pos int, stop int, size int, named boolean, slots array<struct<at: int, kind: int, value: string>>"
 PAIRS = ("doc_id bigint, item_id bigint, doc_print bigint, n_windows bigint, n_consistent bigint, verbatim boolean,"
          " n_item_windows bigint, coverage double, n_slots bigint")
 
 
-def classify(word: bytes) -> tuple[int, int]:
-    """(kind, hash of the literal) of a word; UNIT is a unit only after a number."""
-    text = word.decode(errors="replace").strip(EDGE)
-    bare = text.lower()
+def classify(word: bytes) -> tuple[int, int, bool, bool]:
+    """(kind, hash of the literal, ends a sentence, is in capitals) of a word; UNIT is a unit only after a number."""
+    whole = word.decode(errors="replace")
+    ends = whole.rstrip(CLOSING)[-1:] in tuple(".!?…:")
+    text = whole.strip(EDGE)
+    bare = text.casefold()
     h = xxh64_intdigest(bare.encode())
     if NUMBER.fullmatch(text):
-        return NUM, h
+        return NUM, h, ends, False
     if bare in UNITS:
-        return UNIT, h
-    return (NAME if text[:1].isupper() else LITERAL), h
+        return UNIT, h, ends, text.isupper()
+    return (NAME if text[:1].isupper() else LITERAL), h, ends, len(text) > 1 and text.isupper()
 
 
 class Words(dict):
     """Kind and hash by word, filled on first use, bounded."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> tuple[int, int, bool, bool]:
         if len(self) >= MAX_CACHED:
             self.clear()
         found = self[word] = classify(word)
@@ -83,7 +92,8 @@ class Words(dict):
 class Reading:
     """The words of a batch of texts as template tokens: hash, kind and first word of each, and its text's number."""
 
-    def __init__(self, hashes: np.ndarray, kinds: np.ndarray, texts: np.ndarray):
+    def __init__(self, hashes: np.ndarray, kinds: np.ndarray, texts: np.ndarray, literals: int = LITERALS):
+        self.literals = literals
         same = np.concatenate([[False], (kinds[1:] == kinds[:-1]) & (texts[1:] == texts[:-1])]) if len(kinds) else np.zeros(0, bool)
         self.at = np.flatnonzero(~(same & ((kinds == NAME) | (kinds == NUM))))
         self.kinds, self.texts = kinds[self.at], texts[self.at]
@@ -100,19 +110,26 @@ class Reading:
             mixed = (mixed ^ self.hashes[i:n + i]) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
         literal = np.concatenate([[0], np.cumsum(self.kinds == LITERAL)])
-        enough = literal[size:] - literal[:-size] >= (LITERALS if size == WINDOW else (size + 1) // 2)
+        enough = literal[size:] - literal[:-size] >= (self.literals if size == WINDOW else min(self.literals, (size + 1) // 2))
         return mixed, enough & (self.texts[:n] == self.texts[size - 1:])
 
 
-def canonical(found: list[list[bytes]], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Literal hashes and kinds (LITERAL where it is no slot) of all words of the texts, and their text's number."""
+def readings(found: list[list[bytes]], known: Words) -> list[Reading]:
+    """The four readings of the texts, that with all capitals as names first."""
     pairs = [known[w] for text in found for w in text]
+    if not pairs:
+        return []
     texts = np.repeat(np.arange(len(found)), [len(text) for text in found])
-    kinds = np.array([p[0] for p in pairs], np.int8)
-    hashes = np.array([p[1] for p in pairs], np.uint64)
-    after_number = np.concatenate([[False], (kinds[:-1] == NUM) & (texts[:-1] == texts[1:])]) if len(kinds) else np.zeros(0, bool)
+    kinds, hashes, ends, upper = (np.array(column, kind) for column, kind in zip(zip(*pairs), (np.int8, np.uint64, bool, bool)))
+    one_text = texts[:-1] == texts[1:]
+    after_number = np.concatenate([[False], (kinds[:-1] == NUM) & one_text])
     kinds[(kinds == UNIT) & ~after_number] = LITERAL
-    return hashes, kinds, texts
+    start = np.concatenate([[True], ends[:-1] | ~one_text])
+    pair = upper[:-1] & upper[1:] & one_text
+    shouted = np.concatenate([pair, [False]]) | np.concatenate([[False], pair])
+    folded = np.where(kinds == NAME, np.int8(LITERAL), kinds)
+    return [Reading(hashes, kinds, texts), Reading(hashes, np.where(start | shouted, folded, kinds), texts), Reading(hashes, folded, texts),
+            Reading(hashes, np.zeros_like(kinds), texts, 0)]
 
 
 def bloom_places(window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,17 +155,18 @@ def window_rows(rows: DataFrame, sizes: list[int] | None = None, bloom: Shared |
                 ids, prints = batch.column("id").to_pylist(), batch.column("print").to_pylist()
                 found = [words(text) for text in utf8(batch.column("text"))]
                 first = np.cumsum([0, *map(len, found)])
-                hashes, kinds, texts = canonical(found, known)
-                reading = Reading(hashes, kinds, texts)
-                tokens = np.bincount(reading.texts, minlength=len(found))
-                for size in sizes or range(1, WINDOW + 1):
+                seen = set()
+                for n, reading, size in ((n, r, s) for n, r in enumerate(readings(found, known)) for s in sizes or range(1, WINDOW + 1)):
                     got, good = reading.windows(size)
                     if not sizes and len(got):
-                        good &= np.minimum(tokens, WINDOW)[reading.texts[:len(got)]] == size
+                        good &= np.minimum(np.bincount(reading.texts, minlength=len(found)), WINDOW)[reading.texts[:len(got)]] == size
                     if bits is not None and len(got):
                         a, b = bloom_places(got)
                         good &= bits[a] & bits[b]
                     for i in np.flatnonzero(good).tolist():
+                        if (place := (int(reading.at[i]), int(got[i]))) in seen:  # readings agree where they see the same slots
+                            continue
+                        seen.add(place)
                         k = int(reading.texts[i])
                         base, text = int(first[k]), found[k]
                         pos = int(reading.at[i]) - base
@@ -158,7 +176,7 @@ def window_rows(rows: DataFrame, sizes: list[int] | None = None, bloom: Shared |
                                 a, b = int(reading.at[j]) - base, min(int(reading.stops[j]) - base, len(text))
                                 value = " ".join(w.decode(errors="replace").strip(EDGE) for w in text[a:b])
                                 slots.append({"at": a - pos, "kind": kind, "value": value})
-                        row = (ids[k], prints[k], int(got[i].view(np.int64)), pos, min(int(reading.stops[i + size - 1]) - base, len(text)), size, slots)
+                        row = (ids[k], prints[k], int(got[i].view(np.int64)), pos, min(int(reading.stops[i + size - 1]) - base, len(text)), size, n == 0, slots)
                         for name, value in zip(out, row):
                             out[name].append(value)
                 if out["id"]:
@@ -241,7 +259,8 @@ def judged(hits: list[dict], item: list[dict]) -> dict[str, object]:
         words_met[h["item_pos"] + 1:h["item_stop"] + 1] = 1
     met = np.cumsum(words_met)
     covered = {w["pos"] for w in item if met[w["stop"]] - met[w["pos"]] == w["stop"] - w["pos"]}
-    n, total = len(covered), len({w["pos"] for w in item})
+    named = {w["pos"] for w in item if w["named"]}
+    n, total = max(((len(covered & places), len(places)) for places in ({w["pos"] for w in item}, named) if places), key=lambda x: x[0] / x[1])
     slots = {(h["item_pos"] + s["at"], s["kind"], s["theirs"], s["mine"]) for h in hits for s in h["slots"]}
     values, times = defaultdict(set), defaultdict(int)
     for _, kind, theirs, mine in slots:
@@ -268,7 +287,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
     met = hits.join(own, "window").select(
         F.col("id").alias("doc_id"), F.col("print").alias("doc_print"), "item_id", "item_print", F.struct("pos", "item_pos", "item_stop", slots.alias("slots")).alias("hit"))
     pairs = met.groupBy(*group).agg(F.collect_set("hit").alias("hits"))  # at most the windows of one text with one item
-    windows_of = items.groupBy(F.col("id").alias("item_id"), F.col("print").alias("item_print")).agg(F.collect_set(F.struct("pos", "stop")).alias("item"))
+    windows_of = items.groupBy(F.col("id").alias("item_id"), F.col("print").alias("item_print")).agg(F.collect_set(F.struct("pos", "stop", "named")).alias("item"))
     joined = _null_safe(pairs, windows_of, ["item_id", "item_print"], "inner")
     names = [f.split()[0] for f in PAIRS.split(", ")]
     schema = to_arrow_schema(StructType.fromDDL(PAIRS))
