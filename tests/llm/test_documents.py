@@ -283,6 +283,18 @@ def test_secrets(spark, sf, edge_docs, edge_texts, no_docs):
     assert {r.text for r in hidden.filter("doc_id = 1 and text is not null").collect()} == {"Token: short <SECRET> é <SECRET>\" and <SECRET> here"}
 
 
+def test_random_strings_of_one_case_are_secrets(spark):
+    rng = random.Random(12)
+    alphabets = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"}
+    names = list(alphabets)
+    texts = [(k * 1000 + i, "".join(rng.choice(alphabets[n]) for _ in range(24))) for k, n in enumerate(names) for i in range(200)]
+    plain = ["my_long_variable_name_here", "MAXIMUM_BUFFER_LENGTH_LIMIT", "internationalization", "INTERNATIONALIZATION", "someCamelCaseIdentifierName", "release-2024-12-01-candidate"]
+    docs = spark.createDataFrame(texts + [(-1 - i, t) for i, t in enumerate(plain)], "doc_id bigint, text string")
+    found = [r.doc_id for r in secret_scan.scan(docs).collect() if any(s.kind == "token" for s in r.found)]
+    hit = Counter(names[i // 1000] for i in found if i >= 0)
+    assert all(hit[n] >= 170 for n in names) and min(found) >= 0
+
+
 # --- language model
 
 

@@ -3,7 +3,8 @@
 The test takes runs of ``[A-Za-z0-9+/_=-]`` of 20 or more characters outside the matches of the
 patterns. Prose and identifiers need few tokens of a byte-pair vocabulary, random strings many:
 a run with less than ``max_ratio`` characters per token is reported as ``token``. Known digests
-(hexadecimal runs of usual digest lengths), UUIDs and identifiers (all parts words or short numbers) are left out first.
+(hexadecimal runs of usual digest lengths), UUIDs and identifiers are left out first. An identifier has only words and short numbers as
+parts; a word needs few tokens itself, or clearly few in lower case after a space, so no string is a word by its shape alone.
 
 Spans are code points, end exclusive, over whole texts. Defined results: a NULL text is empty and
 has no spans; repeated rows and NULL ids are scanned like any other row.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -25,6 +26,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the splitting pattern that goes with this vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_RATIO, MIN_LENGTH = 2.0, 20
+CLEARLY = 1.5  # times the ratio, for a word that is only one in another case
 
 #: Patterns and shortest lengths by kind, in the order of the kinds.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -42,14 +44,14 @@ CUT = re.compile(r"[+/_=-]+")
 Span = tuple[str, int, int]
 
 
-def known(run: str) -> bool:
+def known(run: str, is_word: Callable[[str], bool]) -> bool:
     """Digests of usual lengths, UUIDs, and identifiers whose parts are words or short numbers."""
     bare = run.strip("=-_/+")
     if UUID.fullmatch(bare) or (len(bare) in DIGEST_LENGTHS and HEX_RUN.fullmatch(bare)):
         return True
     parts = [p for p in CUT.split(bare) if p]
     # camelCase counts as words where the pieces are long enough: random strings change case at almost every letter
-    return all(len(words := PART.findall(p)) and sum(map(len, words)) == len(p) and len(p) >= 4 * len(words) - 3 for p in parts)
+    return all(len(words := PART.findall(p)) and sum(map(len, words)) == len(p) and len(p) >= 4 * len(words) - 3 and all(w.isdigit() or is_word(w) for w in words) for p in parts)
 
 
 def patterns(text: str) -> list[Span]:
@@ -77,10 +79,14 @@ class TokenTest:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.encoding = tiktoken.Encoding("scan", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
 
+    def is_word(self, part: str) -> bool:
+        tokens = self.encoding.encode_ordinary
+        return len(part) >= self.max_ratio * len(tokens(part)) or len(part) >= CLEARLY * self.max_ratio * len(tokens(" " + part.lower()))
+
     def spans(self, text: str, taken: list[Span]) -> Iterator[Span]:
         for m in RUN.finditer(text):
             a, b = m.span()
-            if any(s < b and a < e for _, s, e in taken) or known(run := m.group()):
+            if any(s < b and a < e for _, s, e in taken) or known(run := m.group(), self.is_word):
                 continue
             if len(run) < self.max_ratio * len(self.encoding.encode_ordinary(run)):
                 yield "token", a, b
