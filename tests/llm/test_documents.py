@@ -421,6 +421,30 @@ def test_token_counts(spark, sf, edge_docs, edge_texts, no_docs):
     assert word_pieces.token_counts(no_docs).count() == 0
 
 
+def test_words_without_an_initial_piece(spark):
+    initial, continuation = map(set, word_pieces.read_vocabulary())
+    words = ["рыба", "\u4e2d\u6587", "한국어", "\ud7a3", "язык", "plain", "é"]
+
+    def count(word: bytes) -> int:
+        if any(word[:e] in initial for e in range(1, len(word) + 1)):
+            return greedy(word, initial, continuation)
+        return 1 + greedy(word, continuation, continuation)  # the space, then continuations
+
+    counts = [count(w.encode()) for w in words]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, words[0])], "doc_id bigint, text string")
+    assert sorted(map(tuple, word_pieces.token_counts(docs).collect())) == [(1, len(words), sum(counts), 0), (2, 1, counts[0], 0)]
+    rng = random.Random(9)
+    for _ in range(60):
+        draw = lambda: {bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 8))}
+        initial, continuation = draw(), draw()
+        auto = word_pieces.CountingAutomaton([b"", *sorted(initial)], sorted(continuation))
+        for _ in range(60):
+            word = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 10)))
+            starts = any(word[:e] in initial for e in range(1, len(word) + 1))
+            rest = greedy(word, initial if starts else continuation, continuation)
+            assert auto.count(word) == (rest if starts or rest < 0 else rest + 1)
+
+
 def test_counting_automaton_on_small_vocabularies():
     rng = random.Random(6)
     for _ in range(60):

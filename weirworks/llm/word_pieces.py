@@ -5,7 +5,8 @@ when the next character doesn't fit) and how many tokens are popped on the way;
 word is read left to right without going back: its number of tokens is the sum of the popped counts. A word that can't be
 segmented is one unknown token, as usual for word-pieces.
 
-The default vocabulary is a byte-level rank file: tokens with a leading space start a word, the others continue it; words
+The default vocabulary is a byte-level rank file: tokens with a leading space start a word, the others continue it; a word that
+starts with none of them starts with the space alone (an empty initial piece), so every byte sequence has its count. Words
 are split at ASCII white space and read as UTF-8 bytes. Counts of distinct words are kept in a bounded cache per worker.
 
 Defined results: NULL and empty texts have no words and no tokens; repeated rows and NULL ids are counted like any other.
@@ -28,10 +29,10 @@ NONE = -1
 
 
 def read_vocabulary(ranks: str = VOCABULARY) -> tuple[list[bytes], list[bytes]]:
-    """Initial pieces and continuations."""
+    """Initial pieces (the space alone is the empty one) and continuations."""
     with open(ranks, "rb") as f:
         tokens = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-    return [t[1:] for t in tokens if t[:1] == b" " and len(t) > 1], [t for t in tokens if t[:1] != b" "]
+    return [t[1:] for t in tokens if t[:1] == b" "], [t for t in tokens if t[:1] != b" "]
 
 
 class CountingAutomaton:
@@ -52,6 +53,8 @@ class CountingAutomaton:
                 if node != root:
                     whole[node] = True
         self.fail, self.popped = [NONE] * len(self.next), [0] * len(self.next)
+        if b"" in initial:
+            self.fail[0], self.popped[0] = 1, 1
         queue = deque([0, 1])
         while queue:
             node = queue.popleft()
