@@ -43,8 +43,3 @@ def event_files(spark, tmp_path_factory):
     for i, p in enumerate(names):  # the file source takes files by modification time
         os.utime(p, (1_700_000_000 + i * 10,) * 2)
     return str(folder)
-
-
-def rows(df, *columns):
-    """Sorted row tuples."""
-    return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())

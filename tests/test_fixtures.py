@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from weirworks.functions import expr as X
 from weirworks.operators import aggs, analytic, dedup, greedy, joins, patterns, ranking, rows as R, timers, triggers, windows
 from weirworks.operators.patterns import Rule

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import Window as W, functions as F
 
-from conftest import rows
+from frames import rows
 from weirworks.functions.expr import micros
 from weirworks.operators import analytic, greedy, joins, windows
 from weirworks.operators.ordered import Ordered, following, latest, next_known, previous, running_count, running_max, total, trailing_sum

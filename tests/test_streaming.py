@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from weirworks.functions.expr import interval_us, micros, n_rows
 from weirworks.operators import analytic, dedup, greedy, joins, ranking, rows as R, timers, windows
 from weirworks.operators.ordered import Ordered, previous
