@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from weirworks.llm import chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, severity, templates, warc, word_pieces
+from weirworks.llm import alignment, chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, severity, templates, warc, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,11 @@ def op3_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return severity.severities(docs, severity.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op11_tokenizer_alignment")
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.scores(alignment.index(table(spark, sf_dir, "documents")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
