@@ -9,7 +9,7 @@ from hashlib import sha256
 import pytest
 
 from conftest import sentence
-from weirworks.llm import alignment
+from weirworks.llm import alignment, license_scan, phrases
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +114,158 @@ def test_bitmaps():
         assert (alignment.unpack(packed) == rows).all() and alignment.size(packed) == n and len(packed) <= 8_192
     x, y = np.arange(0, 5_000, 2), np.arange(0, 5_000, 3)
     assert set(alignment.unpack(alignment.merge([alignment.pack(x), alignment.pack(y)])).tolist()) == set(x.tolist()) | set(y.tolist())
+
+
+# --- op12
+
+
+def sellers(notice, padded):
+    """Fewest edits between a notice and any run of whole words of the padded text; None if there is no word."""
+    best = None
+    starts = [i + 1 for i, c in enumerate(padded[:-1]) if c == " " and padded[i + 1] != " "]
+    for start in starts:
+        row = list(range(len(notice) + 1))
+        for j in range(start, min(len(padded) - 1, start + 2 * len(notice))):
+            new = [j - start + 1]
+            for k, c in enumerate(notice, 1):
+                new.append(min(new[-1] + 1, row[k] + 1, row[k - 1] + (padded[j] != c)))
+            row = new
+            if padded[j + 1] == " " and (best is None or row[-1] < best):
+                best = row[-1]
+    return best
+
+
+def damaged(rng, text, n):
+    for _ in range(n):
+        i = rng.randrange(len(text))
+        text = rng.choice([text[:i] + text[i + 1:], text[:i] + rng.choice("abcxyz ") + text[i:], text[:i] + rng.choice("abcxyz") + text[i + 1:]])
+    return text
+
+
+def test_seeds_and_verification_find_every_near_notice():
+    """Detection and fewest edits equal the full edit-distance table, for every notice and damaged texts."""
+    rng = random.Random(12)
+    scanner = license_scan.Scanner(license_scan.BASE, license_scan.NOTICES)
+    for i, notice in enumerate(scanner.phrases):
+        k = scanner.edits[i]
+        for n in range(k + 3):
+            words, padded = license_scan.spelled(f"{sentence(rng, 6)} {damaged(rng, notice, n)} {sentence(rng, 6)}")
+            found = [m.edits for m in scanner.matches(padded)[0] if m.notice == i]
+            least = sellers(notice, padded)
+            assert (min(found) if found else None) == (least if least <= k else None), (notice, padded)
+
+
+def base_by_hand(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words, held = [], ""
+    for c in lowered + " ":
+        if ("0" <= c <= "9") or ("a" <= c <= "z") or ord(c) > 127:
+            held += c
+        elif held:
+            words.append(held)
+            held = ""
+    places = [(i, label) for phrase, label in license_scan.BASE for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def test_license_scan_base_equals_brute_force(spark, small, edge_docs, no_docs):
+    texts = [r.text for r in small.select("text").collect()]
+    mit = "Under the MIT License"
+    texts += [None, "", mit, f"{mit} {mit}\n{mit}d", "under the mit licenses", "CC-BY-NC cc by nc-4.0", "xCC BY NC", "Apache License, Version 2.0 apache license version 20",
+              "cc by nc " * 3_000, "é under the mit license ü", "under  the\tMIT--license", "z" * 200_000 + " under the mit license " + "y" * 200_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in license_scan.scan(docs).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base_by_hand(texts[r.doc_id]), texts[r.doc_id]
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert 0 <= r.score <= 1 and (r.score == 1.0 or r.n_base == 0)
+    assert license_scan.scan(edge_docs).count() == edge_docs.count()
+    assert license_scan.scan(no_docs).count() == 0
+
+
+def test_license_spans_and_labels():
+    s = license_scan.Scanner(license_scan.BASE, license_scan.NOTICES)
+    told = lambda t: license_scan.report(s, t)
+    text = "Ü — This work is licensed under the GNU General Publc License, version 3."
+    r = told(text)
+    (span,) = r["spans"].split(",")
+    label, a, b, edits = span.split(":")
+    assert (label, text[int(a):int(b)], edits) == ("gpl-3", "GNU General Publc License, version 3", "1") and r["labels"] == "gpl-3" and 0.9 < r["score"] < 1
+    assert told("released under the MIT licence")["labels"] == "mit" and told("released under the MIT licence")["n_base"] == 0
+    assert told("Licensed under the Apache License, Version 2.0")["labels"] == "apache-2"
+    assert told("under the apache license and the mit")["labels"] == "" and told("cc by ny")["labels"] == ""
+    many = told("under the mit license " * 5_000)
+    assert many["n_base"] == 5_000 and many["first_word"] == 0 and many["last_word"] == 4 * 4_999
+
+
+# --- op13
+
+
+def phrases_by_hand(rows, support=30, kept=2_000, within=80):
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        piece = []
+        for c in lowered + "\n":
+            if c in ".,;:!?\n\x0b\x0c\r":
+                words = [w for w in "".join(piece).replace("\t", " ").split(" ") if w]
+                piece = []
+                totals[lang or "und"] += len(words)
+                for n in (1, 2, 3, 4):
+                    for i in range(len(words) - n + 1):
+                        counts[lang or "und"][tuple(words[i:i + n])] += 1
+            else:
+                piece.append(c)
+    out = []
+    for lang, f in counts.items():
+        candidates = {p: n for p, n in f.items() if len(p) > 1 and n >= support}
+        scored = []
+        for p, a in candidates.items():
+            if any(100 * n >= within * a for q, n in candidates.items() if len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))):
+                continue
+            score, _, left, right = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(scored)[:kept], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+ANSWER = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def test_phrase_mining_equals_brute_force(spark):
+    rng = random.Random(13)
+    vocabulary = sentence(rng, 40).split()
+    known = [" ".join(rng.choices(vocabulary, k=rng.randint(2, 6))) for _ in range(12)]
+    rows = []
+    for i in range(400):
+        parts = [rng.choice([rng.choice(vocabulary), rng.choice(known), rng.choice(known).upper(), rng.choice(".,;:!?\n\r\t") + " "]) for _ in range(rng.randint(0, 60))]
+        rows.append((i, rng.choice(["en", "en", "de", None]), rng.choice([" ", "  ", "\t"]).join(parts)))
+    rows += [(1, "en", rows[5][2]), (None, "en", None), (None, "und", ""), (9, None, "a b " * 5_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").repartition(3)
+    expected = phrases_by_hand([(lang, text) for _, lang, text in rows], kept=50)
+    for one_in, lowered in ((8, 2), (1, 30), (50, 1), (3, 1_000_000)):
+        got = phrases.collocations(docs, kept=50, one_in=one_in, lowered=lowered).select(ANSWER)
+        assert sorted(tuple(r) for r in got.collect()) == expected, (one_in, lowered)
+
+
+def test_border_failures_are_counted_in_further_passes(spark):
+    """A sample that proposes nothing: words, pairs, triples and quadruples come in by one pass each."""
+    docs = spark.createDataFrame([(i, "en", f"alpha beta gamma delta w{i}") for i in range(200)], "doc_id bigint, lang string, text string")
+    found, passes = phrases.frequent_phrases(docs, lowered=1_000_000)
+    assert passes == 4
+    assert {(r.phrase, r.c) for r in found.collect()} >= {("alpha beta gamma delta", 200), ("beta gamma", 200), ("", 1_000)}
+    assert phrases.frequent_phrases(docs, one_in=1, lowered=2)[1] == 1
+
+
+def test_phrases_of_odd_rows(spark, edge_docs, no_docs):
+    rows = [(r.lang, r.text) for r in edge_docs.collect()]
+    got = phrases.collocations(edge_docs, support=2).select(ANSWER)
+    assert sorted(tuple(r) for r in got.collect()) == phrases_by_hand(rows, support=2)
+    assert phrases.collocations(no_docs).count() == 0
+
+
+def test_long_windows_and_wide_numbers(spark):
+    a, b = 3 * 10**13, 4 * 10**13
+    made = spark.range(1).selectExpr(f"cast({a} * 2000000BD as decimal(38, 0)) div cast(cast({a}L as decimal(20, 0)) + {b}L as decimal(38, 0)) as score")
+    assert made.first()[0] == 2_000_000 * a // (a + b)

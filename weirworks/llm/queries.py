@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from weirworks.llm import alignment, chat, hidden_markov, line_frequency as lf, minhash, pieces, secret_scan, severity, templates, warc, word_pieces
+from weirworks.llm import alignment, chat, hidden_markov, license_scan, line_frequency as lf, minhash, phrases, pieces, secret_scan, severity, templates, warc, word_pieces
 from weirworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,16 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.scores(alignment.index(table(spark, sf_dir, "documents")))
 
 
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op13_phrase_mining", phrases.SQL)
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
