@@ -23,19 +23,20 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from weirworks.llm.common import pieces
 from weirworks.llm.pieces import Shared
 from weirworks.session import stored
 
@@ -46,22 +47,36 @@ CHUNK_BITS = 16
 CHUNK = 1 << CHUNK_BITS
 DENSE = 4_096  # rows from which a bitmap of CHUNK bits is smaller than an array
 HELD = 1_500_000  # links of distinct (row, pair) that a task holds before it writes fragments
-CACHED, CACHED_CHARS = 120_000, 48  # units per worker, and their greatest length
-TEXTS = 200  # texts coded at a time
-PAIR_BITS = 32
+CACHED, CACHED_LINKS = 150_000, 2_000_000  # units and links per worker; beyond, the cache starts anew
+ROW = 200  # units coded as one string
+FEW = 256  # links of a group that are listed without counting its tokens first
+TEXTS = 300  # texts coded at a time
 MARK = "▁"
 
 POSTING = "a int, b int, chunk bigint, plane int, docs binary"
 SUMMARY = "row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string"
 
 
-class Unit(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
-    links: tuple[tuple[int, int], ...]  # (a << 32 | b, how often)
+class Units(NamedTuple):
+    """Aligned units by slot: rows of n_a, n_b, n_groups, n_links; whether the tokens' bytes are the unit's; groups as text; linked id pairs
+    (a * SECOND_IDS + b) of all units one after the other, how often each is linked there, and how many a unit has."""
+
+    figures: np.ndarray
+    good: np.ndarray
+    groups: list[str]
+    pairs: np.ndarray
+    times: np.ndarray
+    sizes: np.ndarray
+
+
+class Texts(NamedTuple):
+    """Figures of several texts: rows of n_a, n_b, n_groups, n_links; digests; and their links by text and pair."""
+
+    figures: np.ndarray
+    groups: list[str]
+    text: np.ndarray
+    pair: np.ndarray
+    links: np.ndarray
 
 
 def byte_level_table() -> dict[str, int]:
@@ -83,69 +98,160 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         table = byte_level_table()
-        self.a_bytes = {i: bytes(table[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in table for c in t)}
+        self.a_bytes = [b""] * self.a.get_vocab_size()
+        for token, i in self.a.get_vocab(with_added_tokens=False).items():
+            if all(c in table for c in token):
+                self.a_bytes[i] = bytes(table[c] for c in token)
         name = self.b.id_to_piece
         self.b_bytes = [bytes([int(name(i)[3:5], 16)]) if self.b.is_byte(i) else name(i).replace(MARK, " ").encode() for i in range(self.b.get_piece_size())]
+        self.a_lengths, self.b_lengths = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.ids_b = len(self.b_bytes)
+        self.number = [str(i) for i in range(max(len(self.a_bytes), self.ids_b))]
         self.lone_mark = self.b.piece_to_id(MARK)
-        self.cache: dict[str, Unit | None] = {}
+        self.forget()
 
-    def second_ids(self, units: list[str]) -> list[list[int]]:
-        """The model writes a mark of its own before the text: it stands for a unit's space, and goes where a unit starts with a line feed."""
-        coded = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        for i, (u, ids) in enumerate(zip(units, coded)):
+    def forget(self) -> None:
+        """Empties the cache: slots of units, and their aligned parts as they came."""
+        self.slots: dict[str, int] = {}
+        self.parts: list[Units] = []
+
+    def second_ids(self, strings: list[str]) -> list[list[int]]:
+        """The model writes a mark of its own before a text: it stands for the first space, and goes where a string starts with a line feed."""
+        coded = self.b.encode([u[1:] if u[0] == " " else u for u in strings], num_threads=1)
+        for i, u in enumerate(strings):
             if u == " ":
                 coded[i] = [self.lone_mark]
             elif u[0] != " ":
-                coded[i] = ids[1:] if ids[:1] == [self.lone_mark] else []
+                coded[i] = coded[i][1:] if coded[i][:1] == [self.lone_mark] else []
         return coded
 
-    def code(self, units: list[str]) -> list[Unit | None]:
-        firsts = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
-        return [self.align(u.encode(), a, b) for u, a, b in zip(units, firsts, self.second_ids(units))]
-
-    def align(self, raw: bytes, a: list[int], b: list[int]) -> Unit | None:
-        """None where the tokens' bytes aren't those of the unit."""
-        parts_a, parts_b = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-            return None
-        ends_a, ends_b = np.cumsum([len(p) for p in parts_a]), np.cumsum([len(p) for p in parts_b])
-        common = np.intersect1d(ends_a, ends_b)
-        cut_a, cut_b = (np.searchsorted(ends, common) + 1 for ends in (ends_a, ends_b))
-        links: Counter = Counter()
-        shown, n_links, i, j = [], 0, 0, 0
-        for to_i, to_j in zip(cut_a.tolist(), cut_b.tolist()):
-            left, right = a[i:to_i], b[j:to_j]
-            shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-            n_links += len(left) * len(right)
-            mine, other = Counter(left), Counter(right)
-            for x, n in mine.items():
-                for y, m in other.items():
-                    links[x << PAIR_BITS | y] += n * m
-            i, j = to_i, to_j
-        return Unit(len(a), len(b), len(shown), n_links, ";".join(shown), tuple(links.items()))
-
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[Unit | None, str]]:
-        """Per text its figures (None: no tokens) and the groups as text."""
+    def code(self, units: list[str]) -> Units:
+        """Aligned units, in order.
+
+        Units that end with a visible character are coded in rows of ROW, others alone. Where the tokens of a row don't give back its
+        bytes, its units are coded one by one, and those that are wrong then have no tokens.
+        """
+        rows: list[list[str]] = []
+        open_row = False
+        for u in units:
+            whole = not u[-1].isspace()
+            if not (whole and open_row and len(rows[-1]) < ROW):
+                rows.append([])
+            rows[-1].append(u)
+            open_row = whole
+        a, b, good = self.tokens(rows)
+        if not all(good):
+            rows = [part for row, fine in zip(rows, good) for part in ([row] if fine else [[u] for u in row])]
+            a, b, good = self.tokens(rows)
+        n_units = [len(r) for r in rows]
+        fine = np.repeat(np.array(good, bool), n_units)
+        lengths = np.array([len(u.encode()) for u in units], np.int64)
+        return self.aligned(np.concatenate([np.array(x, np.int64) for x, ok in zip(a, good) if ok] or [np.zeros(0, np.int64)]),
+                            np.concatenate([np.array(x, np.int64) for x, ok in zip(b, good) if ok] or [np.zeros(0, np.int64)]), lengths, fine)
+
+    def tokens(self, rows: list[list[str]]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        strings = ["".join(r) for r in rows]
+        a = [e.ids for e in self.a.encode_batch_fast(strings, add_special_tokens=False)]
+        b = self.second_ids(strings)
+        raw = [s.encode() for s in strings]
+        good = [b"".join([self.a_bytes[i] for i in x]) == r and b"".join([self.b_bytes[i] for i in y]) == r for x, y, r in zip(a, b, raw)]
+        return a, b, good
+
+    def aligned(self, a: np.ndarray, b: np.ndarray, lengths: np.ndarray, fine: np.ndarray) -> Units:
+        """Token ends as running byte counts over all good units in a row; groups where the ends of both meet."""
+        figures, sizes = np.zeros((len(lengths), 4), np.int64), np.zeros(len(lengths), np.int64)
+        shown = [""] * len(lengths)
+        stops = np.cumsum(lengths[fine])
+        if not len(stops):
+            return Units(figures, fine, shown, np.zeros(0, np.int64), np.zeros(0, np.int64), sizes)
+        ends_a, ends_b = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
+        first_a, first_b = np.append(0, last_a[:-1]), np.append(0, last_b[:-1])
+        p, q = last_a - first_a, last_b - first_b
+        last_group = np.searchsorted(ends, stops) + 1
+        before = lambda x: np.diff(np.searchsorted(x, stops) + 1, prepend=0)
+        linked = p * q
+        figures[fine] = np.column_stack([before(ends_a), before(ends_b), np.diff(last_group, prepend=0), np.add.reduceat(linked, np.append(0, last_group[:-1]))])
+
+        texts_a, texts_b = list(map(self.number.__getitem__, a.tolist())), list(map(self.number.__getitem__, b.tolist()))
+        groups = [x + "|" + y for x, y in zip(map(texts_a.__getitem__, first_a.tolist()), map(texts_b.__getitem__, first_b.tolist()))]
+        several = np.flatnonzero((p > 1) | (q > 1))
+        for g, i, j, k, m in zip(*(x.tolist() for x in (several, first_a[several], last_a[several], first_b[several], last_b[several]))):
+            groups[g] = ",".join(texts_a[i:j]) + "|" + ",".join(texts_b[k:m])
+        start, texts = 0, []
+        for stop in last_group.tolist():
+            texts.append(groups[start] if stop - start == 1 else ";".join(groups[start:stop]))
+            start = stop
+        for i, t in zip(np.flatnonzero(fine).tolist(), texts):
+            shown[i] = t
+
+        many = np.minimum(linked, np.where(linked > FEW, 0, linked))  # large groups are counted below
+        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        width = np.repeat(q, many)
+        pairs = a[np.repeat(first_a, many) + at // width] * self.ids_b + b[np.repeat(first_b, many) + at % width]
+        group = np.repeat(np.arange(len(ends)), many)
+        times = np.ones(len(pairs), np.int64)
+        for g in np.flatnonzero(linked > FEW).tolist():
+            left, right = Counter(a[first_a[g]:last_a[g]].tolist()), Counter(b[first_b[g]:last_b[g]].tolist())
+            found = {x * self.ids_b + y: n * m for x, n in left.items() for y, m in right.items()}
+            pairs, group = np.append(pairs, list(found)), np.append(group, np.full(len(found), g))
+            times = np.append(times, list(found.values()))
+        unit = np.searchsorted(last_group, group, side="right")
+        if (linked > FEW).any():
+            order = np.argsort(unit, kind="stable")
+            unit, pairs, times = unit[order], pairs[order], times[order]
+        sizes[fine] = np.bincount(unit, minlength=len(stops))
+        return Units(figures, fine, shown, pairs, times, sizes)
+
+    def known(self, units: Iterable[str]) -> Units:
+        """The cached units, after those of ``units`` that are missing were aligned and given slots."""
+        if len(self.slots) > CACHED or (self.parts and len(self.parts[0].pairs) > CACHED_LINKS):
+            self.forget()
+        missing = [u for u in units if u not in self.slots]
+        if missing or not self.parts:
+            self.slots |= zip(missing, range(len(self.slots), len(self.slots) + len(missing)))
+            self.parts.append(self.code(missing))
+        if len(self.parts) > 1:
+            shown = self.parts[0].groups
+            for part in self.parts[1:]:
+                shown += part.groups
+            join = lambda k: np.concatenate([x[k] for x in self.parts])
+            self.parts = [Units(join(0), join(1), shown, join(3), join(4), join(5))]
+        return self.parts[0]
+
+    def texts(self, texts: list[str | None]) -> Texts:
+        """Aligned texts: sums over the occurrences of units are array operations."""
         cut = [UNIT.findall(" " + t) if t else [] for t in texts]
-        missing = list({u for units in cut for u in units if u not in self.cache})
-        here = dict(zip(missing, self.code(missing)))
-        if len(self.cache) + len(missing) > CACHED:
-            here |= {u: self.cache[u] for units in cut for u in units if u in self.cache}
-            self.cache.clear()
-        self.cache |= {u: x for u, x in here.items() if len(u) <= CACHED_CHARS}
-        for units in cut:
-            found = {u: here[u] if u in here else self.cache[u] for u in units}
-            if not units or None in found.values():
-                yield None, ""
-                continue
-            links: dict[int, int] = {}
-            n_a = n_b = n_groups = n_links = 0
-            for u, n in Counter(units).items():
-                x = found[u]
-                n_a, n_b, n_groups, n_links = n_a + n * x.n_a, n_b + n * x.n_b, n_groups + n * x.n_groups, n_links + n * x.n_links
-                for pair, m in x.links:
-                    links[pair] = links.get(pair, 0) + n * m
-            yield Unit(n_a, n_b, n_groups, n_links, "", tuple(links.items())), ";".join([found[u].groups for u in units])
+        units = self.known(set().union(*cut))
+        slot = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(cut)), np.int64)
+        lengths = np.array([len(c) for c in cut])
+        text = np.repeat(np.arange(len(texts)), lengths)
+        if len(slot) and not (fine := units.good[slot]).all():  # a text with a wrong unit has no tokens
+            whole = np.ones(len(texts), bool)
+            whole[text[~fine]] = False
+            slot, text = slot[whole[text]], text[whole[text]]
+            lengths = np.where(whole, lengths, 0)
+
+        figures = np.zeros((len(texts), 4), np.int64)
+        if len(slot):
+            full = np.flatnonzero(lengths)
+            figures[full] = np.add.reduceat(units.figures[slot], (np.cumsum(lengths) - lengths)[full], axis=0)
+        shown, at = list(map(units.groups.__getitem__, slot.tolist())), 0
+        digests = []
+        for n in lengths.tolist():
+            digests.append(sha256(";".join(shown[at:at + n]).encode()).hexdigest() if n else "")
+            at += n
+
+        starts, many = np.cumsum(units.sizes) - units.sizes, units.sizes[slot]
+        where = np.repeat(starts[slot] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        space = len(self.a_bytes) * self.ids_b
+        key = np.repeat(text, many) * space + units.pairs[where]
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], units.times[where][order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        links = np.add.reduceat(times, first) if len(key) else times
+        return Texts(figures, digests, key[first] // space, key[first] % space, links)
 
 
 _ALIGNERS: dict[str, Aligner] = {}
@@ -185,7 +291,7 @@ def merge(parts: list[bytes]) -> bytes:
     return pack(np.flatnonzero(bits))
 
 
-def fragments(chunk: int, pair: np.ndarray, low: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+def fragments(chunk: int, ids_b: int, pair: np.ndarray, low: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
     """Posting fragments of links held in the order of their rows: all bitmaps of all planes without a loop over pairs."""
     order = np.argsort(pair, kind="stable")
     pair, low, more = pair[order], low[order], links[order] - 1
@@ -203,7 +309,7 @@ def fragments(chunk: int, pair: np.ndarray, low: np.ndarray, links: np.ndarray)
             docs = pa.array([pack(rows[s:e]) for s, e in zip(starts, ends)], pa.binary())
         heads = p[starts]
         made.append(pa.RecordBatch.from_arrays([
-            pa.array((heads >> PAIR_BITS).astype(np.int32)), pa.array((heads & 0xFFFFFFFF).astype(np.int32)),
+            pa.array((heads // ids_b).astype(np.int32)), pa.array((heads % ids_b).astype(np.int32)),
             pa.array(np.full(len(starts), chunk, np.int64)), pa.array(np.full(len(starts), plane, np.int32)), docs],
             names=["a", "b", "chunk", "plane", "docs"]))
     return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
@@ -213,17 +319,23 @@ class Held:
     """Links of the rows of one chunk, not yet written."""
 
     def __init__(self):
-        self.pairs, self.lows, self.links, self.n = [], [], [], 0
+        self.parts, self.n = [], 0
+
+    def add(self, low: int, found: Texts) -> None:
+        self.parts.append((found.pair, (found.text + low).astype(np.uint16), found.links))
+        self.n += len(found.pair)
 
-    def add(self, low: int, links: tuple[tuple[int, int], ...]) -> None:
-        both = np.array(links, np.int64).reshape(-1, 2)
-        self.pairs.append(both[:, 0])
-        self.links.append(both[:, 1])
-        self.lows.append(np.full(len(both), low, np.uint16))
-        self.n += len(both)
+    def out(self, chunk: int, ids_b: int) -> pa.RecordBatch:
+        return fragments(chunk, ids_b, *map(np.concatenate, zip(*self.parts)))
 
-    def out(self, chunk: int) -> pa.RecordBatch:
-        return fragments(chunk, *(np.concatenate(x) for x in (self.pairs, self.lows, self.links)))
+
+def slices(batch: pa.RecordBatch, row: int) -> Iterator[pa.RecordBatch]:
+    """Parts of at most TEXTS rows, none of them over a chunk's end; ``row`` is the first one's number."""
+    start = 0
+    while start < batch.num_rows:
+        part = batch.slice(start, min(TEXTS, CHUNK - (row + start) % CHUNK))
+        yield part
+        start += part.num_rows
 
 
 def _aligned(docs: DataFrame, keep: tuple[str, ...], first: str, second: str, most: int) -> DataFrame:
@@ -246,26 +358,22 @@ def _aligned(docs: DataFrame, keep: tuple[str, ...], first: str, second: str, mo
         def flush(chunk: int) -> Iterator[pa.RecordBatch]:
             nonlocal held
             if held.n:
-                made = held.out(chunk)
+                made = held.out(chunk, aligner.ids_b)
                 held = Held()
                 yield whole(dict(zip(made.schema.names, made.columns)), made.num_rows)
 
-        for batch in pieces(batches, TEXTS):
-            rows, figures = [], []
-            for found, groups in aligner.texts(batch.column("text").to_pylist()):
-                if row & (CHUNK - 1) == 0 and held.n:
-                    yield from flush((row >> CHUNK_BITS) - 1)
-                rows.append(row)
-                figures.append((*found[:4], sha256(groups.encode()).hexdigest()) if found else (0, 0, 0, 0, ""))
-                if found and found.links:
-                    held.add(row & (CHUNK - 1), found.links)
-                    if held.n >= most:
-                        yield from flush(row >> CHUNK_BITS)
-                row += 1
-            made = dict(zip(("n_a", "n_b", "n_groups", "n_links"), (pa.array(c, pa.int64()) for c in list(zip(*figures))[:4])))
-            made |= {"row": pa.array(rows, pa.int64()), "groups": pa.array([f[4] for f in figures], pa.string())}
-            yield whole(made | {f"keep_{i}": batch.column(f"keep_{i}") for i in range(len(keep))}, len(rows))
-        yield from flush((row - 1) >> CHUNK_BITS)
+        for whole_batch in batches:
+            for batch in slices(whole_batch, row):
+                found = aligner.texts(batch.column("text").to_pylist())
+                n = batch.num_rows
+                made = dict(zip(("n_a", "n_b", "n_groups", "n_links"), (pa.array(c) for c in found.figures.T.copy())))
+                made |= {"row": pa.array(np.arange(row, row + n)), "groups": pa.array(found.groups, pa.string())}
+                yield whole(made | {f"keep_{i}": batch.column(f"keep_{i}") for i in range(len(keep))}, n)
+                held.add(row % CHUNK, found)
+                row += n
+                if held.n >= most or row % CHUNK == 0:
+                    yield from flush((row - 1) // CHUNK)
+        yield from flush((row - 1) // CHUNK)
 
     return chosen.mapInArrow(run, schema)
 
@@ -282,11 +390,17 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], t.num_rows)
-        docs = t.column("docs").to_pylist()
-        done = [docs[s] if e == s + 1 else merge(docs[s:e]) for s, e in zip(starts.tolist(), ends.tolist())]
-        return pa.RecordBatch.from_arrays(
-            [*[pa.array(k[starts], t.schema.field(c).type) for c, k in zip(names, keys)], pa.array(done, pa.binary()), pa.array([size(d) for d in done], pa.int64())],
-            names=[*names, "docs", "n"])
+        docs = t.column("docs").chunk(0)
+        several = np.flatnonzero(ends - starts > 1)
+        united = [merge(docs.slice(s, e - s).to_pylist()) for s, e in zip(starts[several].tolist(), ends[several].tolist())]
+        chosen = starts.copy()
+        chosen[several] = t.num_rows + np.arange(len(several))
+        done = pa.concat_arrays([docs, pa.array(united, docs.type)]).take(pa.array(chosen))
+        lengths = pc.binary_length(done).to_numpy(zero_copy_only=False)
+        counts = lengths.astype(np.int64) // 2
+        for i in np.flatnonzero(lengths >= 2 * DENSE).tolist():
+            counts[i] = size(done[i].as_py())
+        return pa.RecordBatch.from_arrays([*[pa.array(k[starts], t.schema.field(c).type) for c, k in zip(names, keys)], done, pa.array(counts)], names=[*names, "docs", "n"])
 
     for batch in batches:
         if not batch.num_rows:
