@@ -1,13 +1,13 @@
 """Quality rules: cross-document line frequency.
 
 One pass over the texts makes a narrow profile (base counts, one hash per line). Lines are
-counted per host over distinct texts, so whole-text copies count once. A line found in more
-than ``max(min_documents, share * texts of the host)`` texts is above the limit; it is removed
-from every document but the first (smallest doc_id) of the host that holds it, so no text leaves
-the corpus altogether. A document left with less than ``min_left`` of its words is depleted.
+counted per host over distinct documents (ids). A line found in more than ``min_documents``
+documents is above the limit, however large the host is; it is removed from every document but the
+first (smallest doc_id) of the host that holds it, so no text leaves the corpus altogether. A
+document left with less than ``min_left`` of its words is depleted.
 
 Defined results: NULL and empty texts have no words and fail the base rule; a NULL host is a host
-of its own; documents with a NULL id are never the first holder; repeated rows are judged each.
+of its own; rows without an id are documents by their text and never the first holder; repeated rows are one document and judged each.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from weirworks.session import stored
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-MIN_DOCUMENTS, SHARE, MIN_LEFT, SALTS = 20, 0.01, 0.3, 16
+MIN_DOCUMENTS, MIN_LEFT, SALTS = 20, 0.3, 16
 
 PROFILE = ("doc_id bigint, host string, print bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint,"
            " n_repeat_words bigint, lines array<struct<pos: int, line: bigint, words: int>>")
@@ -71,17 +71,16 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"), "text")
 
 
-def line_frequency(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, share: float = SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+def line_frequency(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per document row: base counts, ``base_failed``, ``removed`` (positions of removed lines), ``kept``."""
     profile = stored(map_rows(keyed(docs), _profile, PROFILE).withColumn("row", F.monotonically_increasing_id()), "line-profile")
-    texts = profile.groupBy("host", "print").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("one").alias("texts"))
     lines = profile.select("row", "doc_id", "host", "print", F.explode("lines").alias("l")).select(
         "row", "doc_id", "host", "print", "l.line", "l.pos", "l.words")
+    nameless = F.when(F.col("doc_id").isNull(), F.col("print")).alias("nameless")
     frequent = (
-        lines.groupBy("host", "line", "print").agg(F.min("doc_id").alias("first"))
-        .groupBy("host", "line").agg(F.count("print").alias("n"), F.min("first").alias("first"))
+        lines.groupBy("host", "line", "doc_id", nameless).agg(F.lit(1).alias("one"))
+        .groupBy("host", "line").agg(F.count("one").alias("n"), F.min("doc_id").alias("first"))
         .filter(F.col("n") > min_documents)
-        .join(texts, "host").filter(F.col("n") > F.lit(share) * F.col("texts"))
         .select("host", "line", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     # A line may be in a third of all documents: the few frequent lines are repeated per salt, the rows are spread over salts.
@@ -126,9 +125,7 @@ raw as (select r, host, doc_id, text, unnest(string_split(text, chr(10))) as lin
 lw as (select r, host, doc_id, text, line, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from raw),
 lines as (select r, host, doc_id, text, line, array_to_string(ws, ' ') as norm, len(ws) as n from lw where len(ws) > 0),
 dup as (select r, count(*) - count(distinct line) as n from lines group by r),
-texts as (select host, count(distinct coalesce(text, '')) as texts from d group by host),
-freq as (select host, norm, min(doc_id) as first from lines join texts using (host) group by host, norm
-         having count(distinct text) > 20 and count(distinct text) > 0.01 * max(texts)),
+freq as (select host, norm, min(doc_id) as first from lines group by host, norm having count(distinct doc_id) + count(distinct text) filter (doc_id is null) > 20),
 lost as (select r, sum(n) as n from lines l join freq f on l.host = f.host and l.norm = f.norm and l.doc_id is distinct from f.first group by r),
 b as (select d.doc_id, len(ws)::bigint as n_words, length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
              length(coalesce(text, ''))::bigint - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g'))::bigint as n_symbols,
