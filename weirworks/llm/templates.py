@@ -21,6 +21,8 @@ the document has no window for as many words as the item has) and of the whole d
 Documents are filtered before the join by a Bloom filter of the benchmark's windows: its size is a parameter (2^23 bits),
 whatever the size of the benchmark; a larger benchmark only lets more windows through to the join, which is exact.
 
+An item of fewer than five words says too little inside prose: it is met only by a line, or a whole text, of just these words (case folded).
+
 Defined results: NULL or empty texts and items have no windows; items shorter than a window are one window of their own
 length (with at least half of it literal, except in the last reading); pairs of repeated rows are returned once; a NULL id is kept as NULL.
 """
@@ -43,7 +45,7 @@ from weirworks.llm.common import map_rows, utf8, words
 from weirworks.llm.pieces import Shared
 from weirworks.session import stored
 
-WINDOW, LITERALS = 8, 4
+WINDOW, LITERALS, FEW_WORDS = 8, 4, 5
 BLOOM_BITS = 1 << 23
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.9
 MAX_CACHED = 300_000
@@ -270,13 +272,34 @@ def judged(hits: list[dict], item: list[dict]) -> dict[str, object]:
     return {"n_windows": n, "n_consistent": consistent, "verbatim": all(a == b for _, _, a, b in slots), "n_item_windows": total, "coverage": n / total, "n_slots": len(slots)}
 
 
+def spaced(text: Column) -> Column:
+    """The words of a text in lower case, with single spaces."""
+    return F.lower(F.array_join(F.filter(F.split(text, "[ \\t\\n\\x0b\\f\\r]+"), lambda w: w != ""), " "))
+
+
+def few(key: str) -> Column:
+    return (F.col(key) != "") & (F.size(F.split(key, " ")) < FEW_WORDS)
+
+
+def line_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Pairs (PAIRS) of documents with items of few words that are one of their lines, or their whole text."""
+    lines = keyed(docs, "doc_id").select("id", "print", F.explode(F.concat(F.split("text", "\n"), F.array("text"))).alias("line"))
+    lines = lines.select("id", "print", spaced(F.col("line")).alias("key")).filter(few("key")).distinct()
+    met = lines.join(items.select(F.col("id").alias("item_id"), "key").distinct(), "key")
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    return met.select(F.col("id").alias("doc_id"), "item_id", F.col("print").alias("doc_print"), one.alias("n_windows"), none.alias("n_consistent"),
+                      F.lit(True).alias("verbatim"), one.alias("n_item_windows"), F.lit(1.0).alias("coverage"), none.alias("n_slots"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, min_consistent: float = MIN_CONSISTENT) -> DataFrame:
     """Pairs of a document and a benchmark item whose template it holds with consistent slots.
 
     Columns: doc_id, item_id, doc_print, n_windows and n_item_windows (distinct places in the item), coverage, n_slots, n_consistent, verbatim.
     """
     spread = benchmark.repartition("item_id")  # the table may be one small file
-    items = stored(window_rows(keyed(spread, "item_id")), "item-windows")
+    told = stored(keyed(spread, "item_id").withColumn("key", spaced(F.col("text"))), "items")
+    brief, told = told.filter(few("key")), told.filter(~F.coalesce(few("key"), F.lit(False)))
+    items = stored(window_rows(told.drop("key")), "item-windows")
     own = items.select(F.col("id").alias("item_id"), F.col("print").alias("item_print"), "window", F.col("pos").alias("item_pos"), F.col("stop").alias("item_stop"), F.col("slots").alias("item_slots"))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]  # at most WINDOW numbers
     shared = Shared(docs, bloom_filter(own))
@@ -305,6 +328,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
                     yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     found = joined.select(*group, "hits", "item").mapInArrow(judge, PAIRS)
+    if not brief.isEmpty():
+        found = found.unionByName(line_pairs(docs, brief))
     # the same item id may stand with several texts
     best = found.groupBy("doc_id", "item_id", "doc_print").agg(F.max(F.struct(*names[3:])).alias("b"))
     return best.select("doc_id", "item_id", "doc_print", *[F.col(f"b.{m}").alias(m) for m in names[3:]])
