@@ -58,3 +58,23 @@ def same(left: DataFrame, right: DataFrame, *names: str):
     for n in names:
         condition = condition & left[n].eqNullSafe(right[n])
     return condition
+
+
+def hash_limit(ids: DataFrame, limit: int) -> int | None:
+    """The greatest hash so that at most ``limit`` rows are not above it; None where all rows are within the limit.
+
+    Counted by the first 16 bits of the hash, then inside the part that passes the limit by the next 16: the driver gets 65,536 counts at most.
+    """
+    prefix, taken = None, 0
+    for shift in (48, 32, 16, 0):
+        inside = ids if prefix is None else ids.filter(F.shiftright("hash", shift + 16) == prefix)
+        for r in sorted(inside.groupBy(F.shiftright("hash", shift).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["part"]):
+            if taken + r["n"] > limit:
+                break
+            taken += r["n"]
+        else:
+            return None
+        prefix = r["part"]
+        if r["n"] == 1:
+            break
+    return (prefix << shift) - 1

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weirworks.llm.common import lower_words, map_rows, pieces, utf8
+from weirworks.llm.common import hash_limit, lower_words, map_rows, pieces, utf8
 from weirworks.llm.pieces import Shared
 from weirworks.session import stored
 
@@ -110,9 +110,11 @@ def fit(rows: list[tuple[int, list[int], list[float]]], n_features: int, n_grade
 
 
 def sample(labels: DataFrame, grade: str, limit: int) -> DataFrame:
-    """(id, label) of at most ``limit`` labelled documents."""
+    """(id, label) of at most ``limit`` labelled documents: those with the smallest hashes."""
     one = labels.filter(f"doc_id is not null and {grade} is not null").groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(F.max(grade).cast("int").alias("label"))
-    return one.orderBy(F.xxhash64("id"), "id").limit(limit)
+    hashed = one.withColumn("hash", F.xxhash64("id"))
+    most = hash_limit(hashed, limit)
+    return (hashed if most is None else hashed.filter(F.col("hash") <= most)).select("id", "label")
 
 
 def counted(texts: DataFrame) -> DataFrame:
@@ -151,7 +153,8 @@ def reduced(texts: DataFrame, features: list[int], telling: set[int]) -> DataFra
 def train(docs: DataFrame, labels: DataFrame, grade: str = "toxic", limit: int = MAX_LABELLED) -> Ordinal | None:
     """The model, or None where the sample has fewer than two grades."""
     chosen = sample(labels, grade, limit)  # at most ``limit`` ids: small enough to send to every worker
-    texts = stored(docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(F.broadcast(chosen), "id").select("label", "text"), "labelled")
+    held = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(F.broadcast(chosen), "id")
+    texts = stored(held.groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text"), "labelled")  # repeated ids count once
     sizes = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return None
