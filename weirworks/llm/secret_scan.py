@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -84,9 +85,14 @@ class TokenTest:
         return len(part) >= self.max_ratio * len(tokens(part)) or len(part) >= CLEARLY * self.max_ratio * len(tokens(" " + part.lower()))
 
     def spans(self, text: str, taken: list[Span]) -> Iterator[Span]:
+        starts, ends = [], []  # of the spans taken, by start; ends: the greatest so far
+        for s, e in sorted((s, e) for _, s, e in taken):
+            starts.append(s)
+            ends.append(max(e, ends[-1]) if ends else e)
         for m in RUN.finditer(text):
             a, b = m.span()
-            if any(s < b and a < e for _, s, e in taken) or known(run := m.group(), self.is_word):
+            before = bisect_left(starts, b)
+            if (before and ends[before - 1] > a) or known(run := m.group(), self.is_word):
                 continue
             if len(run) < self.max_ratio * len(self.encoding.encode_ordinary(run)):
                 yield "token", a, b
