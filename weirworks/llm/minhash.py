@@ -240,6 +240,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one document of each component; all columns stay."""
+    """``docs`` with one document of each component; all columns stay. Of rows that repeat an id and a text, the least one stays."""
     gone = near_duplicates(docs, **settings).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
+    rows = docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
+    told = F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
+    keyed = docs.filter("doc_id is not null").select(told.alias("__told"))
+    repeated = stored(keyed.groupBy("__told").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__told"), "repeated-rows")
+    if repeated.isEmpty():
+        return rows
+    rows = rows.withColumn("__told", told)
+    once = rows.join(repeated, "__told", "left_semi").groupBy("__told", "text").agg(F.min(F.struct(*docs.columns)).alias("__row"))
+    return rows.join(repeated, "__told", "left_anti").select(*docs.columns).unionByName(once.select("__row.*"))
