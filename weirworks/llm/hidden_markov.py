@@ -3,12 +3,11 @@
 1. Word counts of all training texts, combined per partition before the shuffle.
 2. The most frequent words, HEAD_WORDS at most, get numbers and go to every worker with their counts. Texts are
    stored as numbers; a rarer word is stored as its class, and by name and frequency for an exact join with the counts.
-3. Words are emitted through classes: the OWN most frequent words are classes of their own, the others share CLASSES
-   classes by a hash. A latent state emits a class, the class emits the word by its share (count + 1; one unit per
+3. Words are emitted through classes: each of the HEAD_WORDS most frequent words is a class of its own, the others share CLASSES
+   classes by a hash. A latent state emits a class, the class emits the word by its share (count + 1; one unit per shared
    class is left for unseen words), so the probabilities of all words add up to one.
-4. Baum-Welch: each partition computes expected counts of its sequences for the current model; Spark adds them up and the
-   driver normalises the model (STATES x classes, fixed size). Training sequences are stretches of at most STRETCH tokens of
-   the whole texts, all of them; scoring runs over each whole text.
+4. Baum-Welch: each partition computes expected counts of its whole texts for the current model; Spark adds them up and the
+   driver normalises the model (STATES x classes, a fixed bound). Emissions are smoothed towards the classes' shares.
 
 Batches of texts advance one token at a time together, so the recursion is vectorised over texts.
 
@@ -27,16 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weirworks.llm.common import lower_words, map_rows, pieces, utf8
+from weirworks.llm.common import hash_limit, lower_words, map_rows, pieces, utf8
 from weirworks.llm.pieces import Shared
 from weirworks.session import stored
 
-HEAD_WORDS, OWN, CLASSES, STATES, ROUNDS, STRETCH, STAY = 200_000, 8_192, 1_024, 6, 4, 512, 0.95
+HEAD_WORDS, CLASSES, STATES, ROUNDS, STAY = 200_000, 1_024, 6, 4, 0.95
 END = b""  # the end token; no word is empty
 FLUSH = 250_000  # distinct words that a partition holds before it passes its counts on
-BATCH_TOKENS = 200_000
+BATCH_TOKENS = 600_000
 SMOOTH = 0.1
-N_CLASSES = OWN + CLASSES
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -67,41 +65,44 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, limit: int = HEAD_WORDS) -> list[tuple[str, int]]:
-    """At most ``limit`` words, the most frequent first: those above a count that a histogram of about 1,000 buckets gives.
+    """``limit`` words (all, if there are fewer), the most frequent first; of equally frequent ones at the limit those with the smallest hashes.
 
-    Only these words reach the driver; a sorted limit would send it as many from every task.
+    Histograms of about 1,000 buckets of counts, and of the hashes inside the bucket that passes the limit, say which words these
+    are; only they reach the driver. A sorted limit would send it as many from every task.
     """
-    sizes = counts.groupBy("bucket").agg(F.count("word").alias("words")).collect()
-    taken, least = 0, None
-    for r in sorted(sizes, key=lambda r: -r["bucket"]):
-        taken += r["words"]
-        if taken > limit:
+    sizes = {r["bucket"]: r["words"] for r in counts.groupBy("bucket").agg(F.count("word").alias("words")).collect()}
+    taken, least, cut = 0, None, None
+    for bucket in sorted(sizes, reverse=True):
+        if taken + sizes[bucket] > limit:
+            cut = bucket
             break
-        least = r["bucket"]
-    if least is None:
-        return []
-    return sorted(((r["word"], r["c"]) for r in counts.filter(F.col("bucket") >= least).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
+        taken, least = taken + sizes[bucket], bucket
+    chosen = F.lit(False) if least is None else F.col("bucket") >= least
+    hashed = counts.withColumn("hash", F.xxhash64("word"))
+    if cut is not None and taken < limit:
+        chosen = chosen | ((F.col("bucket") == cut) & (F.col("hash") <= hash_limit(hashed.filter(F.col("bucket") == cut), limit - taken)))
+    return sorted(((r["word"], r["c"]) for r in hashed.filter(chosen).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
 
 
 def shared_class(word: bytes) -> int:
-    return OWN + crc32(word) % CLASSES
+    return crc32(word) % CLASSES
 
 
 def class_column(word: str = "word"):
     """The same class as ``shared_class``."""
-    return (F.lit(OWN) + F.pmod(F.crc32(F.col(word).cast("binary")), F.lit(CLASSES))).cast("int")
+    return F.pmod(F.crc32(F.col(word).cast("binary")), F.lit(CLASSES)).cast("int")
 
 
 class Head:
-    """Numbers of the frequent words, and by number: class and count. Number HEAD + k stands for a rarer word of class OWN + k."""
+    """Numbers of the frequent words, their counts, and the shared classes' totals. A frequent word's number is its class;
+    class ``size`` + k is shared class k, whose number stands for each of its words."""
 
     def __init__(self, joined: bytes, counts: np.ndarray, totals: np.ndarray):
         words = joined.split(b"\n") if len(counts) else []
         self.size = len(words)
         self.numbers = {w: i for i, w in enumerate(words)}
-        self.classes = np.array([i if i < OWN else shared_class(w) for i, w in enumerate(words)] + list(range(OWN, N_CLASSES)), np.int32)
-        self.counts = np.concatenate([counts.astype(np.float64), np.zeros(CLASSES)])
-        self.totals = totals  # words of each class: sum of (count + 1), and 1
+        self.counts = counts.astype(np.float64)
+        self.totals = totals  # shared classes: sum of (count + 1) of their words, and 1
 
 
 _HEADS: dict[str, Head] = {}
@@ -123,9 +124,8 @@ def code(docs: DataFrame, shared: Shared) -> DataFrame:
 
     def make(batch: pa.RecordBatch) -> dict[str, object]:
         head = worker_head(shared)
-        base = np.log10(head.counts + 1)
-        inner = base - np.log10(head.totals[head.classes])
-        inner[head.size:] = -np.log10(head.totals[OWN:])  # the rest of a rare word's share comes with its count
+        base = np.concatenate([np.log10(head.counts + 1), np.zeros(CLASSES)])
+        inner = np.concatenate([np.zeros(head.size), -np.log10(head.totals)])  # the rest of a rare word's share comes with its count
         made: dict[str, object] = {c: batch.column(c) for c in ("doc_id", "held_out")} | {c: [] for c in ("numbers", "n_head", "head_base", "head_inner", "rare")}
         for text in utf8(batch.column("text")):
             found = [*lower_words(text), END]
@@ -135,7 +135,7 @@ def code(docs: DataFrame, shared: Shared) -> DataFrame:
                 if x is None:
                     word = found[i]
                     rare[word] += 1
-                    got[i] = head.size + shared_class(word) - OWN
+                    got[i] = head.size + shared_class(word)
             numbers = np.array(got, np.int32)
             made["numbers"].append(numbers)
             made["n_head"].append(len(numbers) - sum(rare.values()))
@@ -206,11 +206,11 @@ class Model:
             moves += forward[before].T @ ahead
             backward[before] = ahead @ self.move.T
         share = forward * backward
-        emitted = np.stack([np.bincount(batch.symbols, share[:, k], N_CLASSES) for k in range(STATES)])
+        emitted = np.stack([np.bincount(batch.symbols, share[:, k], len(self.by_class)) for k in range(STATES)])
         return share[:at[1]].sum(0) if alive else np.zeros(STATES), moves * self.move, emitted
 
 
-def coded_batches(batches: Iterator[pa.RecordBatch], head: Head, tokens: int):
+def coded_batches(batches: Iterator[pa.RecordBatch], tokens: int):
     """(rows of a batch, classes one after the other, lengths), about ``tokens`` tokens at a time."""
     for whole in batches:
         column = whole.column("numbers")
@@ -219,28 +219,18 @@ def coded_batches(batches: Iterator[pa.RecordBatch], head: Head, tokens: int):
         cut = np.flatnonzero(np.diff(np.cumsum(sizes) // tokens)) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(sizes)]):
             part = whole.slice(a, b - a)
-            yield part, head.classes[column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False)], sizes[a:b]
+            yield part, column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False), sizes[a:b]
 
 
-def stretches(lengths: np.ndarray) -> np.ndarray:
-    """Lengths of the stretches of at most STRETCH tokens that the texts are cut into."""
-    rest = lengths % STRETCH
-    parts = lengths // STRETCH + (rest > 0)
-    out = np.full(parts.sum(), STRETCH)
-    last = np.cumsum(parts) - 1
-    out[last[rest > 0]] = rest[rest > 0]
-    return out
-
-
-def baum_welch_round(coded: DataFrame, head: Shared, model: Model) -> Model:
-    """One round over the training texts: expected counts per partition, added up by Spark."""
-    sent = Shared(coded, (model.first, model.move, model.emit))
+def baum_welch_round(coded: DataFrame, shares: np.ndarray, model: Model) -> Model:
+    """One round over the whole training texts: expected counts per partition, added up by Spark."""
+    sent, n_classes = Shared(coded, (model.first, model.move, model.emit)), len(shares)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = Model(*sent.value), worker_head(head)
-        first, moves, emitted = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, N_CLASSES))
-        for _, flat, lengths in coded_batches(batches, known, BATCH_TOKENS):
-            a, b, c = now.expected(Batch(flat, stretches(lengths)))
+        now = Model(*sent.value)
+        first, moves, emitted = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, n_classes))
+        for _, flat, lengths in coded_batches(batches, BATCH_TOKENS):
+            a, b, c = now.expected(Batch(flat, lengths))
             first, moves, emitted = first + a, moves + b, emitted + c
         table = np.concatenate([emitted.T, moves, first[None]])  # classes, then states, then the first states
         rows = np.flatnonzero(table.any(1))
@@ -248,23 +238,23 @@ def baum_welch_round(coded: DataFrame, head: Shared, model: Model) -> Model:
 
     states = [f"s{k}" for k in range(STATES)]
     counts = coded.filter("not held_out").select("numbers").mapInArrow(run, "place bigint, " + ", ".join(f"{s} double" for s in states))
-    table = np.zeros((N_CLASSES + STATES + 1, STATES))
-    for r in counts.groupBy("place").agg(*[F.sum(s).alias(s) for s in states]).collect():  # the model: a fixed number of rows
-        table[r["place"]] = r[1:]
-    emit = table[:N_CLASSES].T + SMOOTH / N_CLASSES
-    move = table[N_CLASSES:-1] + SMOOTH
+    table = np.zeros((n_classes + STATES + 1, STATES))
+    found = counts.groupBy("place").agg(*[F.sum(s).alias(s) for s in states]).toArrow()  # the model: at most HEAD_WORDS and a few rows
+    table[found.column("place").to_numpy()] = np.column_stack([found.column(s).to_numpy() for s in states])
+    emit = table[:n_classes].T + SMOOTH * shares
+    move = table[n_classes:-1] + SMOOTH
     first = table[-1] + SMOOTH
     return Model(first / first.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def forward_scores(coded: DataFrame, head: Shared, model: Model) -> DataFrame:
+def forward_scores(coded: DataFrame, model: Model) -> DataFrame:
     """row, doc_id, held_out, sums, and the log10 probability of the classes of each whole text."""
     sent = Shared(coded, (model.first, model.move, model.emit))
     names = ["row", "doc_id", "held_out", "n_head", "head_base", "head_inner"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = Model(*sent.value), worker_head(head)
-        for part, flat, lengths in coded_batches(batches, known, 4 * BATCH_TOKENS):
+        now = Model(*sent.value)
+        for part, flat, lengths in coded_batches(batches, BATCH_TOKENS):
             batch = Batch(flat, lengths)
             scores = np.zeros(len(lengths))
             scores[batch.order] = now.log10(batch)
@@ -273,32 +263,29 @@ def forward_scores(coded: DataFrame, head: Shared, model: Model) -> DataFrame:
     return coded.select(*names, "numbers").mapInArrow(run, "row bigint, doc_id bigint, held_out boolean, n_head bigint, head_base double, head_inner double, n_tokens bigint, classes double")
 
 
-def train(coded: DataFrame, head: Shared, shares: np.ndarray, rounds: int = ROUNDS) -> Model:
+def train(coded: DataFrame, shares: np.ndarray, rounds: int = ROUNDS) -> Model:
     model = Model.start(shares)
     for _ in range(rounds):
-        model = baum_welch_round(coded, head, model)
+        model = baum_welch_round(coded, shares, model)
     return model
 
 
-def language_model_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def language_model_scores(docs: DataFrame, rounds: int = ROUNDS, head_words: int = HEAD_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     bucket = F.floor(F.log2("c") * 16).cast("int")
     counts = stored(word_counts(docs.filter(~held_out())).withColumn("bucket", bucket), "word-counts")
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("word").alias("v")).first()
     n, v = size["n"], size["v"]
-    head = frequent_words(counts)
-    mass = np.ones(N_CLASSES)
-    shared_mass = counts.groupBy(class_column().alias("k")).agg(F.sum(F.col("c") + 1).alias("m")).collect()  # CLASSES rows
-    for r in shared_mass:
-        mass[r["k"]] += r["m"]
-    for i, (w, c) in enumerate(head[:OWN]):  # these have classes of their own
-        mass[shared_class(w.encode())] -= c + 1
-        mass[i] = c + 1
-    # An own class emits nothing but its word, a shared one keeps a unit for unseen words.
-    known = Shared(docs, (b"\n".join(w.encode() for w, _ in head), np.array([c for _, c in head], np.int64), mass))
+    head = frequent_words(counts, head_words)
+    shared = np.ones(CLASSES)  # a unit of each shared class is left for unseen words
+    for r in counts.groupBy(class_column().alias("k")).agg(F.sum(F.col("c") + 1).alias("m")).collect():  # CLASSES rows
+        shared[r["k"]] += r["m"]
+    for w, c in head:  # these have classes of their own
+        shared[shared_class(w.encode())] -= c + 1
+    mass = np.concatenate([np.array([c + 1 for _, c in head], np.float64), shared])
+    known = Shared(docs, (b"\n".join(w.encode() for w, _ in head), np.array([c for _, c in head], np.int64), shared))
     coded = stored(code(docs, known).withColumn("row", F.monotonically_increasing_id()), "coded")
-    model = train(coded, known, mass / mass.sum(), rounds)
-    scored = forward_scores(coded, known, model)
+    scored = forward_scores(coded, train(coded, mass / mass.sum(), rounds))
     rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     tail = (
         rare.join(counts.select("word", "c"), "word", "left")
