@@ -3,7 +3,8 @@
 An event is (conv_id, message, seq, kind, role, text). ``open`` starts a message with its role, ``delta`` appends streamed
 text, ``edit`` replaces the whole text, ``regenerate`` discards what was streamed so far, ``close`` ends a message. Events of
 a conversation are folded in the order (message, seq): a later edit of an earlier message carries that message's number.
-The fold streams over sorted partitions and holds one message at a time, however long a conversation is.
+The turns of a conversation are numbered over a range layout and its messages are folded wherever they fall, one in memory at a time; only
+its digests are read in one task, since they are sequential by definition.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each message. Control strings inside roles and texts get a backslash
 after their first character, backslashes are doubled, a line break in a role gets a backslash before it. A rendered
@@ -20,9 +21,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from weirworks.llm.common import pieces
+from weirworks.operators.ordered import Ordered, running_count
 from weirworks.session import stored
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -114,7 +116,7 @@ def fold(events: DataFrame) -> DataFrame:
             emit(now)
             yield flush()
 
-    log = events.repartition("conv_id").sortWithinPartitions("conv_id", "message", "seq", "kind", "text")
+    log = events.repartition("conv_id", "message").sortWithinPartitions("conv_id", "message", "seq", "kind", "text")
     return log.select("conv_id", "message", "kind", "role", "text").mapInArrow(run, FOLDED)
 
 
@@ -161,15 +163,14 @@ def summaries(segments: DataFrame) -> DataFrame:
 def as_events(conversations: DataFrame) -> DataFrame:
     """A log whose fold gives the stored turns: user turns are streamed and, every second one, corrected by an edit;
     assistant turns are streamed after a draft that is regenerated."""
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     turns = conversations.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"),
         F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    ).withColumn("message", F.row_number().over(order).cast("bigint"))
+    )
+    turns = Ordered(turns, ["conv_id"], ["turn", "role", "text"]).scan(message=running_count()).result()
     event = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("text"))
     none, text = F.lit(None).cast("string"), F.col("text")
-    deltas = F.transform(F.sequence(F.lit(0), F.floor(F.length("text") / CHUNK).cast("int")),
-                         lambda i: event("delta", F.substring(text, i * CHUNK + 1, F.lit(CHUNK))))
+    deltas = F.transform(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), lambda part: event("delta", part))  # one pass over the text
     draft = F.array(event("delta", F.reverse(F.substring(text, 1, 40))), event("regenerate", none))
     typed = F.array(event("delta", F.substring(text, 1, 40)), event("edit", text))
     streamed = (
