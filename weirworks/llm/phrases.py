@@ -38,7 +38,7 @@ LONGEST, SUPPORT, KEPT, WITHIN = 4, 30, 2_000, 80
 SAMPLE = 8  # one row of so many
 LOWERED = 2  # of SUPPORT / SAMPLE = 3.75 expected at the limit: few frequent phrases are missed, and each miss is found again
 BLOOM_BITS = 1 << 26
-WINDOW_BYTES = 6_000_000
+WINDOW_BYTES = 4_000_000
 SALTS = 16
 
 GAP = 0xFF  # between pieces; no byte of UTF-8
