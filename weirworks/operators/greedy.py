@@ -8,8 +8,8 @@ anchor is the first later row that
 * is ``max_count`` rows after the anchor, or
 * comes more than ``gap`` after the row just before it.
 
-Keys that lie in one slice of the range layout (``operators/ordered.py``) are labelled by one pass over sorted partitions.
-The keys that a range bound cuts, fewer than there are slices, may be of any size and never enter one task:
+Keys of at most twice a task's share of the rows (``ordered.hot_keys``) are labelled by one pass over sorted partitions.
+The others, fewer than half as many as there are tasks, may be of any size and never enter one task:
 
 1. ordered scans number its rows and give each row the number of the next anchor;
 2. blocks of 65,536 rows are contracted: for each row the first row of its chain
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from weirworks.functions.expr import from_micros, interval_us, micros
-from weirworks.operators.ordered import KEY, Ordered, key_struct, latest, next_known, previous, running_count
+from weirworks.operators.ordered import Ordered, hot_keys, key_struct, latest, next_known, previous, running_count
 from weirworks.session import stored
 
 US, ANCHOR_US, ANCHOR_ID = "__us", "__anchor_us", "anchor_id"
@@ -41,10 +41,10 @@ NO_ROW = 1 << 62
 MAX_ROUNDS = 62  # doubling passes any 64-bit row number
 
 
-def _differs(c: pa.Array) -> np.ndarray:
+def differs(c: pa.Array) -> np.ndarray:
     """Whether each value but the first differs from the one before; NULL equals NULL."""
     if pa.types.is_struct(c.type):
-        return np.logical_or.reduce([_differs(field) for field in c.flatten()])
+        return np.logical_or.reduce([differs(field) for field in c.flatten()])
     mine, before = c.slice(1), c.slice(0, len(c) - 1)
     apart = pc.fill_null(pc.not_equal(mine, before), False)
     return pc.or_(apart, pc.xor(pc.is_null(mine), pc.is_null(before))).to_numpy(zero_copy_only=False)
@@ -63,7 +63,7 @@ def _label_sorted(keys: list[str], tie: str, span: int, max_count: int | None, g
             us = batch.column(US).to_numpy(zero_copy_only=False)
             breaks = np.zeros(n, dtype=bool)
             for k in keys:
-                breaks[1:] |= _differs(batch.column(k))
+                breaks[1:] |= differs(batch.column(k))
             first_key = [batch.column(k)[0].as_py() for k in keys]
             breaks[0] = first_key != last_key
             if gap is not None:
@@ -223,13 +223,13 @@ def chain(df: DataFrame, keys: Sequence[str], ts: str, tie: str, max_span_us: in
     kind = df.schema[ts].dataType
     rest = [c for c in df.columns if c not in (ts, tie)]
     timed = df.select(key_struct(keys).alias(_ONE), micros(ts).alias(US), tie, F.struct(*rest).alias(_REST))
-    laid = Ordered(timed, [_ONE], [US, tie], slices)
-    cut = laid.keys_in_several_slices().select(F.col(f"{KEY}.{_ONE}").alias(_ONE))  # fewer than slices
-    rows = laid.result()
-    whole, parted = rows.join(F.broadcast(cut), _ONE, "left_anti"), rows.join(F.broadcast(cut), _ONE, "left_semi")
-    labelled = _chain_ordinary(whole, [_ONE], tie, max_span_us, max_count, gap_us)
-    if not cut.isEmpty():
-        labelled = labelled.unionByName(_chain_hot(parted, [_ONE], tie, max_span_us, max_count, gap_us, slices))
+    hot = hot_keys(timed, _ONE, slices)
+    if hot is None:
+        labelled = _chain_ordinary(timed, [_ONE], tie, max_span_us, max_count, gap_us)
+    else:
+        whole, parted = (timed.join(F.broadcast(hot), _ONE, how) for how in ("left_anti", "left_semi"))
+        labelled = _chain_ordinary(whole, [_ONE], tie, max_span_us, max_count, gap_us).unionByName(
+            _chain_hot(parted, [_ONE], tie, max_span_us, max_count, gap_us, slices))
     return (
         labelled.select(f"{_REST}.*", tie, from_micros(US).cast(kind).alias(ts), from_micros(ANCHOR_US).cast(kind).alias("anchor_ts"), ANCHOR_ID)
         .select(*df.columns, "anchor_ts", ANCHOR_ID)

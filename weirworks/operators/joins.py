@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weirworks.functions.expr import interval_us, micros
 from weirworks.operators.aggs import group_lists
-from weirworks.operators.ordered import Ordered, latest, next_known, total
+from weirworks.operators.ordered import Ordered, latest, next_known, scanned_by_key, total
 
 
 def with_window(df: DataFrame, ts: str, size: str, offset: str = "0 seconds", out: str = "w") -> DataFrame:
@@ -146,7 +146,7 @@ def paths_to_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], kin
     """One row per closed path: the events since the previous ``end_kind`` event up to and including the next one,
     with the path's length and the number of events of each kind."""
     ends = F.when(F.col(kind) == end_kind, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    numbered = Ordered(df, keys, order, slices).with_column("__end", ends).scan(__ends=total("__end")).result()
+    numbered = scanned_by_key(df, keys, order, lambda seq: seq.with_column("__end", ends).scan(__ends=total("__end")), slices)
     counts = [F.count_if(F.col(kind) == k).alias(f"n_{k}") for k in kinds]
     return (
         numbered.withColumn("path_no", F.col("__ends") - F.col("__end"))
@@ -175,3 +175,14 @@ def match_or_timeout(left: DataFrame, right: DataFrame, keys: Sequence[str], lef
         .withColumn("status", F.when(in_time, "on_time").otherwise("timeout"))
         .withColumn("event_at", F.when(in_time, F.col("__first")).otherwise(F.col("deadline"))).drop("__first")
     )
+
+
+def version_lookup(df: DataFrame, ts: str, tie: str, versions: DataFrame, dimension: DataFrame, on: Sequence[str], mode: str = "flag",
+                   defaults: dict | None = None, slices: int | None = None) -> DataFrame:
+    """Enrich rows from the dimension version in force at their time: the latest of ``versions`` (since, version) not after it.
+
+    Versions replace one another as a whole: a key that the version in force lacks has no match, whatever older versions hold.
+    Rows before the first version are dropped.
+    """
+    known = asof_join(df, versions.withColumn("__order", F.col("version")), [], ts, tie, "since", "__order", ["version"], slices=slices)
+    return lookup(known, dimension, ["version", *on], mode, defaults)

@@ -9,13 +9,15 @@
    slices of these keys are summarised (two rows per slice at most, whatever the data), the summaries are scanned in slice
    order and the value carried into each slice is joined back. Two rows per partition is also the bound of that broadcast.
 
+``scanned_by_key`` keeps this for the keys that are too large for a task, and scans all others where a shuffle by key puts them.
+
 Every scan of an ``Ordered`` uses the same stored layout, so what comes before it runs once, plus the sampling of range bounds.
 The order columns together should tell rows of a key apart: rows that agree in all of them stay in one slice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -59,6 +61,11 @@ def running_max(value: Column | str) -> Scan:
     return Scan("max", col(value))
 
 
+def max_before(value: Column | str) -> Scan:
+    """Running maximum of the rows before; NULL for the first row."""
+    return Scan("max_before", col(value))
+
+
 def previous(value: Column | str) -> Scan:
     """Value of the row before; NULL for the first row."""
     return Scan("previous", col(value))
@@ -143,6 +150,11 @@ class Ordered:
                 summary[sm] = F.max(s.value)
                 carry[cy] = F.max(sm).over(by_slice.rowsBetween(*before))
                 combined[name] = F.greatest(F.col(lc), F.col(cy))
+            elif s.kind == "max_before":
+                local[lc] = F.max(s.value).over(forward.rowsBetween(*before))
+                summary[sm] = F.max(s.value)
+                carry[cy] = F.max(sm).over(by_slice.rowsBetween(*before))
+                combined[name] = F.greatest(F.col(lc), F.col(cy))
             elif s.kind == "previous":
                 local[lc] = F.lag(boxed).over(forward)
                 summary[sm] = F.max_by(boxed, position)
@@ -179,6 +191,68 @@ class Ordered:
         return self
 
 
+class Grouped:
+    """The scans of ``Ordered`` by plain window functions: each key's rows in one task, without a stored layout."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
+        self.df, self.keys, self.order = df, list(keys), list(order)
+
+    def with_column(self, name: str, value: Column) -> "Grouped":
+        self.df = self.df.withColumn(name, value)
+        return self
+
+    def filter(self, condition: Column) -> "Grouped":
+        self.df = self.df.filter(condition)
+        return self
+
+    def result(self) -> DataFrame:
+        return self.df
+
+    def scan(self, **scans: Scan) -> "Grouped":
+        forward = Window.partitionBy(*self.keys).orderBy(*self.order)
+        sofar = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before, after = forward.rowsBetween(Window.unboundedPreceding, -1), forward.rowsBetween(1, Window.unboundedFollowing)
+        made = {
+            "total": lambda v: F.sum(v).over(sofar), "max": lambda v: F.max(v).over(sofar), "max_before": lambda v: F.max(v).over(before),
+            "previous": lambda v: F.lag(v).over(forward), "following": lambda v: F.lead(v).over(forward),
+            "latest": lambda v: F.last(v, ignorenulls=True).over(sofar), "next_known": lambda v: F.first(v, ignorenulls=True).over(after),
+        }
+        kept = [c for c in self.df.columns if c not in scans]
+        self.df = self.df.select(*kept, *[made[s.kind](s.value).alias(name) for name, s in scans.items()])
+        return self
+
+
+NEVER_HOT = 1 << 18  # rows of a key that any task may hold
+
+
+def hot_keys(keyed: DataFrame, key: str, slices: int | None = None) -> DataFrame | None:
+    """Values of ``key`` with more than twice a task's share of the rows, so fewer than half as many as there are tasks; None if there are none.
+
+    One counting pass, combined before the shuffle. With ``slices`` the share is that of so many tasks, however few rows there are.
+    """
+    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    rows, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    parts = slices or int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = 2 * (rows or 0) / parts
+    limit = share if slices else max(share, NEVER_HOT)
+    if (most or 0) <= limit:
+        return None
+    return stored(sizes.filter(F.col("n") > limit).select(key), "hot-keys")
+
+
+def scanned_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], steps: Callable, slices: int | None = None) -> DataFrame:
+    """``steps`` (a chain of ``scan``, ``with_column`` and ``filter``) over the ordered rows of each key.
+
+    Ordinary keys are scanned where a shuffle by key puts them; keys too large for a task go through ``Ordered``. Both give the same rows.
+    """
+    keyed = df.withColumn(KEY, key_struct(keys))
+    hot = hot_keys(keyed, KEY, slices)
+    if hot is None:
+        return steps(Grouped(df, keys, order)).result()
+    ordinary, large = (keyed.join(F.broadcast(hot), KEY, how).drop(KEY) for how in ("left_anti", "left_semi"))
+    return steps(Grouped(ordinary, keys, order)).result().unionByName(steps(Ordered(large, keys, order, slices)).result())
+
+
 def trailing_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, range_us: int, out: str, slices: int | None = None) -> DataFrame:
     """``sum(value) over (partition by keys order by time range between R preceding and current row)`` for integers.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weirworks.operators.ordered import Ordered, next_known, previous
+from weirworks.operators.ordered import Ordered, next_known, previous, scanned_by_key
 
 MAX_RULES = 10_000  # a rule table is written by people; a larger one is refused, not cut
 
@@ -89,7 +89,6 @@ def match_patterns(df: DataFrame, keys: Sequence[str], order: Sequence[str], pat
     """Rows that complete a pattern on consecutive rows of their key, with ``pattern``; all patterns in one pass per step."""
     depth = max(len(p.steps) for p in patterns)
     columns = list(df.columns)
-    seq = Ordered(df, keys, order, slices)
 
     def matched(step: int, before: Column | None) -> Column:
         flags = []
@@ -101,10 +100,13 @@ def match_patterns(df: DataFrame, keys: Sequence[str], order: Sequence[str], pat
                 flags.append(here if before is None else here & F.coalesce(F.get(before, F.lit(i)), F.lit(False)))
         return F.array(*flags)
 
-    seq = seq.with_column("__m0", matched(0, None))
-    for step in range(1, depth):
-        seq = seq.scan(__p=previous(f"__m{step - 1}")).with_column(f"__m{step}", matched(step, F.col("__p")))
+    def steps(seq):
+        seq = seq.with_column("__m0", matched(0, None))
+        for step in range(1, depth):
+            seq = seq.scan(__p=previous(f"__m{step - 1}")).with_column(f"__m{step}", matched(step, F.col("__p")))
+        return seq
+
     names = [
         F.when(F.get(F.col(f"__m{len(p.steps) - 1}"), F.lit(i)), F.lit(p.name)) for i, p in enumerate(patterns)
     ]
-    return seq.result().withColumn("pattern", F.explode(F.array_compact(F.array(*names)))).select(*columns, "pattern")
+    return scanned_by_key(df, keys, order, steps, slices).withColumn("pattern", F.explode(F.array_compact(F.array(*names)))).select(*columns, "pattern")

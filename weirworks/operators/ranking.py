@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from weirworks.operators.aggs import group_lists
-from weirworks.operators.ordered import KEY, SLICE, Ordered, total
+from weirworks.operators.greedy import differs
+from weirworks.operators.ordered import KEY, SLICE, Ordered, hot_keys, key_struct, scanned_by_key, total
 
 
 def top_n(df: DataFrame, groups: Sequence[str], order: Sequence[Column], n: int, out: str = "rank") -> DataFrame:
@@ -56,15 +58,61 @@ def _with(top: Top, item, amount: float, n: int) -> Top:
     return sorted([(t, i) for t, i in top if i != item] + [(amount, item)], key=lambda x: (-x[0], x[1]))[:n]
 
 
+def _fold_tops(item: str, n: int, out: str, arrow: pa.Schema):
+    """Batch function over rows sorted by (key, slice, order): the top after every row, from ``__start`` at the first row of a (key, slice)."""
+    kind = arrow.field(out).type
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, top = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = differs(batch.column(KEY)) | differs(batch.column(SLICE))
+            last = batch.num_rows - 1
+            new[0] = group != (batch.column(KEY)[0].as_py(), batch.column(SLICE)[0].as_py())
+            group = batch.column(KEY)[last].as_py(), batch.column(SLICE)[last].as_py()
+            starts = {i: batch.column("__start")[i].as_py() or () for i in np.flatnonzero(new).tolist()}
+            items, totals, ends = [], [], [0]
+            for i, (what, amount) in enumerate(zip(batch.column(item).to_pylist(), batch.column("__total").to_pylist())):
+                if i in starts:
+                    top = [(e["total"], e["item"]) for e in starts[i]]
+                top = _with(top, what, float(amount), n)
+                for t, x in top:
+                    items.append(x)
+                    totals.append(t)
+                ends.append(len(items))
+            entries = pa.StructArray.from_arrays([pa.array(items, kind.value_type.field("item").type), pa.array(totals, pa.float64())], fields=list(kind.value_type))
+            named = {c: batch.column(c) for c in batch.schema.names} | {out: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries).cast(kind)}
+            yield pa.RecordBatch.from_arrays([named[f.name] for f in arrow], schema=arrow)
+
+    return fold
+
+
 def running_top_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: str, value: str, n: int, out: str = "top", slices: int | None = None) -> DataFrame:
     """The key's ``n`` best items by total so far, after each row (``out``: array of item and total). Values are not negative.
 
-    Totals only rise, so the best of a prefix are among the best of its parts: each slice of the layout is folded with ``n``
-    items in hand, from the merged bests of the slices before it (``n`` items per slice of a cut key, two keys per slice at most).
+    Ordinary keys are folded where a shuffle by key puts them. Keys too large for a task are laid out in slices: totals only rise, so
+    the best of a prefix are among the best of its parts, and each slice is folded with ``n`` items in hand, from the merged
+    bests of the slices before it (``n`` items per slice of a cut key, two keys per slice at most).
     """
-    summed = Ordered(df, [*keys, item], order, slices).scan(__total=total(value)).result()
-    laid = Ordered(summed, keys, order, slices)
     entry = f"array<struct<item: {df.schema[item].dataType.simpleString()}, total: double>>"
+    schema = df.withColumn(out, F.array().cast(entry)).schema
+    fold = _fold_tops(item, n, out, to_arrow_schema(schema))
+    summed = scanned_by_key(df, [*keys, item], order, lambda seq: seq.scan(__total=total(value)), slices)
+
+    def folded(rows: DataFrame) -> DataFrame:
+        return rows.repartition(KEY, SLICE).sortWithinPartitions(KEY, SLICE, *order).mapInArrow(fold, schema)
+
+    keyed = df.withColumn(KEY, key_struct(keys))
+    hot = hot_keys(keyed, KEY, slices)
+    summed = summed.withColumn(KEY, key_struct(keys))
+    plain = summed if hot is None else summed.join(F.broadcast(hot), KEY, "left_anti")
+    done = folded(plain.withColumns({SLICE: F.lit(0), "__start": F.lit(None).cast(entry)}))
+    if hot is None:
+        return done
+
+    laid = Ordered(summed.join(F.broadcast(hot), KEY, "left_semi").drop(KEY), keys, order, slices)
     ids = laid.keys_in_several_slices().withColumn("__id", F.monotonically_increasing_id())
     best = laid.df.join(F.broadcast(ids), KEY).groupBy("__id", SLICE, item).agg(F.max("__total").cast("double").alias("__total"))
     best = top_n(best, ["__id", SLICE], [F.col("__total").desc(), F.col(item)], n).select("__id", SLICE, F.col(item).alias("item"), "__total")
@@ -80,21 +128,4 @@ def running_top_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], item
 
     starts = best.groupBy("__id").applyInPandas(merged, f"__id bigint, {SLICE} int, __start {entry}")
     starts = starts.join(ids, "__id").select(KEY, SLICE, "__start")
-    rows = laid.df.join(F.broadcast(starts), [KEY, SLICE], "left")
-    schema = rows.drop(KEY, "__start", "__total", SLICE).withColumn(out, F.array().cast(entry)).schema
-    arrow = to_arrow_schema(schema)
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, top = None, []
-        for batch in batches:
-            made = []
-            columns = (batch.column(c).to_pylist() for c in (KEY, SLICE, "__start", item, "__total"))
-            for key, number, start, what, amount in zip(*columns):
-                if group != (key, number):
-                    group, top = (key, number), [(e["total"], e["item"]) for e in start or ()]
-                top = _with(top, what, float(amount), n)
-                made.append([{"item": i, "total": t} for t, i in top])
-            named = {c: batch.column(c) for c in batch.schema.names} | {out: pa.array(made, arrow.field(out).type)}
-            yield pa.RecordBatch.from_arrays([named[f.name] for f in arrow], schema=arrow)
-
-    return rows.repartition(KEY, SLICE).sortWithinPartitions(KEY, SLICE, *order).mapInArrow(fold, schema)
+    return done.unionByName(folded(laid.df.join(F.broadcast(starts), [KEY, SLICE], "left")))

@@ -10,6 +10,9 @@ from weirworks.functions.expr import floor_to, from_micros, interval_us, micros
 from weirworks.operators.ordered import Ordered, following, latest, previous, running_count
 
 
+ALERTS = 1_000  # alerts of a span that one cell holds on the way
+
+
 def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offline: Column, period: str, slices: int | None = None) -> DataFrame:
     """Alerts each ``period`` after an offline message until the key's next message, which re-arms or stops them.
 
@@ -19,11 +22,15 @@ def repeated_alerts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, offli
     horizon = df.agg(F.max(micros(ts)) + 1).scalar()
     until = F.coalesce(micros("__next"), horizon)
     first = micros(ts) + F.lit(step)
-    times = F.sequence(first, until - F.lit(1), F.lit(step))
+    last = F.floor((F.col("__until") - F.lit(1) - first) / F.lit(step))  # number of the last alert, from 0
+    block = F.col("__block") * ALERTS
     watched = Ordered(df, keys, [ts, tie], slices).scan(__next=following(ts)).result()
     return (
         watched.filter(offline).withColumn("__until", until).filter(first < F.col("__until"))
-        .select(*keys, tie, F.explode(times).alias("__us")).select(*keys, tie, from_micros("__us").alias("alert_at"))
+        .select(*keys, tie, first.alias("__first"), last.alias("__last"))
+        .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("__last") / ALERTS))))
+        .withColumn("__i", F.explode(F.sequence(block, F.least(block + (ALERTS - 1), F.col("__last")))))
+        .select(*keys, tie, from_micros(F.col("__first") + F.col("__i") * step).alias("alert_at"))
     )
 
 

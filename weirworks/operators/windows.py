@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weirworks.functions.expr import floor_to, from_micros, interval_us, micros
-from weirworks.operators.ordered import Ordered, latest, previous, running_count, total
+from weirworks.operators.ordered import Ordered, latest, previous, running_count, scanned_by_key, total
 
 
 def windowed(df: DataFrame, ts: str, size: str, slide: str | None = None, offset: str | None = None, keys: Sequence[str] = (), **aggs: Column) -> DataFrame:
@@ -45,13 +45,8 @@ def assign_sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap:
     Batch form without a per-key task: the session of a hot key may span many slices.
     """
     opens = F.coalesce(micros(ts) - micros("__prev") > interval_us(gap), F.lit(True))
-    return (
-        Ordered(df, keys, [ts, tie], slices)
-        .scan(__prev=previous(ts))
-        .with_column("__open", F.when(opens, F.col(ts)))
-        .scan(session_start=latest("__open"))
-        .result().drop("__prev", "__open")
-    )
+    steps = lambda seq: seq.scan(__prev=previous(ts)).with_column("__open", F.when(opens, F.col(ts))).scan(session_start=latest("__open"))
+    return scanned_by_key(df, keys, [ts, tie], steps, slices).drop("__prev", "__open")
 
 
 def unaligned_windows(df: DataFrame, ts: str, size_us: int, offset_us: Column) -> DataFrame:

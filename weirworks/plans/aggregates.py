@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from weirworks.functions.expr import n_rows
 from weirworks.operators import aggs, rows, windows
 from weirworks.plans.registry import query
-from weirworks.tables import events, load
+from weirworks.session import scratch_dir
+from weirworks.streaming.metrics import MetricsLog, observed
+from weirworks.streaming.runner import run_to_files
+from weirworks.tables import event_replay, events, load, replayed_events
 
 
 @query("agg_running_sum", """
@@ -245,3 +248,20 @@ def agg_job_metrics(spark, sf_dir):
     per_line = F.size(F.filter(F.split("line", r"\s+"), lambda x: F.length(x) > 0)).cast("bigint")
     gauge = lines.groupBy(per_line.alias("bucket")).agg(n_rows().alias("n")).select(F.lit("sentence_words").alias("metric"), "bucket", "n")
     return sentences.union(words).union(histogram).union(gauge)
+
+
+@query("agg_job_metrics_stream", """
+with e as (select *, (epoch_us(ts) - min(epoch_us(ts)) over ()) // ((max(epoch_us(ts)) over () - min(epoch_us(ts)) over ()) // 4 + 1) as span from events),
+h as (select span, 'value' as metric, case when value < 20 then 0 when value < 50 then 1 when value < 100 then 2 else 3 end as bucket from e where value is not null)
+select span, 'rows' as metric, -1::bigint as bucket, count(*)::bigint as n from e group by 1
+union all select span, 'errors', -1, count(*) filter (event_type = 'error') from e group by 1
+union all select s.span, 'value', b.bucket::bigint, count(h.span) from (select distinct span from e) s cross join (select unnest(range(4)) as bucket) b
+  left join h on h.span = s.span and h.bucket = b.bucket group by 1, 3
+""")
+def agg_job_metrics_stream(spark, sf_dir):
+    """Counters and a histogram of each micro-batch of a running query, as its listener wrote them."""
+    replay = event_replay(spark, sf_dir)
+    watched = observed(replayed_events(replay), "job", {"rows": F.lit(True), "errors": F.col("event_type") == "error"}, {"value": (F.col("value"), [20, 50, 100])})
+    with MetricsLog(spark, "job") as log:
+        run_to_files(watched.select("event_id"), scratch_dir(spark, "watched"), feed=replay)
+    return log.table().select(F.col("batch_id").alias("span"), "metric", "bucket", "n")

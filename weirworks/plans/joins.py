@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from weirworks.functions.expr import micros, n_rows
 from weirworks.operators import joins
 from weirworks.plans.registry import query
-from weirworks.tables import events, load
+from weirworks.session import scratch_dir
+from weirworks.sources.snapshots import Snapshots, refreshed_lookup
+from weirworks.sources.upserts import UpsertTable
+from weirworks.streaming.runner import run_all, run_batches
+from weirworks.tables import event_replay, events, load, replayed_events
 
 
 def clicks(spark, sf_dir):
@@ -181,6 +185,51 @@ def lookup_full_refresh(spark, sf_dir):
     return joins.lookup(load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), nations, ["c_nationkey"], "flag")
 
 
+SPAN = "(epoch_us(ts) - min(epoch_us(ts)) over ()) // ((max(epoch_us(ts)) over () - min(epoch_us(ts)) over ()) // 4 + 1)"
+
+
+def segments(spark, sf_dir, version: int):
+    """A version of the users' segments: each lacks other users and names itself; version 2 has every user twice."""
+    users = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.concat_ws(":", "c_mktsegment", F.lit(version)).alias("segment"))
+    users = users.filter(F.col("user_id") % 7 != version)
+    return users.unionByName(users) if version == 2 else users
+
+
+@query("lookup_refreshed_stream", f"""
+with e as (select event_id, user_id, {SPAN} as b from events), v as (select *, case when b = 2 then 1 else b end as version from e)
+select event_id, user_id, case when c_custkey is not null then c_mktsegment || ':' || version end as segment, c_custkey is null as lookup_failed, version::bigint as version
+from v left join customer on c_custkey = user_id and c_custkey % 7 <> version
+""")
+def lookup_refreshed_stream(spark, sf_dir):
+    """A dimension published anew before each micro-batch; version 2 is broken, so version 1 stays in force."""
+    replay = event_replay(spark, sf_dir)
+    snapshots = Snapshots(spark, scratch_dir(spark, "segments"), segments(spark, sf_dir, 0).schema, ["user_id"])
+    path = scratch_dir(spark, "refreshed")
+
+    def feed():
+        for i in replay:
+            snapshots.publish(segments(spark, sf_dir, i), i)
+            yield i
+
+    run_batches(replayed_events(replay).select("event_id", "user_id"), refreshed_lookup(snapshots, path), feed=feed())
+    return spark.read.parquet(path).select("event_id", "user_id", "segment", "lookup_failed", "version")
+
+
+@query("lookup_versioned", """
+with v as (select event_id, user_id, case when ts >= timestamp '2024-01-28' then 3 when ts >= timestamp '2024-01-20' then 2 when ts >= timestamp '2024-01-10' then 1
+  when ts >= timestamp '2024-01-02' then 0 end as version from events)
+select event_id, user_id, case when c_custkey is not null then c_mktsegment || ':' || version end as segment, c_custkey is null as lookup_failed
+from v left join customer on c_custkey = user_id and c_custkey % 7 <> version where version is not null
+""")
+def lookup_versioned(spark, sf_dir):
+    """The same over stored history: four versions, each in force from its time on."""
+    e = load(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    versions = spark.sql("select cast(since as timestamp_ntz) as since, version from values ('2024-01-02', 0), ('2024-01-10', 1), ('2024-01-20', 2), ('2024-01-28', 3) as v(since, version)")
+    users = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("version"))
+    users = users.filter("user_id % 7 <> version").select("version", "user_id", F.concat_ws(":", "c_mktsegment", "version").alias("segment"))
+    return joins.version_lookup(e, "ts", "event_id", versions, users, ["user_id"]).select("event_id", "user_id", "segment", "lookup_failed")
+
+
 @query("lookup_inner", """
 select o_orderkey, o_custkey, c_name from orders join customer on o_custkey = c_custkey
 """)
@@ -209,6 +258,30 @@ def broadcast_rule_semi(spark, sf_dir):
     return joins.rule_semi_join(e.select("event_id", "event_type", "ts"), rules, "event_type", "ts", "rule_ts")
 
 
+@query("broadcast_rule_semi_stream", """
+with r as (select event_type, min(ts) as since from events where value > 150 group by 1)
+select e.event_id, e.event_type from events e where exists (select 1 from r where r.event_type = e.event_type and r.since <= e.ts)
+""")
+def broadcast_rule_semi_stream(spark, sf_dir):
+    """The same with two streams: a table of rules, kept by a query of its own, that the events of each micro-batch are joined with."""
+    replay, out = event_replay(spark, sf_dir), scratch_dir(spark, "allowed")
+    timed = replayed_events(replay).filter("ts is not null")
+    rules = timed.filter("value > 150").groupBy("event_type").agg(F.min("ts").alias("since"))
+    table, checkpoint = UpsertTable(spark, scratch_dir(spark, "rules"), rules.schema, ["event_type"]), scratch_dir(spark, "rules-checkpoint")
+
+    def feed():
+        for i in replay:
+            run_all(rules.writeStream.outputMode("update").foreachBatch(table.write), checkpoint)
+            yield i
+
+    def allowed(batch, batch_id):
+        known = batch.join(table.read(), "event_type").filter("since <= ts")
+        known.select("event_id", "event_type").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    run_batches(timed.select("event_id", "event_type", "ts"), allowed, feed=feed())
+    return spark.read.schema("event_id BIGINT, event_type STRING").parquet(out)
+
+
 @query("broadcast_config_path", """
 with s as (select *, sum(case when event_type = 'purchase' then 1 else 0 end) over (partition by user_id order by ts, event_id) - (event_type = 'purchase')::int as path_no from events),
 p as (select user_id, path_no::bigint as path_no, count(*) as path_length, count(*) filter (event_type = 'click') as n_click, count(*) filter (event_type = 'view') as n_view,

@@ -9,7 +9,10 @@ from weirworks.operators.joins import asof_join
 from weirworks.operators.ordered import Ordered, previous
 from weirworks.operators.patterns import Rule
 from weirworks.plans.registry import query
-from weirworks.tables import events, load
+from weirworks.session import scratch_dir
+from weirworks.streaming.rules import with_rules
+from weirworks.streaming.runner import run_batches, run_to_files
+from weirworks.tables import event_replay, events, load, replayed_events
 
 
 @query("cep_single", """
@@ -80,16 +83,42 @@ def rules_apply(spark, sf_dir):
     return patterns.apply_rules(customers, rules).select("c_custkey", "rule_id", "result")
 
 
-@query("rules_broadcast_swap", """
+SWAP_SQL = """
 with e as (select event_id, ts, (props::json->>'k')::int as k from events),
 a as (select ts, arg_max(floor(value)::bigint, event_id) as lim from events where event_type = 'signup' group by 1),
 f as (select e.*, coalesce(a.lim, 18) as lim from e asof left join a on e.ts >= a.ts)
 select event_id, case when k >= lim then 'above' else 'under' end as rule_id, k || ' is ' || case when k >= lim then 'above ' else 'under ' end || lim as result from f
-""")
+"""
+
+
+@query("rules_broadcast_swap", SWAP_SQL)
 def rules_broadcast_swap(spark, sf_dir):
     """Two rules whose limit is the one in force at the row's time; signups announce new limits, 18 holds before the first."""
     e = events(spark, sf_dir).select("event_id", "ts", "item_id", "event_type", "value")
     announced = e.filter("event_type = 'signup'").select(F.col("ts").alias("since"), F.col("event_id").alias("rule_set"), F.floor("value").alias("lim"))
     known = asof_join(e, announced, [], "ts", "event_id", "since", "rule_set", ["lim"], how="left").withColumn("lim", F.coalesce("lim", F.lit(18)))
+    return limited_rules(known)
+
+
+def limited_rules(known):
+    """Two rules of the limit ``lim``."""
     rules = [Rule("above", "item_id >= lim", "concat(item_id, ' is above ', lim)"), Rule("under", "item_id < lim", "concat(item_id, ' is under ', lim)")]
     return patterns.apply_rules(known, rules).select("event_id", "rule_id", "result")
+
+
+@query("rules_broadcast_swap_stream", SWAP_SQL + " where ts is not null")
+def rules_broadcast_swap_stream(spark, sf_dir):
+    """The same with two streams: signups announce limits, and events meet the limit in force at their time, swaps inside a micro-batch included."""
+    replay, log, out = event_replay(spark, sf_dir), scratch_dir(spark, "limits"), scratch_dir(spark, "limited")
+    timed = replayed_events(replay).filter("ts is not null")
+    limits = timed.filter("event_type = 'signup'").select(F.col("ts").alias("since"), F.col("event_id").alias("rule_set"), F.floor("value").alias("lim"))
+    checkpoint = scratch_dir(spark, "limits-checkpoint")
+
+    def feed():
+        for i in replay:
+            run_to_files(limits, log, checkpoint)
+            yield i
+
+    write = with_rules(log, limits.schema, [], "ts", "event_id", "since", "rule_set", ["lim"], lambda df: limited_rules(df.withColumn("lim", F.coalesce("lim", F.lit(18)))), out)
+    run_batches(timed.select("event_id", "ts", "item_id"), write, feed=feed())
+    return spark.read.schema("event_id BIGINT, rule_id STRING, result STRING").parquet(out)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from weirworks.functions import expr as X
+from weirworks.functions.sql import register
 from weirworks.operators import rows
 from weirworks.plans.registry import query
 from weirworks.tables import events, load
@@ -126,6 +129,42 @@ def fn_great_circle(spark, sf_dir):
     return s.select("s_suppkey", F.round(X.great_circle_m(lat, lon, F.lit(10.5), F.lit(20.25)), 0).cast("bigint").alias("metres"))
 
 
+@query("fn_sql_fraud", """
+with a as (select user_id as account_id, event_id as transaction_id, ts, (event_id * 37 % 180 - 90)::double as lat, (event_id * 91 % 360 - 180)::double as lon from events),
+p as (
+  select x.account_id, x.transaction_id as first_id, y.transaction_id as second_id, strftime(x.ts, '%Y-%m-%d %H:%M:%S') as first_at, (epoch_us(y.ts) - epoch_us(x.ts)) // 1000000 as seconds,
+         round(2 * 6378.137 * asin(sqrt(pow(sin((radians(x.lat) - radians(y.lat)) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin((radians(x.lon) - radians(y.lon)) / 2), 2))), 4) as km
+  from a x join a y on x.account_id = y.account_id and x.ts between y.ts - interval 10 minutes and y.ts and x.transaction_id <> y.transaction_id and (x.lat <> y.lat or x.lon <> y.lon) and x.ts <> y.ts)
+select account_id, first_id, second_id, first_at, round(km, 0)::bigint as km, seconds::bigint as seconds, case when seconds <> 0 then round(km * 3600 / seconds, 0)::bigint end as kmh from p
+""")
+def fn_sql_fraud(spark, sf_dir):
+    """Withdrawals of one account too far apart for the time between them, as SQL text with named functions. Slots of ten minutes are join keys beside the account."""
+    register(spark)
+    e = load(spark, sf_dir, "events")
+    name = f"atm_{uuid.uuid4().hex}"  # concurrent queries don't share it
+    e.select(F.col("user_id").alias("account_id"), F.col("event_id").alias("transaction_id"), "ts", (F.col("event_id") * 37 % 180 - 90).cast("double").alias("lat"),
+             (F.col("event_id") * 91 % 360 - 180).cast("double").alias("lon"), F.floor(X.micros("ts") / 600_000_000).alias("slot")).createOrReplaceTempView(name)
+    pairs = spark.sql(f"""
+        SELECT T1.account_id, T1.transaction_id AS first_id, T2.transaction_id AS second_id, date_text(unix_millis(CAST(T1.ts AS TIMESTAMP)), 'yyyy-MM-dd HH:mm:ss') AS first_at,
+               geo_distance(T1.lat, T1.lon, T2.lat, T2.lon) / 1000 AS distance_km, seconds_between(T1.ts, T2.ts) AS seconds
+        FROM {name} T1 JOIN (SELECT *, explode(array(slot, slot - 1)) AS near FROM {name}) T2 ON T1.account_id = T2.account_id AND T1.slot = T2.near
+        WHERE T1.ts BETWEEN T2.ts - INTERVAL '10' MINUTE AND T2.ts AND T1.transaction_id <> T2.transaction_id AND (T1.lat <> T2.lat OR T1.lon <> T2.lon) AND T1.ts <> T2.ts""")
+    kmh = F.try_divide(F.col("distance_km") * 3600, F.col("seconds"))
+    return pairs.select("account_id", "first_id", "second_id", "first_at", F.round("distance_km", 0).cast("bigint").alias("km"), "seconds", F.round(kmh, 0).cast("bigint").alias("kmh"))
+
+
+@query("fn_sql_lateral", """
+select user_id || '#' || event_id as data, user_id::varchar as name, event_id::int as num from events where event_id % 3 <> 0
+""")
+def fn_sql_lateral(spark, sf_dir):
+    """A table function in LATERAL; text without the separator gives no row."""
+    register(spark)
+    sep = F.when(F.col("event_id") % 3 == 0, "-").otherwise("#")
+    name = f"users_{uuid.uuid4().hex}"
+    load(spark, sf_dir, "events").select(F.concat(F.col("user_id").cast("string"), sep, F.col("event_id").cast("string")).alias("data")).createOrReplaceTempView(name)
+    return spark.sql(f"SELECT data, T.name, T.num FROM {name}, LATERAL split_pair(data) AS T(name, num)")
+
+
 @query("set_union_streams", """
 select ts, user_id, value from events where event_type = 'view' union all select ts, user_id, value from events where event_type = 'click'
 """)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from weirworks.operators import ranking, windows
 from weirworks.operators.ordered import Ordered, running_count
 from weirworks.plans.registry import query
-from weirworks.tables import events, load
+from weirworks.streaming import stateful
+from weirworks.streaming.runner import run_append
+from weirworks.tables import event_replay, events, load, replayed_events
 
 
 @query("topn_sliding_hot_items", """
@@ -21,6 +23,21 @@ def topn_sliding_hot_items(spark, sf_dir):
     return ranking.hot_items(events(spark, sf_dir, "view"), "ts", "item_id", "60 minutes", "5 minutes", 3)
 
 
+@query("topn_sliding_hot_items_stream", """
+with v as (select (props::json->>'k')::int as item_id, ts from events where event_type = 'view'),
+w as (select item_id, time_bucket(interval 5 minutes, ts) - to_minutes(5 * unnest(generate_series(0, 11))::int) + interval 60 minutes as window_end from v),
+c as (select window_end, item_id, count(*) as view_count from w group by 1, 2)
+select window_end, item_id, view_count, (row_number() over (partition by window_end order by view_count desc, item_id))::int as rank
+from c where epoch_us(window_end) <= (select epoch_us(max(ts)) // 1000 * 1000 - 600000000 from v) qualify rank <= 3
+""")
+def topn_sliding_hot_items_stream(spark, sf_dir):
+    """The flagship on a stream of several micro-batches: each window once, when the watermark (10 minutes behind) closes it."""
+    replay = event_replay(spark, sf_dir)
+    views = replayed_events(replay, "10 minutes").filter("event_type = 'view'")
+    top = run_append(stateful.hot_items(views, "ts", "item_id", "60 minutes", "5 minutes", 3), "hot-items", feed=replay)
+    return top.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
 @query("topn_window_by_area", """
 with t as (select l_suppkey % 10 as area, l_partkey, time_bucket(interval 1 day, l_shipdate) as window_start, sum(l_quantity) as amount from lineitem group by 1, 2, 3)
 select area, l_partkey, window_start, amount, (row_number() over (partition by window_start, area order by amount desc, l_partkey))::int as rank from t qualify rank <= 3

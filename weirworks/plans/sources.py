@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weirworks.functions.expr import item_at
 from weirworks.operators import rows
@@ -12,7 +13,7 @@ from weirworks.plans.registry import query
 from weirworks.session import scratch_dir
 from weirworks.sources import readers, writers
 from weirworks.streaming.runner import run_to_changes, run_to_files
-from weirworks.tables import events, load, stream_batches
+from weirworks.tables import dated, event_replay, events, load, replayed_events
 
 MICROS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 EVENT_JSON = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -157,7 +158,11 @@ def src_catalog_table(spark, sf_dir):
     for table in ("events", "orders"):
         load(spark, sf_dir, table).createOrReplaceTempView(f"{name}_{table}")
         spark.sql(f"insert into {name} select '{table}', count(*) from {name}_{table}")
-    return spark.table(name)
+    rows = spark.read.schema(spark.table(name).schema).parquet(path)
+    spark.sql(f"drop table {name}")  # external: its files stay for the result
+    for table in ("events", "orders"):
+        spark.catalog.dropTempView(f"{name}_{table}")
+    return rows
 
 
 @query("src_dirty_split", """
@@ -183,11 +188,12 @@ def snk_delimited_encode(spark, sf_dir):
 select strftime(ts, '%Y-%m-%d') as day_text, event_type, count(*) as pv from events group by 1, 2
 """)
 def snk_upsert_changes(spark, sf_dir):
+    replay = event_replay(spark, sf_dir)
     counted = (  # refreshed by each micro-batch; days that the watermark has passed leave the state
-        stream_batches(spark, sf_dir, "1 day").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("pv"))
-        .select(F.date_format("w.start", "yyyy-MM-dd").alias("day_text"), "event_type", "pv")
+        replayed_events(replay, "1 day").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("pv"))
+        .select("w.start", "event_type", "pv").select(F.date_format(dated("start"), "yyyy-MM-dd").alias("day_text"), "event_type", "pv")
     )
-    return run_to_changes(counted, ["day_text", "event_type"], "upsert")
+    return run_to_changes(counted, ["day_text", "event_type"], "upsert", feed=replay)
 
 
 def event_folder(sf_dir: str) -> str:
@@ -224,9 +230,10 @@ select event_id, ts, event_type, value, strftime(ts, '%Y-%m-%d') as bucket from
 """)
 def snk_parquet_bucketed(spark, sf_dir):
     path = scratch_dir(spark, "buckets")
-    source = stream_batches(spark, sf_dir).select("event_id", "ts", "event_type", "value").withColumn("bucket", F.date_format("ts", "yyyy-MM-dd"))
+    replay = event_replay(spark, sf_dir)
+    source = replayed_events(replay).select("event_id", "ts", "event_type", "value").withColumn("bucket", F.date_format("ts", "yyyy-MM-dd"))
     parts = F.pmod(F.xxhash64("event_id"), F.lit(4))  # at most four files per bucket and micro-batch, no bucket in one task
-    run_to_files(source.repartition("bucket", parts), path, partition="bucket")
+    run_to_files(source.repartition("bucket", parts), path, partition="bucket", feed=replay)
     back = spark.read.schema("event_id BIGINT, ts TIMESTAMP, event_type STRING, value DOUBLE, bucket STRING").parquet(path)
     return back.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
@@ -251,15 +258,60 @@ def snk_batch_or_interval(spark, sf_dir):
 
 
 @query("snk_latest_kv", """
-select strftime(l_shipdate, '%Y%m%d') || ':SITES' as hash, l_suppkey::varchar as field,
-       '{"site_id":' || l_suppkey || ',"sub_orders":' || count(*) || ',"quantity":' || sum(l_quantity)::bigint || '}' as value
-from lineitem group by strftime(l_shipdate, '%Y%m%d'), l_suppkey
+with v as (select strftime(l_shipdate, '%Y%m%d') as day, l_suppkey, count(*) as n, sum(l_quantity)::bigint as q from lineitem group by 1, 2, l_orderkey % 5),
+s as (select *, row_number() over (partition by day, l_suppkey order by n, q) as version, sum(n) over w as sub_orders, (sum(q) over w)::bigint as quantity
+      from v window w as (partition by day, l_suppkey order by n, q rows unbounded preceding))
+select day || ':SITES' as hash, l_suppkey::varchar as field, '{"site_id":' || l_suppkey || ',"sub_orders":' || sub_orders || ',"quantity":' || quantity || '}' as value
+from s qualify row_number() over (partition by day, l_suppkey order by version desc) = 1
 """)
 def snk_latest_kv(spark, sf_dir):
-    daily = (
-        load(spark, sf_dir, "lineitem").groupBy(F.date_format("l_shipdate", "yyyyMMdd").alias("day"), "l_suppkey")
-        .agg(F.count(F.lit(1)).alias("sub_orders"), F.sum("l_quantity").cast("bigint").alias("quantity"))
-    )
+    """Each key is written several times with growing totals; the last version wins."""
+    li = load(spark, sf_dir, "lineitem").withColumn("day", F.date_format("l_shipdate", "yyyyMMdd"))
+    pieces = li.groupBy("day", "l_suppkey", (F.col("l_orderkey") % 5).alias("piece")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("q"))
+    sofar = Window.partitionBy("day", "l_suppkey").orderBy("n", "q").rowsBetween(Window.unboundedPreceding, 0)  # five pieces at most
+    versions = pieces.select("day", "l_suppkey", F.sum("n").over(sofar).alias("sub_orders"), F.sum("q").over(sofar).alias("quantity"))
     value = writers.json_value(F.col("l_suppkey").alias("site_id"), "sub_orders", "quantity")
-    updates = daily.select(F.concat("day", F.lit(":SITES")).alias("hash"), F.col("l_suppkey").cast("string").alias("field"), "sub_orders", value.alias("value"))
+    updates = versions.select(F.concat("day", F.lit(":SITES")).alias("hash"), F.col("l_suppkey").cast("string").alias("field"), "sub_orders", value.alias("value"))
     return writers.latest_per_key(updates, ["hash", "field"], ["sub_orders"], ["value"])
+
+
+@query("snk_rolling_parts", """
+select event_id, ts, user_id, strftime(ts, '%Y-%m-%d') as bucket from events
+""")
+def snk_rolling_parts(spark, sf_dir):
+    """Files rolled at 8 kB, 12 hours of age or 3 hours without a row, read back."""
+    path = scratch_dir(spark, "rolling-parts")
+    writers.write_rolling(load(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "ts", "event_id", path, 8_000, "12 hours", "3 hours", "yyyy-MM-dd",
+                          timestampNTZFormat=MICROS_TEXT)
+    return spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, bucket STRING").json(path)
+
+
+SPAN = "(epoch_us(ts) - min(epoch_us(ts)) over ()) // ((max(epoch_us(ts)) over () - min(epoch_us(ts)) over ()) // 4 + 1)"
+
+
+@query("src_start_position_stream", f"""
+with e as (select *, {SPAN} as b from events)
+select 'earliest' as position, count(*) as n from e union all select 'timestamp', count(*) from e where ts >= timestamp '2024-01-10 00:00:00'
+union all select 'committed', count(*) from e where b >= 2 union all select 'latest', count(*) from e where b >= 2
+""")
+def src_start_position_stream(spark, sf_dir):
+    """Four streams over one folder that grows by four parts: from its start, from a time, from a committed position (the checkpoint of a run that
+    saw two parts), and from what comes after the start (two parts are there)."""
+    replay = event_replay(spark, sf_dir)
+    out = {p: scratch_dir(spark, f"from-{p}") for p in ("earliest", "timestamp", "committed", "latest")}
+    marks = {p: scratch_dir(spark, f"mark-{p}") for p in out}
+
+    def run(position, path, start=None):
+        stream = readers.from_start(replay.stream(), position, replay.folder, marks[position], ts="ts", start=start)
+        run_to_files(stream.select("event_id"), path, marks[position])
+
+    for i in replay:
+        if i == 1:
+            run("committed", scratch_dir(spark, "before-commit"))
+            readers.mark_start(spark, replay.folder, marks["latest"])
+    run("earliest", out["earliest"])
+    run("timestamp", out["timestamp"], "2024-01-10 00:00:00")
+    run("committed", out["committed"])
+    run("latest", out["latest"])
+    counts = [spark.read.schema("event_id BIGINT").parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("position"), "n") for p, path in out.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -10,8 +10,8 @@ from weirworks.plans.registry import query
 from weirworks.plans.sources import event_folder
 from weirworks.session import scratch_dir
 from weirworks.streaming import stateful
-from weirworks.streaming.runner import run_to_changes
-from weirworks.tables import events, load, stream_batches, stream_events
+from weirworks.streaming.runner import run_append, run_to_changes
+from weirworks.tables import dated, event_replay, events, load, replayed_events, stream_events
 
 
 @query("dedup_ttl", """
@@ -86,6 +86,18 @@ def state_idle_retention(spark, sf_dir):
     return timers.counts_with_idle_reset(e, ["user_id"], "ts", "event_id", "12 hours").select("user_id", "event_id", "n")
 
 
+@query("state_idle_retention_stream", """
+with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) <= interval 12 hours then 0 else 1 end as opens from events where ts is not null),
+s as (select *, sum(opens) over (partition by user_id order by ts, event_id) as sid from g)
+select user_id, event_id, row_number() over (partition by user_id, sid order by ts, event_id) as n from s
+""")
+def state_idle_retention_stream(spark, sf_dir):
+    """The same on a stream whose timers drop the state of idle users; rows without a time can't be idle and are left out."""
+    replay = event_replay(spark, sf_dir)
+    timed = replayed_events(replay, "1 hour").filter(dated("ts").isNotNull())
+    return run_append(stateful.counts_with_idle_reset(timed, "ts", "event_id", "12 hours"), "idle", feed=replay)
+
+
 @query("state_latest_view", """
 select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end,
        max(value) filter (event_type = 'click') as click, max(value) filter (event_type = 'view') as view, max(value) filter (event_type = 'purchase') as purchase,
@@ -99,8 +111,9 @@ def state_latest_view(spark, sf_dir):
 @query("state_read", "select user_id, count(*) as n, max(value) as top from events group by 1")
 def state_read(spark, sf_dir):
     checkpoint = scratch_dir(spark, "checkpoint")
-    per_user = stream_batches(spark, sf_dir).groupBy("user_id").agg(n_rows().alias("n"), F.max("value").alias("top"))
-    run_to_changes(per_user, ["user_id"], "state-read", checkpoint)
+    replay = event_replay(spark, sf_dir)
+    per_user = replayed_events(replay).groupBy("user_id").agg(n_rows().alias("n"), F.max("value").alias("top"))
+    run_to_changes(per_user, ["user_id"], "state-read", checkpoint, feed=replay)
     state = stateful.read_state(spark, checkpoint)
     return state.select("key.user_id", F.col("value.count").alias("n"), F.col("value.max").alias("top"))
 
@@ -108,6 +121,11 @@ def state_read(spark, sf_dir):
 SPLIT_AT = "2024-01-16 00:00:00"
 
 
+def is_fresh(kind: str):
+    """At or after the boundary; rows without a time are history."""
+    return F.coalesce(F.col("ts") >= F.lit(SPLIT_AT).cast(kind), F.lit(False))
+
+
 def account_rows(df):
     return df.select(F.col("user_id").alias("account"), F.col("item_id").cast("bigint").alias("amount"))
 
@@ -116,27 +134,25 @@ def account_rows(df):
 select user_id as account, count(*) as n, sum((props::json->>'k')::int)::bigint as total from events group by 1
 """)
 def state_bootstrap(spark, sf_dir):
-    boundary = F.lit(SPLIT_AT).cast("timestamp_ntz")
-    history = account_rows(events(spark, sf_dir).filter(F.col("ts") < boundary))
+    history = account_rows(events(spark, sf_dir).filter(~is_fresh("timestamp_ntz")))
     seed = history.groupBy("account").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
-    fresh = account_rows(stream_events(spark, event_folder(sf_dir)).filter(F.col("ts") >= boundary.cast("timestamp")))
+    fresh = account_rows(stream_events(spark, event_folder(sf_dir)).filter(is_fresh("timestamp")))
     added = run_to_changes(stateful.account_totals(fresh, seed), ["account"], "bootstrap")
     # accounts without a new row still hold their seeded state
     return added.unionByName(seed.join(added, "account", "left_anti"))
 
 
 @query("state_evolve", """
-with o as (select user_id, sum((props::json->>'k')::int) as old from events where ts < timestamp '2024-01-16 00:00:00' group by 1),
+with o as (select user_id, sum((props::json->>'k')::int) as old from events where ts is null or ts < timestamp '2024-01-16 00:00:00' group by 1),
 f as (select user_id, count(*) as m, sum((props::json->>'k')::int) as new from events where ts >= timestamp '2024-01-16 00:00:00' group by 1)
 select user_id as account, coalesce(m, 0)::bigint as n, (coalesce(old * 12 // 10, 0) + coalesce(new, 0))::bigint as total from o full join f using (user_id)
 """)
 def state_evolve(spark, sf_dir):
     checkpoint = scratch_dir(spark, "checkpoint")
-    boundary = F.lit(SPLIT_AT).cast("timestamp")
-    old = account_rows(stream_events(spark, event_folder(sf_dir)).filter(F.col("ts") < boundary)).groupBy("account").agg(F.sum("amount").alias("total"))
+    old = account_rows(stream_events(spark, event_folder(sf_dir)).filter(~is_fresh("timestamp"))).groupBy("account").agg(F.sum("amount").alias("total"))
     run_to_changes(old, ["account"], "evolve-old", checkpoint)
     state = stateful.read_state(spark, checkpoint)
     raised = state.select("key.account", F.lit(0).cast("bigint").alias("n"), F.floor(F.col("value.sum") * 12 / 10).cast("bigint").alias("total"))
-    fresh = account_rows(stream_events(spark, event_folder(sf_dir)).filter(F.col("ts") >= boundary))
+    fresh = account_rows(stream_events(spark, event_folder(sf_dir)).filter(is_fresh("timestamp")))
     added = run_to_changes(stateful.account_totals(fresh, raised), ["account"], "evolve-new")
     return added.unionByName(raised.join(added, "account", "left_anti"))

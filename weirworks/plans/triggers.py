@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from weirworks.functions.expr import n_rows
 from weirworks.operators import triggers, windows
 from weirworks.plans.registry import query
-from weirworks.streaming.runner import run_to_changes
-from weirworks.tables import events, load, stream_batches
+from weirworks.streaming import stateful
+from weirworks.streaming.runner import run_append, run_to_changes
+from weirworks.tables import dated, event_replay, events, load, replayed_events
 
 
 @query("trig_continuous_event", """
@@ -25,9 +26,10 @@ def trig_continuous_event(spark, sf_dir):
 select user_id, date_trunc('day', ts - interval 16 hours) + interval 16 hours as window_start, count(*) as n, max(value) as top from events group by 1, 2
 """)
 def trig_continuous_proc(spark, sf_dir):
-    daily = windows.windowed(stream_batches(spark, sf_dir, "1 day"), "ts", "1 day", offset="16 hours", keys=["user_id"], n=n_rows(), top=F.max("value"))
-    table = run_to_changes(daily.drop("window_end"), ["user_id", "window_start"], "continuous")
-    return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    replay = event_replay(spark, sf_dir)
+    daily = windows.windowed(replayed_events(replay, "1 day"), "ts", "1 day", offset="16 hours", keys=["user_id"], n=n_rows(), top=F.max("value"))
+    table = run_to_changes(daily.drop("window_end"), ["user_id", "window_start"], "continuous", feed=replay)
+    return table.withColumn("window_start", dated("window_start").cast("timestamp_ntz"))
 
 
 DISORDERED = "select event_id, user_id, ts as arrived, ts - to_minutes(10 * (event_id % 7)::int) as at_ts from events"
@@ -58,6 +60,58 @@ def trig_early_late(spark, sf_dir):
     return triggers.label_firings(disordered(spark, sf_dir), ["arrived", "event_id"], "at_ts", "1 hour", "15 minutes", "10 minutes", "20 minutes")
 
 
+def panes_sql(batch: str) -> str:
+    """All firings of hourly windows per user, 15 minutes of disorder, early every 10 minutes, 20 minutes of lateness. ``batch``: a row's micro-batch."""
+    return f"""
+with d as (select event_id, user_id, ts - to_minutes(10 * (event_id % 7)::int) as at_ts, (props::json->>'k')::int as k, {batch} as batch from events),
+h as (select batch, epoch_us(max(at_ts)) as top from d group by 1),
+g as (select batch, row_number() over (order by batch) as number, greatest((max(top) over (order by batch)) // 1000 * 1000 - 900000000, 0) as after from h),
+m as (select *, coalesce(lag(after) over (order by number), 0) as before from g),
+t as (select *, (before // 600000000 + 1) * 600000000 as tick, before > 0 and after // 600000000 > before // 600000000 as crossed from m),
+r as (select d.*, m.number, m.before, epoch_us(at_ts) - epoch_us(at_ts) % 3600000000 as s from d join m using (batch)),
+a as (select *, before >= s + 3600000000 as is_late from r where before < s + 4800000000),
+o as (select user_id, s, min(number) as opened from a where not is_late group by 1, 2),
+f as (
+  select user_id, s, number, 1 as phase, tick as place, 'early' as kind, tick as fired from o join t on number >= opened and crossed and tick < s + 3600000000
+  union all
+  select user_id, s, min(number), 1, s + 3600000000, 'on_time', s + 3600000000 from o join t on after >= s + 3600000000 group by 1, 2
+  union all
+  select user_id, s, number, 0, event_id, 'late', before from a where is_late),
+v as (
+  select f.user_id, f.s, f.number, f.phase, f.place, f.kind, f.fired, count(*) as n, sum(k)::bigint as total
+  from f join a on a.user_id = f.user_id and a.s = f.s and (a.number < f.number or (a.number = f.number and (not is_late or a.event_id <= f.place))) group by all)
+select user_id, make_timestamp(s) as window_start, make_timestamp(fired) as fired_at, kind,
+       row_number() over (partition by user_id, s order by number, phase, place) as pane, n, total from v
+"""
+
+
+PANES = {"size": "1 hour", "delay": "15 minutes", "early": "10 minutes", "lateness": "20 minutes"}
+
+
+def disordered_values(df):
+    delay = F.make_dt_interval(mins=(F.col("event_id") % 7 * 10).cast("int"))
+    return df.withColumn("at_ts", F.col("ts") - delay)
+
+
+@query("trig_early_late_panes", panes_sql("time_bucket(interval 6 hours, ts)"))
+def trig_early_late_panes(spark, sf_dir):
+    """What the windows fire while rows arrive in micro-batches of six hours."""
+    e = disordered_values(events(spark, sf_dir)).withColumn("batch", F.window("ts", "6 hours").start)
+    panes = triggers.fired_panes(e, ["user_id"], "batch", "at_ts", "event_id", "item_id", **PANES)
+    return panes.withColumn("total", F.col("total").cast("bigint"))
+
+
+@query("trig_early_late_panes_stream", panes_sql(
+    "(epoch_us(ts) - min(epoch_us(ts)) over ()) // ((max(epoch_us(ts)) over () - min(epoch_us(ts)) over ()) // 4 + 1)"))
+def trig_early_late_panes_stream(spark, sf_dir):
+    """The same from state and timers, over four micro-batches."""
+    replay = event_replay(spark, sf_dir)
+    e = disordered_values(replayed_events(replay))
+    panes = run_append(stateful.fired_panes(e, ["user_id"], "at_ts", "event_id", "item_id", **PANES), "panes", feed=replay)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "fired_at")}
+    return panes.withColumns(times).withColumn("total", F.col("total").cast("bigint"))
+
+
 @query("trig_per_element", WATERMARKED + """
 , a as (select * from m where high is null or we - interval 1 millisecond + interval 5 minutes > high - interval 15 minutes)
 select event_id, user_id, ws as window_start, count(*) over (partition by user_id, ws order by arrived, event_id) as n from a

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weirworks.operators.rows import json_records
+from weirworks.sources import files
 
 
 def csv_reader_options(sep: str = ",", line_sep: str = "\n", quote: str = '"', header: bool = True,
@@ -82,6 +83,31 @@ def from_position(df: DataFrame, position: str, ts: str, offset: str, start=None
     raise ValueError(position)
 
 
+def mark_start(spark: SparkSession, folder: str, checkpoint: str) -> None:
+    """Fixes the position ``latest`` of a folder: what is there now lies before it. Kept beside the checkpoint, so restarts keep it."""
+    newest = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).agg(F.max("modificationTime").alias("since"))
+    newest.coalesce(1).write.mode("errorifexists").parquet(f"{checkpoint}-start")
+
+
+def from_start(stream: DataFrame, position: str, folder: str, checkpoint: str, ts: str, start=None) -> DataFrame:
+    """A stream of files from a start position.
+
+    ``earliest`` reads all files; ``timestamp`` rows from the time ``start`` on; ``committed`` goes on where the checkpoint stands, and from the
+    earliest file without one; ``latest`` reads files that changed after the position that ``mark_start`` fixed (now, if it fixed none).
+    """
+    if position in ("earliest", "committed"):
+        return stream
+    if position == "timestamp":
+        return stream.filter(F.col(ts) >= F.lit(start).cast(stream.schema[ts].dataType))
+    if position != "latest":
+        raise ValueError(position)
+    spark = stream.sparkSession
+    if not files.exists(spark, f"{checkpoint}-start"):
+        mark_start(spark, folder, checkpoint)
+    since = spark.read.parquet(f"{checkpoint}-start").first()["since"]
+    return stream if since is None else stream.filter(F.col("_metadata.file_modification_time") > F.lit(since))
+
+
 def declare_table(df: DataFrame, name: str, rowtime: str | None = None, delay: str = "2 seconds") -> DataFrame:
     """Register a (typed) source under a name for SQL, with a bounded-disorder watermark on streams."""
     if rowtime and df.isStreaming:

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from weirworks.operators.ordered import Ordered, running_count
+from weirworks.functions.expr import interval_us
+from weirworks.operators.greedy import chain
+from weirworks.operators.ordered import Ordered, running_count, scanned_by_key, total
 
 HOUR_BUCKET = "yyyy-MM-dd-HH"
 
@@ -25,6 +27,34 @@ def write_time_buckets(df: DataFrame, ts: str, path: str, fmt: str = "parquet",
     out.write.partitionBy(bucket).options(maxRecordsPerFile=records_per_file, **options).format(fmt).save(path)
 
 
+def rolling_parts(df: DataFrame, ts: str, tie: str, bucket: str, max_bytes: int, max_age: str, max_idle: str, slices: int | None = None) -> DataFrame:
+    """Adds ``part``, the number of the file a rolling sink writes a row to, per bucket in time order.
+
+    A file ends before a row that comes more than ``max_idle`` after the one before it or ``max_age`` or more after its first row, and
+    before its rows' JSON text would pass ``max_bytes``. A row of half that size or more is refused.
+    """
+    size = F.octet_length(F.to_json(F.struct(*df.columns))) + 1
+    sized = df.withColumn("__size", size.cast("bigint"))
+    largest = sized.agg(F.max("__size")).first()[0] or 0
+    if 2 * largest > max_bytes:
+        raise ValueError(f"rows of {largest} bytes don't fit files of {max_bytes} bytes")
+    runs = chain(sized, [bucket], ts, tie, interval_us(max_age), gap_us=interval_us(max_idle), slices=slices)
+    run = [bucket, "anchor_ts", "anchor_id"]
+    filled = scanned_by_key(runs, run, [ts, tie], lambda seq: seq.scan(__sum=total("__size")), slices)
+    cut = F.floor((F.col("__sum") - F.col("__size")) / F.lit(max_bytes - largest)).cast("bigint")  # the row that starts in a share belongs to it
+    cut = filled.withColumn("__cut", cut)
+    first = cut.select(*run, "__cut").distinct()
+    numbered = scanned_by_key(first, [bucket], ["anchor_ts", "anchor_id", "__cut"], lambda seq: seq.scan(part=running_count()), slices)
+    return cut.join(numbered, [*run, "__cut"]).select(*df.columns, "part")
+
+
+def write_rolling(df: DataFrame, ts: str, tie: str, path: str, max_bytes: int, max_age: str, max_idle: str, pattern: str = HOUR_BUCKET, **options: str) -> None:
+    """JSON files below ``bucket=<text>/part=<number>``, one each, rolled by size, age and idle time. Rows without a time are in a bucket of their own."""
+    timed = df.withColumn("bucket", F.coalesce(F.date_format(F.col(ts), pattern), F.lit("none"))).withColumn("__at", F.coalesce(F.col(ts), F.lit("1970-01-01").cast(df.schema[ts].dataType)))
+    parts = rolling_parts(timed, "__at", tie, "bucket", max_bytes, max_age, max_idle).drop("__at")
+    parts.repartition("bucket", "part").sortWithinPartitions("bucket", "part", ts, tie).write.partitionBy("bucket", "part").options(**options).json(path)
+
+
 def stream_time_buckets(df: DataFrame, ts: str, path: str, checkpoint: str, pattern: str = HOUR_BUCKET, fmt: str = "parquet"):
     return (
         df.withColumn("bucket", F.date_format(F.col(ts), pattern))

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from weirworks.functions.expr import interval_us, micros
+from weirworks.functions.expr import floor_to, interval_us, micros
 
 
 def read_state(spark: SparkSession, checkpoint: str, variable: str | None = None, operator: int = 0) -> DataFrame:
@@ -531,3 +531,214 @@ class JumpAlert(KeyedProcessor):
 def jump_alerts(df: DataFrame, ts: str, tie: str, value: str, threshold: float, forget: str) -> DataFrame:
     rows = with_order(df, ts, tie).select("user_id", "us", "tie", F.col(value).alias("value"))
     return run_keyed(rows, ["user_id"], JumpAlert(threshold, interval_us(forget)), "event_id BIGINT, value DOUBLE, previous_value DOUBLE")
+
+
+class WindowTop(KeyedProcessor):
+    """The top N of a window: N rows in state, emitted with their ranks when the watermark reaches the window's end."""
+
+    STATE = "items ARRAY<BIGINT>, counts ARRAY<BIGINT>"
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.current()
+        best = list(zip(held[0], held[1])) if held else []
+        for row in rows:
+            best.append((row.item, row.view_count))
+            if len(best) >= 2 * self.n + 64:
+                best = self.top(best)
+        best = self.top(best)
+        self.state.update(([i for i, _ in best], [c for _, c in best]))
+        self.arm(None, key[0] - 1)  # timers fire once the watermark is past them
+        return iter(())
+
+    def top(self, rows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        return sorted(rows, key=lambda e: (-e[1], e[0]))[: self.n]
+
+    def on_timer(self, key, at_ms: int) -> Iterator[Row]:
+        held = self.current()
+        self.state.clear()
+        for rank, (item, count) in enumerate(zip(*held) if held else (), 1):
+            yield Row(end_us=key[0], rank=rank, item=item, view_count=count)
+
+
+def hot_items(df: DataFrame, ts: str, item: str, size: str, slide: str, n: int) -> DataFrame:
+    """Streaming twin of ``ranking.hot_items``: each window's top ``n`` once, when it closes. ``ts`` has a watermark.
+
+    Three stateful steps in a row: counts per slide step, counts per window, the window's best. Rows enter a window as step
+    counts, and only ``n`` of a window's items are kept for ranking.
+    """
+    step = df.groupBy(F.window(ts, slide).alias("step"), item).agg(F.count(F.lit(1)).alias("n"))
+    windows = step.groupBy(F.window(F.window_time("step"), size, slide).alias("w"), item).agg(F.sum("n").alias("view_count"))
+    counts = windows.select(F.window_time("w").alias("at"), micros("w.end").alias("end_us"), F.col(item).cast("bigint").alias("item"), "view_count")
+    top = run_keyed(counts, ["end_us"], WindowTop(n), "rank INT, item BIGINT, view_count BIGINT", timers=True)
+    return top.select(F.timestamp_micros("end_us").alias("window_end"), F.col("item").cast(df.schema[item].dataType).alias(item), "view_count", "rank")
+
+
+class Panes(KeyedProcessor):
+    """All results of one window of a key: early ones at ticks of the watermark, one at its end, one per late row; then it is purged.
+
+    Spark drops rows behind its watermark before they get here. So the stream's watermark runs ``slack_us`` (window size and
+    lateness) behind the one meant here, and times are shifted by it: no accepted row is lost, and timers fire at the meant time.
+    """
+
+    STATE = "n BIGINT, total DOUBLE, pane BIGINT, opened BOOLEAN"
+    FIRST_MARK_MS = 1  # a timer for the first watermark: ticks count from there
+
+    def __init__(self, size_us: int, early_us: int, late_us: int):
+        self.size_us, self.early_us, self.late_us = size_us, early_us, late_us
+        self.slack_us = size_us + late_us
+
+    def now(self, timers) -> int:
+        mark = timers.getCurrentWatermarkInMs()
+        return mark * 1000 + self.slack_us if mark else 0
+
+    def at(self, us: int) -> None:
+        """A timer that fires when the meant watermark reaches ``us``: timers fire once the watermark is past them."""
+        self.handle.registerTimer((us - self.slack_us) // 1000 - 1)
+
+    def tick(self, now: int, end: int) -> None:
+        if not now:
+            self.handle.registerTimer(self.FIRST_MARK_MS)
+            return
+        at = (now // self.early_us + 1) * self.early_us
+        if at < end:
+            self.at(at)
+
+    def result(self, key, kind: str, at: int, state) -> Row:
+        return Row(**dict(zip(self.keys, key)), fired_us=at, kind=kind, pane=state[2], n=state[0], total=state[1])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now, end = self.now(timerValues), key[-1] + self.size_us
+        if now >= end + self.late_us:
+            return
+        n, total, pane, opened = self.current() or (0, 0.0, 0, False)
+        if not opened and now < end:
+            opened = True
+            self.tick(now, end)
+            self.at(end)
+        self.at(end + self.late_us)
+        for row in sorted(rows, key=lambda r: r.tie):
+            n, total = n + 1, total + row.amount
+            if now >= end:
+                pane += 1
+                yield self.result(key, "late", now, (n, total, pane))
+        self.state.update((n, total, pane, opened))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.current()
+        if state is None:
+            return
+        due_ms, end = expiredTimerInfo.getExpiryTimeInMs(), key[-1] + self.size_us
+        if due_ms == self.FIRST_MARK_MS:
+            self.tick(self.now(timerValues), end)
+            return
+        at = (due_ms + 1) * 1000 + self.slack_us
+        n, total, pane, opened = state
+        if opened and at <= end:
+            pane += 1
+            yield self.result(key, "early" if at < end else "on_time", at, (n, total, pane))
+            if at < end:
+                self.tick(self.now(timerValues), end)
+        if at >= end + self.late_us:
+            self.state.clear()
+        else:
+            self.state.update((n, total, pane, opened))
+
+
+def fired_panes(df: DataFrame, keys: Sequence[str], event_ts: str, tie: str, value: str, size: str, delay: str, early: str, lateness: str) -> DataFrame:
+    """Streaming twin of ``triggers.fired_panes``: ``tie`` orders the rows of a micro-batch. Window sizes are whole milliseconds."""
+    size_us, late_us, delay_us = (interval_us(x) for x in (size, lateness, delay))
+    behind = df.withWatermark(event_ts, f"{(delay_us + size_us + late_us) // 1000} milliseconds")
+    start = floor_to(micros(event_ts), size_us)
+    rows = behind.select(*keys, start.alias("start_us"), event_ts, F.col(tie).alias("tie"), F.col(value).cast("double").alias("amount"))
+    panes = Panes(size_us, interval_us(early), late_us)
+    panes.keys = [*keys, "start_us"]
+    out = run_keyed(rows, panes.keys, panes, "fired_us BIGINT, kind STRING, pane BIGINT, n BIGINT, total DOUBLE", timers=True)
+    return out.select(*keys, F.timestamp_micros("start_us").alias("window_start"), F.timestamp_micros("fired_us").alias("fired_at"), "kind", "pane", "n", "total")
+
+
+class BatchOrInterval(KeyedProcessor):
+    """A sink's buffer per shard: flushed at ``size`` rows, or ``interval`` after its first row by the clock. The buffer is list state, so
+    a restart goes on with it; flushed rows carry their chunk's number and the reason."""
+
+    STATE = "chunk BIGINT, n BIGINT, due_ms BIGINT"
+
+    def __init__(self, size: int, interval_ms: int, columns: Sequence[str], buffered: str):
+        self.size, self.interval_ms, self.columns, self.buffered = size, interval_ms, list(columns), buffered
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.rows = handle.getListState("rows", self.buffered)
+
+    def _flush(self, key, chunk: int, reason: str) -> Iterator[Row]:
+        for held in self.rows.get():
+            yield Row(shard=key[0], chunk=chunk, reason=reason, **dict(zip(self.columns, held)))
+        self.rows.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        chunk, n, due = self.current() or (0, 0, None)
+        new = []
+        for row in rows:
+            new.append(tuple(row[c] for c in self.columns))
+            n += 1
+            if n == self.size:
+                self.rows.appendList(new)
+                yield from self._flush(key, chunk, "count")
+                new, chunk, n = [], chunk + 1, 0
+                if due is not None:
+                    self.handle.deleteTimer(due)
+                    due = None
+        if new:
+            self.rows.appendList(new)
+            if due is None:
+                due = timerValues.getCurrentProcessingTimeInMs() + self.interval_ms
+                self.handle.registerTimer(due)
+        self.state.update((chunk, n, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        chunk, n, due = self.current()
+        if due == expiredTimerInfo.getExpiryTimeInMs() and n:
+            yield from self._flush(key, chunk, "interval")
+            self.state.update((chunk + 1, 0, None))
+
+
+def batch_or_interval(df: DataFrame, shards: int, size: int, interval: str) -> DataFrame:
+    """Rows in the chunks that a buffering sink of ``shards`` writers flushes: ``shard``, ``chunk``, ``reason`` and the row's columns.
+
+    Runs on the clock: use a trigger that goes on (``processingTime``), and a ``foreachBatch`` or file sink behind it.
+    """
+    spread = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(shards)).cast("int").alias("shard"), *df.columns)
+    buffered = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in df.columns)
+    sink = BatchOrInterval(size, interval_us(interval) // 1000, df.columns, buffered)
+    return spread.groupBy("shard").transformWithState(
+        statefulProcessor=sink, outputStructType=f"shard INT, chunk BIGINT, reason STRING, {buffered}", outputMode="Append", timeMode="ProcessingTime")
+
+
+class IdleCount(KeyedProcessor):
+    """Running count per key whose state is gone once the key was idle for longer than ``idle``."""
+
+    STATE = "n BIGINT, us BIGINT"
+
+    def __init__(self, idle_us: int):
+        self.idle_us = idle_us
+
+    def on_row(self, key, row) -> Iterator[Row]:
+        held = self.current()
+        n = held[0] if held and row.us - held[1] <= self.idle_us else 0
+        self.arm(held[1] + self.idle_us if held else None, row.us + self.idle_us)
+        self.state.update((n + 1, row.us))
+        yield Row(user_id=key[0], event_id=row.tie, n=n + 1)
+
+    def on_timer(self, key, at_ms: int) -> Iterator[Row]:
+        held = self.current()
+        if held and ceil_ms(held[1] + self.idle_us) == at_ms:
+            self.state.clear()
+        return iter(())
+
+
+def counts_with_idle_reset(df: DataFrame, ts: str, tie: str, idle: str) -> DataFrame:
+    """Streaming twin of ``timers.counts_with_idle_reset``: timers on the watermark drop the state of idle keys."""
+    rows = with_order(df, ts, tie).select("user_id", ts, "us", "tie")
+    return run_keyed(rows, ["user_id"], IdleCount(interval_us(idle)), "event_id BIGINT, n BIGINT", timers=True)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weirworks.functions.expr import json_int
-from weirworks.session import pin_utc, scratch_dir
+from weirworks.session import pin_utc
+from weirworks.streaming.replay import Replay
 
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -36,23 +37,36 @@ def events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     return df.withColumn("item_id", json_int("props", "$.k"))
 
 
-BATCHES, FILES = 4, 4
+SPANS = 4
+#: Event time of rows without one, on streams with a watermark: before all others, but not before the epoch, where watermarks start.
+#: ``dated`` gives NULL back for it, so such streams take times from 1972 on.
+UNDATED = "1970-06-01 00:00:00"
 
 
-def event_batches(spark: SparkSession, sf_dir: str) -> str:
-    """The event table as a folder that a stream reads in several micro-batches, in time order: equal time spans written one after the other."""
-    e, path = load(spark, sf_dir, "events"), scratch_dir(spark, "event-batches")
+def event_spans(spark: SparkSession, sf_dir: str, spans: int = SPANS) -> list[DataFrame]:
+    """The event table cut into equal time spans; rows without a time are in the first."""
+    e = load(spark, sf_dir, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     lo, hi = e.agg(F.min(us), F.max(us)).first()
-    width = max(1, ((hi or 0) - (lo or 0)) // BATCHES + 1)
-    for i in range(BATCHES):
-        start = (lo or 0) + i * width
-        e.filter((us >= start) & (us < start + width)).repartition(FILES).write.mode("append").parquet(path)
-    return path
+    width = max(1, ((hi or 0) - (lo or 0)) // spans + 1)
+    span = F.coalesce(F.floor((us - F.lit(lo or 0)) / F.lit(width)), F.lit(0))
+    return [e.filter(span == i) for i in range(spans)]
 
 
-def stream_batches(spark: SparkSession, sf_dir: str, delay: str | None = None) -> DataFrame:
-    return stream_events(spark, event_batches(spark, sf_dir), delay, FILES)
+def event_replay(spark: SparkSession, sf_dir: str, spans: int = SPANS) -> Replay:
+    """The event table as a stream in time order, one micro-batch per time span."""
+    return Replay(event_spans(spark, sf_dir, spans), "event-replay")
+
+
+def replayed_events(replay: Replay, delay: str | None = None) -> DataFrame:
+    """Streamed events; with ``delay`` there is a watermark, and rows without a time get UNDATED."""
+    df = replay.stream().withColumn("ts", F.col("ts").cast("timestamp")).withColumn("item_id", json_int("props", "$.k"))
+    return df.withColumn("ts", F.coalesce("ts", F.lit(UNDATED).cast("timestamp"))).withWatermark("ts", delay) if delay else df
+
+
+def dated(time: str) -> Column:
+    """NULL for times that windows make of UNDATED."""
+    return F.when(F.col(time) > F.lit(UNDATED).cast("timestamp") + F.expr("interval 1 year"), F.col(time))
 
 
 def stream_events(spark: SparkSession, folder: str, delay: str | None = None, files_per_batch: int = 1) -> DataFrame:
