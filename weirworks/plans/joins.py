@@ -279,7 +279,7 @@ def broadcast_rule_semi_stream(spark, sf_dir):
         known.select("event_id", "event_type").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     run_batches(timed.select("event_id", "event_type", "ts"), allowed, feed=feed())
-    return spark.read.schema("event_id BIGINT, event_type STRING").parquet(out)
+    return spark.read.schema("event_id BIGINT, event_type STRING").parquet(out).drop("batch_id")
 
 
 @query("broadcast_config_path", """

@@ -121,4 +121,4 @@ def rules_broadcast_swap_stream(spark, sf_dir):
 
     write = with_rules(log, limits.schema, [], "ts", "event_id", "since", "rule_set", ["lim"], lambda df: limited_rules(df.withColumn("lim", F.coalesce("lim", F.lit(18)))), out)
     run_batches(timed.select("event_id", "ts", "item_id"), write, feed=feed())
-    return spark.read.schema("event_id BIGINT, rule_id STRING, result STRING").parquet(out)
+    return spark.read.schema("event_id BIGINT, rule_id STRING, result STRING").parquet(out).drop("batch_id")

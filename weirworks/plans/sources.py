@@ -12,7 +12,7 @@ from weirworks.operators import rows
 from weirworks.plans.registry import query
 from weirworks.session import scratch_dir
 from weirworks.sources import readers, writers
-from weirworks.streaming.runner import run_to_changes, run_to_files
+from weirworks.streaming.runner import run_batches, run_to_changes, run_to_files
 from weirworks.tables import dated, event_replay, events, load, replayed_events
 
 MICROS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -283,7 +283,7 @@ def snk_rolling_parts(spark, sf_dir):
     path = scratch_dir(spark, "rolling-parts")
     writers.write_rolling(load(spark, sf_dir, "events").select("event_id", "ts", "user_id"), "ts", "event_id", path, 8_000, "12 hours", "3 hours", "yyyy-MM-dd",
                           timestampNTZFormat=MICROS_TEXT)
-    return spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, bucket STRING").json(path)
+    return spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, bucket STRING").json(path).drop("part").withColumn("bucket", F.nullif("bucket", F.lit("none")))
 
 
 SPAN = "(epoch_us(ts) - min(epoch_us(ts)) over ()) // ((max(epoch_us(ts)) over () - min(epoch_us(ts)) over ()) // 4 + 1)"
@@ -302,8 +302,11 @@ def src_start_position_stream(spark, sf_dir):
     marks = {p: scratch_dir(spark, f"mark-{p}") for p in out}
 
     def run(position, path, start=None):
+        def write(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
+
         stream = readers.from_start(replay.stream(), position, replay.folder, marks[position], ts="ts", start=start)
-        run_to_files(stream.select("event_id"), path, marks[position])
+        run_batches(stream.select("event_id"), write, marks[position])
 
     for i in replay:
         if i == 1:
@@ -313,5 +316,5 @@ def src_start_position_stream(spark, sf_dir):
     run("timestamp", out["timestamp"], "2024-01-10 00:00:00")
     run("committed", out["committed"])
     run("latest", out["latest"])
-    counts = [spark.read.schema("event_id BIGINT").parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("position"), "n") for p, path in out.items()]
+    counts = [spark.read.schema("event_id BIGINT").option("recursiveFileLookup", "true").parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(p).alias("position"), "n") for p, path in out.items()]
     return reduce(DataFrame.unionByName, counts)
