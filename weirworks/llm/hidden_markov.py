@@ -234,12 +234,12 @@ def baum_welch_round(coded: DataFrame, shares: np.ndarray, model: Model) -> Mode
             first, moves, emitted = first + a, moves + b, emitted + c
         table = np.concatenate([emitted.T, moves, first[None]])  # classes, then states, then the first states
         rows = np.flatnonzero(table.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *[pa.array(table[rows, k]) for k in range(STATES)]], ["place", *[f"s{k}" for k in range(STATES)]])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), *[pa.array(table[rows, k].astype(np.float32)) for k in range(STATES)]], ["place", *[f"s{k}" for k in range(STATES)]])
 
     states = [f"s{k}" for k in range(STATES)]
-    counts = coded.filter("not held_out").select("numbers").mapInArrow(run, "place bigint, " + ", ".join(f"{s} double" for s in states))
+    counts = coded.filter("not held_out").select("numbers").mapInArrow(run, "place bigint, " + ", ".join(f"{s} float" for s in states))
     table = np.zeros((n_classes + STATES + 1, STATES))
-    found = counts.groupBy("place").agg(*[F.sum(s).alias(s) for s in states]).toArrow()  # the model: at most HEAD_WORDS and a few rows
+    found = counts.groupBy("place").agg(*[F.sum(F.col(s).cast("double")).alias(s) for s in states]).toArrow()  # the model: at most HEAD_WORDS and a few rows
     table[found.column("place").to_numpy()] = np.column_stack([found.column(s).to_numpy() for s in states])
     emit = table[:n_classes].T + SMOOTH * shares
     move = table[n_classes:-1] + SMOOTH
