@@ -285,6 +285,8 @@ def size(docs: bytes) -> int:
 
 def merge(parts: list[bytes]) -> bytes:
     """OR of bitmaps of one (pair, chunk, plane)."""
+    if sum(map(len, parts)) < 2 * DENSE:  # arrays
+        return np.unique(np.frombuffer(b"".join(parts), "<u2")).tobytes()
     bits = np.zeros(CHUNK, np.uint8)
     for p in parts:
         bits[unpack(p)] = 1
