@@ -21,7 +21,7 @@ the document has no window for as many words as the item has) and of the whole d
 Documents are filtered before the join by a Bloom filter of the benchmark's windows: its size is a parameter (2^23 bits),
 whatever the size of the benchmark; a larger benchmark only lets more windows through to the join, which is exact.
 
-An item of fewer than five words says too little inside prose: it is met only by a line, or a whole text, of just these words (case folded).
+An item of fewer than four words says too little inside prose: it is met only by a line, or a whole text, of just these words (case folded).
 
 Defined results: NULL or empty texts and items have no windows; items shorter than a window are one window of their own
 length (with at least half of it literal, except in the last reading); pairs of repeated rows are returned once; a NULL id is kept as NULL.
@@ -45,7 +45,7 @@ from weirworks.llm.common import map_rows, utf8, words
 from weirworks.llm.pieces import Shared
 from weirworks.session import stored
 
-WINDOW, LITERALS, FEW_WORDS = 8, 4, 5
+WINDOW, LITERALS, FEW_WORDS = 8, 4, 4
 BLOOM_BITS = 1 << 23
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.9
 MAX_CACHED = 300_000
