@@ -7,7 +7,7 @@
    classes by a hash. A latent state emits a class, the class emits the word by its share (count + 1; one unit per shared
    class is left for unseen words), so the probabilities of all words add up to one.
 4. Baum-Welch: each partition computes expected counts of its whole texts for the current model; Spark adds them up and the
-   driver normalises the model (STATES x classes, a fixed bound). Emissions are smoothed towards the classes' shares.
+   driver normalises the model (STATES x classes, a fixed bound). Every word has one count more, dealt over the states.
 
 Batches of texts advance one token at a time together, so the recursion is vectorised over texts.
 
@@ -222,9 +222,12 @@ def coded_batches(batches: Iterator[pa.RecordBatch], tokens: int):
             yield part, column.slice(a, b - a).flatten().to_numpy(zero_copy_only=False), sizes[a:b]
 
 
-def baum_welch_round(coded: DataFrame, shares: np.ndarray, model: Model) -> Model:
-    """One round over the whole training texts: expected counts per partition, added up by Spark."""
-    sent, n_classes = Shared(coded, (model.first, model.move, model.emit)), len(shares)
+def baum_welch_round(coded: DataFrame, units: np.ndarray, model: Model) -> Model:
+    """One round over the whole training texts: expected counts per partition, added up by Spark.
+
+    Each word, and the unseen ones of each shared class, has one count more, dealt over the states: one state would give the base score.
+    """
+    sent, n_classes = Shared(coded, (model.first, model.move, model.emit)), len(units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = Model(*sent.value)
@@ -241,7 +244,7 @@ def baum_welch_round(coded: DataFrame, shares: np.ndarray, model: Model) -> Mode
     table = np.zeros((n_classes + STATES + 1, STATES))
     found = counts.groupBy("place").agg(*[F.sum(F.col(s).cast("double")).alias(s) for s in states]).toArrow()  # the model: at most HEAD_WORDS and a few rows
     table[found.column("place").to_numpy()] = np.column_stack([found.column(s).to_numpy() for s in states])
-    emit = table[:n_classes].T + SMOOTH * shares
+    emit = table[:n_classes].T + units / STATES
     move = table[n_classes:-1] + SMOOTH
     first = table[-1] + SMOOTH
     return Model(first / first.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
@@ -263,10 +266,10 @@ def forward_scores(coded: DataFrame, model: Model) -> DataFrame:
     return coded.select(*names, "numbers").mapInArrow(run, "row bigint, doc_id bigint, held_out boolean, n_head bigint, head_base double, head_inner double, n_tokens bigint, classes double")
 
 
-def train(coded: DataFrame, shares: np.ndarray, rounds: int = ROUNDS) -> Model:
+def train(coded: DataFrame, shares: np.ndarray, units: np.ndarray, rounds: int = ROUNDS) -> Model:
     model = Model.start(shares)
     for _ in range(rounds):
-        model = baum_welch_round(coded, shares, model)
+        model = baum_welch_round(coded, units, model)
     return model
 
 
@@ -277,15 +280,17 @@ def language_model_scores(docs: DataFrame, rounds: int = ROUNDS, head_words: int
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("word").alias("v")).first()
     n, v = size["n"], size["v"]
     head = frequent_words(counts, head_words)
-    shared = np.ones(CLASSES)  # a unit of each shared class is left for unseen words
-    for r in counts.groupBy(class_column().alias("k")).agg(F.sum(F.col("c") + 1).alias("m")).collect():  # CLASSES rows
+    shared, words_of = np.ones(CLASSES), np.ones(CLASSES)  # a unit of each shared class is left for unseen words
+    for r in counts.groupBy(class_column().alias("k")).agg(F.sum(F.col("c") + 1).alias("m"), F.count("word").alias("v")).collect():  # CLASSES rows
         shared[r["k"]] += r["m"]
+        words_of[r["k"]] += r["v"]
     for w, c in head:  # these have classes of their own
         shared[shared_class(w.encode())] -= c + 1
+        words_of[shared_class(w.encode())] -= 1
     mass = np.concatenate([np.array([c + 1 for _, c in head], np.float64), shared])
     known = Shared(docs, (b"\n".join(w.encode() for w, _ in head), np.array([c for _, c in head], np.int64), shared))
     coded = stored(code(docs, known).withColumn("row", F.monotonically_increasing_id()), "coded")
-    scored = forward_scores(coded, train(coded, mass / mass.sum(), rounds))
+    scored = forward_scores(coded, train(coded, mass / mass.sum(), np.append(np.ones(len(head)), words_of), rounds))
     rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     tail = (
         rare.join(counts.select("word", "c"), "word", "left")
