@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import time
 from collections import Counter
@@ -64,6 +65,7 @@ def test_one_row_of_repeated_documents_stays(spark):
 
 def best_of(n, run):
     times = []
+    gc.collect()
     for _ in range(n):
         start = time.perf_counter()
         run()
@@ -83,7 +85,11 @@ def test_secret_scan_grows_with_the_text():
         taken = secret_scan.patterns(text)
         return list(test.spans(text, taken))
 
-    assert best_of(3, lambda: scan(32_000)) <= 2.5 * best_of(3, lambda: scan(16_000))
+    gc.disable()
+    try:
+        assert best_of(7, lambda: scan(32_000)) <= 2.5 * best_of(7, lambda: scan(16_000))
+    finally:
+        gc.enable()
 
 
 def test_tokens_never_overlap_base_spans():
@@ -132,7 +138,7 @@ def plain_baum_welch(training, shares, rounds):
                 a += share if t == 0 else 0
                 if t:
                     b += np.outer(forward[t - 1], emit[:, x] * backward[t]) * move / total
-        first, move, emit = (x + y for x, y in ((a, hidden_markov.SMOOTH), (b, hidden_markov.SMOOTH), (c, hidden_markov.SMOOTH * shares)))
+        first, move, emit = a + hidden_markov.SMOOTH, b + hidden_markov.SMOOTH, c + 1 / len(first)
         first, move, emit = first / first.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True)
     return first, move, emit
 
