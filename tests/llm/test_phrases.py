@@ -269,3 +269,20 @@ def test_long_windows_and_wide_numbers(spark):
     a, b = 3 * 10**13, 4 * 10**13
     made = spark.range(1).selectExpr(f"cast({a} * 2000000BD as decimal(38, 0)) div cast(cast({a}L as decimal(20, 0)) + {b}L as decimal(38, 0)) as score")
     assert made.first()[0] == 2_000_000 * a // (a + b)
+
+
+def test_a_filter_that_holds_a_phrase_no_pass_has_met():
+    """The first filter holds "b c d" by chance, without "c d": it was not counted then, so "a b c d" is due in the second pass."""
+    class Holds:
+        def __init__(self, *held):
+            self.held = phrases.hashed(["en"] * len(held), list(held))
+
+        def holds(self, h):
+            return (h[:, None] == self.held).any(axis=1)
+
+    first = ["a", "b", "c", "d", "a b", "b c", "a b c", "b c d"]
+    raw, gates = b"a b c d\n" * 30, (Holds(*first), Holds(*first, "c d"))
+    met = []
+    for gate, seen, sizes in ((gates[0], None, range(1, 5)), (gates[1], gates[0], range(2, 5))):
+        met.append({p.decode() for _, found, _ in phrases.counted_window(raw, b"en", gate, seen, sizes) for p in found.to_pylist()})
+    assert met == [{"a", "b", "c", "d", "a b", "b c", "c d", "a b c"}, {"b c d", "a b c d"}]

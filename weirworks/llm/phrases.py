@@ -140,7 +140,7 @@ def next_level(below: Level, words: Level, good: np.ndarray) -> Level:
 
 
 def counted_window(raw: bytes, lang: bytes, gate: Filter, seen: Filter | None, sizes: range) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(size, phrases, counts) of a window. Phrases whose parts ``seen`` holds were counted by an earlier pass."""
+    """(size, phrases, counts) of a window. Phrases whose parts were counted under ``seen`` and are held by it were counted by an earlier pass."""
     numbers = Numbers({bytes([GAP]): 0})
     tokens = raw.translate(TO_PIECES).replace(bytes([GAP]), bytes([32, GAP, 32])).split()
     ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
@@ -148,16 +148,17 @@ def counted_window(raw: bytes, lang: bytes, gate: Filter, seen: Filter | None, s
     words = list(numbers)
     one = first_level(ids, words, lang)
     texts = pa.array([b"", *words[1:]], pa.binary())
-    level = one
+    level, before = one, np.full(len(words), seen is not None)  # which phrases of the level an earlier pass counted
     for size in range(1, sizes.stop):
         if size > 1:
             good = gate.holds(level.hashes)
-            good_before = seen.holds(level.hashes) if seen else np.zeros(len(good), bool)
+            good_before = before & seen.holds(level.hashes) if seen else before  # a filter may hold a phrase that no pass has met
             level = next_level(level, one, good)
+            before = good_before[level.prefix] & good_before[level.suffix]
         if not len(level.counts):
             return
         if size in sizes:
-            new = ~(good_before[level.prefix] & good_before[level.suffix]) if size > 1 else level.counts > 0
+            new = ~before
             if size == 1:
                 new[0] = False
             if new.any():
