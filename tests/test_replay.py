@@ -210,3 +210,36 @@ def odd_times(spark, sf, tmp_path_factory):
 @pytest.mark.parametrize("name", ["snk_upsert_changes", "snk_parquet_bucketed", "trig_continuous_proc", "state_read", "state_bootstrap", "state_evolve"])
 def test_rows_without_time_and_outliers(spark, odd_times, name):
     assert compare(QUERIES[name](spark, odd_times), duck(odd_times), ORACLES[name]).startswith("OK")
+
+
+def test_panes_call_the_state_by_buckets(spark):
+    """Windows of many keys share state values and timers: none of their own for each of 400 windows."""
+    assert "bucket" in stateful.fired_panes(
+        Replay([spark.createDataFrame([(k, k, 1) for k in range(400)], "user long, id long, value long").withColumn("at_ts", F.timestamp_seconds("id"))]).stream(),
+        ["user"], "at_ts", "id", "value", "1 hour", "1 minute", "10 minutes", "5 minutes")._jdf.queryExecution().analyzed().toString()
+    calls = []
+
+    class Value:
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    class Timers:
+        def registerTimer(self, ms):
+            calls.append("timer")
+
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    class In(dict):
+        def __getattr__(self, name):
+            return self[name]
+
+    panes = stateful.Panes(60 * MINUTE, 10 * MINUTE, 5 * MINUTE, ["user", "start_us"], ["bigint", "bigint"])
+    panes.state, panes.handle = Value(), Timers()
+    batch = (In(tie=i, amount=1.0, user=i % 400, start_us=0) for i in range(1_200))
+    assert list(panes.handleInputRows((7,), batch, Timers())) == [] and calls == ["get", "timer", "update"]
+    assert panes.state.value[2] == [3] * 400

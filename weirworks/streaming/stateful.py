@@ -8,6 +8,7 @@ and timers run on the watermark. Times travel as microseconds in ``us``.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -42,7 +43,7 @@ class KeyedProcessor(StatefulProcessor):
         self.state = handle.getValueState("state", self.STATE)
 
     def current(self):
-        return self.state.get() if self.state.exists() else None
+        return self.state.get()  # None where there is none
 
     def arm(self, old_us: int | None, new_us: int | None) -> None:
         """Replace a pending timer."""
@@ -577,85 +578,116 @@ def hot_items(df: DataFrame, ts: str, item: str, size: str, slide: str, n: int)
 
 
 class Panes(KeyedProcessor):
-    """All results of one window of a key: early ones at ticks of the watermark, one at its end, one per late row; then it is purged.
+    """All results of the windows of a bucket: early ones at ticks of the watermark, one at a window's end, one per late row; then the
+    window is purged.
+
+    Windows of all keys are dealt over ``BUCKETS`` by a hash of key and start, so a key of many rows is dealt too. A bucket's open windows
+    are one state value with one timer, for what is due first: calls to the state grow with buckets, not with windows or rows.
 
     Spark drops rows behind its watermark before they get here. So the stream's watermark runs ``slack_us`` (window size and
     lateness) behind the one meant here, and times are shifted by it: no accepted row is lost, and timers fire at the meant time.
     """
 
-    STATE = "n BIGINT, total DOUBLE, pane BIGINT, opened BOOLEAN"
+    VALUES = "counts ARRAY<BIGINT>, totals ARRAY<DOUBLE>, panes ARRAY<BIGINT>, ticks ARRAY<BIGINT>, due_ms BIGINT"
+    BUCKETS = 4096
     FIRST_MARK_MS = 1  # a timer for the first watermark: ticks count from there
+    UNMARKED, OVER = 0, -1  # instead of a window's next tick: opened before the first watermark; no result but late ones
 
-    def __init__(self, size_us: int, early_us: int, late_us: int):
-        self.size_us, self.early_us, self.late_us = size_us, early_us, late_us
+    def __init__(self, size_us: int, early_us: int, late_us: int, names: Sequence[str], types: Sequence[str]):
+        """``names`` and ``types`` tell a window: those of the keys, then of its start."""
+        self.size_us, self.early_us, self.late_us, self.names = size_us, early_us, late_us, list(names)
         self.slack_us = size_us + late_us
+        self.STATE = ", ".join(f"of_{i} ARRAY<{t}>" for i, t in enumerate(types)) + ", " + self.VALUES
 
     def now(self, timers) -> int:
         mark = timers.getCurrentWatermarkInMs()
         return mark * 1000 + self.slack_us if mark else 0
 
-    def at(self, us: int) -> None:
-        """A timer that fires when the meant watermark reaches ``us``: timers fire once the watermark is past them."""
-        self.handle.registerTimer((us - self.slack_us) // 1000 - 1)
-
-    def tick(self, now: int, end: int) -> None:
-        if not now:
-            self.handle.registerTimer(self.FIRST_MARK_MS)
+    def tick(self, now: int) -> int:
+        return (now // self.early_us + 1) * self.early_us if now else self.UNMARKED
+
+    def result(self, bucket, of: tuple, kind: str, at: int, window: list) -> Row:
+        n, total, pane, _ = window
+        return Row(bucket=bucket[0], **dict(zip(self.names, of)), fired_us=at, kind=kind, pane=pane, n=n, total=total)
+
+    def windows(self) -> tuple[dict[tuple, list], int | None]:
+        """Open windows by key and start (count, total, panes, next tick) and the pending timer."""
+        held, told = self.current(), len(self.names)
+        return ({w[:told]: list(w[told:]) for w in zip(*held[:-1])}, held[-1]) if held else ({}, None)
+
+    def due_ms(self, start: int, tick: int) -> int:
+        """A timer that fires when the meant watermark reaches what the window waits for: timers fire once the watermark is past them."""
+        if tick == self.UNMARKED:
+            return self.FIRST_MARK_MS
+        end = start + self.size_us
+        at = end + self.late_us if tick == self.OVER else min(tick, end)
+        return (at - self.slack_us) // 1000 - 1
+
+    def keep(self, windows: dict[tuple, list], armed: int | None, fired: int | None = None) -> None:
+        due = min((self.due_ms(of[-1], w[3]) for of, w in windows.items()), default=None)
+        if armed is not None and armed not in (due, fired):
+            self.handle.deleteTimer(armed)
+        if due is None:
+            self.state.clear()
             return
-        at = (now // self.early_us + 1) * self.early_us
-        if at < end:
-            self.at(at)
-
-    def result(self, key, kind: str, at: int, state) -> Row:
-        return Row(**dict(zip(self.keys, key)), fired_us=at, kind=kind, pane=state[2], n=state[0], total=state[1])
+        if due != armed or armed == fired:
+            self.handle.registerTimer(due)
+        self.state.update((*map(list, zip(*windows)), *map(list, zip(*windows.values())), due))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now, end = self.now(timerValues), key[-1] + self.size_us
-        if now >= end + self.late_us:
-            return
-        n, total, pane, opened = self.current() or (0, 0.0, 0, False)
-        if not opened and now < end:
-            opened = True
-            self.tick(now, end)
-            self.at(end)
-        self.at(end + self.late_us)
-        for row in sorted(rows, key=lambda r: r.tie):
-            n, total = n + 1, total + row.amount
+        now = self.now(timerValues)
+        windows, armed = self.windows()
+        for _, amount, *of in sorted((tuple(row[c] for c in ("tie", "amount", *self.names)) for row in rows), key=itemgetter(0)):
+            of = tuple(of)
+            end = of[-1] + self.size_us
+            if now >= end + self.late_us:
+                continue
+            window = windows.get(of)
+            if window is None:
+                window = windows[of] = [0, 0.0, 0, self.OVER]
+            if window[3] == self.OVER and now < end:
+                window[3] = self.tick(now)
+            window[0], window[1] = window[0] + 1, window[1] + amount
             if now >= end:
-                pane += 1
-                yield self.result(key, "late", now, (n, total, pane))
-        self.state.update((n, total, pane, opened))
+                window[2] += 1
+                yield self.result(key, of, "late", now, window)
+        if windows:
+            self.keep(windows, armed)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        state = self.current()
-        if state is None:
-            return
-        due_ms, end = expiredTimerInfo.getExpiryTimeInMs(), key[-1] + self.size_us
-        if due_ms == self.FIRST_MARK_MS:
-            self.tick(self.now(timerValues), end)
+        windows, armed = self.windows()
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        if armed != fired:
             return
-        at = (due_ms + 1) * 1000 + self.slack_us
-        n, total, pane, opened = state
-        if opened and at <= end:
-            pane += 1
-            yield self.result(key, "early" if at < end else "on_time", at, (n, total, pane))
-            if at < end:
-                self.tick(self.now(timerValues), end)
-        if at >= end + self.late_us:
-            self.state.clear()
-        else:
-            self.state.update((n, total, pane, opened))
+        now = self.now(timerValues)
+        for of, window in list(windows.items()):
+            end, tick = of[-1] + self.size_us, window[3]
+            if tick != self.OVER:
+                if tick != self.UNMARKED and tick < end and tick <= now:
+                    window[2] += 1
+                    yield self.result(key, of, "early", tick, window)
+                if tick <= now:
+                    window[3] = self.tick(now)
+                if end <= now:
+                    window[2], window[3] = window[2] + 1, self.OVER
+                    yield self.result(key, of, "on_time", end, window)
+            if end + self.late_us <= now:
+                del windows[of]
+        self.keep(windows, armed, fired)
 
 
 def fired_panes(df: DataFrame, keys: Sequence[str], event_ts: str, tie: str, value: str, size: str, delay: str, early: str, lateness: str) -> DataFrame:
     """Streaming twin of ``triggers.fired_panes``: ``tie`` orders the rows of a micro-batch. Window sizes are whole milliseconds."""
     size_us, late_us, delay_us = (interval_us(x) for x in (size, lateness, delay))
-    behind = df.withWatermark(event_ts, f"{(delay_us + size_us + late_us) // 1000} milliseconds")
+    behind = df.filter(F.col(event_ts).isNotNull()).withWatermark(event_ts, f"{(delay_us + size_us + late_us) // 1000} milliseconds")
     start = floor_to(micros(event_ts), size_us)
+    names = [*keys, "start_us"]
     rows = behind.select(*keys, start.alias("start_us"), event_ts, F.col(tie).alias("tie"), F.col(value).cast("double").alias("amount"))
-    panes = Panes(size_us, interval_us(early), late_us)
-    panes.keys = [*keys, "start_us"]
-    out = run_keyed(rows, panes.keys, panes, "fired_us BIGINT, kind STRING, pane BIGINT, n BIGINT, total DOUBLE", timers=True)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*names), F.lit(Panes.BUCKETS)).cast("int"))
+    types = [rows.schema[c].dataType.simpleString() for c in names]
+    panes = Panes(size_us, interval_us(early), late_us, names, types)
+    shown = ", ".join(f"{c} {t}" for c, t in zip(names, types))
+    out = run_keyed(rows, ["bucket"], panes, f"{shown}, fired_us BIGINT, kind STRING, pane BIGINT, n BIGINT, total DOUBLE", timers=True)
     return out.select(*keys, F.timestamp_micros("start_us").alias("window_start"), F.timestamp_micros("fired_us").alias("fired_at"), "kind", "pane", "n", "total")
 
 
