@@ -243,3 +243,20 @@ def test_panes_call_the_state_by_buckets(spark):
     batch = (In(tie=i, amount=1.0, user=i % 400, start_us=0) for i in range(1_200))
     assert list(panes.handleInputRows((7,), batch, Timers())) == [] and calls == ["get", "timer", "update"]
     assert panes.state.value[2] == [3] * 400
+
+
+def test_idle_counts_call_the_state_once_per_key():
+    calls = []
+
+    class Fake:
+        def __getattr__(self, name):
+            return lambda *a: calls.append((name, *a))
+
+    class In:
+        def __init__(self, us):
+            self.us = self.tie = us
+
+    idle = stateful.IdleCount(100_000)
+    idle.state = idle.handle = Fake()
+    assert [r.n for r in idle.handleInputRows((1,), map(In, [50_000, 0, 100_000, 300_000]), None)] == [1, 2, 3, 1]
+    assert calls == [("get",), ("registerTimer", 400), ("update", (1, 300_000))]

@@ -756,12 +756,17 @@ class IdleCount(KeyedProcessor):
     def __init__(self, idle_us: int):
         self.idle_us = idle_us
 
-    def on_row(self, key, row) -> Iterator[Row]:
-        held = self.current()
-        n = held[0] if held and row.us - held[1] <= self.idle_us else 0
-        self.arm(held[1] + self.idle_us if held else None, row.us + self.idle_us)
-        self.state.update((n + 1, row.us))
-        yield Row(user_id=key[0], event_id=row.tie, n=n + 1)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        """State and timer are touched once per key and micro-batch: only the last row's are left in the end."""
+        n, us = self.current() or (0, None)
+        old_us = us
+        for row in sorted(rows, key=self.order):
+            n = n + 1 if us is not None and row.us - us <= self.idle_us else 1
+            us = row.us
+            yield Row(user_id=key[0], event_id=row.tie, n=n)
+        if us != old_us:
+            self.arm(old_us + self.idle_us if old_us is not None else None, us + self.idle_us)
+        self.state.update((n, us))
 
     def on_timer(self, key, at_ms: int) -> Iterator[Row]:
         held = self.current()
