@@ -254,3 +254,20 @@ def test_running_top_after_each_row(skewed, slices):
         mine[k] = mine.get(k, 0) + v
         want[i] = [(a, float(b)) for a, b in sorted(mine.items(), key=lambda x: (-x[1], x[0]))[:3]]
     assert got == want
+
+
+def test_running_top_of_ordinary_keys_takes_one_shuffle(spark):
+    """Totals are added up in the fold (null: nothing), decimal ones by Spark; both give the same tops over several batches of rows."""
+    from weirworks.operators.ranking import running_top_n
+
+    df = spark.range(30_000).selectExpr("id % 3 k", "id", "id * 7 % 11 item", "if(id % 5 = 0, null, id % 4) as v", "cast(id % 4 as decimal(10, 0)) as d").withColumn("d", F.when(F.col("v").isNotNull(), F.col("d")))
+    plain = running_top_n(df.drop("d"), ["k"], ["id"], "item", "v", 3)
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("RepartitionByExpression") == 1
+    want, held = {}, {}
+    for r in df.orderBy("id").collect():
+        mine = held.setdefault(r.k, {})
+        mine[r.item] = mine.get(r.item, 0) + (r.v or 0)
+        want[r.id] = [(x, float(t)) for x, t in sorted(mine.items(), key=lambda e: (-e[1], e[0]))[:3]]
+    for got in (plain, running_top_n(df.drop("v"), ["k"], ["id"], "item", "d", 3)):
+        assert {r.id: [(e.item, e.total) for e in r.top] for r in got.collect()} == want
