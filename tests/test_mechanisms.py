@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
@@ -87,6 +87,26 @@ def test_rolling_files_on_disk(spark, tmp_path):
         writers.write_rolling(df, "ts", "id", str(tmp_path / "x"), 50, "30 minutes", "5 minutes")
 
 
+def test_rolling_files_are_written_by_several_tasks_and_read_back(spark, tmp_path):
+    """The files are tiny together, but there are many: adaptive execution must not give them to one task."""
+    df = spark.range(400).select("id", F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
+    path, schema = str(tmp_path / "rolled"), "id long, ts timestamp_ntz, bucket string"
+    writers.write_rolling(df, "ts", "id", path, 1_000, "30 minutes", "5 minutes", "HH")
+    found = list(Path(path).rglob("part-*.json"))
+    assert len({f.name.split("-")[1] for f in found}) > 1 and not list(Path(path).rglob("*.json.crc"))
+    back = writers.read_rolling(spark, path, schema)
+    assert rows(back) == rows(df.withColumn("bucket", F.date_format("ts", "HH")))
+    writers.write_rolling(df.limit(0), "ts", "id", str(tmp_path / "none"), 1_000, "30 minutes", "5 minutes", "HH")
+    assert writers.read_rolling(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_rolling_parts_keep_rows_without_bucket_or_tie(spark):
+    data = [(None if i % 5 == 0 else i, i, "ab"[i % 2] if i % 3 else None) for i in range(60)]
+    df = spark.createDataFrame(data, "id long, s long, bucket string").select("id", F.timestamp_seconds("s").alias("ts"), "bucket")
+    got = writers.rolling_parts(df, "ts", "id", "bucket", 400, "20 seconds", "10 seconds")
+    assert Counter(map(tuple, got.drop("part").collect())) == Counter(map(tuple, df.collect())) and got.filter("part is null").isEmpty()
+
+
 def test_latest_position_is_kept_over_restarts(spark):
     df = spark.createDataFrame([(i,) for i in range(4)], "id long")
     replay = Replay([df.filter(f"id = {i}") for i in range(4)])
