@@ -43,6 +43,18 @@ def test_top_of_closed_windows(spark, sf):
     assert states(spark, checkpoint, "transformWithState").count() == 0
 
 
+def test_top_of_windows_with_unknown_items(spark):
+    """Equal counts of an unknown item and a known one; counts go through two stateful steps, not three."""
+    data = [(i, i * 60, None if i % 2 else i % 4) for i in range(120)]
+    e = spark.createDataFrame(data, "event_id long, s long, item_id int").select("event_id", F.timestamp_seconds("s").alias("ts"), "item_id")
+    replay, checkpoint = Replay([e.filter("event_id < 60"), e.filter("event_id >= 60")]), scratch_dir(spark, "checkpoint")
+    live = stateful.hot_items(replay.stream().withWatermark("ts", "10 minutes"), "ts", "item_id", "8 minutes", "4 minutes", 3)
+    got = run_append(live, checkpoint=checkpoint, feed=replay)
+    want = ranking.hot_items(e, "ts", "item_id", "8 minutes", "4 minutes", 3).filter(F.unix_seconds("window_end") <= 119 * 60 - 600).select(*got.columns)
+    assert set(map(tuple, got.collect())) == set(map(tuple, want.collect())) and got.count() == want.count() > 60
+    assert got.filter("item_id is null").count() > 20 and stateful.list_state_operators(spark, checkpoint).select("operatorId").distinct().count() == 2
+
+
 def panes_by_hand(arrivals, size, delay, early, late):
     """(key, event time, id, value) per micro-batch, in minutes."""
     held, out, mark, high = defaultdict(lambda: [0, 0, 0, False]), [], 0, None

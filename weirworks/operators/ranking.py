@@ -35,7 +35,7 @@ def hot_items(df: DataFrame, ts: str, item: str, size: str, slide: str, n: int)
         step.groupBy(w.alias("__w"), item).agg(F.sum("__n").alias("view_count"))
         .select(F.col("__w.end").alias("window_end"), item, "view_count")
     )
-    return top_n(counts, ["window_end"], [F.col("view_count").desc(), F.col(item)], n)
+    return top_n(counts, ["window_end"], [F.col("view_count").desc(), F.col(item).asc_nulls_last()], n)
 
 
 def total_top_n(df: DataFrame, area: str, item: str, value: str, n: int) -> DataFrame:
