@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
 from conftest import sentence
@@ -286,3 +287,11 @@ def test_a_filter_that_holds_a_phrase_no_pass_has_met():
     for gate, seen, sizes in ((gates[0], None, range(1, 5)), (gates[1], gates[0], range(2, 5))):
         met.append({p.decode() for _, found, _ in phrases.counted_window(raw, b"en", gate, seen, sizes) for p in found.to_pylist()})
     assert met == [{"a", "b", "c", "d", "a b", "b c", "c d", "a b c"}, {"b c d", "a b c d"}]
+
+
+def test_longest_phrases_without_a_fresh_part_are_not_made():
+    ids, words = np.array([1, 2, 3, 1, 2]), [b"", b"a", b"b", b"c"]
+    one = phrases.first_level(ids, words, b"en")
+    fresh = np.array([False, False, False, True])  # "c"
+    made = phrases.next_level(one, one, np.array([False, True, True, True]), fresh)
+    assert sorted(map(tuple, made.words.tolist())) == [(2, 3), (3, 1)] and made.counts.tolist() == [1, 1]
