@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 
 from frames import rows
 from weirworks.functions.sql import register
-from weirworks.operators import timers
+from weirworks.operators import ordered, timers
 from weirworks.operators.ordered import Grouped, Ordered, following, hot_keys, latest, max_before, next_known, previous, running_count, running_max, scanned_by_key, total
+from weirworks.plans.sources import snk_latest_kv
 from weirworks.session import scratch_dir
 from weirworks.sources import readers, writers
 from weirworks.streaming import stateful
 from weirworks.streaming.metrics import MetricsLog, observed
 from weirworks.streaming.replay import Replay
 from weirworks.streaming.runner import run_append, run_to_files, use_rocksdb
-from weirworks.tables import events
+from weirworks.tables import SCHEMAS, events
 
 
 def test_sink_flushes_by_number_or_time_across_a_restart(spark, tmp_path):
@@ -107,6 +108,31 @@ def test_rolling_parts_keep_rows_without_bucket_or_tie(spark):
     assert Counter(map(tuple, got.drop("part").collect())) == Counter(map(tuple, df.collect())) and got.filter("part is null").isEmpty()
 
 
+def test_tasks_of_the_last_versions_follow_the_rows(spark, tmp_path, monkeypatch):
+    """More lines give more tasks, not larger ones, beyond Spark's number of shuffle partitions; a frequent key and odd values are whole."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", 250)
+    data = [(None if i % 29 == 0 else i // 3 - 400, 7 if i % 3 else i % 41 or None, i % 4, None if i % 11 == 0 else float(i % 50), None if i % 13 == 0 else i % 3) for i in range(5_000)]
+    li = spark.createDataFrame(data, "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, d int")
+    whole = li.withColumn("l_shipdate", F.expr("timestamp_ntz'1995-01-30' + make_dt_interval(d)")).drop("d")
+    known = whole.columns
+    typed = [F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.createDataFrame([], SCHEMAS["lineitem"]).schema]
+    whole.select(*typed).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = snk_latest_kv(spark, str(tmp_path))
+    want = defaultdict(lambda: [0, None])
+    for _, supplier, _, quantity, d in data:
+        held = want[d, supplier]
+        held[0] += 1
+        held[1] = held[1] if quantity is None else (held[1] or 0) + int(quantity)
+
+    def text(d, supplier, n, q):
+        days = {0: "19950130", 1: "19950131", 2: "19950201"}
+        pairs = {"site_id": supplier, "sub_orders": n, "quantity": q}
+        return d if d is None else f"{days[d]}:SITES", supplier if supplier is None else str(supplier), json.dumps({k: v for k, v in pairs.items() if v is not None}, separators=(",", ":"))
+
+    assert Counter(map(tuple, got.select("hash", "field", "value").collect())) == Counter(text(*k, *v) for k, v in want.items())
+    assert got.rdd.getNumPartitions() == 20
+
+
 def test_latest_position_is_kept_over_restarts(spark):
     df = spark.createDataFrame([(i,) for i in range(4)], "id long")
     replay = Replay([df.filter(f"id = {i}") for i in range(4)])
