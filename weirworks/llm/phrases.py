@@ -4,14 +4,17 @@
    holds at least ``LOWERED`` times and whose parts it proposed before.
 2. **Full pass.** Every phrase is counted whose two parts of one word less are both proposed: that is the proposal itself and
    its negative border, the phrases just outside it. All single words are counted, since an unseen word is on the border.
-3. **Border failures** are phrases of the border that turn out frequent. They join the proposal, and another full pass
-   counts the border that grew by them, until a pass has no failure of fewer than four words. A failure of pass p has at least
-   p words, so there are at most four passes. A frequent phrase has frequent parts, so by induction none is missed, and each
-   phrase is counted in exactly one pass.
+3. **Border failures** are phrases of the border that turn out frequent. A frequent phrase that no pass counted holds one. If
+   they are few (at most ``FEW`` of their places per word of the table), a closing pass counts all phrases not counted before
+   whose parts are frequent or not counted either; nothing can be missing then. If they are many, they join the proposal, and
+   another full pass counts the border that grew by them, until a pass has few failures of fewer than four words or none. A failure
+   of pass p has at least p words, so there are at most four passes. A frequent phrase has frequent parts, so by induction none
+   is missed, and each phrase is counted in exactly one pass.
 
 The proposal is a Bloom filter of fixed size (``BLOOM_BITS``): what it lets through wrongly is only counted without need, so
-counts stay exact at any size. Phrases are counted in windows of some megabytes of text with integer keys, and Spark adds up
-the windows' counts by (lang, phrase); no row per occurrence is made.
+counts stay exact at any size. Phrases are counted in windows of some megabytes of text with integer keys; no row per
+occurrence is made. A window's counts go into one row per bucket of phrases (by hash), Spark shuffles these rows, and
+each bucket is added up by the phrases themselves.
 
 Defined results: a NULL text is empty, a NULL language is ``und``; repeated rows count again; an empty table gives no rows.
 """
@@ -38,7 +41,9 @@ LONGEST, SUPPORT, KEPT, WITHIN = 4, 30, 2_000, 80
 SAMPLE = 8  # one row of so many
 LOWERED = 2  # of SUPPORT / SAMPLE = 3.75 expected at the limit: few frequent phrases are missed, and each miss is found again
 BLOOM_BITS = 1 << 26
+FEW = 1 / 8
 WINDOW_BYTES = 4_000_000
+MOST_BUCKETS, BUCKETS_PER_PARTITION = 4_096, 8
 SALTS = 16
 
 GAP = 0xFF  # between pieces; no byte of UTF-8
@@ -46,14 +51,8 @@ GAP = 0xFF  # between pieces; no byte of UTF-8
 TO_PIECES = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else GAP if b in b".,;:!?\x0a\x0b\x0c\x0d" else b for b in range(256))
 #: One string per counted phrase: its words, ``END`` and the language. No word holds END, so the first one parts them.
 COUNTS, END = "key string, c bigint", "\n"
-
-
-class Numbers(dict):
-    """Numbers of words in the order they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+#: Keys of a bucket in a window one after the other, their lengths and their counts (32-bit little-endian).
+PACKED = "bucket int, keys binary, lengths binary, counts binary"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -118,6 +117,27 @@ class Level:
     plain: np.ndarray | None = None  # first level only: hashes of the words alone
 
 
+def numbered(raw: bytes) -> tuple[np.ndarray, pa.Array]:
+    """The words of a text as numbers, and the words by number; 0 is the end of a piece."""
+    spaced = np.frombuffer((bytes([GAP]) + raw.translate(TO_PIECES)).replace(bytes([GAP]), bytes([32, GAP, 32])), np.uint8)
+    inside = spaced != 32
+    turns = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    offsets = np.append(0, np.cumsum(turns[1::2] - turns[::2]))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(spaced[inside])]).dictionary_encode()
+    return words.indices.to_numpy().astype(np.int64), words.dictionary.cast(pa.binary())
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct keys in order: a place of each and its count; and the number of each place's key. (``np.unique`` sorts stably for the first place.)"""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    starts = np.append(True, ordered[1:] != ordered[:-1])[:len(keys)]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(starts) - 1
+    first = np.flatnonzero(starts)
+    return order[first], inverse, np.diff(np.append(first, len(keys)))
+
+
 def first_level(ids: np.ndarray, words: list[bytes], lang: bytes) -> Level:
     plain = word_hashes(words)
     hashes = extended(np.full(len(words), start_hash(lang)), plain)
@@ -135,7 +155,8 @@ def next_level(below: Level, words: Level, good: np.ndarray, fresh: np.ndarray |
     starts = np.flatnonzero(wanted) if n > 0 else np.zeros(0, np.int64)
     last = words.at[starts + below.words.shape[1]]
     key = below.at[starts].astype(np.int64) * len(words.counts) + last
-    found, where, inverse, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    where, inverse, counts = grouped(key)
+    found = key[where]
     at = np.full(max(n, 0), -1, np.int64)
     at[starts] = inverse
     prefix, word = found // len(words.counts), found % len(words.counts)
@@ -143,17 +164,21 @@ def next_level(below: Level, words: Level, good: np.ndarray, fresh: np.ndarray |
                  prefix=prefix, suffix=below.at[starts[where] + 1])
 
 
-def counted_window(raw: bytes, lang: bytes, gate: Filter, seen: Filter | None, sizes: range) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(size, phrases, counts) of a window. Phrases whose parts were counted under ``seen`` and are held by it were counted by an earlier pass;
-    of the longest ones, which are no parts, they are not even made."""
-    numbers = Numbers({bytes([GAP]): 0})
-    tokens = raw.translate(TO_PIECES).replace(bytes([GAP]), bytes([32, GAP, 32])).split()
-    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    del tokens
-    words = list(numbers)
-    one = first_level(ids, words, lang)
-    texts = pa.array([b"", *words[1:]], pa.binary())
-    level, before = one, np.full(len(words), seen is not None)  # which phrases of the level an earlier pass counted
+def joined(texts: pa.Array, words: list[np.ndarray]) -> pa.Array:
+    """Phrases of the words with these numbers."""
+    columns = [texts.take(pa.array(w)) for w in words]
+    return columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
+
+
+Met = Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]
+
+
+def bordered(raw: bytes, lang: bytes, gate: Filter, seen: Filter | None, sizes: range) -> Met:
+    """(size, phrases, counts, hashes) of a window. Phrases whose parts were counted under ``seen`` and are held by it were counted by an earlier
+    pass; of the longest ones, which are no parts, they are not even made."""
+    ids, texts = numbered(raw)
+    one = first_level(ids, texts.to_pylist(), lang)
+    level, before = one, np.full(len(texts), seen is not None)  # which phrases of the level an earlier pass counted
     for size in range(1, sizes.stop):
         if size > 1:
             good = gate.holds(level.hashes)
@@ -168,15 +193,73 @@ def counted_window(raw: bytes, lang: bytes, gate: Filter, seen: Filter | None, s
             if size == 1:
                 new[0] = False
             if new.any():
-                columns = [texts.take(pa.array(level.words[new, i])) for i in range(size)]
-                phrases = columns[0] if size == 1 else pc.binary_join_element_wise(*columns, b" ")
-                yield size, phrases, level.counts[new]
+                yield size, joined(texts, [level.words[new, i] for i in range(size)]), level.counts[new], level.hashes[new]
 
 
-def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: range) -> DataFrame:
-    """(lang, size, phrase, c): exact counts of the phrases of these sizes whose parts ``gate`` holds and ``seen`` doesn't. Row size 0: all words
-    of the language. They are added up by one string, which is cheaper than by three columns, and parted afterwards."""
-    arrow = to_arrow_schema(StructType.fromDDL(COUNTS))
+def counted_window(raw: bytes, lang: bytes, gate: Filter, seen: Filter | None, sizes: range) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """``bordered`` without the hashes."""
+    for size, found, counts, _ in bordered(raw, lang, gate, seen, sizes):
+        yield size, found, counts
+
+
+def closed(raw: bytes, lang: bytes, known: Filter, seen: Filter, sizes: range) -> Met:
+    """(size, phrases, counts, hashes) of a window: all phrases not counted under ``seen`` whose parts may be frequent. Those that were
+    counted may be so if they are among the frequent ones, ``known``; the others if their own parts may be. Only the new ones are numbered."""
+    ids, texts = numbered(raw)
+    one = first_level(ids, texts.to_pylist(), lang)
+    may = known.holds(one.hashes)
+    may[0] = False  # no phrase goes over the end of a piece
+    may, held, hashes = may[ids], seen.holds(one.hashes)[ids], one.hashes[ids]  # of the phrase that starts at a place
+    for size in range(2, sizes.stop):
+        at = np.flatnonzero(may[:-1] & may[1:])
+        h = extended(hashes[at], one.plain[ids[at + size - 1]])
+        old = held[at] & held[at + 1]
+        new = at[~old]
+        if size in sizes and len(new):
+            phrase = ids[new]
+            for k in range(1, size):
+                where, phrase, counts = grouped(phrase * len(texts) + ids[new + k])
+            yield size, joined(texts, [ids[new[where] + k] for k in range(size)]), counts, h[~old][where]
+        old[old] = known.holds(h[old])
+        may, held = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+        may[new] = may[at[old]] = True
+        held[at[old]] = seen.holds(h[old])
+        hashes[at] = h
+
+
+def packed(keys: pa.Array, counts: np.ndarray, bucket: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    """One row per bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, keys, counts = bucket[order], keys.take(pa.array(order)), counts[order].astype(np.int32).tobytes()
+    offsets = np.frombuffer(keys.buffers()[1], np.int64)[:len(keys) + 1]
+    lengths, data = np.diff(offsets).astype(np.int32).tobytes(), keys.buffers()[2].to_pybytes()
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    ends = np.append(starts[1:], len(bucket))
+    cut = list(zip(starts.tolist(), ends.tolist()))
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket[starts].astype(np.int32)), pa.array([data[offsets[i]:offsets[j]] for i, j in cut], pa.binary()),
+        pa.array([lengths[4 * i:4 * j] for i, j in cut], pa.binary()), pa.array([counts[4 * i:4 * j] for i, j in cut], pa.binary())], schema=schema)
+
+
+def added_up(rows: pa.Table, least: int) -> pa.Table:
+    """(key, c) of a bucket: the sums of at least ``least``, and those of all words of a language."""
+    data, lengths, counts = (b"".join(rows.column(c).to_pylist()) for c in ("keys", "lengths", "counts"))
+    offsets = np.append(0, np.cumsum(np.frombuffer(lengths, np.int32), dtype=np.int64))
+    keys = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    sums = pa.table({"key": keys, "c": np.frombuffer(counts, np.int32).astype(np.int64)}).group_by("key", use_threads=False).aggregate([("c", "sum")])
+    sums = sums.filter(pc.or_(pc.greater_equal(sums["c_sum"], least), pc.starts_with(sums["key"], END)))
+    return pa.table({"key": sums["key"].cast(pa.large_string()).cast(pa.string()), "c": sums["c_sum"]})
+
+
+def buckets_of(docs: DataFrame) -> int:
+    """A power of two, so many that a bucket stays within some megabytes, and so few that a window's rows are not tiny."""
+    return min(MOST_BUCKETS, 1 << (BUCKETS_PER_PARTITION * max(1, docs.rdd.getNumPartitions()) - 1).bit_length())
+
+
+def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: range, least: int, closing: bool = False) -> DataFrame:
+    """(lang, size, phrase, c): exact counts, if at least ``least``, of the phrases of these sizes whose parts ``gate`` holds and ``seen`` doesn't,
+    or of those due in the closing pass, where ``gate`` has the frequent ones. Row size 0: all words of the language."""
+    arrow, shift = to_arrow_schema(StructType.fromDDL(PACKED)), np.uint64(65 - buckets_of(docs).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = worker_filter(gate) or Filter(None), worker_filter(seen)
@@ -184,15 +267,18 @@ def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: ra
         size_held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
+            made: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
             for lang, texts in held.items():
                 total = 0
-                for size, phrases, counts in counted_window(b"\n".join(texts), lang, *filters, sizes):
+                for size, found, counts, hashes in (closed if closing else bordered)(b"\n".join(texts), lang, *filters, sizes):
                     total += int(counts.sum()) if size == 1 else 0
-                    keys = pc.binary_join_element_wise(phrases, lang, END.encode())
-                    yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(counts.astype(np.int64))], schema=arrow)
+                    made.append((pc.binary_join_element_wise(found, lang, END.encode()).cast(pa.large_binary()), counts, hashes >> shift))
                 if total:
-                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((END + lang.decode(), total), arrow)], schema=arrow)
+                    made.append((pa.array([END.encode() + lang], pa.large_binary()), np.array([total]), np.array([start_hash(lang)]) >> shift))
             held.clear()
+            if made:
+                keys, counts, bucket = zip(*made)
+                yield packed(pa.concat_arrays(keys), np.concatenate(counts), np.concatenate(bucket).astype(np.uint16), arrow)
 
         for batch in pieces(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text"))):
@@ -203,7 +289,7 @@ def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: ra
                     size_held = 0
         yield from out()
 
-    sums = docs.mapInArrow(run, COUNTS).groupBy("key").agg(F.sum("c").alias("c"))
+    sums = docs.mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(lambda rows: added_up(rows, least), COUNTS)
     phrase, end = F.substring_index("key", END, 1), F.locate(END, F.col("key"))
     size = F.when(end == 1, 0).otherwise(F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1)
     return sums.select(F.substr("key", end + 1).alias("lang"), size.alias("size"), phrase.alias("phrase"), "c")
@@ -255,10 +341,14 @@ def proposal(sample: DataFrame, lowered: int, longest: int) -> bytes:
     bits = None
     for size in range(1, longest):
         gate = Shared(sample, bits) if bits is not None else None
-        bits = filter_of(counted(sample, gate, None, range(size, size + 1)).filter((F.col("c") >= lowered) & (F.col("size") == size)), bits)
+        bits = filter_of(counted(sample, gate, None, range(size, size + 1), lowered).filter(F.col("size") == size), bits)
     return bits
 
 
+def places_of(phrases: DataFrame) -> int:
+    return int(phrases.agg(F.sum(F.col("c").cast("decimal(38,0)"))).first()[0])
+
+
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, one_in: int = SAMPLE, lowered: int = LOWERED) -> tuple[DataFrame, int]:
     """(lang, size, phrase, c) of all phrases found at least ``support`` times (size 0: all words of a language), and the number of full passes."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
@@ -269,11 +359,15 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     gate, seen, done = Shared(docs, bits), None, []
     while True:
         sizes = range(1 if seen is None else 2, longest + 1)
-        found = stored(counted(texts, gate, seen, sizes).filter((F.col("c") >= support) | (F.col("size") == 0)), "phrase-counts")
+        found = stored(counted(texts, gate, seen, sizes, support), "phrase-counts")
         done.append(found)
         failures = stored(outside(found.filter(F.col("size").between(1, longest - 1)), gate), "phrase-failures")
         if failures.isEmpty():
             return reduce(DataFrame.unionByName, done), len(done)
+        if places_of(failures) <= FEW * places_of(done[0].filter("size = 0")):
+            known = filter_of(reduce(DataFrame.unionByName, done).filter(F.col("size").between(1, longest - 1)), None)
+            done.append(stored(counted(texts, Shared(docs, known), gate, range(2, longest + 1), support, closing=True), "phrase-counts"))
+            return reduce(DataFrame.unionByName, done), len(done)
         bits = filter_of(failures, bits)
         gate, seen = Shared(docs, bits), gate
 
