@@ -43,7 +43,7 @@ LOWERED = 2  # of SUPPORT / SAMPLE = 3.75 expected at the limit: few frequent ph
 BLOOM_BITS = 1 << 26
 FEW = 1 / 8
 WINDOW_BYTES = 4_000_000
-MOST_BUCKETS, BUCKETS_PER_PARTITION = 4_096, 8
+MOST_BUCKETS, BUCKETS_PER_PARTITION = 4_096, 16
 SALTS = 16
 
 GAP = 0xFF  # between pieces; no byte of UTF-8
@@ -251,15 +251,17 @@ def added_up(rows: pa.Table, least: int) -> pa.Table:
     return pa.table({"key": sums["key"].cast(pa.large_string()).cast(pa.string()), "c": sums["c_sum"]})
 
 
-def buckets_of(docs: DataFrame) -> int:
+def buckets_of(partitions: int) -> int:
     """A power of two, so many that a bucket stays within some megabytes, and so few that a window's rows are not tiny."""
-    return min(MOST_BUCKETS, 1 << (BUCKETS_PER_PARTITION * max(1, docs.rdd.getNumPartitions()) - 1).bit_length())
+    return min(MOST_BUCKETS, 1 << (BUCKETS_PER_PARTITION * partitions - 1).bit_length())
 
 
 def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: range, least: int, closing: bool = False) -> DataFrame:
     """(lang, size, phrase, c): exact counts, if at least ``least``, of the phrases of these sizes whose parts ``gate`` holds and ``seen`` doesn't,
-    or of those due in the closing pass, where ``gate`` has the frequent ones. Row size 0: all words of the language."""
-    arrow, shift = to_arrow_schema(StructType.fromDDL(PACKED)), np.uint64(65 - buckets_of(docs).bit_length())
+    or of those due in the closing pass, where ``gate`` has the frequent ones. Row size 0: all words of the language. The buckets go to as many tasks
+    as there are tasks of documents, so a task's share doesn't grow with the table."""
+    partitions = max(1, docs.rdd.getNumPartitions())
+    arrow, shift = to_arrow_schema(StructType.fromDDL(PACKED)), np.uint64(65 - buckets_of(partitions).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = worker_filter(gate) or Filter(None), worker_filter(seen)
@@ -267,18 +269,18 @@ def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: ra
         size_held = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            made: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
-            for lang, texts in held.items():
-                total = 0
+            while held:  # one language at a time, so that little is held
+                lang, texts = held.popitem()
+                made, total = [], 0
                 for size, found, counts, hashes in (closed if closing else bordered)(b"\n".join(texts), lang, *filters, sizes):
                     total += int(counts.sum()) if size == 1 else 0
                     made.append((pc.binary_join_element_wise(found, lang, END.encode()).cast(pa.large_binary()), counts, hashes >> shift))
                 if total:
                     made.append((pa.array([END.encode() + lang], pa.large_binary()), np.array([total]), np.array([start_hash(lang)]) >> shift))
-            held.clear()
-            if made:
-                keys, counts, bucket = zip(*made)
-                yield packed(pa.concat_arrays(keys), np.concatenate(counts), np.concatenate(bucket).astype(np.uint16), arrow)
+                if made:
+                    keys, counts, bucket = map(list, zip(*made))
+                    del made, found
+                    yield packed(pa.concat_arrays(keys), np.concatenate(counts), np.concatenate(bucket).astype(np.uint16), arrow)
 
         for batch in pieces(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text"))):
@@ -289,7 +291,7 @@ def counted(docs: DataFrame, gate: Shared | None, seen: Shared | None, sizes: ra
                     size_held = 0
         yield from out()
 
-    sums = docs.mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(lambda rows: added_up(rows, least), COUNTS)
+    sums = docs.mapInArrow(run, PACKED).repartition(partitions, "bucket").groupBy("bucket").applyInArrow(lambda rows: added_up(rows, least), COUNTS)
     phrase, end = F.substring_index("key", END, 1), F.locate(END, F.col("key"))
     size = F.when(end == 1, 0).otherwise(F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1)
     return sums.select(F.substr("key", end + 1).alias("lang"), size.alias("size"), phrase.alias("phrase"), "c")
@@ -341,7 +343,8 @@ def proposal(sample: DataFrame, lowered: int, longest: int) -> bytes:
     bits = None
     for size in range(1, longest):
         gate = Shared(sample, bits) if bits is not None else None
-        bits = filter_of(counted(sample, gate, None, range(size, size + 1), lowered).filter(F.col("size") == size), bits)
+        found = stored(counted(sample, gate, None, range(size, size + 1), lowered), "phrase-proposal")  # one Python worker per task at a time
+        bits = filter_of(found.filter(F.col("size") == size), bits)
     return bits
 
 
