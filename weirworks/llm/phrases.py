@@ -381,8 +381,10 @@ def part(phrase: str, first: Column | int, n: Column | int) -> Column:
 
 
 def salted_parts(known: DataFrame, name: str) -> DataFrame:
-    """Counts of parts once per salt: a part of very many phrases is joined in SALTS places."""
-    return known.select("lang", F.col("phrase").alias(name), F.col("c").alias(f"c_{name}"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    """Counts of parts once per salt: a part of very many phrases is joined in SALTS places. Spark takes an explode for as large as the compressed
+    file below it, a hundredth of these rows' size, so it may not choose a broadcast."""
+    parts = known.select("lang", F.col("phrase").alias(name), F.col("c").alias(f"c_{name}"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return parts.hint("merge")
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, kept: int = KEPT, within: int = WITHIN,
@@ -401,7 +403,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST
     holders = candidates.filter("size > 2").select("lang", F.explode(inner).alias("phrase"), F.col("a").alias("held"))
     holders = holders.groupBy("lang", "phrase").agg(F.max("held").alias("held"))
     whole = F.coalesce(F.col("held").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * within, F.lit(True))
-    rest = candidates.join(holders, ["lang", "phrase"], "left").filter(whole).drop("held")
+    rest = candidates.join(holders.hint("merge"), ["lang", "phrase"], "left").filter(whole).drop("held")  # exploded like salted_parts
 
     cuts = rest.select("*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.select("*", part("phrase", F.lit(1), F.col("k")).alias("l"), part("phrase", F.col("k") + 1, F.col("size") - F.col("k")).alias("r"))
