@@ -16,7 +16,7 @@ from weirworks.operators import ordered, timers
 from weirworks.operators.ordered import Grouped, Ordered, following, hot_keys, latest, max_before, next_known, previous, running_count, running_max, scanned_by_key, total
 from weirworks.plans.sources import snk_latest_kv
 from weirworks.session import scratch_dir
-from weirworks.sources import readers, writers
+from weirworks.sources import files, readers, writers
 from weirworks.streaming import stateful
 from weirworks.streaming.metrics import MetricsLog, observed
 from weirworks.streaming.replay import Replay
@@ -101,6 +101,52 @@ def test_rolling_files_are_written_by_several_tasks_and_read_back(spark, tmp_pat
     assert writers.read_rolling(spark, str(tmp_path / "none"), schema).count() == 0
 
 
+def test_rolling_files_are_those_of_sparks_writer(spark, tmp_path, monkeypatch):
+    """Same folders and bytes, same rows read back, with NULL times and folder names that are escaped."""
+    texts = ["a\nb", 'q"uo\\te', "日本\r", "", None]
+    df = spark.createDataFrame([(i, None if i % 17 == 0 else i * 61, texts[i % 5]) for i in range(400)], "id long, s long, text string")
+    df = df.select("id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), "text")
+    folders, schema = {w: str(tmp_path / w) for w in ("python", "spark")}, "id long, ts timestamp_ntz, bucket string, text string"
+    held, read = {}, {}
+    for way in folders:
+        if way == "spark":
+            monkeypatch.setattr(files, "local", lambda *_: None)
+        writers.write_rolling(df, "ts", "id", folders[way], 1_500, "30 minutes", "5 minutes", "HH:'%=/{[^'", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss")
+        assert (Path(folders[way]) / "_SUCCESS").exists()
+        held[way] = {str(f.parent.relative_to(folders[way])): f.read_bytes() for f in Path(folders[way]).rglob("part-*.json")}
+    assert held["python"] == held["spark"] and len(held["python"]) > 20
+    for folder in folders.values():
+        some = next(Path(folder).rglob("part-*.json"))
+        some.with_name(".left-over").write_bytes(some.read_bytes())  # by a task that was ended
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        writers.write_rolling(df, "ts", "id", folders["spark"], 1_500, "30 minutes", "5 minutes")
+    read["spark"] = writers.read_rolling(spark, folders["python"], schema)
+    monkeypatch.undo()
+    read["python"] = writers.read_rolling(spark, folders["spark"], schema)
+    assert read["python"].schema == read["spark"].schema and rows(read["python"]) == rows(read["spark"])
+    assert rows(read["python"].drop("bucket")) == rows(df)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        writers.write_rolling(df, "ts", "id", folders["python"], 1_500, "30 minutes", "5 minutes")
+
+
+def test_rolling_files_are_listed_and_read_by_few_tasks(spark, tmp_path):
+    """Not by a task for each folder."""
+    df = spark.range(8_000).select("id", F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("ts"))
+    path = str(tmp_path / "rolled")
+    writers.write_rolling(df, "ts", "id", path, 1_000, "30 minutes", "5 minutes", "DD-HH")
+    written = len(list(Path(path).rglob("part-*.json")))
+    context = spark.sparkContext
+    context.setJobGroup("rolling-read", "listing and reading")
+    try:
+        assert writers.read_rolling(spark, path, "id long, ts timestamp_ntz, bucket string").count() == 8_000
+        jobs = context.statusTracker().getJobIdsForGroup("rolling-read")
+        stages = {s for j in jobs for s in context.statusTracker().getJobInfo(j).stageIds}
+        tasks = sum(info.numTasks for s in stages if (info := context.statusTracker().getStageInfo(s)))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < tasks < 120 < written
+
+
 def test_rolling_parts_keep_rows_without_bucket_or_tie(spark):
     data = [(None if i % 5 == 0 else i, i, "ab"[i % 2] if i % 3 else None) for i in range(60)]
     df = spark.createDataFrame(data, "id long, s long, bucket string").select("id", F.timestamp_seconds("s").alias("ts"), "bucket")

@@ -10,6 +10,18 @@ def _at(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def local(spark: SparkSession, path: str) -> str | None:
+    """The path as Python opens it; None unless it is on the local file system (or one that all machines have mounted)."""
+    fs, where = _at(spark, path)
+    return fs.makeQualified(where).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, where = _at(spark, path)
+    fs.create(where).close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, where = _at(spark, path)
     return fs.exists(where)
